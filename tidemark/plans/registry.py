@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
-from . import dau_oracle, dau_queries
+from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries
 
 
 def all_queries() -> dict:
     out = {}
     out.update(dau_queries.QUERIES)
+    out.update(cdc_queries.QUERIES)
     return out
 
 
 def all_oracle_sql() -> dict:
     out = {}
     out.update(dau_oracle.SQL)
+    out.update(cdc_oracle.SQL)
     return out

@@ -160,3 +160,19 @@ def _order_detail_envelopes(lineitem: DataFrame) -> DataFrame:
         _envelope("order_detail", F.lit("INSERT"), F.lit(None).cast("array<string>"),
                   F.col("lines")).alias("value"),
     )
+
+
+def dimension_tables(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """The relational dimension tables as the source database holds them."""
+    return {
+        "user_info": read_table(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("segment"), F.col("c_acctbal").alias("balance")),
+        "sku_info": read_table(spark, sf_dir, "part").select(
+            F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+            F.col("p_brand").alias("brand"), F.col("p_type").alias("type"),
+            F.col("p_retailprice").alias("price")),
+        "base_province": read_table(spark, sf_dir, "nation").select(
+            F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"),
+            F.col("n_regionkey").alias("region")),
+    }
