@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries
+from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries, sales_oracle, sales_queries
 
 
 def all_queries() -> dict:
     out = {}
     out.update(dau_queries.QUERIES)
     out.update(cdc_queries.QUERIES)
+    out.update(sales_queries.QUERIES)
     return out
 
 
@@ -16,4 +17,5 @@ def all_oracle_sql() -> dict:
     out = {}
     out.update(dau_oracle.SQL)
     out.update(cdc_oracle.SQL)
+    out.update(sales_oracle.SQL)
     return out
