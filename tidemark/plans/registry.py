@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries, sales_oracle, sales_queries
+from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries, sales_oracle, sales_queries, search_oracle, search_queries
 
 
 def all_queries() -> dict:
@@ -10,6 +10,7 @@ def all_queries() -> dict:
     out.update(dau_queries.QUERIES)
     out.update(cdc_queries.QUERIES)
     out.update(sales_queries.QUERIES)
+    out.update(search_queries.QUERIES)
     return out
 
 
@@ -18,4 +19,5 @@ def all_oracle_sql() -> dict:
     out.update(dau_oracle.SQL)
     out.update(cdc_oracle.SQL)
     out.update(sales_oracle.SQL)
+    out.update(search_oracle.SQL)
     return out
