@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries, sales_oracle, sales_queries, search_oracle, search_queries
+from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries, sales_oracle, sales_queries, search_oracle, search_queries, stream_oracle, stream_queries
 
 
 def all_queries() -> dict:
@@ -11,6 +11,7 @@ def all_queries() -> dict:
     out.update(cdc_queries.QUERIES)
     out.update(sales_queries.QUERIES)
     out.update(search_queries.QUERIES)
+    out.update(stream_queries.QUERIES)
     return out
 
 
@@ -20,4 +21,5 @@ def all_oracle_sql() -> dict:
     out.update(cdc_oracle.SQL)
     out.update(sales_oracle.SQL)
     out.update(search_oracle.SQL)
+    out.update(stream_oracle.SQL)
     return out

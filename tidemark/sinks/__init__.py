@@ -1,0 +1,105 @@
+"""Sinks: the dt-partitioned DAU table and the per-topic fact feed.
+
+Batch and streaming frames go through the same functions.  Streams use
+Spark's native file sink (exactly-once through its commit log) or the
+Kafka sink; each streaming write has its own checkpoint folder.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StreamingQuery
+
+from ..functions.schemas import DAU_INFO
+
+
+def _trigger(writer, trigger: str | None):
+    if trigger is None or trigger == "availableNow":
+        return writer.trigger(availableNow=True)
+    if trigger == "once":
+        return writer.trigger(once=True)
+    return writer.trigger(processingTime=trigger)
+
+
+def dau_table(df: DataFrame, path: str, checkpoint: str | None = None,
+              trigger: str | None = None, query_name: str | None = None):
+    """Append DAU rows to a parquet table partitioned by event ``dt``.
+
+    A device-day is stored once: the stream dedup guarantees it per run
+    and the checkpoint keeps it across restarts.  Returns the streaming
+    query for a stream, None for a batch write.
+    """
+    if df.isStreaming:
+        if checkpoint is None:
+            raise ValueError("a streaming write needs a checkpoint folder")
+        w = (df.writeStream.format("parquet").outputMode("append").partitionBy("dt")
+               .option("checkpointLocation", checkpoint))
+        if query_name:
+            w = w.queryName(query_name)
+        return _trigger(w, trigger).start(path)
+    df.write.mode("append").partitionBy("dt").parquet(path)
+    return None
+
+
+def read_dau_table(spark, path: str, columns=None) -> DataFrame:
+    """Read the DAU table back with ``dt`` kept as text."""
+    fields = [f for f in DAU_INFO.fields if columns is None or f.name in columns]
+    if columns is not None and "dt" not in columns:
+        fields.append(T.StructField("dt", T.StringType()))
+    return spark.read.schema(T.StructType(fields)).parquet(path)
+
+
+def topic_fanout(df: DataFrame, fmt: str = "parquet", path: str | None = None,
+                 bootstrap: str | None = None, key_col: str | None = None,
+                 checkpoint: str | None = None, trigger: str | None = None,
+                 query_name: str | None = None):
+    """Write ``(topic, value)`` rows to their topics.
+
+    ``fmt="kafka"`` sends each row to the topic named in its ``topic``
+    column (keyed by ``key_col`` when given, so one key stays ordered in
+    one partition); the file form writes one folder per topic.
+    """
+    cols = [F.col("topic"), F.col("value").cast("string").alias("value")]
+    if key_col:
+        cols.append(F.col(key_col).cast("string").alias("key"))
+    out = df.select(*cols)
+    if fmt == "kafka":
+        if df.isStreaming:
+            w = (out.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+                    .option("checkpointLocation", checkpoint))
+            if query_name:
+                w = w.queryName(query_name)
+            return _trigger(w, trigger).start()
+        out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
+        return None
+    if df.isStreaming:
+        w = (out.writeStream.format(fmt).outputMode("append").partitionBy("topic")
+                .option("checkpointLocation", checkpoint))
+        if query_name:
+            w = w.queryName(query_name)
+        return _trigger(w, trigger).start(path)
+    out.write.mode("append").partitionBy("topic").format(fmt).save(path)
+    return None
+
+
+def changelog(df: DataFrame, path: str, checkpoint: str | None = None,
+              trigger: str | None = None, query_name: str | None = None):
+    """Append dimension changelog rows (``dim_rows`` output) to parquet."""
+    if df.isStreaming:
+        w = (df.writeStream.format("parquet").outputMode("append")
+               .option("checkpointLocation", checkpoint))
+        if query_name:
+            w = w.queryName(query_name)
+        return _trigger(w, trigger).start(path)
+    df.write.mode("append").parquet(path)
+    return None
+
+
+def await_all(queries: list[StreamingQuery]) -> None:
+    for q in queries:
+        if q is not None:
+            q.awaitTermination()
+            if q.exception() is not None:
+                raise RuntimeError(str(q.exception()))

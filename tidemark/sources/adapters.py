@@ -35,7 +35,11 @@ def _k(props: Column) -> Column:
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> ``(event_id, value)`` where value is the page-log JSON text."""
     ensure_utc(spark)
-    ev = read_table(spark, sf_dir, "events")
+    return raw_log_from(read_table(spark, sf_dir, "events"))
+
+
+def raw_log_from(ev: DataFrame) -> DataFrame:
+    """Page-log rendering of an ``events`` frame (batch or streaming)."""
     k = _k(F.col("props"))
     user = F.col("user_id").cast("string")
     common = F.struct(
