@@ -28,6 +28,11 @@ def hour_text(ts: Column) -> Column:
     return F.date_format(ts, HOUR_FMT)
 
 
+def day_hour_parts(ts: Column) -> Column:
+    """``[day, hour]`` from one ``yyyy-MM-dd HH`` rendering split on the space."""
+    return F.split(F.date_format(ts, f"{DATE_FMT} {HOUR_FMT}"), " ")
+
+
 def parse_day(text: Column | str) -> Column:
     """Strict day parse: invalid text such as ``2020-13-01`` gives null."""
     col = F.col(text) if isinstance(text, str) else text

@@ -57,11 +57,16 @@ def incremental(batch_facts: DataFrame, existing: DataFrame,
                 keys: Sequence[str] = KEYS) -> DataFrame:
     """Add-if-absent: rows of a new batch whose ``(dt, mid)`` is not stored yet.
 
-    ``existing`` is the stored DAU table; only its key columns are read, so
-    a ``dt``-partitioned table is pruned to the columns of the anti join.
+    ``existing`` is the stored DAU table; only its key columns are read.
+    It is first cut to the days present in the batch (a semi join against
+    the batch's few distinct ``dt`` values, small enough for the runtime
+    broadcast), so the anti join shuffles the batch's days only, not the
+    whole stored history.
     """
     fresh = dedup(batch_facts, keys)
-    return fresh.join(existing.select(*keys), list(keys), "left_anti")
+    batch_days = fresh.select(keys[0]).distinct()
+    stored = existing.select(*keys).join(batch_days, keys[0], "left_semi")
+    return fresh.join(stored, list(keys), "left_anti")
 
 
 def detail(facts: DataFrame) -> DataFrame:

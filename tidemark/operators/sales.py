@@ -23,6 +23,9 @@ GENDER_FEMALE, GENDER_MALE = "F", "M"
 AGE_BANDS = (("under 20", 20), ("20 to 30", 30), ("30 and over", None))
 BAND_WIDTH, BAND_TOP = 100, 500
 
+# Day shown when the request names none.
+DEFAULT_SALE_DAY = "2019-03-04"
+
 WIDE_COLUMNS = ("order_id", "line_no", "user_id", "sku_id", "user_gender", "user_age",
                 "user_level", "sku_price", "sku_name", "sku_tm_id", "province", "dt")
 
@@ -76,7 +79,9 @@ def keyword_match(name: Column, keyword: str | None) -> Column:
     return F.arrays_overlap(tokens(name), tokens(F.lit(keyword)))
 
 
-def filtered(wide_rows: DataFrame, day: str, keyword: str | None) -> DataFrame:
+def filtered(wide_rows: DataFrame, day: str | None, keyword: str | None) -> DataFrame:
+    """Rows of one day (default ``DEFAULT_SALE_DAY``) matching the keyword."""
+    day = day or DEFAULT_SALE_DAY
     return wide_rows.where((F.col("dt") == F.lit(day)) & keyword_match(F.col("sku_name"), keyword))
 
 

@@ -32,3 +32,18 @@ def start(raw: DataFrame, dim_log_path: str, facts_path: str, checkpoint_root: s
                                 checkpoint=f"{checkpoint_root}/facts", trigger=trigger,
                                 query_name="cdc_facts")
     return [q_dim, q_fact]
+
+
+def run_batch(raw: DataFrame, dim_log_path: str, facts_path: str) -> None:
+    """Batch form of both arms: the parsed change batch is reused by two
+    writes, so it is persisted once (memory, spilling to disk; a lost block
+    is recomputed from the source) and released afterwards."""
+    from pyspark import StorageLevel
+
+    parsed = cdc.valid(cdc.parse(raw)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        dims, facts = cdc.split(parsed)
+        sinks.changelog(cdc.dim_rows(dims), dim_log_path)
+        sinks.topic_fanout(cdc.route_facts(facts), path=facts_path)
+    finally:
+        parsed.unpersist()

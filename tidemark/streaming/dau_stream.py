@@ -22,6 +22,8 @@ from .. import sinks
 # Default lateness bound.  It must cover the real disorder of the input:
 # a bound shorter than the disorder drops rows as late.
 DEFAULT_DELAY = "40 days"
+# Production micro-batch interval (tests and replays use availableNow).
+BATCH_INTERVAL = "5 seconds"
 
 
 def dedup_stream(facts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
