@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from .tables import read_table
+from .tables import read_table, spread
 
 # Largest number of data rows in one order_detail envelope.  Orders with
 # more lines (a hot key) are cut into several envelopes, so no single row,
@@ -35,7 +35,7 @@ def _k(props: Column) -> Column:
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> ``(event_id, value)`` where value is the page-log JSON text."""
     ensure_utc(spark)
-    return raw_log_from(read_table(spark, sf_dir, "events"))
+    return raw_log_from(spread(read_table(spark, sf_dir, "events")))
 
 
 def raw_log_from(ev: DataFrame) -> DataFrame:
@@ -78,7 +78,7 @@ def _id_pk() -> Column:
 def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log ``(seq, value)`` built from the warehouse tables (FIXTURES.md §2.2)."""
     ensure_utc(spark)
-    orders = read_table(spark, sf_dir, "orders")
+    orders = spread(read_table(spark, sf_dir, "orders"))
     status_type = (F.when(F.col("o_orderkey") % 97 == 0, F.lit("QUERY"))
                    .when(F.col("o_orderstatus") == "F", F.lit("INSERT"))
                    .when(F.col("o_orderstatus") == "O", F.lit("UPDATE"))
@@ -95,9 +95,9 @@ def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _envelope("order_info", status_type, _id_pk(), F.array(order_row)).alias("value"),
     )
 
-    order_detail = _order_detail_envelopes(read_table(spark, sf_dir, "lineitem"))
+    order_detail = _order_detail_envelopes(spread(read_table(spark, sf_dir, "lineitem")))
 
-    cust = read_table(spark, sf_dir, "customer")
+    cust = spread(read_table(spark, sf_dir, "customer"))
     ck = F.col("c_custkey")
     user_pk = F.when(ck % 100 == 0, F.lit(None).cast("array<string>")).otherwise(_id_pk())
 
