@@ -119,3 +119,18 @@ def test_op_code_and_topic(spark):
     df = spark.createDataFrame([("INSERT",), ("UPDATE",), ("DELETE",), ("ALTER",), (None,)], "t string")
     got = [r.c for r in df.select(cdc.op_code(F.col("t")).alias("c")).collect()]
     assert got == ["I", "U", "D", None, None]
+
+
+def test_merge_latest_equals_full_latest(spark):
+    from conftest import SMALL
+    from tidemark.plans import cdc_queries
+
+    log = cdc_queries.dim_log(spark, SMALL)
+    first = log.where(F.col("seq") % 10 == 2)            # the insert images
+    later = log.where(F.col("seq") % 10 != 2)            # updates, deletes, other tables
+    snap = cdc.merge_latest(None, first)
+    merged = cdc.merge_latest(snap, later)
+    full = cdc.dim_latest(log)
+    cols = ["dim_table", "pk", "seq", "type", "value"]
+    assert merged.select(*cols).exceptAll(full.select(*cols)).count() == 0
+    assert merged.count() == full.count()

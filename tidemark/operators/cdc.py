@@ -140,6 +140,21 @@ def dim_latest(dim_log: DataFrame, order: Sequence[str] = ("seq", "pos"),
     return latest
 
 
+def merge_latest(snapshot: DataFrame | None, changes: DataFrame,
+                 order: Sequence[str] = ("seq", "pos"), deletes: str = "keep") -> DataFrame:
+    """Compaction step: previous latest-image snapshot + new changelog rows.
+
+    Both inputs have the ``dim_latest`` columns (``dim_rows`` output for the
+    changes); the result is the new snapshot, to be written as a new version
+    folder.  Equal to ``dim_latest`` over the whole changelog.
+    """
+    cols = ["dim_table", "pk", *order, "dim_key", "type", "value"]
+    merged = changes.select(*cols)
+    if snapshot is not None:
+        merged = snapshot.select(*cols).unionByName(merged)
+    return dim_latest(merged, order, deletes)
+
+
 def snapshot_envelopes(tables: Mapping[str, DataFrame], pk_names: Sequence[str] = ("id",),
                        type_: str = OP_INSERT) -> DataFrame:
     """Bootstrap snapshot: one INSERT envelope per source row, all tables unioned.

@@ -28,6 +28,10 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64MB",
     # Keep dt partition values as strings when a dt-partitioned table is read back.
     "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+    # Streaming state (dedup keys) in RocksDB: large key sets spill to local
+    # disk instead of the JVM heap; snapshots go to the checkpoint folder.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
