@@ -18,12 +18,17 @@ from ..sources.streams import file_stream, table_stream
 from ..streaming import cdc_stream, dau_stream
 
 
+# Streaming queries of the last run, for progress reporting (bench).
+LAST_RUN: dict[str, list] = {}
+
+
 def run_dau_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> str:
     ensure_utc(spark)
     base = scratch_path(spark, "dau_stream")
     raw = raw_log_from(table_stream(spark, sf_dir, "events", max_files_per_trigger))
     q = dau_stream.start(raw, f"{base}/table", f"{base}/checkpoint")
     sinks.await_all([q])
+    LAST_RUN["dau"] = [q]
     return f"{base}/table"
 
 
@@ -36,6 +41,7 @@ def run_cdc_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
     raw = file_stream(spark, f"{base}/source", schema)
     qs = cdc_stream.start(raw, f"{base}/dim_log", f"{base}/facts", f"{base}/checkpoint")
     sinks.await_all(qs)
+    LAST_RUN["cdc"] = qs
     return f"{base}/dim_log", f"{base}/facts"
 
 

@@ -42,7 +42,16 @@ def dau_facts_stream(raw: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
 
 
 def start(raw: DataFrame, table_path: str, checkpoint: str, delay: str = DEFAULT_DELAY,
-          trigger: str | None = None, query_name: str | None = "dau"):
-    """Start the DAU stream into the dt-partitioned table; returns the query."""
+          trigger: str | None = None, query_name: str | None = "dau",
+          spread_to: int | None = None):
+    """Start the DAU stream into the dt-partitioned table; returns the query.
+
+    ``spread_to`` round-robins each micro-batch over that many tasks before
+    the JSON parse.  Only for sources with too few splits (a replay of one
+    small file); a Kafka source gets its parallelism from ``minPartitions``
+    without a shuffle, so leave it None there.
+    """
+    if spread_to:
+        raw = raw.repartition(spread_to)
     return sinks.dau_table(dau_facts_stream(raw, delay), table_path, checkpoint,
                            trigger=trigger, query_name=query_name)
