@@ -26,10 +26,45 @@ DEFAULT_DELAY = "40 days"
 BATCH_INTERVAL = "5 seconds"
 
 
-def dedup_stream(facts: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
+# Largest number of keys the map-side pre-dedup remembers per task; past
+# it the memory is reset.  The pre-dedup only thins the input of the
+# stateful dedup, which stays exact, so the reset never changes results.
+PREDEDUP_MAX_KEYS = 500_000
+
+
+def _first_in_partition(keys: tuple[str, ...], max_keys: int):
+    def run(batches):
+        seen: set = set()
+        for pdf in batches:
+            k = pdf[keys[0]].astype(str)
+            for c in keys[1:]:
+                k = k + "\x00" + pdf[c].astype(str)
+            keep = ~k.duplicated() & ~k.isin(seen)
+            if len(seen) > max_keys:
+                seen.clear()
+            seen.update(k[keep])
+            yield pdf[keep]
+    return run
+
+
+def predup_in_partition(df: DataFrame, keys: tuple[str, ...] = ("dt", "mid"),
+                        max_keys: int = PREDEDUP_MAX_KEYS) -> DataFrame:
+    """Drop repeats of a key inside each input partition, before any shuffle.
+
+    Streaming dedup has no map-side step: every row of a device goes to
+    the one task owning its key.  Keeping only a partition's first row per
+    key bounds what a hot device sends to ``#partitions`` rows per batch.
+    Arrow-batched ``mapInPandas``: no shuffle, schema unchanged.
+    """
+    return df.mapInPandas(_first_in_partition(tuple(keys), max_keys), df.schema)
+
+
+def dedup_stream(facts: DataFrame, delay: str = DEFAULT_DELAY, map_side: bool = True) -> DataFrame:
     """Keep the first arriving row per ``(event day, mid)`` across micro-batches."""
-    keyed = facts.where(F.col("mid").isNotNull() & F.col("dt").isNotNull()) \
-                 .withColumn("day_ts", F.date_trunc("day", F.timestamp_millis("ts")))
+    keyed = facts.where(F.col("mid").isNotNull() & F.col("dt").isNotNull())
+    if map_side:
+        keyed = predup_in_partition(keyed)
+    keyed = keyed.withColumn("day_ts", F.date_trunc("day", F.timestamp_millis("ts")))
     return (keyed.withWatermark("day_ts", delay)
                  .dropDuplicates(["day_ts", "mid"])
                  .drop("day_ts"))
