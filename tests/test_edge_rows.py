@@ -134,3 +134,15 @@ def test_merge_latest_equals_full_latest(spark):
     cols = ["dim_table", "pk", "seq", "type", "value"]
     assert merged.select(*cols).exceptAll(full.select(*cols)).count() == 0
     assert merged.count() == full.count()
+
+
+def test_keyset_page_equals_offset_page(spark):
+    from conftest import SMALL
+    from tidemark.operators import sales
+    from tidemark.plans import sales_queries
+
+    rows = sales_queries.wide_rows(spark, SMALL)
+    first = sales.detail_page(rows, 0, 7).collect()
+    second_offset = sales.detail_page(rows, 7, 7).collect()
+    second_seek = sales.detail_page_after(rows, tuple(first[-1]), 7).collect()
+    assert [tuple(r) for r in second_seek] == [tuple(r) for r in second_offset]

@@ -63,3 +63,15 @@ def test_observe_counts(spark):
     after.write.format("noop").mode("overwrite").save()
     assert obs_in.get["rows"] == 346
     assert obs_out.get["rows"] == 234
+
+
+def test_replace_days_is_idempotent(spark, tmp_path):
+    path = str(tmp_path / "dau")
+    dau = dau_queries.dau_table(spark, SMALL)
+    sinks.dau_table(dau, path)
+    one_day = dau.where(F.col("dt") == "2024-01-15")
+    sinks.dau_table(one_day, path, mode="replace_days")
+    sinks.dau_table(one_day, path, mode="replace_days")
+    back = sinks.read_dau_table(spark, path)
+    assert back.count() == 234
+    assert back.where(F.col("dt") == "2024-01-15").count() == 8

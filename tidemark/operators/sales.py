@@ -91,6 +91,21 @@ def detail_page(rows: DataFrame, start: int, length: int) -> DataFrame:
     return rows.orderBy(*order).offset(start).limit(length)
 
 
+def detail_page_after(rows: DataFrame, after: tuple | None, length: int) -> DataFrame:
+    """Keyset page: the ``length`` rows that follow ``after`` in the total order.
+
+    ``after`` is the last row of the previous page (all columns, in order),
+    or None for the first page.  Deep pages cost the same as the first:
+    no offset rows are sorted and skipped, each task keeps ``length`` rows.
+    Rows with nulls in the ordering columns need the offset form.
+    """
+    order = [F.col(c).asc_nulls_first() for c in rows.columns]
+    if after is not None:
+        bound = F.struct(*[F.lit(v).cast(t) for v, (_, t) in zip(after, rows.dtypes)])
+        rows = rows.where(F.struct(*rows.columns) > bound)
+    return rows.orderBy(*order).limit(length)
+
+
 def detail_total(rows: DataFrame) -> DataFrame:
     """Total hits shown beside a page."""
     return rows.agg(F.count(F.lit(1)).alias("total"))

@@ -24,12 +24,15 @@ def _trigger(writer, trigger: str | None):
 
 
 def dau_table(df: DataFrame, path: str, checkpoint: str | None = None,
-              trigger: str | None = None, query_name: str | None = None):
-    """Append DAU rows to a parquet table partitioned by event ``dt``.
+              trigger: str | None = None, query_name: str | None = None,
+              mode: str = "append"):
+    """Write DAU rows to a parquet table partitioned by event ``dt``.
 
     A device-day is stored once: the stream dedup guarantees it per run
-    and the checkpoint keeps it across restarts.  Returns the streaming
-    query for a stream, None for a batch write.
+    and the checkpoint keeps it across restarts.  Batch writes append, or
+    with ``mode="replace_days"`` replace exactly the ``dt`` partitions the
+    batch holds (dynamic partition overwrite), so re-running a day's batch
+    is idempotent.  Returns the streaming query for a stream, else None.
     """
     if df.isStreaming:
         if checkpoint is None:
@@ -39,7 +42,13 @@ def dau_table(df: DataFrame, path: str, checkpoint: str | None = None,
         if query_name:
             w = w.queryName(query_name)
         return _trigger(w, trigger).start(path)
-    df.write.mode("append").partitionBy("dt").parquet(path)
+    if mode == "replace_days":
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+           .partitionBy("dt").parquet(path))
+    elif mode == "append":
+        df.write.mode("append").partitionBy("dt").parquet(path)
+    else:
+        raise ValueError("mode must be 'append' or 'replace_days'")
     return None
 
 
