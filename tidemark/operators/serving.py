@@ -74,8 +74,13 @@ def hourly_compare(dau: DataFrame, day: str) -> DataFrame:
 
 
 def _first_day(dau: DataFrame) -> DataFrame:
-    """First day each device was seen (partial + final min per ``mid``)."""
-    return dau.groupBy("mid").agg(F.min("dt").alias("first_dt"))
+    """First day each device was seen (partial + final min per ``mid``).
+
+    The min runs over the date value (fixed width, hash aggregate) rather
+    than the text (sort aggregate), and is rendered back to text once.
+    """
+    first = F.min(F.try_to_date(F.col("dt"), "yyyy-MM-dd"))
+    return dau.groupBy("mid").agg(F.date_format(first, "yyyy-MM-dd").alias("first_dt"))
 
 
 def realtime_total(dau: DataFrame, day: str) -> DataFrame:
