@@ -30,7 +30,11 @@ def spread(df: DataFrame) -> DataFrame:
     """
     if df.isStreaming:
         return df
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
+        return df
+    if splits >= cores:
         return df
     return df.repartition(cores)
