@@ -146,3 +146,26 @@ def test_keyset_page_equals_offset_page(spark):
     second_offset = sales.detail_page(rows, 7, 7).collect()
     second_seek = sales.detail_page_after(rows, tuple(first[-1]), 7).collect()
     assert [tuple(r) for r in second_seek] == [tuple(r) for r in second_offset]
+
+
+def test_route_all_equals_separate_arms(spark):
+    docs = [
+        {"table": "order_info", "type": "INSERT", "data": [{"id": 1}, {"id": 2}]},
+        {"table": "order_info", "type": "QUERY", "data": [{"id": 3}]},
+        {"table": None, "type": "INSERT", "data": [{"id": 4}]},
+        {"table": "user_info", "type": "INSERT", "pkNames": None, "data": [{"id": 5}]},
+        {"table": "user_info", "type": "INSERT", "pkNames": [], "data": [{"id": 6}]},
+        {"table": "user_info", "type": "INSERT", "pkNames": ["id"], "data": [{"id": None}]},
+        {"table": "user_info", "type": "DELETE", "pkNames": ["id"], "data": [{"id": 9, "n": "x"}]},
+        {"table": "sku_info", "type": "ALTER", "pkNames": ["id"], "data": [{"id": 10}]},
+    ]
+    parsed = cdc.valid(cdc.parse(_cdc(spark, docs)))
+    routed = cdc.route_all(parsed)
+    dims, facts = cdc.split(parsed)
+    cols = ["seq", "dim_table", "pk", "dim_key", "type", "pos", "value"]
+    assert sorted(map(tuple, cdc.dim_log_of(routed).select(*cols).collect())) == \
+        sorted(map(tuple, cdc.dim_rows(dims).select(*cols).collect()))
+    fcols = ["seq", "topic", "pos", "value"]
+    assert sorted(map(tuple, cdc.facts_of(routed).select(*fcols).collect())) == \
+        sorted(map(tuple, cdc.route_facts(facts).select(*fcols).collect()))
+    assert {r.route for r in routed.collect()} == {"DWD_ORDER_INFO_I", "DIM_USER_INFO", "DIM_SKU_INFO"}

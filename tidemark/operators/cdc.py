@@ -117,6 +117,51 @@ def dim_rows(dims: DataFrame, full_key: bool = False) -> DataFrame:
                                               F.lit(":"), F.col("pk")))
 
 
+DIM_TOPIC_PREFIX = "DIM_"
+ROUTED_COLUMNS = ("route", "dim_table", "pk", "dim_key", "type", "pos", "value")
+
+
+def route_all(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES) -> DataFrame:
+    """Both arms in one pass: every data row with its ``route``.
+
+    Dimension images get ``route = DIM_<TABLE>`` plus ``pk`` / ``dim_key``
+    (same rules as ``dim_rows``); fact rows get ``route = DWD_<TABLE>_<op>``
+    (same rules as ``route_facts``).  One explode, no union, so a stream
+    reads and parses its source once and commits both outputs together.
+    Other input columns (e.g. ``seq``) pass through.
+    """
+    keep = [c for c in parsed.columns if c not in ("table", "type", "pkNames", "data")]
+    is_dim = is_dimension(F.col("table"), dims)
+    op = op_code(F.col("type"))
+    usable = F.when(is_dim, F.col("pkNames").isNotNull() & (F.size("pkNames") > 0)) \
+              .otherwise(op.isNotNull() & F.col("table").isNotNull())
+    rows = parsed.where(usable).select(
+        *keep, "table", "type", "pkNames", is_dim.alias("_dim"), op.alias("_op"),
+        F.posexplode("data").alias("pos", "value"))
+    pk = F.when(F.col("_dim"), F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))"))
+    rows = rows.withColumn("pk", pk).where(~F.col("_dim") | F.col("pk").isNotNull())
+    route = F.when(F.col("_dim"), F.concat(F.lit(DIM_TOPIC_PREFIX), F.upper("table"))) \
+             .otherwise(fact_topic(F.col("table"), F.col("_op")))
+    dim_key = F.when(F.col("_dim"), F.concat(F.lit(DIM_KEY_PREFIX), F.upper("table"), F.lit(":"), F.col("pk")))
+    return rows.select(
+        *keep, route.alias("route"),
+        F.when(F.col("_dim"), F.col("table")).alias("dim_table"),
+        "pk", dim_key.alias("dim_key"), "type",
+        F.col("pos").cast("bigint").alias("pos"), "value")
+
+
+def dim_log_of(routed: DataFrame) -> DataFrame:
+    """The dimension changelog part of ``route_all`` output."""
+    return routed.where(F.col("route").startswith(DIM_TOPIC_PREFIX)).drop("route")
+
+
+def facts_of(routed: DataFrame) -> DataFrame:
+    """The fact-message part of ``route_all`` output, as ``topic`` + ``value``."""
+    return (routed.where(F.col("route").startswith(FACT_TOPIC_PREFIX))
+                  .withColumnRenamed("route", "topic")
+                  .drop("dim_table", "pk", "dim_key", "type"))
+
+
 def dim_rows_rejected(dims: DataFrame) -> DataFrame:
     """Dimension envelopes that cannot be keyed (no or empty ``pkNames``)."""
     return dims.where(F.col("pkNames").isNull() | (F.size("pkNames") == 0))

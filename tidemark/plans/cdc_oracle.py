@@ -55,6 +55,10 @@ SELECT 'DIM:' || upper(dim_table) || ':' || pk AS dim_key, dim_table, pk, type A
 FROM latest""",
     "dim_live_keys": "WITH " + DIMS + """
 SELECT dim_table, count(*) AS n_live FROM latest WHERE type <> 'DELETE' GROUP BY dim_table""",
+    "cdc_routes": "WITH " + FACTS + "," + DIMS + """
+SELECT topic AS route, count(*) AS n FROM facts GROUP BY topic
+UNION ALL
+SELECT 'DIM_' || upper(dim_table), count(*) FROM dims GROUP BY dim_table""",
     "snapshot_envelopes": """
 SELECT 'user_info' AS dim_table, 'INSERT' AS type, 'DIM:USER_INFO:' || c_custkey AS dim_key, c_name AS name
 FROM customer

@@ -61,6 +61,12 @@ def q_dim_live_keys(spark, sf_dir):
     return latest.groupBy("dim_table").agg(F.count(F.lit(1)).alias("n_live"))
 
 
+def q_cdc_routes(spark, sf_dir):
+    """One-pass routing of the whole change log: rows per route (topic)."""
+    routed = cdc.route_all(parsed_changes(spark, sf_dir))
+    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_snapshot_envelopes(spark, sf_dir):
     """Bootstrap snapshot round trip: envelopes -> parse -> dimension rows."""
     env = cdc.snapshot_envelopes(dimension_tables(spark, sf_dir))
@@ -75,5 +81,6 @@ QUERIES = {
     "dim_latest_counts": q_dim_latest_counts,
     "dim_latest_rows": q_dim_latest_rows,
     "dim_live_keys": q_dim_live_keys,
+    "cdc_routes": q_cdc_routes,
     "snapshot_envelopes": q_snapshot_envelopes,
 }

@@ -32,17 +32,18 @@ def run_dau_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     return f"{base}/table"
 
 
-def run_cdc_stream(spark: SparkSession, sf_dir: str) -> tuple[str, str]:
-    """Write the change log once (from the tables), then stream it through both arms."""
+def run_cdc_stream(spark: SparkSession, sf_dir: str) -> str:
+    """Write the change log once (from the tables), then stream it through the
+    one-pass router; returns the routed output folder."""
     ensure_utc(spark)
     base = scratch_path(spark, "cdc_stream")
     cdc_raw(spark, sf_dir).write.parquet(f"{base}/source")
     schema = spark.read.parquet(f"{base}/source").schema
     raw = file_stream(spark, f"{base}/source", schema)
-    qs = cdc_stream.start(raw, f"{base}/dim_log", f"{base}/facts", f"{base}/checkpoint")
-    sinks.await_all(qs)
-    LAST_RUN["cdc"] = qs
-    return f"{base}/dim_log", f"{base}/facts"
+    q = cdc_stream.start_single(raw, f"{base}/routed", f"{base}/checkpoint")
+    sinks.await_all([q])
+    LAST_RUN["cdc"] = [q]
+    return f"{base}/routed"
 
 
 def q_dau_stream(spark, sf_dir):
@@ -51,15 +52,13 @@ def q_dau_stream(spark, sf_dir):
 
 
 def q_cdc_stream(spark, sf_dir):
-    _, facts = run_cdc_stream(spark, sf_dir)
-    msgs = spark.read.parquet(facts)
-    return msgs.groupBy(F.col("topic").cast("string").alias("topic")) \
-               .agg(F.count(F.lit(1)).alias("n"))
+    routed = cdc_stream.read_routed(spark, run_cdc_stream(spark, sf_dir))
+    return cdc.facts_of(routed).groupBy("topic").agg(F.count(F.lit(1)).alias("n"))
 
 
 def q_dim_stream_latest(spark, sf_dir):
-    dim_log, _ = run_cdc_stream(spark, sf_dir)
-    latest = cdc.dim_latest(spark.read.parquet(dim_log))
+    routed = cdc_stream.read_routed(spark, run_cdc_stream(spark, sf_dir))
+    latest = cdc.dim_latest(cdc.dim_log_of(routed))
     return latest.groupBy("dim_table").agg(
         F.count(F.lit(1)).alias("n_keys"),
         F.count(F.when(F.col("type") == cdc.OP_UPDATE, 1)).alias("n_updated"),

@@ -1,15 +1,22 @@
-"""Change-record routing as two Structured Streaming queries over one source.
+"""Change-record routing as Structured Streaming.
 
-The dimension arm appends keyed images to a changelog (latest image per
-key = ``cdc.dim_latest`` over it); the fact arm appends one message per
-data row to its ``DWD_<TABLE>_<op>`` topic.  Each arm is its own query
-with its own checkpoint, so each commits its output and its source
-position together.
+Default (``start_single``): one query, one pass over the source.  Every
+data row is routed (``cdc.route_all``) to ``DIM_<TABLE>`` (dimension
+images keyed by ``DIM:<TABLE>:<pk>``) or ``DWD_<TABLE>_<op>`` (fact
+messages) and written by one sink: per-route folders, or Kafka where the
+``DIM_*`` topics, keyed by the dimension key, act as a compacted
+last-write-wins store.  Both outputs commit together with the source
+position in one checkpoint.
+
+``start`` is the two-query form: dimension arm and fact arm as separate
+queries over the same source, each with its own checkpoint (the source is
+read twice).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from ..operators import cdc
 from .. import sinks
@@ -34,6 +41,31 @@ def start(raw: DataFrame, dim_log_path: str, facts_path: str, checkpoint_root: s
     return [q_dim, q_fact]
 
 
+def start_single(raw: DataFrame, out_path: str | None, checkpoint: str,
+                 fmt: str = "parquet", bootstrap: str | None = None,
+                 trigger: str | None = None, query_name: str | None = "cdc"):
+    """Start the one-pass router; returns its streaming query."""
+    routed = cdc.route_all(cdc.valid(cdc.parse(raw)))
+    if fmt == "kafka":
+        msgs = routed.select(F.col("route").alias("topic"), "value", F.col("dim_key").alias("key"))
+        w = (msgs.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
+                 .option("checkpointLocation", checkpoint))
+        if query_name:
+            w = w.queryName(query_name)
+        return sinks._trigger(w, trigger).start()
+    w = (routed.writeStream.format(fmt).outputMode("append").partitionBy("route")
+               .option("checkpointLocation", checkpoint))
+    if query_name:
+        w = w.queryName(query_name)
+    return sinks._trigger(w, trigger).start(out_path)
+
+
+def read_routed(spark, out_path: str) -> DataFrame:
+    """Read the one-pass router's folders back (``route`` kept as text)."""
+    df = spark.read.parquet(out_path)
+    return df.withColumn("route", F.col("route").cast("string"))
+
+
 def run_batch(raw: DataFrame, dim_log_path: str, facts_path: str) -> None:
     """Batch form of both arms: the parsed change batch is reused by two
     writes, so it is persisted once (memory, spilling to disk; a lost block
