@@ -94,7 +94,7 @@ def test_jobs_cli_file_source(spark, tmp_path):
 
     logs_dir, cdc_dir = str(tmp_path / "logs"), str(tmp_path / "cdc")
     raw_log(spark, SMALL).select("value").write.json(logs_dir)
-    cdc_raw(spark, SMALL).select("value").write.json(cdc_dir)
+    cdc_raw(spark, SMALL).select("seq", "value").write.json(cdc_dir)
 
     args = jobs.parser().parse_args([
         "dau", "--source", "file", "--source-path", logs_dir, "--table", str(tmp_path / "dau"),
@@ -105,7 +105,23 @@ def test_jobs_cli_file_source(spark, tmp_path):
     args = jobs.parser().parse_args([
         "cdc", "--source", "file", "--source-path", cdc_dir, "--dim-log", str(tmp_path / "dims"),
         "--facts", str(tmp_path / "facts"), "--checkpoint", str(tmp_path / "ck2"),
-        "--trigger", "availableNow"])
+        "--trigger", "availableNow", "--two-queries"])
     sinks.await_all(jobs.cdc_job(spark, args))
     facts = spark.read.parquet(str(tmp_path / "facts"))
     assert facts.count() == cdc_queries.fact_messages(spark, SMALL).count()
+
+    from tidemark.operators import cdc
+    from tidemark.streaming import cdc_stream
+
+    args = jobs.parser().parse_args([
+        "cdc", "--source", "file", "--source-path", cdc_dir, "--facts", str(tmp_path / "routed"),
+        "--checkpoint", str(tmp_path / "ck3"), "--trigger", "availableNow"])
+    q = jobs.cdc_job(spark, args)
+    sinks.await_all([q])
+    routed = cdc_stream.read_routed(spark, str(tmp_path / "routed"))
+    assert cdc.facts_of(routed).count() == facts.count()
+    latest = cdc.dim_latest(cdc.dim_log_of(routed))
+    expect = cdc.dim_latest(cdc_queries.dim_log(spark, SMALL))
+    cols = ["dim_key", "seq", "type", "value"]
+    assert latest.select(*cols).exceptAll(expect.select(*cols)).count() == 0
+    assert latest.count() == expect.count()

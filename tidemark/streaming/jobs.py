@@ -3,7 +3,7 @@
     python -m tidemark.streaming.jobs dau --bootstrap host:9092 --topic ODS_BASE_LOG \
         --table <dau table folder> --checkpoint <checkpoint folder>
     python -m tidemark.streaming.jobs cdc --bootstrap host:9092 --topic ODS_BASE_DB_C \
-        --dim-log <folder> --facts kafka --checkpoint <folder>
+        --facts kafka --checkpoint <folder>
     python -m tidemark.streaming.jobs snapshot --jdbc-url jdbc:... --bootstrap host:9092
 
 ``--source file --source-path <folder>`` reads JSON-lines files with a
@@ -26,19 +26,24 @@ from ..sources.jdbc import jdbc_table
 from ..sources.streams import file_stream, log_stream
 from . import cdc_stream, dau_stream
 
-VALUE_ONLY = T.StructType([T.StructField("value", T.StringType())])
+# File replays: JSON lines with the message text and, optionally, its log position.
+FILE_RECORD = T.StructType([T.StructField("seq", T.LongType()), T.StructField("value", T.StringType())])
 DIM_SOURCE_TABLES = cdc.DIM_TABLES
 
 
-def _source(spark: SparkSession, args) -> DataFrame:
+def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
+    """``value`` (+ ``seq``, the log position: ``(partition, offset)`` on Kafka)."""
     if args.source == "file":
-        return file_stream(spark, args.source_path, VALUE_ONLY, fmt="json",
-                           max_files_per_trigger=args.max_files)
+        df = file_stream(spark, args.source_path, FILE_RECORD, fmt="json",
+                         max_files_per_trigger=args.max_files)
+        return df.select("seq", "value") if with_seq else df.select("value")
     offsets = None
     if args.offsets:
         offsets = {int(p): int(o) for p, o in (kv.split(":") for kv in args.offsets.split(","))}
-    return log_stream(spark, args.topic, args.bootstrap, args.group, offsets,
-                      args.max_per_trigger).select("value")
+    df = log_stream(spark, args.topic, args.bootstrap, args.group, offsets, args.max_per_trigger)
+    if with_seq:
+        return df.select(F.struct("partition", "offset").alias("seq"), "value")
+    return df.select("value")
 
 
 def dau_job(spark: SparkSession, args):
@@ -48,11 +53,15 @@ def dau_job(spark: SparkSession, args):
 
 
 def cdc_job(spark: SparkSession, args):
-    raw = _source(spark, args)
+    """One-pass router by default; ``--two-queries`` runs the arms separately."""
+    raw = _source(spark, args, with_seq=True)
     fmt = "kafka" if args.facts == "kafka" else "parquet"
-    return cdc_stream.start(raw, args.dim_log, args.facts if fmt == "parquet" else None,
-                            args.checkpoint, fact_format=fmt, bootstrap=args.bootstrap,
-                            trigger=args.trigger)
+    if args.two_queries:
+        return cdc_stream.start(raw, args.dim_log, args.facts if fmt == "parquet" else None,
+                                args.checkpoint, fact_format=fmt, bootstrap=args.bootstrap,
+                                trigger=args.trigger)
+    return cdc_stream.start_single(raw, args.facts if fmt == "parquet" else None, args.checkpoint,
+                                   fmt=fmt, bootstrap=args.bootstrap, trigger=args.trigger)
 
 
 def snapshot_job(spark: SparkSession, args) -> None:
@@ -80,6 +89,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--table")
     p.add_argument("--dim-log")
     p.add_argument("--facts", default="kafka", help="'kafka' or an output folder")
+    p.add_argument("--two-queries", action="store_true",
+                   help="cdc: dimension and fact arms as two queries (--dim-log for the first)")
     p.add_argument("--checkpoint")
     p.add_argument("--delay", default=dau_stream.DEFAULT_DELAY)
     p.add_argument("--trigger", default=dau_stream.BATCH_INTERVAL)
