@@ -18,6 +18,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsonfn import corrupt_text, parse_once
 from ..functions.schemas import CDC_ENVELOPE, CORRUPT
 
 # The dimension tables and the op-code letters.
@@ -27,25 +28,17 @@ OP_CODES = {OP_INSERT: "I", OP_UPDATE: "U", OP_DELETE: "D"}
 FACT_TOPIC_PREFIX = "DWD_"
 DIM_KEY_PREFIX = "DIM:"
 
-JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-
-
 def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """Envelope JSON -> ``table, type, pkNames, data`` (data rows stay JSON text)."""
     passthrough = [c for c in raw.columns if c != value_col]
-    text = F.col(value_col).cast("string")
-    doc = F.from_json(text, CDC_ENVELOPE, JSON_OPTIONS)
-    # Generator step so filters on envelope fields do not re-run from_json.
-    one = raw.select(*passthrough, F.inline(F.array(F.struct(
-        doc.alias("doc"), text.alias("_raw")))))
+    one = parse_once(raw, value_col, CDC_ENVELOPE)
     return one.select(
         *passthrough,
         F.col("doc.table").alias("table"),
         F.col("doc.type").alias("type"),
         F.col("doc.pkNames").alias("pkNames"),
         F.col("doc.data").alias("data"),
-        F.when(F.col("doc").isNull() | F.col(f"doc.{CORRUPT}").isNotNull(), F.col("_raw"))
-         .alias(CORRUPT),
+        corrupt_text().alias(CORRUPT),
     )
 
 

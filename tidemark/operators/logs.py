@@ -9,11 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.jsonfn import corrupt_text, parse_once
 from ..functions.schemas import CORRUPT, PAGE_LOG
 from ..functions.timefn import day_text, hour_text, millis_to_ts, to_long
 
-JSON_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-
 
 def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
     """JSON text -> ``ts`` (long millis), ``common`` struct, ``page`` struct.
@@ -23,21 +22,13 @@ def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
     null when missing or not a number; ``valid``/``quarantine`` split on that.
     """
     passthrough = [c for c in raw.columns if c != value_col]
-    text = F.col(value_col).cast("string")
-    doc = F.from_json(text, PAGE_LOG, JSON_OPTIONS)
-    # The one-row ``inline`` makes the parse a generator step: later filters
-    # on parsed fields cannot be pushed below it, which would otherwise
-    # inline (and re-run) ``from_json`` once per referenced field.
-    parsed = raw.select(*passthrough, F.inline(F.array(F.struct(
-        doc.alias("doc"), text.alias("_raw")))))
+    parsed = parse_once(raw, value_col, PAGE_LOG)
     return parsed.select(
         *passthrough,
         to_long(F.col("doc.ts")).alias("ts"),
         F.col("doc.common").alias("common"),
         F.col("doc.page").alias("page"),
-        # from_json on text that is not an object gives a null struct.
-        F.when(F.col("doc").isNull() | F.col(f"doc.{CORRUPT}").isNotNull(), F.col("_raw"))
-         .alias(CORRUPT),
+        corrupt_text().alias(CORRUPT),
     )
 
 
