@@ -1,7 +1,5 @@
 """Results stay exact when one key holds a third of all rows."""
 
-import glob
-import os
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
