@@ -169,3 +169,20 @@ def test_route_all_equals_separate_arms(spark):
     assert sorted(map(tuple, cdc.facts_of(routed).select(*fcols).collect())) == \
         sorted(map(tuple, cdc.route_facts(facts).select(*fcols).collect()))
     assert {r.route for r in routed.collect()} == {"DWD_ORDER_INFO_I", "DIM_USER_INFO", "DIM_SKU_INFO"}
+
+
+def test_dim_rows_counts_what_it_leaves_out(spark):
+    from pyspark.sql import Observation
+
+    docs = [
+        {"table": "user_info", "type": "INSERT", "pkNames": None, "data": [{"id": 5}, {"id": 55}]},
+        {"table": "user_info", "type": "INSERT", "pkNames": [], "data": [{"id": 6}]},
+        {"table": "user_info", "type": "INSERT", "pkNames": ["id"], "data": [{"id": None}, {"id": 7}]},
+    ]
+    dims, _ = cdc.split(cdc.valid(cdc.parse(_cdc(spark, docs))))
+    obs = Observation("dim_drops")
+    kept = cdc.dim_rows(dims, observation=obs).collect()
+    assert [r.pk for r in kept] == ["7"]
+    assert obs.get == {"no_pk_names": 2, "empty_pk_names": 1, "null_pk": 1}
+    assert cdc.dim_rows_null_pk(dims).count() == 1
+    assert sorted(r.pk for r in cdc.dim_rows(dims).collect()) == ["7"]

@@ -15,7 +15,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.jsonfn import corrupt_text, parse_once
@@ -87,25 +87,38 @@ def route_facts(facts: DataFrame) -> DataFrame:
     return routed.select(*keep, "topic", F.col("pos").cast("bigint").alias("pos"), "value")
 
 
-def dim_rows(dims: DataFrame, full_key: bool = False) -> DataFrame:
+def dim_rows(dims: DataFrame, full_key: bool = False,
+             observation: Observation | None = None) -> DataFrame:
     """Dimension changelog: ``dim_table, pk, dim_key, type, pos, value`` (+ passthrough).
 
     Envelopes without ``pkNames`` are skipped (the source did the same);
     an empty ``pkNames`` or a row whose pk value is null cannot be keyed
-    and is left out too (see ``dim_rows_rejected``).  ``full_key`` joins
-    every pk column into the key instead of the first one only.
+    and is left out too (see ``dim_rows_rejected``, ``dim_rows_null_pk``).
+    With ``observation``, the data rows left out are counted during the
+    job that consumes the result (``no_pk_names``, ``empty_pk_names``,
+    ``null_pk``).  ``full_key`` joins every pk column into the key instead
+    of the first one only.
     """
     keep = [c for c in dims.columns if c not in ("table", "type", "pkNames", "data")]
-    keyed = dims.where(F.col("pkNames").isNotNull() & (F.size("pkNames") > 0))
-    exploded = keyed.select(*keep, F.col("table").alias("dim_table"), "type", "pkNames",
-                            F.posexplode("data").alias("pos", "value"))
+    rows = dims if observation is not None else \
+        dims.where(F.col("pkNames").isNotNull() & (F.size("pkNames") > 0))
+    exploded = rows.select(*keep, F.col("table").alias("dim_table"), "type", "pkNames",
+                           F.posexplode("data").alias("pos", "value"))
     if full_key:
         pk = F.expr("array_join(transform(pkNames, n -> get_json_object(value, concat('$.', n))), ':')")
     else:
         pk = F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))")
-    out = exploded.select(*keep, "dim_table", pk.alias("pk"), "type",
+    out = exploded.select(*keep, "dim_table", pk.alias("pk"), "type", "pkNames",
                           F.col("pos").cast("bigint").alias("pos"), "value")
-    out = out.where(F.col("pk").isNotNull())
+    if observation is not None:
+        no_names = F.col("pkNames").isNull()
+        empty = F.size("pkNames") == 0
+        out = out.observe(
+            observation,
+            F.count(F.when(no_names, 1)).alias("no_pk_names"),
+            F.count(F.when(~no_names & empty, 1)).alias("empty_pk_names"),
+            F.count(F.when(~no_names & ~empty & F.col("pk").isNull(), 1)).alias("null_pk"))
+    out = out.where(F.col("pk").isNotNull()).drop("pkNames")
     return out.withColumn("dim_key", F.concat(F.lit(DIM_KEY_PREFIX), F.upper("dim_table"),
                                               F.lit(":"), F.col("pk")))
 
@@ -155,6 +168,16 @@ def facts_of(routed: DataFrame) -> DataFrame:
                   .drop("dim_table", "pk", "dim_key", "type"))
 
 
+def dim_rows_null_pk(dims: DataFrame) -> DataFrame:
+    """Dimension data rows whose first pk value is null (cannot be keyed)."""
+    keep = [c for c in dims.columns if c not in ("table", "type", "pkNames", "data")]
+    keyed = dims.where(F.col("pkNames").isNotNull() & (F.size("pkNames") > 0))
+    rows = keyed.select(*keep, F.col("table").alias("dim_table"), "type", "pkNames",
+                        F.posexplode("data").alias("pos", "value"))
+    pk = F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))")
+    return rows.where(pk.isNull()).drop("pkNames")
+
+
 def dim_rows_rejected(dims: DataFrame) -> DataFrame:
     """Dimension envelopes that cannot be keyed (no or empty ``pkNames``)."""
     return dims.where(F.col("pkNames").isNull() | (F.size("pkNames") == 0))
