@@ -161,3 +161,15 @@ def test_cdc_router_restart_equals_batch(spark, tmp_path):
     got = cdc.dim_latest(cdc.dim_log_of(routed)).select("dim_key", "seq", "value")
     expect = cdc.dim_latest(cdc_queries.dim_log(spark, SMALL)).select("dim_key", "seq", "value")
     assert got.exceptAll(expect).count() == 0 and got.count() == expect.count()
+
+
+def test_dau_stream_sink_partitions_bounds_files(spark, tmp_path):
+    schema, files = _split_events(spark, tmp_path)
+    src, table, ckpt = str(tmp_path / "src"), str(tmp_path / "table"), str(tmp_path / "ckpt")
+    _drop_in(files, src, ["a.parquet", "b.parquet", "c.parquet"])
+    raw = raw_log_from(file_stream(spark, src, schema))
+    q = dau_stream.start(raw, table, ckpt, query_name=None, sink_partitions=2)
+    sinks.await_all([q])
+    day_files = glob.glob(os.path.join(table, "dt=2024-01-15", "*.parquet"))
+    assert 1 <= len(day_files) <= 2
+    assert sinks.read_dau_table(spark, table).count() == 234

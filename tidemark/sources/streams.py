@@ -50,10 +50,12 @@ def kafka_options(topic: str, bootstrap: str, group_id: str | None = None,
 
 def log_stream(spark: SparkSession, topic: str, bootstrap: str, group_id: str | None = None,
                offsets: Mapping[int, int] | None = None,
-               max_per_trigger: int | None = None) -> DataFrame:
+               max_per_trigger: int | None = None,
+               min_partitions: int | None = None) -> DataFrame:
     """Kafka topic as a stream of ``value`` text plus source metadata."""
     reader = spark.readStream.format("kafka")
-    for k, v in kafka_options(topic, bootstrap, group_id, offsets, max_per_trigger).items():
+    for k, v in kafka_options(topic, bootstrap, group_id, offsets, max_per_trigger,
+                              min_partitions).items():
         reader = reader.option(k, v)
     df = reader.load()
     return df.select(F.col("value").cast("string").alias("value"),

@@ -78,15 +78,23 @@ def dau_facts_stream(raw: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
 
 def start(raw: DataFrame, table_path: str, checkpoint: str, delay: str = DEFAULT_DELAY,
           trigger: str | None = None, query_name: str | None = "dau",
-          spread_to: int | None = None):
+          spread_to: int | None = None, sink_partitions: int | None = None):
     """Start the DAU stream into the dt-partitioned table; returns the query.
 
     ``spread_to`` round-robins each micro-batch over that many tasks before
     the JSON parse.  Only for sources with too few splits (a replay of one
     small file); a Kafka source gets its parallelism from ``minPartitions``
     without a shuffle, so leave it None there.
+
+    ``sink_partitions`` round-robins the deduplicated rows (new device-days
+    only, a small fraction of the input) over that many writers.  Without
+    it every state partition writes its own file per day per micro-batch:
+    with hundreds of shuffle partitions and a 5 s trigger that is a flood
+    of small files.
     """
     if spread_to:
         raw = raw.repartition(spread_to)
-    return sinks.dau_table(dau_facts_stream(raw, delay), table_path, checkpoint,
-                           trigger=trigger, query_name=query_name)
+    out = dau_facts_stream(raw, delay)
+    if sink_partitions:
+        out = out.repartition(sink_partitions)
+    return sinks.dau_table(out, table_path, checkpoint, trigger=trigger, query_name=query_name)

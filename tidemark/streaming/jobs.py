@@ -40,7 +40,8 @@ def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
     offsets = None
     if args.offsets:
         offsets = {int(p): int(o) for p, o in (kv.split(":") for kv in args.offsets.split(","))}
-    df = log_stream(spark, args.topic, args.bootstrap, args.group, offsets, args.max_per_trigger)
+    df = log_stream(spark, args.topic, args.bootstrap, args.group, offsets, args.max_per_trigger,
+                    args.min_partitions)
     if with_seq:
         return df.select(F.struct("partition", "offset").alias("seq"), "value")
     return df.select("value")
@@ -49,7 +50,7 @@ def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
 def dau_job(spark: SparkSession, args):
     raw = _source(spark, args)
     return dau_stream.start(raw, args.table, args.checkpoint, delay=args.delay,
-                            trigger=args.trigger)
+                            trigger=args.trigger, sink_partitions=args.sink_partitions)
 
 
 def cdc_job(spark: SparkSession, args):
@@ -82,7 +83,9 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--topic")
     p.add_argument("--group")
     p.add_argument("--offsets", help="first start only: partition:offset,partition:offset")
-    p.add_argument("--max-per-trigger", type=int)
+    p.add_argument("--max-per-trigger", type=int, help="cap on Kafka records per micro-batch")
+    p.add_argument("--min-partitions", type=int, help="split Kafka partitions into more tasks")
+    p.add_argument("--sink-partitions", type=int, help="dau: writers per micro-batch (fewer files)")
     p.add_argument("--source", choices=("kafka", "file"), default="kafka")
     p.add_argument("--source-path")
     p.add_argument("--max-files", type=int)
