@@ -153,6 +153,7 @@ def test_route_all_equals_separate_arms(spark):
         {"table": "order_info", "type": "INSERT", "data": [{"id": 1}, {"id": 2}]},
         {"table": "order_info", "type": "QUERY", "data": [{"id": 3}]},
         {"table": None, "type": "INSERT", "data": [{"id": 4}]},
+        {"table": "order_info", "type": "UPDATE", "pkNames": ["id"], "data": [{"id": 11}]},
         {"table": "user_info", "type": "INSERT", "pkNames": None, "data": [{"id": 5}]},
         {"table": "user_info", "type": "INSERT", "pkNames": [], "data": [{"id": 6}]},
         {"table": "user_info", "type": "INSERT", "pkNames": ["id"], "data": [{"id": None}]},
@@ -168,7 +169,12 @@ def test_route_all_equals_separate_arms(spark):
     fcols = ["seq", "topic", "pos", "value"]
     assert sorted(map(tuple, cdc.facts_of(routed).select(*fcols).collect())) == \
         sorted(map(tuple, cdc.route_facts(facts).select(*fcols).collect()))
-    assert {r.route for r in routed.collect()} == {"DWD_ORDER_INFO_I", "DIM_USER_INFO", "DIM_SKU_INFO"}
+    assert {r.route for r in routed.collect()} == {"DWD_ORDER_INFO_I", "DWD_ORDER_INFO_U", "DIM_USER_INFO",
+                                                    "DIM_SKU_INFO"}
+    keys = {(r.route, r.msg_key) for r in routed.collect()}
+    assert ("DIM_USER_INFO", "DIM:USER_INFO:9") in keys
+    assert ("DWD_ORDER_INFO_I", None) in keys       # no pkNames on that envelope: unkeyed
+    assert ("DWD_ORDER_INFO_U", "11") in keys        # keyed by its own pk
 
 
 def test_dim_rows_counts_what_it_leaves_out(spark):

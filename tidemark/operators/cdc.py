@@ -124,7 +124,7 @@ def dim_rows(dims: DataFrame, full_key: bool = False,
 
 
 DIM_TOPIC_PREFIX = "DIM_"
-ROUTED_COLUMNS = ("route", "dim_table", "pk", "dim_key", "type", "pos", "value")
+ROUTED_COLUMNS = ("route", "dim_table", "pk", "dim_key", "type", "pos", "value", "msg_key")
 
 
 def route_all(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES) -> DataFrame:
@@ -144,28 +144,32 @@ def route_all(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES) -> DataFrame:
     rows = parsed.where(usable).select(
         *keep, "table", "type", "pkNames", is_dim.alias("_dim"), op.alias("_op"),
         F.posexplode("data").alias("pos", "value"))
-    pk = F.when(F.col("_dim"), F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))"))
-    rows = rows.withColumn("pk", pk).where(~F.col("_dim") | F.col("pk").isNotNull())
+    first_pk = F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))")
+    rows = rows.withColumn("_pk", first_pk).withColumn("pk", F.when(F.col("_dim"), F.col("_pk"))) \
+               .where(~F.col("_dim") | F.col("pk").isNotNull())
     route = F.when(F.col("_dim"), F.concat(F.lit(DIM_TOPIC_PREFIX), F.upper("table"))) \
              .otherwise(fact_topic(F.col("table"), F.col("_op")))
     dim_key = F.when(F.col("_dim"), F.concat(F.lit(DIM_KEY_PREFIX), F.upper("table"), F.lit(":"), F.col("pk")))
+    # Message key: the dimension key, or a fact's own pk when the envelope
+    # names one, so one key's changes stay in one Kafka partition, in order.
+    msg_key = F.when(F.col("_dim"), dim_key).otherwise(F.col("_pk"))
     return rows.select(
         *keep, route.alias("route"),
         F.when(F.col("_dim"), F.col("table")).alias("dim_table"),
         "pk", dim_key.alias("dim_key"), "type",
-        F.col("pos").cast("bigint").alias("pos"), "value")
+        F.col("pos").cast("bigint").alias("pos"), "value", msg_key.alias("msg_key"))
 
 
 def dim_log_of(routed: DataFrame) -> DataFrame:
     """The dimension changelog part of ``route_all`` output."""
-    return routed.where(F.col("route").startswith(DIM_TOPIC_PREFIX)).drop("route")
+    return routed.where(F.col("route").startswith(DIM_TOPIC_PREFIX)).drop("route", "msg_key")
 
 
 def facts_of(routed: DataFrame) -> DataFrame:
     """The fact-message part of ``route_all`` output, as ``topic`` + ``value``."""
     return (routed.where(F.col("route").startswith(FACT_TOPIC_PREFIX))
                   .withColumnRenamed("route", "topic")
-                  .drop("dim_table", "pk", "dim_key", "type"))
+                  .drop("dim_table", "pk", "dim_key", "type", "msg_key"))
 
 
 def dim_rows_null_pk(dims: DataFrame) -> DataFrame:

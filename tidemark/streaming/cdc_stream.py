@@ -47,7 +47,7 @@ def start_single(raw: DataFrame, out_path: str | None, checkpoint: str,
     """Start the one-pass router; returns its streaming query."""
     routed = cdc.route_all(cdc.valid(cdc.parse(raw)))
     if fmt == "kafka":
-        msgs = routed.select(F.col("route").alias("topic"), "value", F.col("dim_key").alias("key"))
+        msgs = routed.select(F.col("route").alias("topic"), "value", F.col("msg_key").alias("key"))
         w = (msgs.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
                  .option("checkpointLocation", checkpoint))
         if query_name:
