@@ -75,3 +75,18 @@ def test_replace_days_is_idempotent(spark, tmp_path):
     back = sinks.read_dau_table(spark, path)
     assert back.count() == 234
     assert back.where(F.col("dt") == "2024-01-15").count() == 8
+
+
+def test_serving_defaults_to_today_and_rejects_bad_days(spark):
+    import datetime as _dt
+
+    import pytest
+
+    dau = dau_queries.dau_table(spark, SMALL)
+    today = _dt.datetime.now(_dt.timezone.utc).date().isoformat()
+    assert serving.resolve_day(None) == today
+    assert serving.dau_hour_count(dau).count() == 0          # the fixture holds January 2024 only
+    assert serving.hourly_compare(dau).count() == 24
+    with pytest.raises(ValueError):
+        serving.realtime_hour(dau, "2020-13-01")
+    assert serving.day_before("2020-03-01") == "2020-02-29"

@@ -194,6 +194,10 @@ def dim_latest(dim_log: DataFrame, order: Sequence[str] = ("seq", "pos"),
     ``deletes="keep"`` stores a DELETE's old image like any write (the
     source system's behaviour); ``deletes="apply"`` removes such keys.
     """
+    missing = [c for c in order if c not in dim_log.columns]
+    if missing:
+        raise ValueError(f"dim_latest orders images by {list(order)}; missing {missing}: "
+                         "carry the log position (e.g. seq) through parse")
     payload = [c for c in ("dim_key", "type", "value") if c in dim_log.columns]
     last = F.max(F.struct(*order, *payload)).alias("_last")
     latest = dim_log.groupBy("dim_table", "pk").agg(last) \

@@ -8,7 +8,7 @@ task steps run on outputs bounded by construction (24 hours, 2 days).
 
 from __future__ import annotations
 
-from datetime import date, timedelta
+from datetime import date, datetime, timedelta, timezone
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -20,6 +20,18 @@ KPI_DAU = ("dau", "Daily active devices")
 KPI_NEW_MID = ("new_mid", "New devices")
 
 
+def resolve_day(day: str | None) -> str:
+    """The requested day, or today (UTC) when none is given; invalid dates are rejected.
+
+    Resolved on the driver to a literal, so the ``dt`` filter still prunes
+    partitions (``current_date()`` would too, but this keeps one clock per
+    request across the several scans of one answer).
+    """
+    if day is None:
+        return datetime.now(timezone.utc).date().isoformat()
+    return date.fromisoformat(day).isoformat()
+
+
 def day_before(day: str) -> str:
     """``yyyy-MM-dd`` of the previous day; invalid dates are rejected."""
     return (date.fromisoformat(day) - timedelta(days=1)).isoformat()
@@ -31,8 +43,9 @@ def dau_total(dau: DataFrame, day: str | None = None) -> DataFrame:
     return src.groupBy("dt").agg(F.count(F.lit(1)).alias("dau"))
 
 
-def dau_hour_count(dau: DataFrame, day: str) -> DataFrame:
+def dau_hour_count(dau: DataFrame, day: str | None = None) -> DataFrame:
     """Devices per hour of one day, at most 24 buckets, largest first."""
+    day = resolve_day(day)
     return (dau.where(F.col("dt") == F.lit(day))
                .where(F.col("hr").isNotNull())
                .groupBy("hr").agg(F.count(F.lit(1)).alias("cnt"))
@@ -45,11 +58,12 @@ def _hour_map(day_col: str, day: str) -> F.Column:
     return F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry))))
 
 
-def realtime_hour(dau: DataFrame, day: str) -> DataFrame:
+def realtime_hour(dau: DataFrame, day: str | None = None) -> DataFrame:
     """``{today: {hr: n}, yesterday: {hr: n}}`` as two JSON-text columns, one row.
 
     The two days are read in one scan; the hour maps hold at most 24 keys.
     """
+    day = resolve_day(day)
     yd = day_before(day)
     per_hour = (dau.where(F.col("dt").isin(day, yd) & F.col("hr").isNotNull())
                    .groupBy("dt", "hr").agg(F.count(F.lit(1)).alias("cnt")))
@@ -57,8 +71,9 @@ def realtime_hour(dau: DataFrame, day: str) -> DataFrame:
                         _hour_map("dt", yd).alias("yesterday"))
 
 
-def hourly_compare(dau: DataFrame, day: str) -> DataFrame:
+def hourly_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
     """24 rows ``(hr, today, yesterday)``; hours without devices give 0."""
+    day = resolve_day(day)
     yd = day_before(day)
     spark = dau.sparkSession
     counts = (dau.where(F.col("dt").isin(day, yd))
@@ -83,8 +98,9 @@ def _first_day(dau: DataFrame) -> DataFrame:
     return dau.groupBy("mid").agg(F.date_format(first, "yyyy-MM-dd").alias("first_dt"))
 
 
-def realtime_total(dau: DataFrame, day: str) -> DataFrame:
+def realtime_total(dau: DataFrame, day: str | None = None) -> DataFrame:
     """KPI list ``(id, name, value)`` for one day."""
+    day = resolve_day(day)
     active = (dau.where(F.col("dt") == F.lit(day))
                  .agg(F.count(F.lit(1)).alias("value"))
                  .select(F.lit(KPI_DAU[0]).alias("id"), F.lit(KPI_DAU[1]).alias("name"), "value"))
@@ -94,8 +110,9 @@ def realtime_total(dau: DataFrame, day: str) -> DataFrame:
     return active.unionByName(new)
 
 
-def kpi_compare(dau: DataFrame, day: str) -> DataFrame:
+def kpi_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
     """KPI list ``(id, name, yesData, toData)``: yesterday beside today."""
+    day = resolve_day(day)
     yd = day_before(day)
     active = (dau.where(F.col("dt").isin(day, yd))
                  .agg(F.count(F.when(F.col("dt") == yd, 1)).alias("yesData"),
