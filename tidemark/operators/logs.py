@@ -1,7 +1,7 @@
 """Page-log parsing, day/hour derivation and the session-start filter.
 
 All three are narrow, action-free ``DataFrame -> DataFrame`` transforms
-that pipeline into one codegen stage in batch and in a stream.
+that fuse into one codegen stage in batch and in a stream.
 """
 
 from __future__ import annotations
