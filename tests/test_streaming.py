@@ -173,3 +173,18 @@ def test_dau_stream_sink_partitions_bounds_files(spark, tmp_path):
     day_files = glob.glob(os.path.join(table, "dt=2024-01-15", "*.parquet"))
     assert 1 <= len(day_files) <= 2
     assert sinks.read_dau_table(spark, table).count() == 234
+
+
+def test_cdc_batch_fan_out(spark, tmp_path):
+    """Batch form of the two arms: parsed once (persisted), written twice."""
+    from tidemark.operators import cdc
+    from tidemark.plans import cdc_queries
+    from tidemark.sources.adapters import cdc_raw
+    from tidemark.streaming import cdc_stream
+
+    dims, facts = str(tmp_path / "dims"), str(tmp_path / "facts")
+    cdc_stream.run_batch(cdc_raw(spark, SMALL), dims, facts)
+    assert spark.read.parquet(facts).count() == cdc_queries.fact_messages(spark, SMALL).count()
+    got = cdc.dim_latest(spark.read.parquet(dims)).count()
+    assert got == cdc.dim_latest(cdc_queries.dim_log(spark, SMALL)).count()
+    assert not spark.sparkContext._jsc.getPersistentRDDs()      # released after the writes
