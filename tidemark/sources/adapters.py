@@ -97,25 +97,30 @@ def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     order_detail = _order_detail_envelopes(spread(read_table(spark, sf_dir, "lineitem")))
 
+    # All images of a customer (insert; update for even keys; delete for
+    # keys = 1 mod 50) come from one scan, one row per image.
     cust = spread(read_table(spark, sf_dir, "customer"))
     ck = F.col("c_custkey")
-    user_pk = F.when(ck % 100 == 0, F.lit(None).cast("array<string>")).otherwise(_id_pk())
-
-    def user_row(balance: Column) -> Column:
-        return F.array(F.struct(ck.alias("id"), F.col("c_name").alias("name"),
-                                F.col("c_mktsegment").alias("segment"), balance.alias("balance")))
-
-    user_insert = cust.select((ck * 10 + SEQ_USER_INSERT).alias("seq"),
-                              _envelope("user_info", F.lit("INSERT"), user_pk,
-                                        user_row(F.col("c_acctbal"))).alias("value"))
-    user_update = cust.where(ck % 2 == 0).select(
-        (ck * 10 + SEQ_USER_UPDATE).alias("seq"),
-        _envelope("user_info", F.lit("UPDATE"), _id_pk(),
-                  user_row(F.col("c_acctbal") + 1)).alias("value"))
-    user_delete = cust.where(ck % 50 == 1).select(
-        (ck * 10 + SEQ_USER_DELETE).alias("seq"),
-        _envelope("user_info", F.lit("DELETE"), _id_pk(),
-                  user_row(F.col("c_acctbal"))).alias("value"))
+
+    def image(code: int, type_: str, pk_names: Column, balance: Column) -> Column:
+        return F.struct((ck * 10 + code).alias("seq"), F.lit(type_).alias("type"),
+                        pk_names.alias("pkNames"), balance.alias("balance"))
+
+    images = F.array(
+        image(SEQ_USER_INSERT, "INSERT",
+              F.when(ck % 100 == 0, F.lit(None).cast("array<string>")).otherwise(_id_pk()),
+              F.col("c_acctbal")),
+        F.when(ck % 2 == 0, image(SEQ_USER_UPDATE, "UPDATE", _id_pk(), F.col("c_acctbal") + 1)),
+        F.when(ck % 50 == 1, image(SEQ_USER_DELETE, "DELETE", _id_pk(), F.col("c_acctbal"))),
+    )
+    per_image = cust.select("c_custkey", "c_name", "c_mktsegment",
+                            F.explode(F.filter(images, lambda x: x.isNotNull())).alias("img"))
+    user_info = per_image.select(
+        F.col("img.seq").alias("seq"),
+        _envelope("user_info", F.col("img.type"), F.col("img.pkNames"), F.array(F.struct(
+            F.col("c_custkey").alias("id"), F.col("c_name").alias("name"),
+            F.col("c_mktsegment").alias("segment"), F.col("img.balance").alias("balance")))
+        ).alias("value"))
 
     part = read_table(spark, sf_dir, "part")
     sku = part.select(
@@ -132,7 +137,7 @@ def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.col("n_nationkey").alias("id"), F.col("n_name").alias("name"),
             F.col("n_regionkey").alias("region")))).alias("value"))
 
-    parts = [order_info, order_detail, user_insert, user_update, user_delete, sku, province]
+    parts = [order_info, order_detail, user_info, sku, province]
     return reduce(DataFrame.unionByName, parts)
 
 
