@@ -1,5 +1,7 @@
 """Results stay exact when one key holds a third of all rows."""
 
+import json
+
 
 from pyspark.sql import Window
 from pyspark.sql import functions as F
@@ -60,3 +62,17 @@ def test_dim_latest_hot_key(spark):
     latest = {r.pk: r for r in cdc.dim_latest(rows).collect()}
     assert latest["1"].seq == 29997
     assert len(latest) == 1000
+
+
+def test_order_envelopes_bounded_for_copies(spark):
+    """An order made of 5,000 exact copies of one line is cut into ~512-line envelopes."""
+    from tidemark.sources import adapters
+
+    one = read_table(spark, MEDIUM, "lineitem").limit(1)
+    copies = one.select("*", F.explode(F.sequence(F.lit(1), F.lit(5000))).alias("_k")).drop("_k")
+    # In-memory copies have no file position; give each its own identity as the scan would.
+    copies = copies.withColumn("_line_id", F.xxhash64(F.monotonically_increasing_id()))
+    env = adapters._order_detail_envelopes(copies)
+    sizes = [len(json.loads(r.value)["data"]) for r in env.collect()]
+    assert sum(sizes) == 5000
+    assert len(sizes) == 10 and max(sizes) < 700

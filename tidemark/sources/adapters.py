@@ -95,7 +95,11 @@ def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         _envelope("order_info", status_type, _id_pk(), F.array(order_row)).alias("value"),
     )
 
-    order_detail = _order_detail_envelopes(spread(read_table(spark, sf_dir, "lineitem")))
+    lineitem = read_table(spark, sf_dir, "lineitem")
+    # Physical identity of each line (file, row index): distinct even for exact copies.
+    lineitem = lineitem.withColumn("_line_id", F.xxhash64(F.col("_metadata.file_path"),
+                                                          F.col("_metadata.row_index")))
+    order_detail = _order_detail_envelopes(spread(lineitem))
 
     # All images of a customer (insert; update for even keys; delete for
     # keys = 1 mod 50) come from one scan, one row per image.
@@ -146,8 +150,10 @@ def _order_detail_envelopes(lineitem: DataFrame) -> DataFrame:
 
     The line count per order is a partial-aggregated count; orders whose
     count exceeds ``MAX_ROWS_PER_ENVELOPE`` spread their lines over
-    ``ceil(n / MAX)`` hash chunks, so a hot order never becomes one huge
-    array.  The array is sorted, so positions inside it are deterministic.
+    ``ceil(n / MAX)`` chunks by a hash of each line's physical identity
+    (``_line_id``; else of its content), so a hot order, even one made of
+    exact copies of a line, becomes envelopes of about ``MAX`` lines each.
+    The array is sorted, so positions inside it are deterministic.
     """
     line = F.struct(
         F.col("l_orderkey").alias("order_id"),
@@ -157,11 +163,12 @@ def _order_detail_envelopes(lineitem: DataFrame) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("discount"),
     )
-    li = lineitem.select("l_orderkey", line.alias("line"))
+    ident = F.col("_line_id") if "_line_id" in lineitem.columns else F.xxhash64(line)
+    li = lineitem.select("l_orderkey", line.alias("line"), ident.alias("_line_id"))
     counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
     n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_lines") / F.lit(MAX_ROWS_PER_ENVELOPE)))
     chunked = (li.join(counts, "l_orderkey")
-                 .withColumn("chunk", F.pmod(F.xxhash64("line"), n_chunks)))
+                 .withColumn("chunk", F.pmod(F.col("_line_id"), n_chunks)))
     grouped = chunked.groupBy("l_orderkey", "chunk").agg(
         F.array_sort(F.collect_list("line")).alias("lines"))
     return grouped.select(
