@@ -64,10 +64,12 @@ def find(docs: DataFrame, text_col: str, query: str, term_col: str | None = None
          term: str | None = None, sort_col: str | None = None, tie_col: str | None = None,
          start: int = 0, size: int = 20, with_highlight: bool = False) -> DataFrame:
     """``must match(text) + filter term`` sorted by ``sort_col`` desc, one page."""
-    cond = match(F.col(text_col), query)
+    # The cheap term test comes first: conjuncts short-circuit in order, so
+    # the whole-text regex only runs on documents that pass the term filter.
+    hits = docs
     if term_col is not None and term is not None:
-        cond = cond & (F.col(term_col) == F.lit(term))
-    hits = docs.where(cond)
+        hits = hits.where(F.col(term_col) == F.lit(term))
+    hits = hits.where(match(F.col(text_col), query))
     order = [F.desc_nulls_last(sort_col)] if sort_col else []
     if tie_col:
         order.append(F.asc(tie_col))
