@@ -30,9 +30,10 @@ def test_now_is_constant_within_a_query(spark):
 
 
 def test_to_long(spark):
-    df = spark.createDataFrame([("1704067432824",), (" 42 ",), ("4.5",), ("x",), (None,)], "s string")
+    df = spark.createDataFrame([("1704067432824",), (" 42 ",), ("4.5",), ("1.7E12",), ("x",), (None,)],
+                               "s string")
     got = [r.v for r in df.select(timefn.to_long(F.col("s")).alias("v")).collect()]
-    assert got == [1704067432824, 42, None, None, None]
+    assert got == [1704067432824, 42, 4, 1700000000000, None, None]
 
 
 def test_json_helpers(spark):

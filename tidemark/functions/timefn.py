@@ -54,5 +54,11 @@ def today_text() -> Column:
 
 
 def to_long(text: Column) -> Column:
-    """Text -> long, null when not a number (quoted numbers accepted)."""
-    return F.trim(text.cast("string")).try_cast("bigint")
+    """Text -> long, null when not a number.
+
+    Integers parse directly; decimal or exponent text (``1704067432824.0``,
+    ``1.7E12``) falls back to a decimal parse truncated to a long, as a
+    lenient JSON getter would.  The fallback runs only for such text.
+    """
+    t = F.trim(text.cast("string"))
+    return F.coalesce(t.try_cast("bigint"), t.try_cast("decimal(38,6)").try_cast("bigint"))
