@@ -90,3 +90,14 @@ def test_serving_defaults_to_today_and_rejects_bad_days(spark):
     with pytest.raises(ValueError):
         serving.realtime_hour(dau, "2020-13-01")
     assert serving.day_before("2020-03-01") == "2020-02-29"
+
+
+def test_spread_is_a_no_op_on_split_inputs(spark):
+    from tidemark.sources.tables import read_table, spread
+
+    cores = spark.sparkContext.defaultParallelism
+    many = spark.range(0, 1000, numPartitions=cores * 2)
+    assert spread(many) is many
+    one = read_table(spark, SMALL, "events")
+    assert one.rdd.getNumPartitions() == 1
+    assert spread(one).rdd.getNumPartitions() == cores

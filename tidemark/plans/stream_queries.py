@@ -26,7 +26,8 @@ def run_dau_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     ensure_utc(spark)
     base = scratch_path(spark, "dau_stream")
     raw = raw_log_from(table_stream(spark, sf_dir, "events", max_files_per_trigger))
-    q = dau_stream.start(raw, f"{base}/table", f"{base}/checkpoint")
+    # Unnamed: two registered runs may overlap in one session.
+    q = dau_stream.start(raw, f"{base}/table", f"{base}/checkpoint", query_name=None)
     sinks.await_all([q])
     LAST_RUN["dau"] = [q]
     return f"{base}/table"
@@ -40,7 +41,7 @@ def run_cdc_stream(spark: SparkSession, sf_dir: str) -> str:
     cdc_raw(spark, sf_dir).write.parquet(f"{base}/source")
     schema = spark.read.parquet(f"{base}/source").schema
     raw = file_stream(spark, f"{base}/source", schema)
-    q = cdc_stream.start_single(raw, f"{base}/routed", f"{base}/checkpoint")
+    q = cdc_stream.start_single(raw, f"{base}/routed", f"{base}/checkpoint", query_name=None)
     sinks.await_all([q])
     LAST_RUN["cdc"] = [q]
     return f"{base}/routed"
