@@ -54,6 +54,8 @@ def test_dau_stream_restart_equals_batch(spark, tmp_path):
 
     q1 = run()
     assert len(progress.batch_offsets(q1)) >= 2
+    seen = [m for m in progress.observed(q1) if "dau_in" in m]
+    assert seen and all(m["dau_out"]["rows"] <= m["dau_in"]["rows"] for m in seen)
     first_pass = sinks.read_dau_table(spark, table).count()
     _drop_in([files[0]], src, ["c.parquet"])
     q2 = run()

@@ -71,9 +71,16 @@ def dedup_stream(facts: DataFrame, delay: str = DEFAULT_DELAY, map_side: bool =
 
 
 def dau_facts_stream(raw: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
-    """Raw page-log stream -> deduplicated DAU rows (stamped with event time)."""
+    """Raw page-log stream -> deduplicated DAU rows (stamped with event time).
+
+    Each micro-batch reports its session starts before and its new
+    device-days after the dedup as observed metrics ``dau_in`` /
+    ``dau_out`` in the query progress (``progress.observed``).
+    """
     facts = dau_ops.to_fact(logs.session_starts(logs.prepared(raw)), keep=())
-    return dau_ops.detail(dedup_stream(facts, delay))
+    facts = facts.observe("dau_in", F.count(F.lit(1)).alias("rows"))
+    out = dau_ops.detail(dedup_stream(facts, delay))
+    return out.observe("dau_out", F.count(F.lit(1)).alias("rows"))
 
 
 def start(raw: DataFrame, table_path: str, checkpoint: str, delay: str = DEFAULT_DELAY,

@@ -47,3 +47,15 @@ def state_rows(query: StreamingQuery) -> int:
     if last is None:
         return 0
     return sum(_get(op, "numRowsTotal") or 0 for op in _get(last, "stateOperators") or [])
+
+
+def observed(query: StreamingQuery) -> list[dict]:
+    """Named metrics of each recent micro-batch (``DataFrame.observe`` in a stream)."""
+    out = []
+    for p in query.recentProgress:
+        metrics = _get(p, "observedMetrics") or {}
+        row = {"batchId": _get(p, "batchId")}
+        for name, value in metrics.items():
+            row[name] = value.asDict() if hasattr(value, "asDict") else value
+        out.append(row)
+    return out
