@@ -128,6 +128,12 @@ def kpi_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
 
 
 def dau_scan(spark, path: str, day: str | None = None) -> DataFrame:
-    """Read a stored, ``dt``-partitioned DAU table; a day selects one partition."""
-    df = spark.read.option("basePath", path).parquet(path)
+    """Read a stored, ``dt``-partitioned DAU table; a day selects one partition.
+
+    Read with the declared schema, so ``dt`` stays text whatever the
+    session's partition type inference says.
+    """
+    from ..functions.schemas import DAU_INFO
+
+    df = spark.read.schema(DAU_INFO).option("basePath", path).parquet(path)
     return df if day is None else df.where(F.col("dt") == F.lit(day))
