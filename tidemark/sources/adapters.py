@@ -99,7 +99,8 @@ def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     # Physical identity of each line (file, row index): distinct even for exact copies.
     lineitem = lineitem.withColumn("_line_id", F.xxhash64(F.col("_metadata.file_path"),
                                                           F.col("_metadata.row_index")))
-    order_detail = _order_detail_envelopes(spread(lineitem))
+    # No spread here: the work before the per-order shuffle is light.
+    order_detail = _order_detail_envelopes(lineitem)
 
     # All images of a customer (insert; update for even keys; delete for
     # keys = 1 mod 50) come from one scan, one row per image.
