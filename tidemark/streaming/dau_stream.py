@@ -34,16 +34,21 @@ PREDEDUP_MAX_KEYS = 500_000
 
 def _first_in_partition(keys: tuple[str, ...], max_keys: int):
     def run(batches):
+        import numpy as np
+
         seen: set = set()
         for pdf in batches:
             k = pdf[keys[0]].astype(str)
             for c in keys[1:]:
                 k = k + "\x00" + pdf[c].astype(str)
-            keep = ~k.duplicated() & ~k.isin(seen)
+            first = k[~k.duplicated()]          # first row of each key in this batch
+            # Set lookups for this batch's distinct keys only: cost follows the
+            # batch, not the size of what is remembered.
+            new = np.fromiter((x not in seen for x in first), dtype=bool, count=len(first))
             if len(seen) > max_keys:
                 seen.clear()
-            seen.update(k[keep])
-            yield pdf[keep]
+            seen.update(first[new])
+            yield pdf.loc[first.index[new]]
     return run
 
 
