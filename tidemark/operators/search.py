@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 # A token is a maximal run of letters and digits.
 WORD = r"\p{L}\p{N}"
+# The highlight tags around a matched token.
 HIGHLIGHT_PRE, HIGHLIGHT_POST = "<em>", "</em>"
 
 
