@@ -65,15 +65,22 @@ def cdc_job(spark: SparkSession, args):
                                    fmt=fmt, bootstrap=args.bootstrap, trigger=args.trigger)
 
 
+def publish_snapshot(tables: dict[str, DataFrame], topic: str, out: str | None = None,
+                     bootstrap: str | None = None) -> None:
+    """One INSERT envelope per row of each table, sent to the change topic
+    (Kafka) or written under ``out/topic=<topic>`` (files)."""
+    env = cdc.snapshot_envelopes(tables).withColumn("topic", F.lit(topic))
+    if out:
+        sinks.topic_fanout(env, path=out)
+    else:
+        sinks.topic_fanout(env, fmt="kafka", bootstrap=bootstrap)
+
+
 def snapshot_job(spark: SparkSession, args) -> None:
     """Read the dimension tables over JDBC and publish one envelope per row."""
     tables = {t: jdbc_table(spark, args.jdbc_url, t, user=args.user, password=args.password)
               for t in DIM_SOURCE_TABLES}
-    env = cdc.snapshot_envelopes(tables).withColumn("topic", F.lit(args.topic))
-    if args.out:
-        sinks.topic_fanout(env, path=args.out)
-    else:
-        sinks.topic_fanout(env, fmt="kafka", bootstrap=args.bootstrap)
+    publish_snapshot(tables, args.topic, args.out, args.bootstrap)
 
 
 def parser() -> argparse.ArgumentParser:
