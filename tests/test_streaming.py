@@ -1,9 +1,11 @@
 """Streaming twins equal their batch results, also across a restart."""
 
 import glob
+import io
 import os
 import shutil
 import time
+from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
@@ -66,6 +68,15 @@ def test_dau_stream_restart_equals_batch(spark, tmp_path):
     assert got.count() == expect.count() == 234
     assert got.select("dt", "mid").subtract(expect).count() == 0
     assert first_pass < 234
+    # The dashboard's day scan over the streamed table: committed files only, one partition read.
+    from tidemark.operators import serving
+
+    day = serving.dau_scan(spark, table, "2024-01-15")
+    assert day.count() == 8
+    buf = io.StringIO()
+    with redirect_stdout(buf):
+        day.explain()
+    assert "PartitionFilters: [isnotnull(dt" in buf.getvalue()
 
 
 def test_short_watermark_never_counts_twice(spark, tmp_path):
