@@ -115,6 +115,15 @@ def test_cdc_full_key_and_numeric_pk(spark):
     assert cdc.dim_rows(dims, full_key=True).first().dim_key == "DIM:SKU_INFO:1:x"
 
 
+def test_null_messages_are_quarantined(spark):
+    logs_df = spark.createDataFrame([(1, None), (2, '{"ts": 1, "page": {}}')], "event_id long, value string")
+    assert [r.event_id for r in logs.quarantine(logs.parse(logs_df)).collect()] == [1]
+    cdc_df = spark.createDataFrame([(1, None), (2, '{"table": "t", "type": "INSERT", "data": []}')],
+                                   "seq long, value string")
+    bad = cdc.quarantine(cdc.parse(cdc_df)).collect()
+    assert [(r.seq, r[CORRUPT]) for r in bad] == [(1, "")]
+
+
 def test_op_code_and_topic(spark):
     df = spark.createDataFrame([("INSERT",), ("UPDATE",), ("DELETE",), ("ALTER",), (None,)], "t string")
     got = [r.c for r in df.select(cdc.op_code(F.col("t")).alias("c")).collect()]

@@ -58,5 +58,9 @@ def parse_once(raw: DataFrame, value_col: str, schema: T.StructType) -> DataFram
 
 
 def corrupt_text() -> Column:
-    """The raw text of rows ``parse_once`` could not parse as an object, else null."""
-    return F.when(F.col("doc").isNull() | F.col(f"doc.{CORRUPT}").isNotNull(), F.col("_raw"))
+    """The raw text of rows ``parse_once`` could not parse as an object, else null.
+
+    A null message (e.g. a Kafka tombstone) is quarantined too, as empty text.
+    """
+    bad = F.col("doc").isNull() | F.col(f"doc.{CORRUPT}").isNotNull()
+    return F.when(bad, F.coalesce(F.col("_raw"), F.lit("")))
