@@ -15,7 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from ..functions.schemas import DAU_INFO
 
 
-def _trigger(writer, trigger: str | None):
+def apply_trigger(writer, trigger: str | None):
+    """``None``/``"availableNow"`` (run what is there, then stop), ``"once"``, or a
+    processing-time interval such as ``"5 seconds"``."""
     if trigger is None or trigger == "availableNow":
         return writer.trigger(availableNow=True)
     if trigger == "once":
@@ -41,7 +43,7 @@ def dau_table(df: DataFrame, path: str, checkpoint: str | None = None,
                .option("checkpointLocation", checkpoint))
         if query_name:
             w = w.queryName(query_name)
-        return _trigger(w, trigger).start(path)
+        return apply_trigger(w, trigger).start(path)
     if mode == "replace_days":
         (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
            .partitionBy("dt").parquet(path))
@@ -80,7 +82,7 @@ def topic_fanout(df: DataFrame, fmt: str = "parquet", path: str | None = None,
                     .option("checkpointLocation", checkpoint))
             if query_name:
                 w = w.queryName(query_name)
-            return _trigger(w, trigger).start()
+            return apply_trigger(w, trigger).start()
         out.write.format("kafka").option("kafka.bootstrap.servers", bootstrap).save()
         return None
     if df.isStreaming:
@@ -88,7 +90,7 @@ def topic_fanout(df: DataFrame, fmt: str = "parquet", path: str | None = None,
                 .option("checkpointLocation", checkpoint))
         if query_name:
             w = w.queryName(query_name)
-        return _trigger(w, trigger).start(path)
+        return apply_trigger(w, trigger).start(path)
     out.write.mode("append").partitionBy("topic").format(fmt).save(path)
     return None
 
@@ -101,7 +103,7 @@ def changelog(df: DataFrame, path: str, checkpoint: str | None = None,
                .option("checkpointLocation", checkpoint))
         if query_name:
             w = w.queryName(query_name)
-        return _trigger(w, trigger).start(path)
+        return apply_trigger(w, trigger).start(path)
     df.write.mode("append").parquet(path)
     return None
 

@@ -52,12 +52,12 @@ def start_single(raw: DataFrame, out_path: str | None, checkpoint: str,
                  .option("checkpointLocation", checkpoint))
         if query_name:
             w = w.queryName(query_name)
-        return sinks._trigger(w, trigger).start()
+        return sinks.apply_trigger(w, trigger).start()
     w = (routed.writeStream.format(fmt).outputMode("append").partitionBy("route")
                .option("checkpointLocation", checkpoint))
     if query_name:
         w = w.queryName(query_name)
-    return sinks._trigger(w, trigger).start(out_path)
+    return sinks.apply_trigger(w, trigger).start(out_path)
 
 
 def read_routed(spark, out_path: str) -> DataFrame:
