@@ -77,7 +77,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", current)
+        try:
+            spark.conf.set("spark.checkpoint.dir", current)
+        except Exception:  # a core config some sessions refuse to set at run time
+            pass
     if sc is not None and not sc.getCheckpointDir():
         sc.setCheckpointDir(current)
     return current.rstrip("/")
