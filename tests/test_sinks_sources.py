@@ -101,3 +101,13 @@ def test_spread_is_a_no_op_on_split_inputs(spark):
     one = read_table(spark, SMALL, "events")
     assert one.rdd.getNumPartitions() == 1
     assert spread(one).rdd.getNumPartitions() == cores
+
+
+def test_local_path_of_checkpoint_uris():
+    from tidemark.session import _local_path
+
+    assert _local_path("/tmp/a") == "/tmp/a"
+    assert _local_path("file:/tmp/a") == "/tmp/a"
+    assert _local_path("file:///tmp/a") == "/tmp/a"
+    assert _local_path("hdfs://nn/ckpt") is None
+    assert _local_path("s3a://bucket/ckpt") is None

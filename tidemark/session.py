@@ -10,6 +10,7 @@ skew-join splitting, no UI) are set in one spot.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -94,6 +95,21 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     base = ensure_checkpoint_dir(spark)
     # getCheckpointDir() returns a per-application sub folder; keep it.
     path = f"{base}/tidemark/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path:
-        os.makedirs(path, exist_ok=True)
+    local = _local_path(path)
+    if local is not None:
+        os.makedirs(local, exist_ok=True)
     return path
+
+
+def _local_path(path: str) -> str | None:
+    """The local file-system path of ``path``, or None for a remote URI.
+
+    Plain paths and ``file:`` URIs are local; anything with another scheme
+    (hdfs:, s3a:, abfss:, ...) is left to the writers, which create it.
+    """
+    scheme = re.match(r"^([A-Za-z][A-Za-z0-9+.-]*):", path)
+    if scheme is None:
+        return path
+    if scheme.group(1).lower() == "file":
+        return re.sub(r"^file:(//)?", "", path)
+    return None
