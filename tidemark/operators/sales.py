@@ -105,7 +105,10 @@ def detail_page_after(rows: DataFrame, after: tuple | None, length: int) -> Data
     order = [F.col(c).asc_nulls_first() for c in rows.columns]
     if after is not None:
         bound = F.struct(*[F.lit(v).cast(t) for v, (_, t) in zip(after, rows.dtypes)])
-        rows = rows.where(F.struct(*rows.columns) > bound)
+        first_col, first_type = rows.dtypes[0]
+        # Implied by the tuple comparison, and pushable to the scan (row-group skipping).
+        lead = F.col(first_col) >= F.lit(after[0]).cast(first_type)
+        rows = rows.where(lead & (F.struct(*rows.columns) > bound))
     return rows.orderBy(*order).limit(length)
 
 
