@@ -5,6 +5,9 @@ of dimension tables become a keyed changelog whose latest image per key
 is the dimension (``dim_rows`` + ``dim_latest``).  Rows of every other
 table become messages on ``DWD_<TABLE>_<I|U|D>`` (``route_facts``).
 
+``route_all`` does both in one pass (one explode, every row tagged with
+its route), which is what the streaming router uses.
+
 All steps are narrow except ``dim_latest``, a partial + final ``max``
 aggregate per ``(dim_table, pk)``: a key with many images collapses map
 side before the shuffle.

@@ -2,8 +2,8 @@
 
 The DAU table is ``dt``-partitioned when stored (``sinks.dau_table``), so
 every day filter below is a literal on ``dt`` and prunes partitions.  All
-aggregates are partial + final hash aggregates; the only global single
-task steps run on outputs bounded by construction (24 hours, 2 days).
+aggregates run partial + final; the only single-task steps run on
+outputs bounded by construction (24 hours, 2 days, 2 KPI rows).
 """
 
 from __future__ import annotations

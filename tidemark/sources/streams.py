@@ -3,7 +3,7 @@
 Production reads Kafka (``format="kafka"``, needs the Kafka connector on
 the classpath); tests and replays read files that carry the same
 ``value`` column.  Resume position lives in the query's checkpoint: the
-explicit ``starting_offsets`` only matter on the very first start.
+explicit per-partition ``offsets`` only matter on the very first start.
 """
 
 from __future__ import annotations

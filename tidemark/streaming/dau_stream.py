@@ -6,8 +6,10 @@ dt-partitioned parquet``.  The dedup is Spark's state store keyed by
 emitted again, also after a restart from the same checkpoint.  The
 watermark on ``day_ts`` (event day) bounds the state: a day's keys are
 dropped once the watermark passes it, and rows of such a day arriving
-later are dropped as late (``numRowsDroppedByWatermark``) instead of
-being counted twice.
+later are dropped as late instead of being counted twice (Spark filters
+late rows against the previous batch's watermark).  Before the state
+shuffle, a map-side pre-dedup keeps one row per key per input partition,
+so a hot device cannot flood one state task.
 """
 
 from __future__ import annotations
