@@ -111,8 +111,25 @@ def parser() -> argparse.ArgumentParser:
     return p
 
 
+REQUIRED = {
+    "dau": ("table", "checkpoint"),
+    "cdc": ("checkpoint",),
+    "snapshot": ("jdbc_url", "topic"),
+}
+
+
 def main(argv: list[str] | None = None) -> None:
-    args = parser().parse_args(argv)
+    p = parser()
+    args = p.parse_args(argv)
+    missing = [f"--{a.replace('_', '-')}" for a in REQUIRED[args.job] if getattr(args, a) is None]
+    if args.job != "snapshot" and args.source == "kafka":
+        missing += [f"--{a}" for a in ("bootstrap", "topic") if getattr(args, a) is None]
+    if args.job != "snapshot" and args.source == "file" and args.source_path is None:
+        missing.append("--source-path")
+    if args.job == "snapshot" and not args.out and args.bootstrap is None:
+        missing.append("--bootstrap (or --out)")
+    if missing:
+        p.error(f"{args.job} needs {', '.join(missing)}")
     spark = SparkSession.builder.appName(f"tidemark-{args.job}").getOrCreate()
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if args.job == "snapshot":
