@@ -76,12 +76,15 @@ def hourly_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
     day = resolve_day(day)
     yd = day_before(day)
     spark = dau.sparkSession
-    counts = (dau.where(F.col("dt").isin(day, yd))
+    hours = [f"{h:02d}" for h in range(HOURS)]
+    # Only the 24 spine hours can match, so keep only them: the aggregate is then
+    # at most 24 rows whatever the input holds, which bounds the broadcast below.
+    counts = (dau.where(F.col("dt").isin(day, yd) & F.col("hr").isin(hours))
                  .groupBy("hr")
                  .agg(F.count(F.when(F.col("dt") == day, 1)).alias("today"),
                       F.count(F.when(F.col("dt") == yd, 1)).alias("yesterday")))
     spine = spark.range(HOURS).select(F.lpad(F.col("id").cast("string"), 2, "0").alias("hr"))
-    # Both sides hold at most 24 rows, so the broadcast is bounded.
+    # Both sides hold at most 24 rows (filtered above), so the broadcast is bounded.
     joined = spine.join(F.broadcast(counts), "hr", "left")
     return joined.select("hr",
                          F.coalesce("today", F.lit(0)).cast("bigint").alias("today"),
