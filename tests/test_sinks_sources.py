@@ -90,6 +90,8 @@ def test_serving_defaults_to_today_and_rejects_bad_days(spark):
     with pytest.raises(ValueError):
         serving.realtime_hour(dau, "2020-13-01")
     assert serving.day_before("2020-03-01") == "2020-02-29"
+    assert [tuple(r) for r in serving.dau_total(dau, "2024-01-15").collect()] == [("2024-01-15", 8)]
+    assert [tuple(r) for r in serving.dau_total(dau, "2030-01-01").collect()] == [("2030-01-01", 0)]
 
 
 def test_spread_is_a_no_op_on_split_inputs(spark):

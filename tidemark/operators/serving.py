@@ -38,9 +38,13 @@ def day_before(day: str) -> str:
 
 
 def dau_total(dau: DataFrame, day: str | None = None) -> DataFrame:
-    """Device count of one day, or of every day when ``day`` is None."""
-    src = dau if day is None else dau.where(F.col("dt") == F.lit(day))
-    return src.groupBy("dt").agg(F.count(F.lit(1)).alias("dau"))
+    """Device count per day; for one ``day``, exactly one row (0 when it has no devices)."""
+    if day is None:
+        return dau.groupBy("dt").agg(F.count(F.lit(1)).alias("dau"))
+    day = resolve_day(day)
+    return (dau.where(F.col("dt") == F.lit(day))
+               .agg(F.count(F.lit(1)).alias("dau"))
+               .select(F.lit(day).alias("dt"), "dau"))
 
 
 def dau_hour_count(dau: DataFrame, day: str | None = None) -> DataFrame:
