@@ -218,3 +218,23 @@ def test_snapshot_publish_round_trip(spark, tmp_path):
     dims = cdc.dim_log_of(routed)
     assert dims.count() == sum(t.count() for t in tables.values())
     assert dims.select("dim_key").distinct().count() == dims.count()
+
+
+def test_jobs_main_as_a_process(spark, tmp_path):
+    """`python -m tidemark.streaming.jobs dau ...` runs to the end of its input in its own JVM."""
+    import subprocess
+    import sys
+
+    from tidemark.sources.adapters import raw_log
+
+    logs_dir = str(tmp_path / "logs")
+    raw_log(spark, SMALL).select("value").write.json(logs_dir)
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = dict(os.environ, PYTHONPATH=root + os.pathsep + os.environ.get("PYTHONPATH", ""))
+    cmd = [sys.executable, "-m", "tidemark.streaming.jobs", "dau", "--source", "file",
+           "--source-path", logs_dir, "--table", str(tmp_path / "dau"),
+           "--checkpoint", str(tmp_path / "ck"), "--trigger", "availableNow"]
+    done = subprocess.run(cmd, env=env, capture_output=True, text=True, timeout=600)
+    assert done.returncode == 0, done.stderr[-2000:]
+    assert "SparkUI" not in done.stderr          # no web UI started
+    assert sinks.read_dau_table(spark, str(tmp_path / "dau")).count() == 234

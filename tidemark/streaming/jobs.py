@@ -108,6 +108,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--user")
     p.add_argument("--password")
     p.add_argument("--out", help="snapshot: write per-topic folders here instead of Kafka")
+    p.add_argument("--spark-ui", action="store_true", help="start Spark's web UI (off by default)")
     return p
 
 
@@ -130,7 +131,9 @@ def main(argv: list[str] | None = None) -> None:
         missing.append("--bootstrap (or --out)")
     if missing:
         p.error(f"{args.job} needs {', '.join(missing)}")
-    spark = SparkSession.builder.appName(f"tidemark-{args.job}").getOrCreate()
+    spark = (SparkSession.builder.appName(f"tidemark-{args.job}")
+             .config("spark.ui.enabled", "true" if args.spark_ui else "false")
+             .getOrCreate())
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     if args.job == "snapshot":
         snapshot_job(spark, args)
