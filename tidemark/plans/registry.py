@@ -2,24 +2,28 @@
 
 from __future__ import annotations
 
-from . import cdc_oracle, cdc_queries, dau_oracle, dau_queries, sales_oracle, sales_queries, search_oracle, search_queries, stream_oracle, stream_queries
+from . import (cdc_oracle, cdc_queries, dau_oracle, dau_queries, sales_oracle, sales_queries,
+               search_oracle, search_queries, stream_oracle, stream_queries)
+
+# (queries, oracle) module pairs, one per query family.
+FAMILIES = (
+    (dau_queries, dau_oracle),
+    (cdc_queries, cdc_oracle),
+    (sales_queries, sales_oracle),
+    (search_queries, search_oracle),
+    (stream_queries, stream_oracle),
+)
 
 
 def all_queries() -> dict:
     out = {}
-    out.update(dau_queries.QUERIES)
-    out.update(cdc_queries.QUERIES)
-    out.update(sales_queries.QUERIES)
-    out.update(search_queries.QUERIES)
-    out.update(stream_queries.QUERIES)
+    for queries, _ in FAMILIES:
+        out.update(queries.QUERIES)
     return out
 
 
 def all_oracle_sql() -> dict:
     out = {}
-    out.update(dau_oracle.SQL)
-    out.update(cdc_oracle.SQL)
-    out.update(sales_oracle.SQL)
-    out.update(search_oracle.SQL)
-    out.update(stream_oracle.SQL)
+    for _, oracle in FAMILIES:
+        out.update(oracle.SQL)
     return out

@@ -35,9 +35,10 @@ def main() -> None:
         print(f"| {fam} | {len(keys)} | {sum(vals):.1f} | {min(vals):.2f}–{max(vals):.2f} |")
     print(f"| **All** | **{len(q)}** | **{b['value']:.1f}** | |\n")
     d, c = st.get("dau_stream", {}), st.get("cdc_stream", {})
-    print(f"Streams, warm run: the page-log DAU stream takes {d.get('rows_per_sec', 0):,.0f} input rows/s, longest "
-          f"micro-batch {d.get('max_batch_ms')} ms; the change-record router takes {c.get('rows_per_sec', 0):,.0f} "
-          f"rows/s, longest micro-batch {c.get('max_batch_ms')} ms. Both end inside the 5 s interval, with the "
+    print(f"Streams, warm run: the page-log DAU stream takes {d.get('rows_per_sec', 0):,.0f} input rows/s, "
+          f"longest micro-batch {d.get('max_batch_ms')} ms; the change-record router takes "
+          f"{c.get('rows_per_sec', 0):,.0f} rows/s, longest micro-batch {c.get('max_batch_ms')} ms. Both end "
+          "inside the 5 s interval, with the "
           "whole sf 0.1 table in one batch. The change-record queries spend most of their time in the test "
           "adapter, which renders about a million change messages as JSON text before the engine parses them "
           "again.")
