@@ -30,8 +30,18 @@ def test_no_python_no_cartesian(spark, name):
 
 def test_dedup_is_partial_before_shuffle(spark):
     plan = _plan(dau_queries.dau_table(spark, SMALL))
-    assert "partial_min" in plan
-    assert plan.index("partial_min") > plan.index("Exchange")  # partial listed below the exchange
+    blocks = [b.strip() for b in plan.split("\n\n") if b.strip().startswith("(")]
+
+    def node_id(block):
+        return int(block[1:block.index(")")])
+
+    partial = [node_id(b) for b in blocks if "Aggregate" in b.split("\n")[0] and "partial_min(" in b]
+    final = [node_id(b) for b in blocks if "Aggregate" in b.split("\n")[0] and " min(struct" in b]
+    shuffle = [node_id(b) for b in blocks if b.split("\n")[0].endswith("Exchange")
+               and re.search(r"hashpartitioning\(dt#\d+, mid#\d+", b)]
+    # Nodes are numbered bottom-up: map-side partial, then the (dt, mid) shuffle, then the final merge.
+    assert len(partial) == len(shuffle) == len(final) == 1
+    assert partial[0] < shuffle[0] < final[0]
 
 
 def test_json_parsed_once_per_row(spark):
