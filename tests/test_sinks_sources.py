@@ -113,3 +113,11 @@ def test_local_path_of_checkpoint_uris():
     assert _local_path("file:///tmp/a") == "/tmp/a"
     assert _local_path("hdfs://nn/ckpt") is None
     assert _local_path("s3a://bucket/ckpt") is None
+
+
+def test_realtime_hour_response_document(spark):
+    dau = dau_queries.dau_view(spark, SMALL, ("hr",))
+    body = json.loads(serving.realtime_hour_response(dau, "2024-01-15").first().body)
+    assert set(body) == {"today", "yesterday"}
+    assert sum(body["today"].values()) == 8
+    assert all(len(h) == 2 for h in body["today"])

@@ -75,6 +75,13 @@ def realtime_hour(dau: DataFrame, day: str | None = None) -> DataFrame:
                         _hour_map("dt", yd).alias("yesterday"))
 
 
+def realtime_hour_response(dau: DataFrame, day: str | None = None) -> DataFrame:
+    """The endpoint's whole answer as one JSON document: ``{"today": {...}, "yesterday": {...}}``."""
+    maps = realtime_hour(dau, day)
+    body = F.concat(F.lit('{"today":'), F.col("today"), F.lit(',"yesterday":'), F.col("yesterday"), F.lit("}"))
+    return maps.select(body.alias("body"))
+
+
 def hourly_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
     """24 rows ``(hr, today, yesterday)``; hours without devices give 0."""
     day = resolve_day(day)
