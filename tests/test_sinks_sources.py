@@ -121,3 +121,10 @@ def test_realtime_hour_response_document(spark):
     assert set(body) == {"today", "yesterday"}
     assert sum(body["today"].values()) == 8
     assert all(len(h) == 2 for h in body["today"])
+
+
+def test_json_list_documents(spark):
+    dau = dau_queries.dau_view(spark, SMALL, ("dt", "mid"))
+    kpis = json.loads(serving.json_list(serving.realtime_total(dau, "2024-01-15"), ("id",)).first().body)
+    assert [k["id"] for k in kpis] == ["dau", "new_mid"]
+    assert kpis[0]["value"] == 8 and set(kpis[0]) == {"id", "name", "value"}

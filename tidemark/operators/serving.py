@@ -82,6 +82,18 @@ def realtime_hour_response(dau: DataFrame, day: str | None = None) -> DataFrame:
     return maps.select(body.alias("body"))
 
 
+def json_list(rows: DataFrame, order: tuple[str, ...]) -> DataFrame:
+    """A small answer (KPI list, facets, one page) as one JSON array document ``body``.
+
+    Only for results bounded by construction (a few rows): the rows are
+    gathered into one array in one task.  Sorted by ``order`` so the
+    document is deterministic.
+    """
+    cols = list(order) + [c for c in rows.columns if c not in order]
+    items = F.array_sort(F.collect_list(F.struct(*cols)))
+    return rows.agg(F.to_json(items).alias("body"))
+
+
 def hourly_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
     """24 rows ``(hr, today, yesterday)``; hours without devices give 0."""
     day = resolve_day(day)
