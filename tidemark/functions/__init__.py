@@ -1,0 +1 @@
+"""Column-level helpers: declared JSON schemas, time and JSON functions."""

@@ -1,0 +1 @@
+"""Inputs: warehouse tables, their rendering as source messages, streams and JDBC."""

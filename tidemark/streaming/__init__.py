@@ -1,0 +1 @@
+"""Structured Streaming jobs: DAU stream, change-record router, progress, CLI."""
