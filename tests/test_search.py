@@ -64,3 +64,8 @@ def test_find_nested_exists(spark):
     df = spark.createDataFrame(rows, "j string").select(F.from_json("j", MOVIE).alias("m")).select("m.*")
     got = [r.id for r in search.find_nested(df, "actorList", "name", "y").collect()]
     assert got == ["1"]
+
+
+def test_query_tokens_follow_the_text_rule():
+    # An underscore and a combining mark separate tokens, as they do in the text.
+    assert search.query_tokens("foo_bar été 42x") == ["foo", "bar", "e", "té", "42x"]

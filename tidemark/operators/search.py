@@ -14,7 +14,7 @@ aggregate, so no group is ever collected into one array.
 
 from __future__ import annotations
 
-import re
+import unicodedata
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -27,11 +27,20 @@ HIGHLIGHT_PRE, HIGHLIGHT_POST = "<em>", "</em>"
 
 
 def query_tokens(query: str) -> list[str]:
-    """Lower-cased distinct tokens of a query string, in order."""
+    """Lower-cased distinct tokens of a query string, in order.
+
+    A token is a maximal run of letters and digits (Unicode categories L*
+    and N*), the same rule ``match`` and ``highlight`` apply to the text.
+    """
     seen: list[str] = []
-    for tok in re.findall(r"[^\W_]+", query.lower()):
-        if tok not in seen:
-            seen.append(tok)
+    cur = ""
+    for ch in query.lower() + " ":
+        if unicodedata.category(ch)[0] in "LN":
+            cur += ch
+            continue
+        if cur and cur not in seen:
+            seen.append(cur)
+        cur = ""
     return seen
 
 
