@@ -67,5 +67,6 @@ def test_find_nested_exists(spark):
 
 
 def test_query_tokens_follow_the_text_rule():
-    # An underscore and a combining mark separate tokens, as they do in the text.
-    assert search.query_tokens("foo_bar été 42x") == ["foo", "bar", "e", "té", "42x"]
+    # An underscore and a combining mark (U+0301) separate tokens, as they do in the text;
+    # a precomposed letter (U+00E9) does not.
+    assert search.query_tokens("foo_bar e\u0301t\u00e9 42x") == ["foo", "bar", "e", "t\u00e9", "42x"]
