@@ -59,6 +59,12 @@ SELECT dim_table, count(*) AS n_live FROM latest WHERE type <> 'DELETE' GROUP BY
 SELECT topic AS route, count(*) AS n FROM facts GROUP BY topic
 UNION ALL
 SELECT 'DIM_' || upper(dim_table), count(*) FROM dims GROUP BY dim_table""",
+    "cdc_message_keys": "WITH " + FACTS + "," + DIMS + """
+SELECT topic AS route, count(*) AS n,
+       CASE WHEN topic LIKE 'DWD_ORDER_INFO_%' THEN count(*) ELSE 0 END AS keyed
+FROM facts GROUP BY topic
+UNION ALL
+SELECT 'DIM_' || upper(dim_table), count(*), count(*) FROM dims GROUP BY dim_table""",
     "snapshot_envelopes": """
 SELECT 'user_info' AS dim_table, 'INSERT' AS type, 'DIM:USER_INFO:' || c_custkey AS dim_key, c_name AS name
 FROM customer

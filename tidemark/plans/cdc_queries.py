@@ -67,6 +67,13 @@ def q_cdc_routes(spark, sf_dir):
     return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"))
 
 
+def q_cdc_message_keys(spark, sf_dir):
+    """Messages per route and how many carry a key (dimension key or the fact's own pk)."""
+    routed = cdc.route_all(parsed_changes(spark, sf_dir))
+    return routed.groupBy("route").agg(F.count(F.lit(1)).alias("n"),
+                                       F.count("msg_key").alias("keyed"))
+
+
 def q_snapshot_envelopes(spark, sf_dir):
     """Bootstrap snapshot round trip: envelopes -> parse -> dimension rows."""
     env = cdc.snapshot_envelopes(dimension_tables(spark, sf_dir))
@@ -82,5 +89,6 @@ QUERIES = {
     "dim_latest_rows": q_dim_latest_rows,
     "dim_live_keys": q_dim_live_keys,
     "cdc_routes": q_cdc_routes,
+    "cdc_message_keys": q_cdc_message_keys,
     "snapshot_envelopes": q_snapshot_envelopes,
 }
