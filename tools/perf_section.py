@@ -12,7 +12,7 @@ FAMILIES = {
     "Page log and DAU": ["log_parse_dt_hr", "session_starts", "dau_detail", "dau_incremental", "dau_total",
                          "dau_hour_count", "realtime_hour", "hourly_compare", "realtime_total", "kpi_compare"],
     "Change records": ["cdc_route_facts", "cdc_route_counts", "dim_latest_counts", "dim_latest_rows",
-                       "dim_live_keys", "cdc_routes", "snapshot_envelopes"],
+                       "dim_live_keys", "cdc_routes", "cdc_message_keys", "snapshot_envelopes"],
     "Sales": ["sale_wide", "sale_detail_page", "sale_keyword_page", "sale_detail_total", "sale_facet_gender",
               "sale_facet_age", "sale_by_province", "sale_by_name"],
     "Search and nested JSON": ["search_find", "search_highlight", "search_grouped", "nested_json_roundtrip",
