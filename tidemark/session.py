@@ -45,7 +45,7 @@ def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(BASE_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
-    conf.setdefault("spark.driver.memory", "16g")
+    conf.setdefault("spark.driver.memory", "8g")
     if extra:
         conf.update(extra)
     for k, v in conf.items():
@@ -66,8 +66,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 
     On a cluster ``spark.checkpoint.dir`` names a shared folder (HDFS, S3,
-    ...) and is used as is.  Only a session without it (tests, a laptop)
-    gets a fresh folder under the system temp directory.
+    ...) and is used as is.  Only a local session without it (tests, a
+    laptop) gets a fresh folder under the system temp directory; on a
+    cluster its absence is an error, as executors do not see such a folder.
     """
     try:
         sc = spark.sparkContext
@@ -77,6 +78,9 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if not current:
         current = spark.conf.get("spark.checkpoint.dir", None)
     if not current:
+        master = sc.master if sc is not None else "connect"
+        if not (master == "local" or master.startswith("local[")):
+            raise RuntimeError(f"spark.checkpoint.dir must name a shared folder (master is {master})")
         current = tempfile.mkdtemp(prefix="tidemark-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", current)
