@@ -52,3 +52,31 @@ def decontam(rows, items, window=13):
         out.append((d, len(w), len(hit), len(own), sha(",".join(sorted(map(str, own)))),
                     bool(hit) and 20 * len(hit) >= len(w)))
     return out
+
+
+def find(parent, x):
+    while parent[x] != x:
+        x = parent[x]
+    return x
+
+
+def simhash(rows, shingle=3, bits=3):
+    from xxhash import xxh64_intdigest
+
+    fps = []
+    for d, t in rows:
+        w = BLANK.findall((t or "").translate(AZ))
+        s = [" ".join(w[i:i + shingle]) for i in range(max(1, len(w) - shingle + 1))] if w else []
+        h = [xxh64_intdigest(x.encode(), 42) for x in s]
+        fps.append((d, sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))))
+    parent = list(range(len(fps)))
+    for i in range(len(fps)):
+        for j in range(i):
+            if (fps[i][1] ^ fps[j][1]).bit_count() <= bits:
+                parent[find(parent, i)] = find(parent, j)
+    least = {}
+    for i, (d, _) in enumerate(fps):
+        if d is not None:
+            r = find(parent, i)
+            least[r] = min(least.get(r, d), d)
+    return [(d, f"{f:016x}", least.get(find(parent, i))) for i, (d, f) in enumerate(fps)]

@@ -2,9 +2,12 @@
 
 from __future__ import annotations
 
-from . import decontam, substring_dedup, token_store
+from . import decontam, simhash, substring_dedup, token_store, url_filter
 from .common import read_table, scratch_path
 
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
+
 
 def op1_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(substring_dedup.repeats_removed(read_table(spark, sf_dir, "documents")))
@@ -21,10 +24,20 @@ def op6_token_output(spark, sf_dir):
     return token_store.digest(token_store.read_tokens(spark, path, files, with_ids=False))
 
 
+def op7_simhash_near_dedup(spark, sf_dir):
+    return simhash.digest(simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3))
+
+
+def op9_url_filter(spark, sf_dir):
+    return url_filter.digest(url_filter.judge(spark, read_table(spark, sf_dir, "pages"), URL_RULES))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_decontamination": op3_decontamination,
     "op6_token_output": op6_token_output,
+    "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op9_url_filter": op9_url_filter,
 }
 
 ORACLE = {
@@ -61,5 +74,27 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN own USING (doc_id)
+""",
+    "op9_url_filter": r"""
+WITH RECURSIVE p AS (SELECT page_id, url, html,
+  CASE WHEN contains(coalesce(url, ''), '://') THEN translate(regexp_extract(url, '^.*?://([^/?#]*)', 1, 's'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE '' END AS host,
+  CASE WHEN contains(coalesce(url, ''), '://') THEN regexp_extract(url, '^.*?://[^/?#]*([^?#]*)', 1, 's') ELSE '' END AS path,
+  CASE WHEN contains(coalesce(url, ''), '://') THEN regexp_extract(url, '^.*?://[^/?#]*([^#]*)', 1, 's') END AS tail FROM pages),
+rules(rule, rhost, rpath, verdict) AS (VALUES ('com/', 'com', '/', 'allow'), ('example.com/en/', 'example.com', '/en/', 'block'),
+  ('www.example.com/en/', 'www.example.com', '/en/', 'allow'), ('net/es/', 'net', '/es/', 'block'), ('net/fr/', 'net', '/fr/', 'block')),
+links AS (SELECT host || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END AS a,
+  regexp_extract(unnest(regexp_extract_all(html, '<link\b[^>]*\brel\s*=\s*["'']?canonical\b[^>]*>', 0, 'is')), 'href\s*=\s*["'']?[A-Za-z]+://([^"''\s>#]*)', 1, 'i') AS b
+  FROM p WHERE tail IS NOT NULL),
+edges AS (SELECT a, b FROM links WHERE b <> '' UNION SELECT b, a FROM links WHERE b <> ''),
+reach AS (SELECT a AS x, a AS y FROM edges UNION SELECT x, b FROM reach JOIN edges ON y = a),
+judged AS (SELECT y, arg_max(verdict, length(rule)) AS v FROM (SELECT DISTINCT y FROM reach) JOIN rules
+  ON (split_part(y, '/', 1) = rhost OR ends_with(split_part(y, '/', 1), '.' || rhost)) AND starts_with(regexp_extract(y, '/[^?]*'), rpath) GROUP BY y),
+bad AS (SELECT x FROM reach JOIN judged USING (y) GROUP BY x HAVING bool_or(v = 'block') AND NOT bool_or(v = 'allow')),
+own AS (SELECT page_id, url, arg_max(rule, length(rule)) AS rule, arg_max(verdict, length(rule)) AS v FROM p JOIN rules
+  ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id, url)
+SELECT p.page_id, p.host, p.path, own.rule,
+  coalesce(own.v, CASE WHEN bad.x IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
+FROM p LEFT JOIN own ON p.page_id = own.page_id AND p.url = own.url
+LEFT JOIN bad ON bad.x = p.host || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END
 """,
 }
