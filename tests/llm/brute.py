@@ -80,3 +80,18 @@ def simhash(rows, shingle=3, bits=3):
             r = find(parent, i)
             least[r] = min(least.get(r, d), d)
     return [(d, f"{f:016x}", least.get(find(parent, i))) for i, (d, f) in enumerate(fps)]
+
+
+def quality_base(rows):
+    out = []
+    for d, t in rows:
+        t = t or ""
+        w = BLANK.findall(t)
+        lines = [x for x in t.split("\n") if BLANK.search(x)]
+        seen = {}
+        for i in range(len(w) - 7):
+            seen.setdefault(tuple(w[i:i + 8]), []).append(i)
+        rep = {j for at in seen.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+        out.append((d, len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)),
+                    len(rep), len(w) < 20 or 100 * len(rep) > 30 * len(w)))
+    return out

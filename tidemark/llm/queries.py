@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, simhash, substring_dedup, token_store, url_filter
+from . import decontam, quality_classifier, quality_rules, simhash, substring_dedup, token_store, url_filter
 from .common import read_table, scratch_path
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -18,6 +18,11 @@ def op3_decontamination(spark, sf_dir):
     return decontam.digest(found)
 
 
+def op4_quality_rules(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    return quality_rules.judge(spark, docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
+
+
 def op6_token_output(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     files = token_store.write_tokens(read_table(spark, sf_dir, "documents"), path)
@@ -32,12 +37,20 @@ def op9_url_filter(spark, sf_dir):
     return url_filter.digest(url_filter.judge(spark, read_table(spark, sf_dir, "pages"), URL_RULES))
 
 
+def op10_quality_classifier(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = quality_classifier.fit(spark, docs, read_table(spark, sf_dir, "labels"))
+    return quality_classifier.score(spark, docs, model)
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op3_decontamination": op3_decontamination,
+    "op4_quality_rules": op4_quality_rules,
     "op6_token_output": op6_token_output,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op9_url_filter": op9_url_filter,
+    "op10_quality_classifier": op10_quality_classifier,
 }
 
 ORACLE = {
