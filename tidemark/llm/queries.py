@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, quality_classifier, quality_rules, simhash, substring_dedup, token_store, url_filter
+from . import decontam, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_store, url_filter
 from .common import read_table, scratch_path
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -33,6 +33,10 @@ def op7_simhash_near_dedup(spark, sf_dir):
     return simhash.digest(simhash.near_duplicates(spark, read_table(spark, sf_dir, "documents"), shingle=3, max_bits=3))
 
 
+def op8_packing(spark, sf_dir):
+    return packing.digest(packing.pack(spark, read_table(spark, sf_dir, "documents")))
+
+
 def op9_url_filter(spark, sf_dir):
     return url_filter.digest(url_filter.judge(spark, read_table(spark, sf_dir, "pages"), URL_RULES))
 
@@ -49,6 +53,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op6_token_output": op6_token_output,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
+    "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
 }
