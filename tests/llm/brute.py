@@ -95,3 +95,21 @@ def quality_base(rows):
         out.append((d, len(w), sum(map(len, w)), sum(t.count(c) for c in "#*$%&|<>"), len(lines) - len(set(lines)),
                     len(rep), len(w) < 20 or 100 * len(rep) > 30 * len(w)))
     return out
+
+
+SECRETS = [("assign", re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.A)),
+           ("access", re.compile("AKIA[A-Z0-9]+")), ("hex", re.compile("[0-9a-f]+"))]
+
+
+def secrets(rows):
+    out = []
+    for d, t in rows:
+        t = t or ""
+        spans = []
+        for i, (kind, p) in enumerate(SECRETS):
+            for m in p.finditer(t):
+                if (len(m[2]) >= 6 if i == 0 else len(m[0]) >= (20 if i == 1 else 24)):
+                    spans.append((m.start(), i, m.end()))
+        n = [sum(s[1] == i for s in spans) for i in range(3)]
+        out.append((d, *n, sha(",".join(f"{SECRETS[i][0]}:{s}:{e}" for s, i, e in sorted(spans)))))
+    return out

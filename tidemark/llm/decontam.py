@@ -273,6 +273,12 @@ def is_contaminated(share: int = 20):
     return (F.col("n_hit") > 0) & (F.col("n_hit") * share >= F.col("n_words"))
 
 
+def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
+    """The rows of ``docs`` whose doc_id has no contaminated row; rows without doc_id stay."""
+    gone = contamination(spark, docs, benchmark, **options).filter(is_contaminated()).select("doc_id").distinct()
+    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+
+
 def digest(result: DataFrame) -> DataFrame:
     """Contract columns of ``op3``."""
     names = F.array_sort(F.transform("items", lambda i: i.cast("string")))

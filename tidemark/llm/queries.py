@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, packing, quality_classifier, quality_rules, simhash, substring_dedup, token_store, url_filter
+from . import decontam, packing, quality_classifier, quality_rules, secret_scan, simhash, substring_dedup, token_store, url_filter
 from .common import read_table, scratch_path
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -13,6 +13,12 @@ def op1_substring_dedup(spark, sf_dir):
     return substring_dedup.digest(substring_dedup.repeats_removed(read_table(spark, sf_dir, "documents")))
 
 
+def op2_secret_scan(spark, sf_dir):
+    docs = read_table(spark, sf_dir, "documents")
+    model = secret_scan.train(secret_scan.labelled_by_rules(docs))
+    return secret_scan.digest(secret_scan.scan(docs, model))
+
+
 def op3_decontamination(spark, sf_dir):
     found = decontam.contamination(spark, read_table(spark, sf_dir, "documents"), read_table(spark, sf_dir, "benchmark"))
     return decontam.digest(found)
@@ -49,6 +55,7 @@ def op10_quality_classifier(spark, sf_dir):
 
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_secret_scan": op2_secret_scan,
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
     "op6_token_output": op6_token_output,
