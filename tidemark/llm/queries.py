@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from . import decontam, packing, quality_classifier, quality_rules, secret_scan, simhash, substring_dedup, token_store, url_filter
+from . import decontam, license_scan, packing, quality_classifier, quality_rules, secret_scan, simhash, substring_dedup, token_store, url_filter
 from .common import read_table, scratch_path
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -29,6 +29,11 @@ def op4_quality_rules(spark, sf_dir):
     return quality_rules.judge(spark, docs, quality_rules.fit(docs, read_table(spark, sf_dir, "labels")))
 
 
+def op5_license_scan(spark, sf_dir):
+    files = license_scan.documents_as_files(read_table(spark, sf_dir, "documents"))
+    return license_scan.licences(spark, files).withColumnRenamed("file_id", "doc_id")
+
+
 def op6_token_output(spark, sf_dir):
     path = scratch_path(spark, "tokens")
     files = token_store.write_tokens(read_table(spark, sf_dir, "documents"), path)
@@ -58,6 +63,7 @@ QUERIES = {
     "op2_secret_scan": op2_secret_scan,
     "op3_decontamination": op3_decontamination,
     "op4_quality_rules": op4_quality_rules,
+    "op5_license_scan": op5_license_scan,
     "op6_token_output": op6_token_output,
     "op7_simhash_near_dedup": op7_simhash_near_dedup,
     "op8_packing": op8_packing,
@@ -99,6 +105,37 @@ SELECT w.doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(n_hit, 0) AS
        CAST(coalesce(n_items, 0) AS BIGINT) AS n_items, sha256(coalesce(ids, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(ws) AS contaminated
 FROM w LEFT JOIN cov USING (doc_id) LEFT JOIN own USING (doc_id)
+""",
+    "op5_license_scan": r"""
+WITH files AS (SELECT doc_id, text, concat_ws('/', source, lang,
+    CASE WHEN regexp_matches(split_part(text, chr(10), 1), '(?i)licen[sc]|copyright|copyleft|creative commons|public domain|spdx')
+         THEN 'LICENSE-' || doc_id ELSE doc_id || '.txt' END) AS path FROM documents),
+found AS (SELECT doc_id, s FROM (SELECT doc_id, unnest(string_split(text, chr(10))) AS s FROM files)
+    WHERE regexp_matches(s, '(?i)licen[sc]|copyright|copyleft|creative commons|public domain|spdx')
+  UNION ALL SELECT doc_id, text FROM files WHERE path LIKE '%/LICENSE-%' AND text IS NOT NULL),
+folded AS (SELECT s, count(*) AS n FROM found GROUP BY s),
+tf AS (SELECT s, any_value(n) AS n, term, count(*) AS tf FROM (SELECT s, n, unnest(regexp_extract_all(
+    translate(s, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM folded) GROUP BY s, term),
+df AS (SELECT term, sum(n) AS df FROM tf GROUP BY term),
+known(licence, t) AS (VALUES @@TEMPLATES@@),
+ktf AS (SELECT licence, term, count(*) AS tf FROM (SELECT licence, unnest(regexp_extract_all(lower(t), '[a-z0-9]+(?:[.-][a-z0-9]+)*')) AS term FROM known) GROUP BY ALL),
+w AS (SELECT s, term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM found)) / (1 + df)) + 1) AS w FROM tf JOIN df USING (term)),
+v AS (SELECT licence, term, (1 + ln(tf)) * (ln((1 + (SELECT count(*) FROM found)) / (1 + coalesce(df, 0))) + 1) AS v FROM ktf LEFT JOIN df USING (term)),
+wn AS (SELECT s, sqrt(sum(w * w)) AS wn FROM w GROUP BY s),
+vn AS (SELECT licence, sqrt(sum(v * v)) AS vn FROM v GROUP BY licence),
+cosines AS (SELECT s, licence, round(dot / (wn * vn), 6) AS c FROM
+    (SELECT s, licence, sum(w * v) AS dot FROM w JOIN v USING (term) GROUP BY s, licence) JOIN wn USING (s) JOIN vn USING (licence)),
+best AS (SELECT s, min({'least': -c, 'licence': licence}) AS best FROM cosines WHERE c >= 0.6 GROUP BY s),
+own AS (SELECT doc_id, min(best) AS own FROM found JOIN best USING (s) GROUP BY doc_id),
+places AS (SELECT doc_id, path, own, regexp_replace(path, '/?[^/]*$', '') AS folder FROM files LEFT JOIN own USING (doc_id)),
+licensed AS (SELECT folder AS above, min(own) AS given FROM places WHERE path LIKE '%/LICENSE-%' AND own IS NOT NULL GROUP BY folder),
+ups AS (SELECT folder, d, array_to_string(list_slice(string_split(folder, '/'), 1, d), '/') AS above
+    FROM (SELECT folder, unnest(generate_series(0, len(string_split(folder, '/')))) AS d FROM (SELECT DISTINCT folder FROM places))),
+nearest AS (SELECT folder, arg_max(above, d) AS above, arg_max(given, d) AS given FROM ups JOIN licensed USING (above) GROUP BY folder)
+SELECT doc_id, path, coalesce(own, given).licence AS licence, -coalesce(own, given).least AS cosine,
+       CASE WHEN own IS NOT NULL THEN 'header' WHEN given IS NOT NULL THEN 'folder' END AS via,
+       CASE WHEN own IS NULL THEN above END AS folder
+FROM places LEFT JOIN nearest USING (folder)
 """,
     "op9_url_filter": r"""
 WITH RECURSIVE p AS (SELECT page_id, url, html,
@@ -123,3 +160,5 @@ FROM p LEFT JOIN own ON p.page_id = own.page_id AND p.url = own.url
 LEFT JOIN bad ON bad.x = p.host || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END
 """,
 }
+ORACLE["op5_license_scan"] = ORACLE["op5_license_scan"].replace(
+    "@@TEMPLATES@@", ", ".join(f"('{name}', '{text}')" for name, text in license_scan.TEMPLATES))
