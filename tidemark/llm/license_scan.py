@@ -24,6 +24,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .common import stored
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TRIGGER = r"(?i)licen[sc]|copyright|copyleft|creative commons|public domain|spdx"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice|unlicense)([._-][^/]*)?$"
@@ -103,7 +105,7 @@ def licences(spark: SparkSession, files: DataFrame, templates: list[tuple[str, s
     ``templates`` is a short list of (licence, statement).
     """
     rows = files.select(files["file_id"], files["path"].cast("string").alias("path"), files["text"].cast("string").alias("text"))
-    found = segments(rows)
+    found = stored(spark, segments(rows), "licence-lines")  # the texts are read once
     named = segment_licences(spark, found, templates or TEMPLATES, threshold)
     own = found.filter("file_id is not null").select("file_id", "key").join(named, "key").groupBy("file_id").agg(F.min("best").alias("own"))
     places = rows.select("file_id", "path").join(own, "file_id", "left").withColumn("folder", folder_of(F.col("path")))
@@ -116,6 +118,8 @@ def licences(spark: SparkSession, files: DataFrame, templates: list[tuple[str, s
     nearest = places.filter("own is null and folder is not null").select("folder").distinct() \
         .select("folder", F.explode(ancestors).alias("a")).select("folder", "a.depth", "a.above") \
         .join(licensed, "above").groupBy("folder").agg(F.max_by(F.struct("above", "given"), "depth").alias("from"))
+    # Written, so that the join below deals both sides and can split a folder that holds many files.
+    nearest = stored(spark, nearest, "licensed-folders")
     out = places.join(nearest, "folder", "left")
     best = F.coalesce("own", "from.given")
     return out.select("file_id", "path", best["licence"].alias("licence"), (-best["least"]).alias("cosine"),
