@@ -50,7 +50,7 @@ def encoder(path: str) -> "Encoder":
 class Encoder:
     """``rows(column)`` gives all ids of a string column and the row offsets."""
 
-    def __init__(self, path: str, most_pieces: int = 1_500_000):
+    def __init__(self, path: str, most_pieces: int = 1_000_000):
         single_thread()
         from tokenizers import Tokenizer
 

@@ -63,7 +63,7 @@ def _cut_points(docs: DataFrame, n: int) -> np.ndarray:
 
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_id: int = 2,
-                 percentile: float = 0.9, shard_bytes: int = 16 << 20) -> list[tuple[int, int, int]]:
+                 percentile: float = 0.9, shard_bytes: int = 8 << 20) -> list[tuple[int, int, int]]:
     """Write all documents below ``path``; returns (shard, documents, ids) of each file, ascending.
 
     ``shard_bytes`` is the input size of a shard, ``percentile`` the share of a
@@ -76,7 +76,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str | None = None, end_i
     def encode(batches):
         enc = encoder(tokenizer)
         for batch in batches:
-            for part in T.slices(batch, "text", 8 << 20):
+            for part in T.slices(batch, "text", 3 << 20):
                 ids, off = enc.rows(part.column(1))
                 end = np.array([end_id], enc.dtype).tobytes()
                 raw, size = ids.tobytes(), ids.itemsize
