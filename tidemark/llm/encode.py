@@ -67,10 +67,25 @@ class Encoder:
         self._reset()
 
     def _reset(self):
-        self.keys = np.zeros(0, np.uint64)
-        self.at = np.zeros(0, np.int64)
-        self.n = np.zeros(0, np.int64)
-        self.ids = np.zeros(0, self.dtype)
+        # Two ascending tables of (piece hash, place of its ids, number of ids): most pieces, and the latest ones.
+        self.tables = [self._table(), self._table()]
+        self.ids, self.n_ids = np.zeros(1 << 16, self.dtype), 0
+
+    @staticmethod
+    def _table(*rows):
+        if not rows:
+            return np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        keys, at, n = (np.concatenate(x) for x in zip(*rows))
+        order = np.argsort(keys, kind="stable")
+        return keys[order], at[order], n[order]
+
+    def _keep(self, ids: np.ndarray) -> int:
+        """Append ids to the store, which grows by doubling; returns their place."""
+        at, self.n_ids = self.n_ids, self.n_ids + len(ids)
+        if self.n_ids > len(self.ids):
+            self.ids = np.concatenate([self.ids, np.zeros(max(len(self.ids), len(ids)), self.dtype)])
+        self.ids[at:self.n_ids] = ids
+        return at
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         got = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
@@ -123,19 +138,23 @@ class Encoder:
 
     def _lookup(self, keys, data, starts, ends) -> tuple[np.ndarray, np.ndarray]:
         """Place and number of each piece's ids in ``self.ids``; new pieces are encoded and added."""
-        if len(self.keys) > self.most_pieces:
+        if sum(len(t[0]) for t in self.tables) > self.most_pieces:
             self._reset()
-        i = np.minimum(np.searchsorted(self.keys, keys), max(0, len(self.keys) - 1))
-        known = self.keys[i] == keys if len(self.keys) else np.zeros(len(keys), bool)
-        new = np.flatnonzero(~known)
+        at, n = np.zeros(len(keys), np.int64), np.zeros(len(keys), np.int64)
+        new = np.arange(len(keys))
+        for known, place, size in self.tables:
+            if len(known):
+                i = np.minimum(np.searchsorted(known, keys[new]), len(known) - 1)
+                hit = known[i] == keys[new]
+                at[new[hit]], n[new[hit]] = place[i[hit]], size[i[hit]]
+                new = new[~hit]
         if len(new):
             raw = data.tobytes()
-            ids, n = self._encode([raw[s:e].decode() for s, e in zip(starts[new], ends[new])])
-            at = len(self.ids) + np.concatenate([[0], np.cumsum(n)])[:-1]
-            self.ids = np.concatenate([self.ids, ids])
-            order = np.argsort(all_keys := np.concatenate([self.keys, keys[new]]), kind="stable")
-            self.keys = all_keys[order]
-            self.at = np.concatenate([self.at, at])[order]
-            self.n = np.concatenate([self.n, n])[order]
-            i = np.searchsorted(self.keys, keys)
-        return self.at[i], self.n[i]
+            ids, size = self._encode([raw[s:e].decode() for s, e in zip(starts[new], ends[new])])
+            at[new], n[new] = self._keep(ids) + np.cumsum(size) - size, size
+            most, latest = self.tables
+            latest = self._table(latest, (keys[new], at[new], size))
+            if 8 * len(latest[0]) > len(most[0]):
+                most, latest = self._table(most, latest), self._table()
+            self.tables = [most, latest]
+        return at, n
