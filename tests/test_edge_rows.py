@@ -115,6 +115,34 @@ def test_cdc_full_key_and_numeric_pk(spark):
     assert cdc.dim_rows(dims, full_key=True).first().dim_key == "DIM:SKU_INFO:1:x"
 
 
+def test_full_keys_stay_different(spark):
+    rows = [{"a": 1, "b": None}, {"a": None, "b": 1}, {"a": "x:y", "b": "z"}, {"a": "x", "b": "y:z"}, {"a": "x\\", "b": ":"}]
+    docs = [{"table": "sku_info", "type": "INSERT", "pkNames": ["a", "b"], "data": rows}]
+    parsed = cdc.valid(cdc.parse(_cdc(spark, docs)))
+    dims, _ = cdc.split(parsed)
+    want = ["DIM:SKU_INFO:x:y\\:z", "DIM:SKU_INFO:x\\:y:z", "DIM:SKU_INFO:x\\\\:\\:"]
+    assert sorted(r.dim_key for r in cdc.dim_rows(dims, full_key=True).collect()) == sorted(want)
+    assert sorted(r.dim_key for r in cdc.route_all(parsed, full_key=True).collect()) == sorted(want)
+
+
+def test_dotted_pk_name(spark):
+    docs = [{"table": "sku_info", "type": "INSERT", "pkNames": ["a.b"], "data": [{"a.b": 5}]}]
+    dims, _ = cdc.split(cdc.valid(cdc.parse(_cdc(spark, docs))))
+    assert cdc.dim_rows(dims).first().dim_key == "DIM:SKU_INFO:5"
+
+
+def test_payload_keeps_every_digit(spark):
+    text = '{"table": "t", "type": "INSERT", "pkNames": null, "data": [{"m": 12345678901234567.89, "n": 98765432109876543210, "q": 0.1}]}'
+    raw = spark.createDataFrame([(1, text)], "seq long, value string")
+    value = cdc.route_facts(cdc.valid(cdc.parse(raw))).first().value
+    assert value == '{"m":12345678901234567.89,"n":98765432109876543210,"q":0.1}'
+
+
+def test_snapshot_messages_are_keyed(spark):
+    env = cdc.snapshot_envelopes({"user_info": spark.createDataFrame([(7, "x")], "id long, name string")})
+    assert [r.key for r in env.collect()] == ["DIM:USER_INFO:7"]
+
+
 def test_null_messages_are_quarantined(spark):
     logs_df = spark.createDataFrame([(1, None), (2, '{"ts": 1, "page": {}}')], "event_id long, value string")
     assert [r.event_id for r in logs.quarantine(logs.parse(logs_df)).collect()] == [1]

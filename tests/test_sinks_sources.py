@@ -94,17 +94,6 @@ def test_serving_defaults_to_today_and_rejects_bad_days(spark):
     assert [tuple(r) for r in serving.dau_total(dau, "2030-01-01").collect()] == [("2030-01-01", 0)]
 
 
-def test_spread_is_a_no_op_on_split_inputs(spark):
-    from tidemark.sources.tables import read_table, spread
-
-    cores = spark.sparkContext.defaultParallelism
-    many = spark.range(0, 1000, numPartitions=cores * 2)
-    assert spread(many) is many
-    one = read_table(spark, SMALL, "events")
-    assert one.rdd.getNumPartitions() == 1
-    assert spread(one).rdd.getNumPartitions() == cores
-
-
 def test_local_path_of_checkpoint_uris():
     from tidemark.session import _local_path
 

@@ -39,13 +39,13 @@ DAU_INFO = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
-# Change-record envelope.  ``data`` elements differ per table, so they are
-# kept as JSON text up to the point where a table-specific reader types them.
+# Change-record envelope.  ``data`` elements differ per table; as variants they
+# keep every digit of a number, which a detour over double would lose.
 CDC_ENVELOPE = T.StructType([
     T.StructField("table", T.StringType()),
     T.StructField("type", T.StringType()),
     T.StructField("pkNames", T.ArrayType(T.StringType())),
-    T.StructField("data", T.ArrayType(T.StringType())),
+    T.StructField("data", T.ArrayType(T.VariantType())),
     T.StructField(CORRUPT, T.StringType()),
 ])
 

@@ -40,7 +40,7 @@ def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("doc.table").alias("table"),
         F.col("doc.type").alias("type"),
         F.col("doc.pkNames").alias("pkNames"),
-        F.col("doc.data").alias("data"),
+        F.transform("doc.data", lambda v: F.to_json(v)).alias("data"),
         corrupt_text().alias(CORRUPT),
     )
 
@@ -90,6 +90,21 @@ def route_facts(facts: DataFrame) -> DataFrame:
     return routed.select(*keep, "topic", F.col("pos").cast("bigint").alias("pos"), "value")
 
 
+def first_pk() -> Column:
+    """Value of the first pk column; its name is quoted, so dots in it are no path."""
+    return F.expr("get_json_object(value, concat('$[\\'', try_element_at(pkNames, 1), '\\']'))")
+
+
+def full_pk() -> Column:
+    """All pk values joined by ``:``; null when any is null.
+
+    ``\\`` and ``:`` inside a value are escaped, so different keys stay different.
+    """
+    parts = F.expr("transform(pkNames, n -> regexp_replace("
+                   "get_json_object(value, concat('$[\\'', n, '\\']')), '([\\\\\\\\:])', '\\\\\\\\$1'))")
+    return F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, ":"))
+
+
 def dim_rows(dims: DataFrame, full_key: bool = False,
              observation: Observation | None = None) -> DataFrame:
     """Dimension changelog: ``dim_table, pk, dim_key, type, pos, value`` (+ passthrough).
@@ -107,10 +122,7 @@ def dim_rows(dims: DataFrame, full_key: bool = False,
         dims.where(F.col("pkNames").isNotNull() & (F.size("pkNames") > 0))
     exploded = rows.select(*keep, F.col("table").alias("dim_table"), "type", "pkNames",
                            F.posexplode("data").alias("pos", "value"))
-    if full_key:
-        pk = F.expr("array_join(transform(pkNames, n -> get_json_object(value, concat('$.', n))), ':')")
-    else:
-        pk = F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))")
+    pk = full_pk() if full_key else first_pk()
     out = exploded.select(*keep, "dim_table", pk.alias("pk"), "type", "pkNames",
                           F.col("pos").cast("bigint").alias("pos"), "value")
     if observation is not None:
@@ -130,7 +142,7 @@ DIM_TOPIC_PREFIX = "DIM_"
 ROUTED_COLUMNS = ("route", "dim_table", "pk", "dim_key", "type", "pos", "value", "msg_key")
 
 
-def route_all(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES) -> DataFrame:
+def route_all(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES, full_key: bool = False) -> DataFrame:
     """Both arms in one pass: every data row with its ``route``.
 
     Dimension images get ``route = DIM_<TABLE>`` plus ``pk`` / ``dim_key``
@@ -147,8 +159,7 @@ def route_all(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES) -> DataFrame:
     rows = parsed.where(usable).select(
         *keep, "table", "type", "pkNames", is_dim.alias("_dim"), op.alias("_op"),
         F.posexplode("data").alias("pos", "value"))
-    first_pk = F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))")
-    rows = rows.withColumn("_pk", first_pk).withColumn("pk", F.when(F.col("_dim"), F.col("_pk"))) \
+    rows = rows.withColumn("_pk", full_pk() if full_key else first_pk()).withColumn("pk", F.when(F.col("_dim"), F.col("_pk"))) \
                .where(~F.col("_dim") | F.col("pk").isNotNull())
     route = F.when(F.col("_dim"), F.concat(F.lit(DIM_TOPIC_PREFIX), F.upper("table"))) \
              .otherwise(fact_topic(F.col("table"), F.col("_op")))
@@ -181,8 +192,7 @@ def dim_rows_null_pk(dims: DataFrame) -> DataFrame:
     keyed = dims.where(F.col("pkNames").isNotNull() & (F.size("pkNames") > 0))
     rows = keyed.select(*keep, F.col("table").alias("dim_table"), "type", "pkNames",
                         F.posexplode("data").alias("pos", "value"))
-    pk = F.expr("get_json_object(value, concat('$.', try_element_at(pkNames, 1)))")
-    return rows.where(pk.isNull()).drop("pkNames")
+    return rows.where(first_pk().isNull()).drop("pkNames")
 
 
 def dim_rows_rejected(dims: DataFrame) -> DataFrame:
@@ -233,11 +243,14 @@ def snapshot_envelopes(tables: Mapping[str, DataFrame], pk_names: Sequence[str]
 
     The source system sent one envelope per table holding every row; one
     envelope per row carries the same rows after ``posexplode`` and keeps
-    every message bounded whatever the table size.
+    every message bounded whatever the table size.  ``key`` is the
+    dimension key: sent as the message key it keeps a row's images in one
+    partition, in order.
     """
     frames = []
     for name, df in tables.items():
-        frames.append(df.select(F.to_json(F.struct(
+        key = F.concat(F.lit(f"{DIM_KEY_PREFIX}{name.upper()}:"), F.col(pk_names[0]).cast("string"))
+        frames.append(df.select(key.alias("key"), F.to_json(F.struct(
             F.array(F.struct(*df.columns)).alias("data"),
             F.lit(name).alias("table"),
             F.lit(type_).alias("type"),

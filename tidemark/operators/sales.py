@@ -47,12 +47,10 @@ def wide(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, part: Data
     c = customer.select("c_custkey", "c_nationkey")
     p = part.select("p_partkey", "p_name", "p_brand")
     n = nation.select("n_nationkey", "n_name")
-    # Provinces are a fixed, small domain (25 in the test schema): broadcast
-    # them, so order lines are never shuffled on a key with that few values.
-    j = (li.join(o, li.l_orderkey == o.o_orderkey)
-           .join(c, F.col("o_custkey") == c.c_custkey)
-           .join(p, F.col("l_partkey") == p.p_partkey)
-           .join(F.broadcast(n), F.col("c_nationkey") == n.n_nationkey))
+    # Customer and province are joined at order grain, so that lines are
+    # shuffled twice only: by order and by part.
+    users = o.join(c.join(n, F.col("c_nationkey") == n.n_nationkey), F.col("o_custkey") == c.c_custkey)
+    j = li.join(users, li.l_orderkey == F.col("o_orderkey")).join(p, F.col("l_partkey") == p.p_partkey)
     ck = F.col("c_custkey")
     return j.select(
         F.col("o_orderkey").alias("order_id"),

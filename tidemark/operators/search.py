@@ -83,7 +83,8 @@ def find(docs: DataFrame, text_col: str, query: str, term_col: str | None = None
     order = [F.desc_nulls_last(sort_col)] if sort_col else []
     if tie_col:
         order.append(F.asc(tie_col))
-    page = hits.orderBy(*order).offset(start).limit(size) if start else hits.orderBy(*order).limit(size)
+    page = hits.orderBy(*order) if order else hits
+    page = page.offset(start).limit(size) if start else page.limit(size)
     if with_highlight:
         page = page.withColumn("highlight", highlight(F.col(text_col), query))
     return page

@@ -6,14 +6,11 @@ FACTS = """
 facts AS (
   SELECT 'DWD_ORDER_INFO_' || CASE o_orderstatus WHEN 'F' THEN 'I' WHEN 'O' THEN 'U' WHEN 'P' THEN 'D' END
            AS topic,
-         o_orderkey * 10 AS seq, CAST(0 AS BIGINT) AS pos,
-         o_orderkey AS record_id, o_totalprice AS amount
-  FROM orders WHERE o_orderkey % 97 <> 0 AND o_orderstatus IN ('F', 'O', 'P')
+         pos, CAST(NULL AS BIGINT) AS line_no, o_orderkey AS record_id, o_totalprice + pos AS amount
+  FROM orders, (VALUES (CAST(0 AS BIGINT)), (CAST(1 AS BIGINT))) AS p(pos)
+  WHERE o_orderkey % 97 <> 0 AND o_orderstatus IN ('F', 'O', 'P') AND (pos = 0 OR o_orderstatus = 'O')
   UNION ALL
-  SELECT 'DWD_ORDER_DETAIL_I', l_orderkey * 10 + 1,
-         row_number() OVER (PARTITION BY l_orderkey
-                            ORDER BY l_linenumber, l_partkey, l_quantity, l_extendedprice, l_discount) - 1,
-         l_orderkey, l_extendedprice
+  SELECT 'DWD_ORDER_DETAIL_I', 0, l_linenumber, l_orderkey, l_extendedprice
   FROM lineitem
 )"""
 
@@ -42,7 +39,7 @@ latest AS (
 )"""
 
 SQL = {
-    "cdc_route_facts": "WITH " + FACTS + "\nSELECT topic, seq, pos, record_id, amount FROM facts",
+    "cdc_route_facts": "WITH " + FACTS + "\nSELECT topic, pos, line_no, record_id, amount FROM facts",
     "cdc_route_counts": "WITH " + FACTS + "\nSELECT topic, count(*) AS n FROM facts GROUP BY topic",
     "dim_latest_counts": "WITH " + DIMS + """
 SELECT dim_table, count(*) AS n_keys,

@@ -26,9 +26,9 @@ def dim_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_cdc_route_facts(spark, sf_dir):
     msgs = fact_messages(spark, sf_dir)
     # One parse per message for the four fields read.
-    row = F.from_json("value", "id bigint, order_id bigint, total double, price double")
-    m = msgs.select("topic", "seq", "pos", row.alias("r"))
-    return m.select("topic", "seq", "pos",
+    row = F.from_json("value", "id bigint, order_id bigint, line_no bigint, total double, price double")
+    m = msgs.select("topic", "pos", row.alias("r"))
+    return m.select("topic", "pos", F.col("r.line_no").alias("line_no"),
                     F.coalesce("r.id", "r.order_id").alias("record_id"),
                     F.coalesce("r.total", "r.price").alias("amount"))
 

@@ -3,8 +3,7 @@
 The engine's inputs are JSON page logs and JSON change records (one
 document per message).  The test warehouse holds plain tables, so these
 adapters render those tables as the messages the jobs consume; the
-mapping is fixed in FIXTURES.md §2.  All are narrow projections except
-``cdc_raw``'s order-detail part, which groups lines per order.
+mapping is fixed in FIXTURES.md §2.  All are narrow projections.
 """
 
 from __future__ import annotations
@@ -15,14 +14,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ensure_utc
-from .tables import read_table, spread
+from .tables import read_table
 
-# Largest number of data rows in one order_detail envelope.  Orders with
-# more lines (a hot key) are cut into several envelopes, so no single row,
-# group or task has to hold an unbounded array.
-MAX_ROWS_PER_ENVELOPE = 512
-
-# Sequence layout: seq = key * 10 + part code, unique per message.
+# Sequence layout: seq = key (order lines: position) * 10 + part code, unique per message.
 SEQ_ORDER_INFO, SEQ_ORDER_DETAIL = 0, 1
 SEQ_USER_INSERT, SEQ_USER_UPDATE, SEQ_USER_DELETE = 2, 3, 4
 SEQ_SKU, SEQ_PROVINCE = 5, 6
@@ -35,7 +29,7 @@ def _k(props: Column) -> Column:
 def raw_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` -> ``(event_id, value)`` where value is the page-log JSON text."""
     ensure_utc(spark)
-    return raw_log_from(spread(read_table(spark, sf_dir, "events")))
+    return raw_log_from(read_table(spark, sf_dir, "events"))
 
 
 def raw_log_from(ev: DataFrame) -> DataFrame:
@@ -78,33 +72,34 @@ def _id_pk() -> Column:
 def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Change log ``(seq, value)`` built from the warehouse tables (FIXTURES.md §2.2)."""
     ensure_utc(spark)
-    orders = spread(read_table(spark, sf_dir, "orders"))
+    orders = read_table(spark, sf_dir, "orders")
     status_type = (F.when(F.col("o_orderkey") % 97 == 0, F.lit("QUERY"))
                    .when(F.col("o_orderstatus") == "F", F.lit("INSERT"))
                    .when(F.col("o_orderstatus") == "O", F.lit("UPDATE"))
                    .when(F.col("o_orderstatus") == "P", F.lit("DELETE")))
-    order_row = F.struct(
-        F.col("o_orderkey").alias("id"),
-        F.col("o_custkey").alias("user_id"),
-        F.col("o_totalprice").alias("total"),
-        F.col("o_orderstatus").alias("status"),
-        F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
-    )
+
+    def order_row(total: Column) -> Column:
+        return F.struct(
+            F.col("o_orderkey").alias("id"),
+            F.col("o_custkey").alias("user_id"),
+            total.alias("total"),
+            F.col("o_orderstatus").alias("status"),
+            F.date_format("o_orderdate", "yyyy-MM-dd").alias("day"),
+        )
+
+    # An update carries two rows, so that envelopes of several rows are covered.
+    first, second = order_row(F.col("o_totalprice")), order_row(F.col("o_totalprice") + 1)
+    order_rows = F.when(F.col("o_orderstatus") == "O", F.array(first, second)).otherwise(F.array(first))
     order_info = orders.select(
         (F.col("o_orderkey") * 10 + SEQ_ORDER_INFO).alias("seq"),
-        _envelope("order_info", status_type, _id_pk(), F.array(order_row)).alias("value"),
+        _envelope("order_info", status_type, _id_pk(), order_rows).alias("value"),
     )
 
-    lineitem = read_table(spark, sf_dir, "lineitem")
-    # Physical identity of each line (file, row index): distinct even for exact copies.
-    lineitem = lineitem.withColumn("_line_id", F.xxhash64(F.col("_metadata.file_path"),
-                                                          F.col("_metadata.row_index")))
-    # No spread here: the work before the per-order shuffle is light.
-    order_detail = _order_detail_envelopes(lineitem)
+    order_detail = order_detail_envelopes(read_table(spark, sf_dir, "lineitem"))
 
     # All images of a customer (insert; update for even keys; delete for
     # keys = 1 mod 50) come from one scan, one row per image.
-    cust = spread(read_table(spark, sf_dir, "customer"))
+    cust = read_table(spark, sf_dir, "customer")
     ck = F.col("c_custkey")
 
     def image(code: int, type_: str, pk_names: Column, balance: Column) -> Column:
@@ -146,16 +141,13 @@ def cdc_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def _order_detail_envelopes(lineitem: DataFrame) -> DataFrame:
-    """One INSERT envelope per order with all its lines (cut into bounded chunks).
+def order_detail_envelopes(lineitem: DataFrame) -> DataFrame:
+    """One INSERT envelope per order line: a narrow projection of the scan.
 
-    The line count per order is a partial-aggregated count; orders whose
-    count exceeds ``MAX_ROWS_PER_ENVELOPE`` spread their lines over
-    ``ceil(n / MAX)`` chunks by a hash of each line's physical identity
-    (``_line_id``; else of its content), so a hot order, even one made of
-    exact copies of a line, becomes envelopes of about ``MAX`` lines each.
-    The array is sorted, so positions inside it are deterministic.
+    ``seq`` is the line's position in the table (file name and row index),
+    so it is unique however many lines, or copies of a line, an order has.
     """
+    position = F.xxhash64(F.col("_metadata.file_name")).bitwiseAND(0x3FFFFF) * (1 << 37) + F.col("_metadata.row_index")
     line = F.struct(
         F.col("l_orderkey").alias("order_id"),
         F.col("l_linenumber").alias("line_no"),
@@ -164,18 +156,9 @@ def _order_detail_envelopes(lineitem: DataFrame) -> DataFrame:
         F.col("l_extendedprice").alias("price"),
         F.col("l_discount").alias("discount"),
     )
-    ident = F.col("_line_id") if "_line_id" in lineitem.columns else F.xxhash64(line)
-    li = lineitem.select("l_orderkey", line.alias("line"), ident.alias("_line_id"))
-    counts = li.groupBy("l_orderkey").agg(F.count(F.lit(1)).alias("n_lines"))
-    n_chunks = F.greatest(F.lit(1), F.ceil(F.col("n_lines") / F.lit(MAX_ROWS_PER_ENVELOPE)))
-    chunked = (li.join(counts, "l_orderkey")
-                 .withColumn("chunk", F.pmod(F.col("_line_id"), n_chunks)))
-    grouped = chunked.groupBy("l_orderkey", "chunk").agg(
-        F.array_sort(F.collect_list("line")).alias("lines"))
-    return grouped.select(
-        (F.col("l_orderkey") * 10 + SEQ_ORDER_DETAIL).alias("seq"),
-        _envelope("order_detail", F.lit("INSERT"), F.lit(None).cast("array<string>"),
-                  F.col("lines")).alias("value"),
+    return lineitem.select(
+        (position * 10 + SEQ_ORDER_DETAIL).alias("seq"),
+        _envelope("order_detail", F.lit("INSERT"), F.lit(None).cast("array<string>"), F.array(line)).alias("value"),
     )
 
 

@@ -19,22 +19,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Lazy parquet scan; Catalyst prunes columns and pushes filters into it."""
     return spark.read.parquet(table_path(sf_dir, name))
 
-
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer partitions than the session has cores.
-
-    A small file with a single row group is one task, so CPU-heavy narrow
-    work after it (JSON rendering and parsing) would run on one core.
-    Large inputs already have many splits and are returned unchanged: on a
-    cluster this is a no-op, and no shuffle is added.
-    """
-    if df.isStreaming:
-        return df
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # no RDD access (e.g. a Spark Connect session): leave as is
-        return df
-    if splits >= cores:
-        return df
-    return df.repartition(cores)

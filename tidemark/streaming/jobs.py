@@ -22,6 +22,7 @@ from pyspark.sql import types as T
 
 from .. import sinks
 from ..operators import cdc
+from ..session import BASE_CONF
 from ..sources.jdbc import jdbc_table
 from ..sources.streams import file_stream, log_stream
 from . import cdc_stream, dau_stream
@@ -71,9 +72,9 @@ def publish_snapshot(tables: dict[str, DataFrame], topic: str, out: str | None =
     (Kafka) or written under ``out/topic=<topic>`` (files)."""
     env = cdc.snapshot_envelopes(tables).withColumn("topic", F.lit(topic))
     if out:
-        sinks.topic_fanout(env, path=out)
+        sinks.topic_fanout(env, path=out, key_col="key")
     else:
-        sinks.topic_fanout(env, fmt="kafka", bootstrap=bootstrap)
+        sinks.topic_fanout(env, fmt="kafka", bootstrap=bootstrap, key_col="key")
 
 
 def snapshot_job(spark: SparkSession, args) -> None:
@@ -131,10 +132,10 @@ def main(argv: list[str] | None = None) -> None:
         missing.append("--bootstrap (or --out)")
     if missing:
         p.error(f"{args.job} needs {', '.join(missing)}")
-    spark = (SparkSession.builder.appName(f"tidemark-{args.job}")
-             .config("spark.ui.enabled", "true" if args.spark_ui else "false")
-             .getOrCreate())
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    builder = SparkSession.builder.appName(f"tidemark-{args.job}")
+    for k, v in (BASE_CONF | {"spark.ui.enabled": "true" if args.spark_ui else "false"}).items():
+        builder = builder.config(k, v)
+    spark = builder.getOrCreate()
     if args.job == "snapshot":
         snapshot_job(spark, args)
         return
