@@ -27,10 +27,10 @@ def test_parse_quarantine_and_types(spark):
     parsed = logs.parse(_log(spark, docs))
     good = {r.event_id: r for r in logs.valid(parsed).collect()}
     bad = {r.event_id for r in logs.quarantine(parsed).collect()}
-    assert bad == {0, 2, 5}
+    assert bad == {0, 2, 3, 5}
+    assert {r.event_id: r.fault for r in logs.quarantine(parsed).collect()} == {0: "json", 2: "ts", 3: "common", 5: "json"}
     assert good[1].ts == DAY_MS + 1000
     assert good[4].common.mid == "7"
-    assert good[3].common is None
     row0 = logs.quarantine(parsed).where("event_id = 0").first()
     assert row0[CORRUPT] == "{not json"
 
@@ -144,7 +144,7 @@ def test_snapshot_messages_are_keyed(spark):
 
 
 def test_null_messages_are_quarantined(spark):
-    logs_df = spark.createDataFrame([(1, None), (2, '{"ts": 1, "page": {}}')], "event_id long, value string")
+    logs_df = spark.createDataFrame([(1, None), (2, '{"ts": 1, "common": {}, "page": {}}')], "event_id long, value string")
     assert [r.event_id for r in logs.quarantine(logs.parse(logs_df)).collect()] == [1]
     cdc_df = spark.createDataFrame([(1, None), (2, '{"table": "t", "type": "INSERT", "data": []}')],
                                    "seq long, value string")

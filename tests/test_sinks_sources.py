@@ -65,18 +65,31 @@ def test_observe_counts(spark):
     assert obs_out.get["rows"] == 234
 
 
-def test_replace_days_is_idempotent(spark, tmp_path):
+def test_upsert_is_idempotent(spark, tmp_path):
     path = str(tmp_path / "dau")
     dau = dau_queries.dau_table(spark, SMALL)
     sinks.dau_table(dau, path)
     one_day = dau.where(F.col("dt") == "2024-01-15")
-    sinks.dau_table(one_day, path, mode="replace_days")
-    sinks.dau_table(one_day, path, mode="replace_days")
+    sinks.dau_table(one_day, path, mode="upsert")
+    sinks.dau_table(one_day, path, mode="upsert")
     back = sinks.read_dau_table(spark, path)
     assert back.count() == 234
     assert back.where(F.col("dt") == "2024-01-15").count() == 8
 
 
+def test_upsert_keeps_devices_that_a_batch_lacks(spark, tmp_path):
+    path = str(tmp_path / "dau")
+
+    def rows(*mids):
+        return spark.createDataFrame([(m, "u", "a", "c", "v", "2024-01-01", "08", ts) for m, ts in mids],
+                                     "mid string, uid string, ar string, ch string, vc string, dt string, hr string, ts long")
+
+    sinks.dau_table(rows(("a", 5), ("b", 5), ("c", 5)), path, mode="upsert")
+    sinks.dau_table(rows(("d", 7), ("a", 3), ("b", 9)), path, mode="upsert")
+    got = {r.mid: r.ts for r in sinks.read_dau_table(spark, path).collect()}
+    assert got == {"a": 3, "b": 5, "c": 5, "d": 7}
+
+
 def test_serving_defaults_to_today_and_rejects_bad_days(spark):
     import datetime as _dt
 

@@ -111,8 +111,8 @@ def test_jobs_cli_file_source(spark, tmp_path):
 
     args = jobs.parser().parse_args([
         "dau", "--source", "file", "--source-path", logs_dir, "--table", str(tmp_path / "dau"),
-        "--checkpoint", str(tmp_path / "ck1"), "--trigger", "availableNow"])
-    sinks.await_all([jobs.dau_job(spark, args)])
+        "--checkpoint", str(tmp_path / "ck1"), "--trigger", "availableNow", "--replay"])
+    sinks.await_all(jobs.dau_job(spark, args))
     assert sinks.read_dau_table(spark, str(tmp_path / "dau")).count() == 234
 
     args = jobs.parser().parse_args([
@@ -129,8 +129,7 @@ def test_jobs_cli_file_source(spark, tmp_path):
     args = jobs.parser().parse_args([
         "cdc", "--source", "file", "--source-path", cdc_dir, "--facts", str(tmp_path / "routed"),
         "--checkpoint", str(tmp_path / "ck3"), "--trigger", "availableNow"])
-    q = jobs.cdc_job(spark, args)
-    sinks.await_all([q])
+    sinks.await_all(jobs.cdc_job(spark, args))
     routed = cdc_stream.read_routed(spark, str(tmp_path / "routed"))
     assert cdc.facts_of(routed).count() == facts.count()
     latest = cdc.dim_latest(cdc.dim_log_of(routed))
@@ -233,7 +232,7 @@ def test_jobs_main_as_a_process(spark, tmp_path):
     env = dict(os.environ, PYTHONPATH=root + os.pathsep + os.environ.get("PYTHONPATH", ""))
     cmd = [sys.executable, "-m", "tidemark.streaming.jobs", "dau", "--source", "file",
            "--source-path", logs_dir, "--table", str(tmp_path / "dau"),
-           "--checkpoint", str(tmp_path / "ck"), "--trigger", "availableNow"]
+           "--checkpoint", str(tmp_path / "ck"), "--trigger", "availableNow", "--replay"]
     done = subprocess.run(cmd, env=env, capture_output=True, text=True, timeout=600)
     assert done.returncode == 0, done.stderr[-2000:]
     from tidemark.streaming import jobs

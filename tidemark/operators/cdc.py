@@ -53,6 +53,29 @@ def quarantine(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col(CORRUPT).isNotNull())
 
 
+def rejects(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES) -> DataFrame:
+    """All that routing leaves out, with its ``fault`` (+ passthrough columns, e.g. ``seq``).
+
+    ``json``: not an envelope; ``table``: no table name; ``type``: a fact of
+    another operation; ``pk_names``: a dimension envelope without key
+    columns; ``pk``: a dimension row whose first key value is null;
+    ``data``: an envelope without rows.
+    """
+    keep = [c for c in parsed.columns if c not in ("table", "type", "pkNames", "data", CORRUPT)]
+    is_dim = is_dimension(F.col("table"), dims)
+    whole = (F.when(F.col(CORRUPT).isNotNull(), "json").when(F.col("table").isNull(), "table")
+             .when(~is_dim & op_code(F.col("type")).isNull(), "type")
+             .when(is_dim & (F.col("pkNames").isNull() | (F.size("pkNames") == 0)), "pk_names")
+             .when(F.col("data").isNull() | (F.size("data") == 0), "data"))
+    text = F.coalesce(F.col(CORRUPT), F.to_json(F.struct("table", "type", "pkNames", "data")))
+    none = F.array(F.lit(None).cast("string"))
+    rows = parsed.select(*keep, "table", "pkNames", whole.alias("fault"), is_dim.alias("_dim"),
+                         F.explode(F.when(whole.isNotNull(), F.array(text))
+                                   .when(is_dim, F.col("data")).otherwise(none)).alias("value"))
+    fault = F.coalesce("fault", F.when(F.col("_dim") & first_pk().isNull(), "pk"))
+    return rows.withColumn("fault", fault).where(F.col("fault").isNotNull()).select(*keep, "table", "fault", "value")
+
+
 def is_dimension(table: Column, dims: Sequence[str] = DIM_TABLES) -> Column:
     """Null-safe membership: a null table is not a dimension."""
     return F.coalesce(table.isin(*dims), F.lit(False))

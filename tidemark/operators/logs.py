@@ -32,18 +32,20 @@ def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
     )
 
 
-def _is_valid() -> F.Column:
-    return F.col(CORRUPT).isNull() & F.col("ts").isNotNull()
+def fault() -> F.Column:
+    """Why a parsed row is kept aside: ``json``, ``ts``, ``common``; null for a good row."""
+    return (F.when(F.col(CORRUPT).isNotNull(), "json").when(F.col("ts").isNull(), "ts")
+            .when(F.col("common").isNull(), "common"))
 
 
 def valid(parsed: DataFrame) -> DataFrame:
-    """Rows that parsed and carry a numeric ``ts``."""
-    return parsed.where(_is_valid()).drop(CORRUPT)
+    """Rows that parsed and carry a numeric ``ts`` and a ``common`` part."""
+    return parsed.where(fault().isNull()).drop(CORRUPT)
 
 
 def quarantine(parsed: DataFrame) -> DataFrame:
-    """Rows kept aside instead of failing the batch (bad JSON, no ``ts``)."""
-    return parsed.where(~_is_valid())
+    """Rows kept aside instead of failing the batch, with their ``fault``."""
+    return parsed.withColumn("fault", fault()).where(F.col("fault").isNotNull())
 
 
 def with_dt_hr(df: DataFrame) -> DataFrame:

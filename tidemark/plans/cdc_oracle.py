@@ -39,6 +39,11 @@ latest AS (
 )"""
 
 SQL = {
+    "quarantine_cdc": """
+SELECT 'order_info' AS "table", 'type' AS fault, count(*) AS n FROM orders
+WHERE o_orderkey % 97 = 0 OR o_orderstatus NOT IN ('F', 'O', 'P') HAVING count(*) > 0
+UNION ALL
+SELECT 'user_info', 'pk_names', count(*) FROM customer WHERE c_custkey % 100 = 0 HAVING count(*) > 0""",
     "cdc_route_facts": "WITH " + FACTS + "\nSELECT topic, pos, line_no, record_id, amount FROM facts",
     "cdc_route_counts": "WITH " + FACTS + "\nSELECT topic, count(*) AS n FROM facts GROUP BY topic",
     "dim_latest_counts": "WITH " + DIMS + """

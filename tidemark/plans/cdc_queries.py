@@ -82,7 +82,14 @@ def q_snapshot_envelopes(spark, sf_dir):
                        F.get_json_object("value", "$.name").alias("name"))
 
 
+def q_quarantine_cdc(spark, sf_dir):
+    """All that routing leaves out: table, reason, number."""
+    left = cdc.rejects(cdc.parse(cdc_raw(spark, sf_dir)))
+    return left.groupBy("table", "fault").agg(F.count(F.lit(1)).alias("n"))
+
+
 QUERIES = {
+    "quarantine_cdc": q_quarantine_cdc,
     "cdc_route_facts": q_cdc_route_facts,
     "cdc_route_counts": q_cdc_route_counts,
     "dim_latest_counts": q_dim_latest_counts,

@@ -50,6 +50,9 @@ def _hour_json(day: str) -> str:
 
 
 SQL = {
+    "quarantine_log": """SELECT event_id, CASE WHEN event_id % 97 = 0 THEN 'json' WHEN event_id % 89 = 0 THEN 'common' ELSE 'ts' END AS fault
+FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0""",
+    "dau_upsert": _with("SELECT dt, mid, min(ts) AS ts FROM starts GROUP BY dt, mid"),
     "log_parse_dt_hr": _with(
         "SELECT event_id, ts, dt, hr, mid, uid, ar, ch, vc, has_page, last_page_id FROM log"),
     "session_starts": _with("SELECT event_id, ts, dt, hr, mid FROM starts"),

@@ -9,8 +9,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import sinks
 from ..operators import dau as dau_ops
 from ..operators import logs, serving
+from ..session import scratch_path
 from ..sources.adapters import raw_log
 
 # Fixed query parameters of the test fixtures.
@@ -47,6 +49,32 @@ def dau_view(spark: SparkSession, sf_dir: str, columns: tuple[str, ...]) -> Data
     return dau_ops.dedup(facts).select("dt", "mid", *extra)
 
 
+def damaged_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The page log with some messages cut short, some without ``common`` and some without ``ts``."""
+    raw = raw_log(spark, sf_dir)
+    by = F.col("event_id")
+    value = (F.when(by % 97 == 0, F.expr("left(value, length(value) - 3)"))
+             .when(by % 89 == 0, F.regexp_replace("value", '"common":', '"other":'))
+             .when(by % 83 == 0, F.regexp_replace("value", '"ts":', '"tz":')).otherwise(F.col("value")))
+    return raw.withColumn("value", value)
+
+
+def q_quarantine_log(spark, sf_dir):
+    """Messages kept aside, with the reason."""
+    return logs.quarantine(logs.parse(damaged_log(spark, sf_dir))).select("event_id", "fault")
+
+
+def q_dau_upsert(spark, sf_dir):
+    """A table loaded in two overlapping parts, the second of them twice."""
+    path = scratch_path(spark, "dau_upsert")
+    facts = dau_facts(spark, sf_dir)
+    first = dau_ops.detail(dau_ops.dedup(facts.where(F.col("hr") >= "10")))
+    second = dau_ops.detail(dau_ops.dedup(facts.where(F.col("hr") < "14")))
+    for part in (first, second, second):
+        sinks.dau_table(part, f"{path}/table", mode="upsert")
+    return sinks.read_dau_table(spark, f"{path}/table").select("dt", "mid", "ts")
+
+
 def q_log_parse_dt_hr(spark, sf_dir):
     df = parsed_log(spark, sf_dir)
     return df.select(
@@ -101,6 +129,8 @@ def q_kpi_compare(spark, sf_dir):
 
 
 QUERIES = {
+    "quarantine_log": q_quarantine_log,
+    "dau_upsert": q_dau_upsert,
     "log_parse_dt_hr": q_log_parse_dt_hr,
     "session_starts": q_session_starts,
     "dau_detail": q_dau_detail,

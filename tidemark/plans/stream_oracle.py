@@ -6,6 +6,11 @@ from .cdc_oracle import SQL as CDC_SQL
 from .dau_oracle import LOG
 
 SQL = {
+    "dau_stream_disorder": "WITH " + LOG + """
+SELECT dt, mid, 'stored' AS outcome FROM dau
+UNION ALL
+SELECT strftime(make_timestamp(CAST('4' || CAST(ts AS VARCHAR) AS BIGINT) * 1000), '%Y-%m-%d'), mid, 'future'
+FROM log WHERE event_id % 50 = 7""",
     "dau_stream": "WITH " + LOG + "\nSELECT dt, mid FROM dau",
     "cdc_stream": CDC_SQL["cdc_route_counts"],
     "dim_stream_latest": CDC_SQL["dim_latest_counts"],

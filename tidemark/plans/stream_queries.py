@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..operators import cdc
 from ..session import ensure_utc, scratch_path
-from ..sources.adapters import cdc_raw, raw_log_from
+from ..sources.adapters import cdc_raw, raw_log, raw_log_from
 from ..sources.streams import file_stream, table_stream
 from ..streaming import cdc_stream, dau_stream
 
@@ -67,7 +67,39 @@ def q_dim_stream_latest(spark, sf_dir):
     )
 
 
+def q_dau_stream_disorder(spark, sf_dir):
+    """Device-days stored and messages rejected by a stream whose parts arrive out of order.
+
+    The log comes in four files, one per micro-batch, the newest part first; the
+    first file also repeats some messages with a clock 75 years ahead, and the
+    stream is stopped and resumed half way.
+    """
+    ensure_utc(spark)
+    base = scratch_path(spark, "dau_disorder")
+    raw = raw_log(spark, sf_dir)
+    # Part by hour: every part holds all days.
+    hour = F.hour(F.timestamp_millis(F.get_json_object("value", "$.ts").cast("bigint")))
+    ahead = F.regexp_replace("value", '"ts":([0-9]{2})', '"ts":4$1')
+    clock = F.lit("2024-01-31 00:00:00").cast("timestamp")
+    queries = []
+    for i, part in enumerate((3, 0, 2, 1)):
+        rows = raw.where(F.floor(hour / 6) == part).select("value")
+        if i == 0:
+            rows = rows.unionByName(raw.where("event_id % 50 = 7").select(ahead.alias("value")))
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/source")
+        if i % 2:  # two micro-batches, then a restart from the checkpoint
+            stream = file_stream(spark, f"{base}/source", rows.schema, max_files_per_trigger=1)
+            queries = [dau_stream.start(stream, f"{base}/table", f"{base}/ck", clock=clock, query_name=None),
+                       dau_stream.start_rejects(stream, f"{base}/rejects", f"{base}/ck_rejects", clock, query_name=None)]
+            sinks.await_all(queries)
+    stored = sinks.read_dau_table(spark, f"{base}/table", columns=("mid", "dt")).select("dt", "mid", F.lit("stored").alias("outcome"))
+    rejected = spark.read.parquet(f"{base}/rejects").select(
+        F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd").alias("dt"), "mid", F.col("fault").alias("outcome"))
+    return stored.unionByName(rejected)
+
+
 QUERIES = {
+    "dau_stream_disorder": q_dau_stream_disorder,
     "dau_stream": q_dau_stream,
     "cdc_stream": q_cdc_stream,
     "dim_stream_latest": q_dim_stream_latest,

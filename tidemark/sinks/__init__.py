@@ -13,6 +13,8 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schemas import DAU_INFO
+from ..operators.dau import dedup
+from ..session import scratch_path
 
 
 def apply_trigger(writer, trigger: str | None):
@@ -32,9 +34,8 @@ def dau_table(df: DataFrame, path: str, checkpoint: str | None = None,
 
     A device-day is stored once: the stream dedup guarantees it per run
     and the checkpoint keeps it across restarts.  Batch writes append, or
-    with ``mode="replace_days"`` replace exactly the ``dt`` partitions the
-    batch holds (dynamic partition overwrite), so re-running a day's batch
-    is idempotent.  Returns the streaming query for a stream, else None.
+    with ``mode="upsert"`` keep one row per ``(dt, mid)`` (see
+    ``upsert_days``).  Returns the streaming query for a stream, else None.
     """
     if df.isStreaming:
         if checkpoint is None:
@@ -44,16 +45,43 @@ def dau_table(df: DataFrame, path: str, checkpoint: str | None = None,
         if query_name:
             w = w.queryName(query_name)
         return apply_trigger(w, trigger).start(path)
-    if mode == "replace_days":
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-           .partitionBy("dt").parquet(path))
+    if mode == "upsert":
+        upsert_days(df, path)
     elif mode == "append":
         df.write.mode("append").partitionBy("dt").parquet(path)
     else:
-        raise ValueError("mode must be 'append' or 'replace_days'")
+        raise ValueError("mode must be 'append' or 'upsert'")
     return None
 
 
+def upsert_days(df: DataFrame, path: str) -> None:
+    """Merge a batch into the stored days it touches: one row per ``(dt, mid)``, the earliest.
+
+    Only the batch's days are read (their list is at most one entry per
+    calendar day) and rewritten.  The merged days are written beside the
+    table first and then swapped in by a dynamic partition overwrite, so a
+    run that fails leaves the stored days, and a repeated run changes nothing.
+    """
+    spark = df.sparkSession
+    days = [r.dt for r in df.select("dt").where("dt is not null").distinct().collect()]
+    merged = df.select(*DAU_INFO.fieldNames())
+    if (stored := _stored_days(spark, path, days)) is not None:
+        merged = stored.unionByName(merged)
+    staged = scratch_path(spark, "dau-upsert")
+    dedup(merged, order=("ts",)).write.mode("overwrite").parquet(staged)
+    (spark.read.schema(DAU_INFO).parquet(staged).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
+
+
+def _stored_days(spark, path: str, days: list[str]) -> DataFrame | None:
+    """Stored rows of ``days``, or None where there is no table yet."""
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+        return None
+    return read_dau_table(spark, path).where(F.col("dt").isin(days)).select(*DAU_INFO.fieldNames())
+
+
 def read_dau_table(spark, path: str, columns=None) -> DataFrame:
     """Read the DAU table back with ``dt`` kept as text."""
     fields = [f for f in DAU_INFO.fields if columns is None or f.name in columns]

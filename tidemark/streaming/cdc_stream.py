@@ -60,6 +60,12 @@ def start_single(raw: DataFrame, out_path: str | None, checkpoint: str,
     return sinks.apply_trigger(w, trigger).start(out_path)
 
 
+def start_rejects(raw: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
+                  query_name: str | None = "cdc_rejects"):
+    """Second query over the same source: all that routing leaves out goes to ``path``, with its fault."""
+    return sinks.changelog(cdc.rejects(cdc.parse(raw)), path, checkpoint, trigger=trigger, query_name=query_name)
+
+
 def read_routed(spark, out_path: str) -> DataFrame:
     """Read the one-pass router's folders back (``route`` kept as text)."""
     df = spark.read.parquet(out_path)

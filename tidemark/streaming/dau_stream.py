@@ -7,14 +7,16 @@ emitted again, also after a restart from the same checkpoint.  The
 watermark on ``day_ts`` (event day) bounds the state: a day's keys are
 dropped once the watermark passes it, and rows of such a day arriving
 later are dropped as late instead of being counted twice (Spark filters
-late rows against the previous batch's watermark).  Before the state
-shuffle, a map-side pre-dedup keeps one row per key per input partition,
-so a hot device cannot flood one state task.
+late rows against the previous batch's watermark).  With a ``clock``, rows
+too far ahead of it or too old are taken out before the watermark and go
+to the rejects (``start_rejects``), so that none is lost silently.  Before
+the state shuffle, a map-side pre-dedup keeps one row per key and Arrow
+batch, so a hot device cannot flood one state task.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import dau as dau_ops
@@ -28,73 +30,92 @@ DEFAULT_DELAY = "40 days"
 BATCH_INTERVAL = "5 seconds"
 
 
-# Largest number of keys the map-side pre-dedup remembers per task; past
-# it the memory is reset.  The pre-dedup only thins the input of the
-# stateful dedup, which stays exact, so the reset never changes results.
-PREDEDUP_MAX_KEYS = 500_000
+# How far ahead of the clock an event time may lie (device clocks drift).
+FUTURE_TOLERANCE = "1 day"
 
 
-def _first_in_partition(keys: tuple[str, ...], max_keys: int):
+def _first_in_batch(keys: tuple[str, ...]):
     def run(batches):
-        import numpy as np
-
-        seen: set = set()
         for pdf in batches:
-            k = pdf[keys[0]].astype(str)
-            for c in keys[1:]:
-                k = k + "\x00" + pdf[c].astype(str)
-            first = k[~k.duplicated()]          # first row of each key in this batch
-            # Set lookups for this batch's distinct keys only: cost follows the
-            # batch, not the size of what is remembered.
-            new = np.fromiter((x not in seen for x in first), dtype=bool, count=len(first))
-            if len(seen) > max_keys:
-                seen.clear()
-            seen.update(first[new])
-            yield pdf.loc[first.index[new]]
+            yield pdf.loc[~pdf.duplicated(subset=list(keys))]
     return run
 
 
-def predup_in_partition(df: DataFrame, keys: tuple[str, ...] = ("dt", "mid"),
-                        max_keys: int = PREDEDUP_MAX_KEYS) -> DataFrame:
-    """Drop repeats of a key inside each input partition, before any shuffle.
+def predup_in_batches(df: DataFrame, keys: tuple[str, ...] = ("dt", "mid")) -> DataFrame:
+    """Drop repeats of a key inside each Arrow batch, before any shuffle.
 
     Streaming dedup has no map-side step: every row of a device goes to
-    the one task owning its key.  Keeping only a partition's first row per
-    key bounds what a hot device sends to ``#partitions`` rows per batch.
-    Arrow-batched ``mapInPandas``: no shuffle, schema unchanged.
+    the one task owning its key.  One row per key and batch (10,000 rows)
+    is what a hot device sends at most.  It keeps no state, so it behaves
+    alike at every size; the stateful dedup after it stays exact.
+    """
+    return df.mapInPandas(_first_in_batch(tuple(keys)), df.schema)
+
+
+def outside(clock: Column, delay: str = DEFAULT_DELAY, tolerance: str = FUTURE_TOLERANCE) -> Column:
+    """``future`` or ``late`` for an event time outside [clock - delay, clock + tolerance], else null.
+
+    Applied before the watermark: a row with a wrong clock cannot move it,
+    and no row that passes is behind it (the watermark's own delay is
+    longer by the tolerance and a day), so Spark drops none silently.
     """
-    return df.mapInPandas(_first_in_partition(tuple(keys), max_keys), df.schema)
+    ts = F.timestamp_millis("ts")
+    return (F.when(ts > clock + F.expr(f"interval {tolerance}"), "future")
+            .when(ts < clock - F.expr(f"interval {delay}"), "late"))
+
+
+def rejects(raw: DataFrame, clock: Column | None = None, delay: str = DEFAULT_DELAY) -> DataFrame:
+    """Messages the stream does not take: ``fault`` and the message, ``ts``, ``mid`` where known."""
+    parsed = logs.parse(raw.withColumn("_message", F.col("value")))
+    fault = logs.fault() if clock is None else F.coalesce(logs.fault(), outside(clock, delay))
+    return parsed.select(fault.alias("fault"), "ts", F.col("common.mid").alias("mid"),
+                         F.col("_message").alias("value")).where(F.col("fault").isNotNull())
+
+
+def start_rejects(raw: DataFrame, path: str, checkpoint: str, clock: Column | None = None, delay: str = DEFAULT_DELAY,
+                  trigger: str | None = None, query_name: str | None = "dau_rejects"):
+    """Second query over the same source: bad, future and late messages go to ``path``."""
+    return sinks.changelog(rejects(raw, clock, delay), path, checkpoint, trigger=trigger, query_name=query_name)
 
 
 def dedup_stream(facts: DataFrame, delay: str = DEFAULT_DELAY, map_side: bool = True) -> DataFrame:
     """Keep the first arriving row per ``(event day, mid)`` across micro-batches."""
     keyed = facts.where(F.col("mid").isNotNull() & F.col("dt").isNotNull())
     if map_side:
-        keyed = predup_in_partition(keyed)
+        keyed = predup_in_batches(keyed)
     keyed = keyed.withColumn("day_ts", F.date_trunc("day", F.timestamp_millis("ts")))
     return (keyed.withWatermark("day_ts", delay)
                  .dropDuplicates(["day_ts", "mid"])
                  .drop("day_ts"))
 
 
-def dau_facts_stream(raw: DataFrame, delay: str = DEFAULT_DELAY) -> DataFrame:
+def dau_facts_stream(raw: DataFrame, delay: str = DEFAULT_DELAY, clock: Column | None = None) -> DataFrame:
     """Raw page-log stream -> deduplicated DAU rows (stamped with event time).
 
     Each micro-batch reports its session starts before and its new
     device-days after the dedup as observed metrics ``dau_in`` /
     ``dau_out`` in the query progress (``progress.observed``).
     """
-    facts = dau_ops.to_fact(logs.session_starts(logs.prepared(raw)), keep=())
+    log = logs.prepared(raw)
+    if clock is not None:
+        log = log.where(outside(clock, delay).isNull())
+    facts = dau_ops.to_fact(logs.session_starts(log), keep=())
     facts = facts.observe("dau_in", F.count(F.lit(1)).alias("rows"))
+    if clock is not None:
+        delay = f"{delay} {FUTURE_TOLERANCE} 1 day"
     out = dau_ops.detail(dedup_stream(facts, delay))
     return out.observe("dau_out", F.count(F.lit(1)).alias("rows"))
 
 
 def start(raw: DataFrame, table_path: str, checkpoint: str, delay: str = DEFAULT_DELAY,
           trigger: str | None = None, query_name: str | None = "dau",
-          spread_to: int | None = None, sink_partitions: int | None = None):
+          spread_to: int | None = None, sink_partitions: int | None = None, clock: Column | None = None):
     """Start the DAU stream into the dt-partitioned table; returns the query.
 
+    ``clock`` is what event times are held against (``outside``): the current
+    time for a live source, a fixed time or None for a replay of history.
+    Without it a row behind the watermark is dropped by Spark.
+
     ``spread_to`` round-robins each micro-batch over that many tasks before
     the JSON parse.  Only for sources with too few splits (a replay of one
     small file); a Kafka source gets its parallelism from ``minPartitions``
@@ -108,7 +129,7 @@ def start(raw: DataFrame, table_path: str, checkpoint: str, delay: str = DEFAULT
     """
     if spread_to:
         raw = raw.repartition(spread_to)
-    out = dau_facts_stream(raw, delay)
+    out = dau_facts_stream(raw, delay, clock)
     if sink_partitions:
         out = out.repartition(sink_partitions)
     return sinks.dau_table(out, table_path, checkpoint, trigger=trigger, query_name=query_name)

@@ -50,20 +50,26 @@ def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
 
 def dau_job(spark: SparkSession, args):
     raw = _source(spark, args)
-    return dau_stream.start(raw, args.table, args.checkpoint, delay=args.delay,
+    clock = None if args.replay else F.current_timestamp()
+    main = dau_stream.start(raw, args.table, args.checkpoint, delay=args.delay, clock=clock,
                             trigger=args.trigger, sink_partitions=args.sink_partitions)
+    rejects = dau_stream.start_rejects(raw, args.rejects or f"{args.table.rstrip('/')}_rejects",
+                                       f"{args.checkpoint.rstrip('/')}_rejects", clock, args.delay, args.trigger)
+    return [main, rejects]
 
 
 def cdc_job(spark: SparkSession, args):
     """One-pass router by default; ``--two-queries`` runs the arms separately."""
     raw = _source(spark, args, with_seq=True)
     fmt = "kafka" if args.facts == "kafka" else "parquet"
+    rejects = cdc_stream.start_rejects(raw, args.rejects or f"{args.checkpoint.rstrip('/')}_rejected_rows",
+                                       f"{args.checkpoint.rstrip('/')}_rejects", args.trigger)
     if args.two_queries:
-        return cdc_stream.start(raw, args.dim_log, args.facts if fmt == "parquet" else None,
+        return [rejects, *cdc_stream.start(raw, args.dim_log, args.facts if fmt == "parquet" else None,
                                 args.checkpoint, fact_format=fmt, bootstrap=args.bootstrap,
-                                trigger=args.trigger)
-    return cdc_stream.start_single(raw, args.facts if fmt == "parquet" else None, args.checkpoint,
-                                   fmt=fmt, bootstrap=args.bootstrap, trigger=args.trigger)
+                                trigger=args.trigger)]
+    return [rejects, cdc_stream.start_single(raw, args.facts if fmt == "parquet" else None, args.checkpoint,
+                                             fmt=fmt, bootstrap=args.bootstrap, trigger=args.trigger)]
 
 
 def publish_snapshot(tables: dict[str, DataFrame], topic: str, out: str | None = None,
@@ -103,6 +109,8 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--two-queries", action="store_true",
                    help="cdc: dimension and fact arms as two queries (--dim-log for the first)")
     p.add_argument("--checkpoint")
+    p.add_argument("--rejects", help="folder for messages that are not taken (default: beside the table or checkpoint)")
+    p.add_argument("--replay", action="store_true", help="dau: history, do not hold event times against the current time")
     p.add_argument("--delay", default=dau_stream.DEFAULT_DELAY)
     p.add_argument("--trigger", default=dau_stream.BATCH_INTERVAL)
     p.add_argument("--jdbc-url")
