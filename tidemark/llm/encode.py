@@ -31,6 +31,11 @@ _LATIN1_LETTER = np.zeros(256, bool)  # second byte of U+00C0..U+00FF without th
 _LATIN1_LETTER[0x80:0xC0] = True
 _LATIN1_LETTER[[0x97, 0xB7]] = False
 
+_LETTER = np.zeros(256, bool)
+_LETTER[0x61:0x7B] = True
+_LETTER[0xC3] = True  # first byte of the Latin-1 letters
+_JOINED = 2000  # pieces that are encoded as one text
+
 _OPEN: dict = {}
 
 
@@ -62,6 +67,9 @@ class Encoder:
         self.piecewise = (bool(steps) and steps[0].get("pattern", {}).get("Regex") == WORD_PATTERN
                           and norms == ["NFC", "Replace", "Lowercase"])
         self.added = [a["content"] for a in spec.get("added_tokens", [])]
+        # Ids that end a word: a word of letters has one, its last.
+        self.ends = np.zeros(self.tok.get_vocab_size(), bool)
+        self.ends[[i for t, i in self.tok.get_vocab().items() if t.endswith("</w>")]] = True
         self.dtype = np.uint16 if self.tok.get_vocab_size() <= 1 << 16 else np.uint32
         self.most_pieces = most_pieces  # memory bound of the lookup table; past it the table starts anew
         self._reset()
@@ -88,10 +96,18 @@ class Encoder:
         return at
 
     def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.tok.encode_batch(texts, add_special_tokens=False)]
+        got = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
         n = np.fromiter(map(len, got), np.int64, len(got))
         return np.fromiter((i for x in got for i in x), self.dtype, int(n.sum())), n
 
+    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``_encode`` for words of letters only, many to a text."""
+        ids, _ = self._encode([" ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)])
+        last = np.flatnonzero(self.ends[ids])
+        if len(last) != len(words):  # another kind of vocabulary
+            return self._encode(words)
+        return ids, np.diff(last, prepend=-1)
+
     def rows(self, col) -> tuple[np.ndarray, np.ndarray]:
         if isinstance(col, pa.ChunkedArray):
             col = col.combine_chunks() if col.num_chunks != 1 else col.chunk(0)
@@ -149,8 +165,15 @@ class Encoder:
                 at[new[hit]], n[new[hit]] = place[i[hit]], size[i[hit]]
                 new = new[~hit]
         if len(new):
-            raw = data.tobytes()
-            ids, size = self._encode([raw[s:e].decode() for s, e in zip(starts[new], ends[new])])
+            plain = _LETTER[data]
+            plain[1:] |= (data[:-1] == 0xC3) & _LATIN1_LETTER[data[1:]]
+            other = np.concatenate([[0], np.cumsum(~plain)])
+            letters = other[ends[new]] == other[starts[new]]
+            new = np.concatenate([new[letters], new[~letters]])
+            raw, n_words = data.tobytes(), int(letters.sum())
+            text = [raw[s:e].decode() for s, e in zip(starts[new].tolist(), ends[new].tolist())]
+            parts = self._encode_words(text[:n_words]), self._encode(text[n_words:])
+            ids, size = (np.concatenate(x) for x in zip(*parts))
             at[new], n[new] = self._keep(ids) + np.cumsum(size) - size, size
             most, latest = self.tables
             latest = self._table(latest, (keys[new], at[new], size))
