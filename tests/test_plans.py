@@ -55,6 +55,22 @@ def test_day_filter_reaches_parquet(spark):
     assert re.search(r"PushedFilters: \[[^\]]*GreaterThanOrEqual\(o_orderdate", plan)
 
 
+@pytest.mark.parametrize("name, scans", [("dau_hour_count", 1), ("realtime_hour", 1), ("hourly_compare", 1),
+                                         ("realtime_total", 2), ("kpi_compare", 2)])
+def test_dashboard_reads_only_the_days_of_the_stored_tables(spark, name, scans):
+    plan = _plan(E.queries()[name](spark, SMALL))
+    filters = re.findall(r"PartitionFilters: \[([^\n]*)\]", plan)
+    assert len(filters) == scans and all("2024-01-15" in f for f in filters)
+    assert "from_json" not in plan and "events.parquet" not in plan
+
+
+def test_incremental_reads_its_batch_once(spark):
+    plan = _plan(dau_queries.q_dau_incremental(spark, SMALL))
+    filters = re.findall(r"PartitionFilters: \[([^\n]*)\]", plan)
+    assert any("2024-01-15" in f for f in filters), plan
+    assert "events.parquet" not in plan  # parsed once, when the batch was written
+
+
 def test_column_pruning_on_lineitem(spark):
     plan = _plan(sales_queries.q_sale_by_name(spark, SMALL))
     schemas = re.findall(r"ReadSchema: struct<([^>]*)>", plan)

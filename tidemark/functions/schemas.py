@@ -39,6 +39,12 @@ DAU_INFO = T.StructType([
     T.StructField("ts", T.LongType()),
 ])
 
+# First day of each device.
+FIRST_SEEN = T.StructType([
+    T.StructField("mid", T.StringType()),
+    T.StructField("first_dt", T.StringType()),
+])
+
 # Change-record envelope.  ``data`` elements differ per table; as variants they
 # keep every digit of a number, which a detour over double would lose.
 CDC_ENVELOPE = T.StructType([

@@ -54,22 +54,45 @@ def dedup(facts: DataFrame, keys: Sequence[str] = KEYS,
 
 
 def incremental(batch_facts: DataFrame, existing: DataFrame,
-                keys: Sequence[str] = KEYS) -> DataFrame:
+                keys: Sequence[str] = KEYS, days: Sequence[str] | None = None) -> DataFrame:
     """Add-if-absent: rows of a new batch whose ``(dt, mid)`` is not stored yet.
 
     ``existing`` is the stored DAU table; only its key columns are read.
-    It is first cut, map side, to the days present in the batch: a semi
-    join against the batch's distinct ``dt`` values, broadcast because a
+    With ``days``, the batch's days, it is cut to them by literals, which
+    prunes a partitioned table, and the batch is read once (see
+    ``sinks.add_absent``).  Without, it is cut, map side, by a semi join
+    against the batch's distinct ``dt`` values, broadcast because a
     day set has at most one row per calendar day (36,525 rows per
     century).  A shuffle join on ``dt`` alone would send each stored day
     to one task.  The anti join then shuffles the batch's days only.
     """
     fresh = dedup(batch_facts, keys)
-    batch_days = F.broadcast(fresh.select(keys[0]).distinct())
-    stored = existing.select(*keys).join(batch_days, keys[0], "left_semi")
+    stored = existing.select(*keys)
+    if days is not None:
+        stored = stored.where(F.col(keys[0]).isin(list(days)))
+    else:
+        stored = stored.join(F.broadcast(fresh.select(keys[0]).distinct()), keys[0], "left_semi")
     return fresh.join(stored, list(keys), "left_anti")
 
 
+def first_seen(dau: DataFrame) -> DataFrame:
+    """First day each device was seen, ``(mid, first_dt)`` (partial + final min per ``mid``).
+
+    The min runs over the date value (fixed width, hash aggregate) rather
+    than the text (sort aggregate), and is rendered back to text once.
+    """
+    first = F.min(F.try_to_date(F.col("dt"), "yyyy-MM-dd"))
+    return dau.groupBy("mid").agg(F.date_format(first, "yyyy-MM-dd").alias("first_dt"))
+
+
+def merge_first_seen(stored: DataFrame | None, dau: DataFrame) -> DataFrame:
+    """Stored first days brought up to date by further DAU rows, in whatever order days arrive."""
+    days = dau.select("mid", "dt")
+    if stored is not None:
+        days = stored.select("mid", F.col("first_dt").alias("dt")).unionByName(days)
+    return first_seen(days)
+
+
 def detail(facts: DataFrame) -> DataFrame:
     """DAU detail rows in the fixed column order, tie-break columns dropped."""
     return facts.select(*FACT_COLUMNS)

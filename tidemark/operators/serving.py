@@ -13,6 +13,8 @@ from datetime import date, datetime, timedelta, timezone
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from . import dau as dau_ops
+
 HOURS = 24
 
 # Fixed KPI ids and display names of the dashboard's tab list.
@@ -114,38 +116,34 @@ def hourly_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
                          F.coalesce("yesterday", F.lit(0)).cast("bigint").alias("yesterday"))
 
 
-def _first_day(dau: DataFrame) -> DataFrame:
-    """First day each device was seen (partial + final min per ``mid``).
+def realtime_total(dau: DataFrame, day: str | None = None, first_seen: DataFrame | None = None) -> DataFrame:
+    """KPI list ``(id, name, value)`` for one day.
 
-    The min runs over the date value (fixed width, hash aggregate) rather
-    than the text (sort aggregate), and is rendered back to text once.
+    ``first_seen`` is the maintained ``(mid, first_dt)`` table; without it
+    new devices are found by grouping the whole history.
     """
-    first = F.min(F.try_to_date(F.col("dt"), "yyyy-MM-dd"))
-    return dau.groupBy("mid").agg(F.date_format(first, "yyyy-MM-dd").alias("first_dt"))
-
-
-def realtime_total(dau: DataFrame, day: str | None = None) -> DataFrame:
-    """KPI list ``(id, name, value)`` for one day."""
     day = resolve_day(day)
+    first_seen = dau_ops.first_seen(dau) if first_seen is None else first_seen
     active = (dau.where(F.col("dt") == F.lit(day))
                  .agg(F.count(F.lit(1)).alias("value"))
                  .select(F.lit(KPI_DAU[0]).alias("id"), F.lit(KPI_DAU[1]).alias("name"), "value"))
-    new = (_first_day(dau).where(F.col("first_dt") == F.lit(day))
+    new = (first_seen.where(F.col("first_dt") == F.lit(day))
               .agg(F.count(F.lit(1)).alias("value"))
               .select(F.lit(KPI_NEW_MID[0]).alias("id"), F.lit(KPI_NEW_MID[1]).alias("name"), "value"))
     return active.unionByName(new)
 
 
-def kpi_compare(dau: DataFrame, day: str | None = None) -> DataFrame:
-    """KPI list ``(id, name, yesData, toData)``: yesterday beside today."""
+def kpi_compare(dau: DataFrame, day: str | None = None, first_seen: DataFrame | None = None) -> DataFrame:
+    """KPI list ``(id, name, yesData, toData)``: yesterday beside today (``first_seen`` as above)."""
     day = resolve_day(day)
     yd = day_before(day)
+    first_seen = dau_ops.first_seen(dau) if first_seen is None else first_seen
     active = (dau.where(F.col("dt").isin(day, yd))
                  .agg(F.count(F.when(F.col("dt") == yd, 1)).alias("yesData"),
                       F.count(F.when(F.col("dt") == day, 1)).alias("toData"))
                  .select(F.lit(KPI_DAU[0]).alias("id"), F.lit(KPI_DAU[1]).alias("name"),
                          "yesData", "toData"))
-    new = (_first_day(dau).where(F.col("first_dt").isin(day, yd))
+    new = (first_seen.where(F.col("first_dt").isin(day, yd))
               .agg(F.count(F.when(F.col("first_dt") == yd, 1)).alias("yesData"),
                    F.count(F.when(F.col("first_dt") == day, 1)).alias("toData"))
               .select(F.lit(KPI_NEW_MID[0]).alias("id"), F.lit(KPI_NEW_MID[1]).alias("name"),

@@ -38,6 +38,11 @@ latest AS (
   ) WHERE rn = 1
 )"""
 
+LATEST_ROWS = "WITH " + DIMS + """
+SELECT 'DIM:' || upper(dim_table) || ':' || pk AS dim_key, dim_table, pk, type AS latest_type, seq,
+       name, balance
+FROM latest"""
+
 SQL = {
     "quarantine_cdc": """
 SELECT 'order_info' AS "table", 'type' AS fault, count(*) AS n FROM orders
@@ -51,10 +56,8 @@ SELECT dim_table, count(*) AS n_keys,
        count(*) FILTER (WHERE type = 'UPDATE') AS n_updated,
        count(*) FILTER (WHERE type = 'DELETE') AS n_deleted
 FROM latest GROUP BY dim_table""",
-    "dim_latest_rows": "WITH " + DIMS + """
-SELECT 'DIM:' || upper(dim_table) || ':' || pk AS dim_key, dim_table, pk, type AS latest_type, seq,
-       name, balance
-FROM latest""",
+    "dim_latest_rows": LATEST_ROWS,
+    "dim_compact": LATEST_ROWS,
     "dim_live_keys": "WITH " + DIMS + """
 SELECT dim_table, count(*) AS n_live FROM latest WHERE type <> 'DELETE' GROUP BY dim_table""",
     "cdc_routes": "WITH " + FACTS + "," + DIMS + """
@@ -74,4 +77,18 @@ UNION ALL
 SELECT 'sku_info', 'INSERT', 'DIM:SKU_INFO:' || p_partkey, p_name FROM part
 UNION ALL
 SELECT 'base_province', 'INSERT', 'DIM:BASE_PROVINCE:' || n_nationkey, n_name FROM nation""",
+    "sale_enriched": "WITH " + DIMS + """
+SELECT l_orderkey AS order_id, l_linenumber AS line_no, l_extendedprice AS price, o_custkey AS user_id,
+       strftime(o_orderdate, '%Y-%m-%d') AS dt, u.name AS user_name, l_partkey AS sku_id, p_name AS sku_name,
+       p_brand AS sku_brand
+FROM lineitem
+LEFT JOIN orders ON o_orderkey = l_orderkey AND o_orderkey % 97 <> 0 AND o_orderstatus IN ('F', 'O', 'P')
+LEFT JOIN latest u ON u.dim_table = 'user_info' AND u.pk = CAST(o_custkey AS VARCHAR)
+LEFT JOIN part ON p_partkey = l_partkey""",
+    "cdc_payload_exact": """
+SELECT o_orderkey AS record_id, '9' || lpad(CAST(o_orderkey AS VARCHAR), 17, '0') || '.89' AS total FROM orders""",
+    "dim_full_key": r"""
+SELECT 'DIM:SKU_INFO:' || p_brand || ':' || split_part(p_name, ' ', 1) || '\:\\' || p_partkey % 7 AS dim_key,
+       count(*) AS n
+FROM part WHERE p_partkey % 10 <> 0 AND p_brand IS NOT NULL AND p_name IS NOT NULL GROUP BY ALL""",
 }

@@ -5,8 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators import cdc
+from ..operators import cdc, sales
+from ..session import scratch_path
+from ..sinks import changelog, dim_store
 from ..sources.adapters import cdc_raw, dimension_tables
+from ..sources.tables import read_table
+from ..streaming.cdc_stream import read_routed
 
 
 def parsed_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,7 +51,10 @@ def q_dim_latest_counts(spark, sf_dir):
 
 
 def q_dim_latest_rows(spark, sf_dir):
-    latest = cdc.dim_latest(dim_log(spark, sf_dir))
+    return _image_fields(cdc.dim_latest(dim_log(spark, sf_dir)))
+
+
+def _image_fields(latest: DataFrame) -> DataFrame:
     return latest.select(
         "dim_key", "dim_table", "pk", F.col("type").alias("latest_type"), "seq",
         F.get_json_object("value", "$.name").alias("name"),
@@ -82,6 +89,54 @@ def q_snapshot_envelopes(spark, sf_dir):
                        F.get_json_object("value", "$.name").alias("name"))
 
 
+def q_dim_compact(spark, sf_dir):
+    """The dimension store after its changelog came in two parts, out of order, each compacted."""
+    base = scratch_path(spark, "dim_compact")
+    dim_log(spark, sf_dir).write.parquet(f"{base}/all")
+    log = spark.read.parquet(f"{base}/all")
+    late = F.col("seq") % 3 == 0
+    for part in (log.where(~late), log.where(late)):
+        changelog(part, f"{base}/log")
+        dim_store.compact(spark, f"{base}/log", f"{base}/store")
+    dim_store.compact(spark, f"{base}/log", f"{base}/store")  # nothing new: the version stays
+    return _image_fields(dim_store.read_images(spark, f"{base}/store"))
+
+
+def q_sale_enriched(spark, sf_dir):
+    """Order lines of the fact feed with the stored images of their user and goods."""
+    base = scratch_path(spark, "sale_enriched")
+    cdc.route_all(parsed_changes(spark, sf_dir)).write.partitionBy("route").parquet(f"{base}/routed")
+    dim_store.compact(spark, f"{base}/routed", f"{base}/store", pick=cdc.dim_log_of)
+    routed = read_routed(spark, f"{base}/routed")
+    lines = routed.where(F.col("route") == "DWD_ORDER_DETAIL_I")
+    orders = routed.where(F.col("route").startswith("DWD_ORDER_INFO_"))
+    return sales.enriched(lines, orders, dim_store.read_images(spark, f"{base}/store"))
+
+
+def q_cdc_payload_exact(spark, sf_dir):
+    """Money values of 20 digits through parse, explode and routing."""
+    orders = read_table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey").cast("string")
+    text = F.concat(F.lit('{"table":"order_info","type":"INSERT","pkNames":["id"],"data":[{"id":'), key,
+                    F.lit(',"total":9'), F.lpad(key, 17, "0"), F.lit(".89}]}"))
+    msgs = cdc.facts_of(cdc.route_all(cdc.valid(cdc.parse(orders.select(text.alias("value"))))))
+    return msgs.select(F.get_json_object("value", "$.id").cast("bigint").alias("record_id"),
+                       F.regexp_extract("value", '"total":([^,}]+)', 1).alias("total"))
+
+
+def q_dim_full_key(spark, sf_dir):
+    """Rows per full key: values that hold the separator, a dotted key name, null parts."""
+    part = read_table(spark, sf_dir, "part")
+    brand = F.when(F.col("p_partkey") % 10 != 0, F.col("p_brand"))
+    name = F.concat(F.split("p_name", " ")[0], F.lit(":\\"), (F.col("p_partkey") % 7).cast("string"))
+    text = F.to_json(F.struct(
+        F.lit("sku_info").alias("table"), F.lit("INSERT").alias("type"),
+        F.array(F.lit("brand"), F.lit("sku.name")).alias("pkNames"),
+        F.array(F.struct(brand.alias("brand"), name.alias("sku.name"))).alias("data")))
+    rows = cdc.dim_rows(cdc.valid(cdc.parse(part.select(text.alias("value")))), full_key=True)
+    return rows.groupBy("dim_key").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_quarantine_cdc(spark, sf_dir):
     """All that routing leaves out: table, reason, number."""
     left = cdc.rejects(cdc.parse(cdc_raw(spark, sf_dir)))
@@ -98,4 +153,8 @@ QUERIES = {
     "cdc_routes": q_cdc_routes,
     "cdc_message_keys": q_cdc_message_keys,
     "snapshot_envelopes": q_snapshot_envelopes,
+    "dim_compact": q_dim_compact,
+    "sale_enriched": q_sale_enriched,
+    "cdc_payload_exact": q_cdc_payload_exact,
+    "dim_full_key": q_dim_full_key,
 }

@@ -68,6 +68,7 @@ FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0"""
 )
 SELECT mid, uid, ar, ch, vc, dt, hr, ts FROM fresh f
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.dt = f.dt AND s.mid = f.mid)"""),
+    "dau_first_seen": _with("SELECT mid, min(dt) AS first_dt FROM dau GROUP BY mid"),
     "dau_total": _with("SELECT dt, count(*) AS dau FROM dau GROUP BY dt"),
     "dau_hour_count": _with(f"""
 SELECT hr, count(*) AS cnt FROM dau WHERE dt = '{REPORT_DAY}' AND hr IS NOT NULL

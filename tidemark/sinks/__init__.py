@@ -12,9 +12,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..functions.schemas import DAU_INFO
-from ..operators.dau import dedup
+from ..functions.schemas import DAU_INFO, FIRST_SEEN
+from ..operators.dau import dedup, incremental, merge_first_seen
 from ..session import scratch_path
+from . import versions
 
 
 def apply_trigger(writer, trigger: str | None):
@@ -73,6 +74,39 @@ def upsert_days(df: DataFrame, path: str) -> None:
          .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
 
 
+def add_absent(facts: DataFrame, path: str) -> DataFrame:
+    """Detail rows of a batch whose ``(dt, mid)`` the table at ``path`` does not hold yet.
+
+    The batch is read once: its first row per device-day is written beside
+    the table, by day, so that its days are known from that listing and the
+    stored side reads only the partitions of those days.
+    """
+    spark = facts.sparkSession
+    staged = scratch_path(spark, "dau-batch")
+    first = dedup(facts).select(*DAU_INFO.fieldNames())
+    first.write.mode("overwrite").partitionBy("dt").parquet(staged)
+    batch = read_dau_table(spark, staged).select(*DAU_INFO.fieldNames())
+    days = [r.dt for r in batch.select("dt").distinct().collect()]  # one entry per calendar day
+    stored = _stored_days(spark, path, days)
+    return batch if stored is None else incremental(batch, stored, days=days)
+
+
+def first_seen_table(dau: DataFrame, path: str) -> None:
+    """Bring the stored first day of each device up to date: a new version, partitioned by ``first_dt``."""
+    spark = dau.sparkSession
+    last = versions.latest(spark, path)
+    stored = None if last is None else spark.read.schema(FIRST_SEEN).parquet(last)
+    versions.write_next(merge_first_seen(stored, dau), path, partition_by="first_dt")
+
+
+def read_first_seen(spark, path: str) -> DataFrame:
+    """``(mid, first_dt)``; a filter on ``first_dt`` reads the partitions of those days only."""
+    last = versions.latest(spark, path)
+    if last is None:
+        raise FileNotFoundError(f"no complete version in {path}")
+    return spark.read.schema(FIRST_SEEN).parquet(last)
+
+
 def _stored_days(spark, path: str, days: list[str]) -> DataFrame | None:
     """Stored rows of ``days``, or None where there is no table yet."""
     jvm = spark.sparkContext._jvm

@@ -1,0 +1,48 @@
+"""Small versioned tables: every change is a complete new folder ``v<number>``.
+
+A reader takes the newest folder that holds ``_SUCCESS``, so it never sees
+half a change, and a run that fails leaves the version before it in use.
+One writer at a time.  Old versions are left to the store's own clean-up.
+"""
+
+from __future__ import annotations
+
+import re
+
+from pyspark.sql import DataFrame, SparkSession
+
+_NAME = re.compile(r"v\d{10}")
+
+
+def _folders(spark: SparkSession, path: str, part: str) -> list[tuple[str, bool]]:
+    """(folder name, complete?) of every version, oldest first."""
+    sc = spark.sparkContext
+    new_path = sc._jvm.org.apache.hadoop.fs.Path
+    place = new_path(path)
+    fs = place.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(place):
+        return []
+    names = sorted(s.getPath().getName() for s in fs.listStatus(place) if s.isDirectory())
+    return [(n, fs.exists(new_path(f"{path}/{n}/{part}_SUCCESS"))) for n in names if _NAME.fullmatch(n)]
+
+
+def latest(spark: SparkSession, path: str, part: str = "") -> str | None:
+    """Folder of the newest complete version (the one whose ``part`` is complete), or None."""
+    done = [name for name, complete in _folders(spark, path, part) if complete]
+    return f"{path}/{done[-1]}" if done else None
+
+
+def following(spark: SparkSession, path: str, part: str = "") -> str:
+    """Folder of the next version; the number of a failed one is not used again."""
+    taken = _folders(spark, path, part)
+    return f"{path}/v{int(taken[-1][0][1:]) + 1 if taken else 1:010d}"
+
+
+def write_next(df: DataFrame, path: str, partition_by: str | None = None) -> str:
+    """Write ``df`` as the next version and return its folder."""
+    folder = following(df.sparkSession, path)
+    writer = df.write
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(folder)
+    return folder

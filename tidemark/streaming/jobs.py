@@ -1,10 +1,12 @@
-"""Runnable jobs: the DAU stream, the change-record router, the bootstrap snapshot.
+"""Runnable jobs: the DAU stream, the change-record router, the bootstrap snapshot, and the stores' upkeep.
 
     python -m tidemark.streaming.jobs dau --bootstrap host:9092 --topic ODS_BASE_LOG \
         --table <dau table folder> --checkpoint <checkpoint folder>
     python -m tidemark.streaming.jobs cdc --bootstrap host:9092 --topic ODS_BASE_DB_C \
         --facts kafka --checkpoint <folder>
     python -m tidemark.streaming.jobs snapshot --jdbc-url jdbc:... --bootstrap host:9092
+    python -m tidemark.streaming.jobs compact --dim-log <changelog or routed folder> --store <folder>
+    python -m tidemark.streaming.jobs first-seen --table <dau table folder> --store <folder> [--day 2024-01-15]
 
 ``--source file --source-path <folder>`` reads JSON-lines files with a
 ``value`` field instead of Kafka (replays, tests).  Streams run with a 5 s
@@ -21,9 +23,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from .. import sinks
-from ..operators import cdc
+from ..operators import cdc, serving
 from ..session import BASE_CONF
-from ..sources.jdbc import jdbc_table
+from ..sinks import dim_store
+from ..sources.jdbc import keyed_scan
 from ..sources.streams import file_stream, log_stream
 from . import cdc_stream, dau_stream
 
@@ -33,7 +36,11 @@ DIM_SOURCE_TABLES = cdc.DIM_TABLES
 
 
 def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
-    """``value`` (+ ``seq``, the log position: ``(partition, offset)`` on Kafka)."""
+    """``value`` (+ ``seq``, the log position).
+
+    On Kafka the position is ``(timestamp, partition, offset)``: a key that moved to
+    another partition keeps its order by time, and offsets order what one instant wrote.
+    """
     if args.source == "file":
         df = file_stream(spark, args.source_path, FILE_RECORD, fmt="json",
                          max_files_per_trigger=args.max_files)
@@ -44,7 +51,7 @@ def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
     df = log_stream(spark, args.topic, args.bootstrap, args.group, offsets, args.max_per_trigger,
                     args.min_partitions)
     if with_seq:
-        return df.select(F.struct("partition", "offset").alias("seq"), "value")
+        return df.select(F.struct("timestamp", "partition", "offset").alias("seq"), "value")
     return df.select("value")
 
 
@@ -85,14 +92,29 @@ def publish_snapshot(tables: dict[str, DataFrame], topic: str, out: str | None =
 
 def snapshot_job(spark: SparkSession, args) -> None:
     """Read the dimension tables over JDBC and publish one envelope per row."""
-    tables = {t: jdbc_table(spark, args.jdbc_url, t, user=args.user, password=args.password)
-              for t in DIM_SOURCE_TABLES}
+    tables = {t: keyed_scan(spark, args.jdbc_url, t, args.partition_column, args.num_partitions,
+                            user=args.user, password=args.password) for t in DIM_SOURCE_TABLES}
     publish_snapshot(tables, args.topic, args.out, args.bootstrap)
 
 
+def compact_job(spark: SparkSession, args) -> str | None:
+    """Merge the changelog files written since the last run into the dimension store."""
+    def pick(log: DataFrame) -> DataFrame:
+        return cdc.dim_log_of(log) if "route" in log.columns else log
+    return dim_store.compact(spark, args.dim_log, args.store, pick=pick)
+
+
+def first_seen_job(spark: SparkSession, args) -> None:
+    """Merge a DAU table, or one day of it, into the first-seen table."""
+    sinks.first_seen_table(serving.dau_scan(spark, args.table, args.day), args.store)
+
+
+BATCH_JOBS = {"snapshot": snapshot_job, "compact": compact_job, "first-seen": first_seen_job}
+
+
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemark.streaming.jobs")
-    p.add_argument("job", choices=("dau", "cdc", "snapshot"))
+    p.add_argument("job", choices=("dau", "cdc", *BATCH_JOBS))
     p.add_argument("--bootstrap")
     p.add_argument("--topic")
     p.add_argument("--group")
@@ -114,6 +136,10 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--delay", default=dau_stream.DEFAULT_DELAY)
     p.add_argument("--trigger", default=dau_stream.BATCH_INTERVAL)
     p.add_argument("--jdbc-url")
+    p.add_argument("--partition-column", default="id", help="snapshot: numeric key that splits each table's scan")
+    p.add_argument("--num-partitions", type=int, default=8, help="snapshot: parallel range scans of a table")
+    p.add_argument("--store", help="compact, first-seen: folder of the versioned store")
+    p.add_argument("--day", help="first-seen: merge this day only")
     p.add_argument("--user")
     p.add_argument("--password")
     p.add_argument("--out", help="snapshot: write per-topic folders here instead of Kafka")
@@ -125,6 +151,8 @@ REQUIRED = {
     "dau": ("table", "checkpoint"),
     "cdc": ("checkpoint",),
     "snapshot": ("jdbc_url", "topic"),
+    "compact": ("dim_log", "store"),
+    "first-seen": ("table", "store"),
 }
 
 
@@ -132,9 +160,10 @@ def main(argv: list[str] | None = None) -> None:
     p = parser()
     args = p.parse_args(argv)
     missing = [f"--{a.replace('_', '-')}" for a in REQUIRED[args.job] if getattr(args, a) is None]
-    if args.job != "snapshot" and args.source == "kafka":
+    stream = args.job not in BATCH_JOBS
+    if stream and args.source == "kafka":
         missing += [f"--{a}" for a in ("bootstrap", "topic") if getattr(args, a) is None]
-    if args.job != "snapshot" and args.source == "file" and args.source_path is None:
+    if stream and args.source == "file" and args.source_path is None:
         missing.append("--source-path")
     if args.job == "snapshot" and not args.out and args.bootstrap is None:
         missing.append("--bootstrap (or --out)")
@@ -144,8 +173,8 @@ def main(argv: list[str] | None = None) -> None:
     for k, v in (BASE_CONF | {"spark.ui.enabled": "true" if args.spark_ui else "false"}).items():
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
-    if args.job == "snapshot":
-        snapshot_job(spark, args)
+    if not stream:
+        BATCH_JOBS[args.job](spark, args)
         return
     qs = dau_job(spark, args) if args.job == "dau" else cdc_job(spark, args)
     sinks.await_all(qs if isinstance(qs, list) else [qs])
