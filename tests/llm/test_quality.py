@@ -3,6 +3,7 @@ import zlib
 
 import brute
 import numpy as np
+from pyspark.sql import functions as F
 from tidemark.llm import quality_classifier as C
 from tidemark.llm import quality_rules as R
 from tidemark.sources.tables import read_table
@@ -95,3 +96,12 @@ def test_scores_of_odd_rows(spark):
 def test_sample_is_bounded(spark):
     labels = spark.range(30_000).selectExpr("id doc_id", "1 quality")
     assert 800 < C.labelled_sample(labels, "quality", 1000).count() < 1200
+
+
+def test_a_tiny_share_of_very_many_rows_still_draws_some(spark):
+    from tidemark.llm.common import share_of
+
+    rows = spark.range(2_000_000).select(F.xxhash64("id").alias("h"))
+    assert 100 < rows.filter(share_of(F.col("h"), 1e-4)).count() < 300
+    assert 0 < rows.filter(share_of(F.col("h"), 5e-6)).count() < 40
+    assert rows.filter(share_of(F.col("h"), 1.0)).count() == 2_000_000

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import read_table
 
-__all__ = ["documents_of", "group_of", "pieces", "read_table", "scratch_path", "stored", "string_array",
+__all__ = ["documents_of", "group_of", "pieces", "read_table", "scratch_path", "share_of", "stored", "string_array",
            "by_bucket", "single_thread"]
 
 
@@ -34,6 +34,11 @@ def pieces(df: DataFrame, bytes_each: int, least: int = 1) -> int:
     return max(least, min(math.ceil(size / bytes_each), 1 << 30))
 
 
+def share_of(number, share: float):
+    """Rows whose 64-bit hash ``number`` falls in ``share`` of its range; fine enough for shares of a billionth."""
+    return F.pmod(number, F.lit(1 << 40)) < F.lit(math.ceil(share * (1 << 40)))
+
+
 def group_of(key: str, n: int):
     return F.pmod(F.xxhash64(F.col(key)), F.lit(n))
 

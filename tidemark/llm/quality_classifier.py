@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import documents_of
+from .common import documents_of, share_of
 
 SCALE = 32.0
 _OUT = pa.schema([("doc_id", pa.int64()), ("score", pa.float64())])
@@ -125,7 +125,7 @@ def labelled_sample(labels: DataFrame, label: str, max_rows: int) -> DataFrame:
         .filter(F.col("doc_id").isNotNull() & F.col("label").isNotNull() & ~held_out())
     rows = rows.withColumn("rank", F.xxhash64("doc_id", F.lit(label)))
     share = min(1.0, max_rows / max(1, rows.count()))
-    return rows if share == 1.0 else rows.filter(F.pmod("rank", F.lit(1_000_000)) < int(share * 1_000_000))
+    return rows if share == 1.0 else rows.filter(share_of(F.col("rank"), share))
 
 
 def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "quality", max_train_rows: int = 12_000,

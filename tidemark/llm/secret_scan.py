@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents_of
+from .common import documents_of, share_of
 
 # The contract's patterns, with the letters of the first in either case.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -103,7 +103,7 @@ def labelled_by_rules(docs: DataFrame, max_docs: int = 20_000) -> DataFrame:
     share = min(1.0, max_docs / max(1, docs.count()))
     rows = documents_of(docs)
     if share < 1:
-        rows = rows.filter(F.pmod(F.xxhash64("doc_id", "text"), F.lit(1_000_000)) < int(share * 1_000_000))
+        rows = rows.filter(share_of(F.xxhash64("doc_id", "text"), share))
     rows = rows.select(F.coalesce("text", F.lit("")).alias("text"))
     value = F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= 6)
     random = F.concat(value, *[F.regexp_extract_all("text", F.lit(_LONG[k]), F.lit(0)) for k in ("access", "hex")])
