@@ -63,3 +63,31 @@ def test_frequencies_cover_all_rows(spark):
     rows = packing.encoded(docs, encode.default_path(), 1, 18)
     df = packing.document_frequencies(rows, 18)
     assert df.max() == 50 and df.sum() == 100
+
+
+@pytest.mark.parametrize("n", [400, 1200])
+def test_neighbours_come_from_the_whole_table(spark, n):
+    # The eight documents of a topic lie an eighth of the table apart, in other shards and partitions.
+    rnd = random.Random(n)
+    topics = n // 8
+    rows = [(i, " ".join(f"t{i % topics}w{rnd.randrange(30)}" for _ in range(40))) for i in range(n)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartitionByRange(8, "doc_id")
+    by_seq = defaultdict(Counter)
+    got = packing.pack(spark, docs, window=1024, shard_rows=n // 10, index_rows=n // 5).collect()
+    for r in got:
+        by_seq[r.sequence_id][r.doc_id % topics] += r.length
+    assert sum(r.length for r in got) == sum(len(TOK.encode(t, add_special_tokens=False).ids) + 1 for _, t in rows)
+    same = sum(c.most_common(1)[0][1] for c in by_seq.values()) / sum(map(sum, (c.values() for c in by_seq.values())))
+    assert same > 0.5  # within one shard, no document has a neighbour
+
+
+def test_near_copies_end_in_few_rounds(spark):
+    rows = [(i, f"the very same text of all with one own word x{i}" * 3) for i in range(600)] + [(None, "")] * 300
+    check(spark, rows, window=256, shard_rows=40, index_rows=200)
+
+
+def test_groups_are_whole_windows_and_rests():
+    size, grp = np.array([5, 6, 3, 20, 1]), np.array([1, 1, 2, 3, 3])
+    doc, start, length = packing.parts_of(size, grp, 8)
+    assert list(zip(doc.tolist(), start.tolist(), length.tolist())) == [
+        (0, 0, 5), (1, 0, 3), (3, 0, 16), (1, 3, 3), (2, 0, 3), (3, 16, 4), (4, 0, 1)]

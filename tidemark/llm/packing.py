@@ -4,15 +4,24 @@
    words) and their frequencies.
 2. Document frequencies and the mean length are counted over all rows;
    the table has ``2 ** bits`` entries whatever the input.
-3. The stored rows are cut into shards of a bounded size.  A shard holds
-   an inverted index with BM25 weights; a seed asks it with its
-   ``query_terms`` weightiest terms, and the best unused neighbours
-   follow it until the window is full.  The document that crosses the
-   window's end is cut there and seeds the next window.
-
-A shard's last window is cut into powers of two, which need no padding,
-so that nothing is padded.  Documents never leave their shard, so no
-text or id is shuffled, and a repeated task gives the same sequences.
+3. An inverted index of all rows is written in files of a bounded size.
+4. Rounds: so many unused documents become seeds as there are windows to
+   fill.  Every block of seeds asks every index file with each seed's
+   ``query_terms`` weightiest terms, and the answers are merged per seed,
+   so that any unused document of the table is a candidate.  A document
+   goes to the seed that scores it highest, and seeds with room left ask
+   again in the next round, without what is used by then.
+5. When what is left fits in one shard, one task finishes it: the best
+   unused neighbours follow a seed until its window is full, and the
+   document that crosses the window's end seeds the next one.
+
+BM25 scores count in steps of a sixteenth of an octave, and within a step
+the order differs from seed to seed; otherwise all seeds amid near copies
+would want the same few.  A seed's documents make whole windows; what
+goes beyond, or doesn't fill one, follows in the order of the seeds.  The
+last window of a task's lot is cut into powers of two, which need no
+padding, so that nothing is padded.  A repeated task gives the same
+sequences.
 
 Defined results: a null or empty text is the end id alone; rows are
 packed each, also repeated ones or such without doc_id; no rows give no
@@ -21,17 +30,20 @@ rows; extra columns are ignored.
 
 from __future__ import annotations
 
+import io
+import re
 import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import documents_of, stored
+from .common import documents_of, scratch_path, stored
 from .encode import default_path, encoder
+from .token_store import put
 
 K1, B = 1.2, 0.75
 _STORED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("terms", pa.binary()), ("tf", pa.binary())])
@@ -155,54 +167,375 @@ def pieces_of(size: np.ndarray, order: list[int], window: int) -> tuple[np.ndarr
             starts - np.concatenate([[0], cuts[:-1]])[seq])
 
 
+_HEADS = "row long, size long, query binary, file string"
+_FOUND = "seed long, row long, size long, score double"
+_NONE = np.uint32(0xFFFFFFFF)
+
+
+def _get(path: str):
+    """Arrays of an index file."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) and not path.startswith("file:"):
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(path)
+        with store.open_input_file(path) as f:
+            return np.load(io.BytesIO(f.read()))
+    return np.load(re.sub(r"^file:(//)?", "", path))
+
+
+def _norms(n_terms: np.ndarray, mean: float) -> np.ndarray:
+    """BM25 length norm of every row; it is by distinct terms, as is the mean."""
+    return (K1 * (1 - B + B * n_terms / mean)).astype(np.float32)
+
+
+def _weights(idf: np.ndarray, tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
+    tf = tf.astype(np.float32)
+    return idf * tf * np.float32(K1 + 1) / (tf + norm)
+
+
+def _columns(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """terms, tf and number of distinct terms of the rows."""
+    own = part.column("terms").to_pylist()
+    return (np.frombuffer(b"".join(own), np.uint32), np.frombuffer(b"".join(part.column("tf").to_pylist()), np.uint32),
+            np.array([len(x) // 4 for x in own], np.int64))
+
+
+def indexed(spark: SparkSession, rows: DataFrame, n_terms: int, shared, mean: float, bits: int, query_terms: int,
+            index_rows: int, index_terms: int) -> DataFrame:
+    """Write the inverted index; row, size, query (weightiest terms) and index file of every row that has terms."""
+    base = scratch_path(spark, "llm-bm25")
+
+    def one(part: pa.Table, path: str) -> pa.RecordBatch:
+        terms, tf, n_terms = _columns(part)
+        weight = _weights(shared.value[terms], tf, np.repeat(_norms(n_terms, mean), n_terms))
+        at = np.concatenate([[0], np.cumsum(n_terms)])
+        query = np.full((len(n_terms), query_terms), _NONE, np.uint32)
+        for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
+            top = np.argpartition(-weight[a:b], query_terms)[:query_terms] if b - a > query_terms else np.arange(b - a)
+            query[i, :len(top)] = terms[a:b][np.sort(top)]
+        del weight
+        doc = np.repeat(np.arange(len(n_terms), dtype=np.uint32), n_terms)
+        by_term = np.argsort(terms, kind="stable")
+        out = io.BytesIO()
+        size = part.column("size").to_numpy()
+        np.savez(out, first=np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=1 << bits))]).astype(np.uint32),
+                 doc=doc[by_term].astype(np.uint16 if len(n_terms) <= 1 << 16 else np.uint32),
+                 tf=tf[by_term].astype(np.min_scalar_type(int(tf.max()))), n_terms=n_terms, size=size,
+                 row=part.column("row").to_numpy())
+        put(path, out.getvalue())
+        return pa.RecordBatch.from_arrays(
+            [part.column("row").combine_chunks(), pa.array(size), pa.array([q.tobytes() for q in query], pa.binary()),
+             pa.array([path] * len(size))], names=["row", "size", "query", "file"])
+
+    def run(batches):
+        name, nth, held, n, n_terms = TaskContext.get().partitionId(), 0, [], 0, 0
+        for batch in batches:
+            for part in T.slices(batch, "terms", index_terms):
+                held.append(part)
+                n += part.num_rows
+                n_terms += part.column(2).nbytes // 4
+                if n >= index_rows or n_terms >= index_terms:
+                    for cut in _cut(pa.Table.from_batches(held), index_rows):
+                        yield one(cut, f"{base}/{name}-{nth}.npz")
+                        nth += 1
+                    held, n, n_terms = [], 0, 0
+        if n:
+            for cut in _cut(pa.Table.from_batches(held), index_rows):
+                yield one(cut, f"{base}/{name}-{nth}.npz")
+                nth += 1
+
+    some = rows.filter("n_terms > 0").select("row", "size", "terms", "tf").coalesce(max(spark.sparkContext.defaultParallelism, -(-n_terms // index_terms)))
+    return stored(spark, some.mapInArrow(run, _HEADS), "heads")
+
+
+def _cut(part: pa.Table, n: int) -> list[pa.Table]:
+    return [part.slice(i, n) for i in range(0, part.num_rows, n)]
+
+
+def _used(marks: dict[int, bytes], rows: np.ndarray) -> np.ndarray:
+    out, chunk = np.zeros(len(rows), bool), rows >> 16
+    for c in np.unique(chunk).tolist():
+        if c in marks:
+            bits = np.zeros(1 << 16, bool)
+            known = np.unpackbits(np.frombuffer(marks[c], np.uint8))
+            bits[:len(known)] = known
+            mine = chunk == c
+            out[mine] = bits[rows[mine] & 0xFFFF]
+    return out
+
+
+def _marked(marks: dict[int, bytes], rows: DataFrame) -> dict[int, bytes]:
+    """``marks`` (a bit per row, by 65,536 rows) with ``rows`` added."""
+    def bits(key, part):
+        at = part.column("row").to_numpy() & 0xFFFF
+        out = np.zeros(int(at.max()) + 1, np.uint8)
+        out[at] = 1
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
+
+    out = dict(marks)
+    chunk = F.shiftright("row", 16).alias("chunk")
+    for chunk, new in rows.select(chunk, "row").groupBy("chunk").applyInArrow(bits, "chunk long, bits binary").collect():
+        a, b = np.frombuffer(out.get(chunk, b""), np.uint8), np.frombuffer(bytes(new), np.uint8)
+        both = np.zeros(max(len(a), len(b)), np.uint8)
+        both[:len(a)] |= a
+        both[:len(b)] |= b
+        out[chunk] = both.tobytes()
+    return out
+
+
+def _unused(frame: DataFrame, marks) -> DataFrame:
+    def run(batches):
+        for batch in batches:
+            yield batch.filter(pa.array(~_used(marks.value, batch.column(0).to_numpy())))
+
+    return frame.mapInArrow(run, frame.schema)
+
+
+def _mixed(seed: int, rows: np.ndarray) -> np.ndarray:
+    return T.mix(rows.astype(np.uint64) ^ T.mix(np.array([seed], np.uint64)))
+
+
+def found(seeds: DataFrame, files: list[str], marks, shared, mean: float, depth: int, block: int = 8192) -> DataFrame:
+    """Best unused documents of the whole index for every (seed, room, query), ``depth`` times what its room holds."""
+    def best(seed, room, score, row, size):
+        order = np.lexsort((_mixed(seed, row), -score))
+        ends = np.cumsum(size[order])
+        order = order[:int(np.searchsorted(ends, depth * room)) + 1]
+        return score[order], row[order], size[order]
+
+    def one(part: pa.Table) -> pa.Table:
+        seeds, rooms = part.column("seed").to_numpy(), part.column("room").to_numpy()
+        asks = [q[q != _NONE] for q in (np.frombuffer(x, np.uint32) for x in part.column("query").to_pylist())]
+        lists: list = [None] * len(seeds)
+        least = np.zeros(len(seeds))  # under it, a full list takes no more
+        for path in files:
+            with _get(path) as kept:
+                first, doc, tf, row, size, n_terms = (kept[k] for k in ("first", "doc", "tf", "row", "size", "n_terms"))
+            free = ~_used(marks.value, row)
+            if not free.any():
+                continue
+            norm = _norms(n_terms, mean)
+            norm[~free] = np.inf
+            for i, ask in enumerate(asks):
+                lo, hi = first[ask].astype(np.int64), first[ask + 1].astype(np.int64)
+                spans = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist()) if a < b]
+                if not spans:
+                    continue
+                at = np.concatenate([doc[x] for x in spans])
+                f = np.concatenate([tf[x] for x in spans])
+                score = np.bincount(at, _weights(np.repeat(shared.value[ask], hi - lo), f, norm[at]), minlength=len(row))
+                got = np.flatnonzero(score > least[i])
+                if not len(got):
+                    continue
+                if len(got) > 64:  # the best 64, if they fill the room as often as asked for
+                    edge = np.partition(score[got], -64)[-64]
+                    if size[got[score[got] >= edge]].sum() >= depth * rooms[i]:
+                        got = got[score[got] >= edge * (1 - 1 / 16)]  # all of its step
+                mine = np.exp2(np.floor(np.log2(score[got]) * 16) / 16)
+                near = mine >= least[i]
+                got, mine = got[near], mine[near]
+                new = (mine, row[got], size[got])
+                if lists[i] is not None:
+                    new = tuple(np.concatenate(x) for x in zip(lists[i], new))
+                lists[i] = best(int(seeds[i]), int(rooms[i]), *new)
+                if lists[i][2].sum() >= depth * rooms[i]:
+                    least[i] = lists[i][0][-1] * (1 - 1e-9)
+        some = [i for i, x in enumerate(lists) if x is not None]
+        score, row, size = (np.concatenate([lists[i][k] for i in some]) if some else np.zeros(0) for k in range(3))
+        seed = np.repeat(seeds[some], [len(lists[i][0]) for i in some]) if some else np.zeros(0)
+        return pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(
+            (seed, row, size, score), (np.int64, np.int64, np.int64, np.float64))], names=["seed", "row", "size", "score"])
+
+    def run(batches):
+        held, n = [], 0
+        for batch in batches:
+            held.append(batch)
+            n += batch.num_rows
+            if n >= block:
+                yield one(pa.Table.from_batches(held))
+                held, n = [], 0
+        if n:
+            yield one(pa.Table.from_batches(held))
+
+    return seeds.select("seed", "room", "query").mapInArrow(run, _FOUND)
+
+
+def _won(wish: DataFrame, rooms: DataFrame) -> DataFrame:
+    """(row, seed, score, size): what a seed's room holds of its list, each document for the seed that scores it highest."""
+    order = Window.partitionBy("seed").orderBy(F.desc("score"), F.xxhash64("seed", "row"))
+    before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    asked = wish.join(rooms.select("seed", "room"), "seed").withColumn("before", before).filter("before < room")
+    return asked.groupBy("row").agg(F.max(F.struct("score", F.xxhash64("seed", "row").alias("by"), "seed", "size")).alias("b")) \
+        .select("row", "b.seed", "b.score", "b.size")
+
+
+def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits: int, window: int, query_terms: int,
+               shard_tokens: int, shard_rows: int, index_rows: int, index_terms: int, depth: int) -> DataFrame:
+    """(row, grp, rank) of every row: the group of documents it is packed with, and its place there."""
+    totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t"), F.sum("n_terms").alias("terms")).first()
+    marks, out, sc = {}, [], spark.sparkContext
+    if totals.n > shard_rows or (totals.t or 0) > shard_tokens:
+        heads = indexed(spark, rows, totals.terms, shared, mean, bits, query_terms, index_rows, index_terms)
+        files = sorted(r.file for r in heads.select("file").distinct().collect())
+        bare = rows.filter("n_terms = 0").select("row", F.col("row").alias("grp"), F.lit(0.0).alias("rank"))
+        marks = _marked(marks, bare)
+        out.append(bare)
+        opened, more, nth = None, 1.0, 0
+        while True:
+            known = sc.broadcast(marks)
+            left = _unused(heads.select("row", "size", "query"), known)
+            n, tokens, part = left.agg(F.count(F.lit(1)), F.sum("size"), F.sum(F.least("size", F.lit(window)))).first()
+            if n <= shard_rows and (tokens or 0) <= shard_tokens or n <= 1:
+                break
+            room = opened.agg(F.sum("room")).first()[0] or 0 if opened is not None else 0
+            # A full group goes half a document beyond its room.
+            share = min(1.0, more * max(0, part - room) / (window + part / n / 2) / n)
+            drawn = left.filter(F.pmod(F.xxhash64("row", F.lit(nth)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+            if not room and drawn.isEmpty():
+                drawn = left.orderBy("row").limit(1)
+            drawn = stored(spark, drawn.select(F.col("row").alias("seed"), F.pmod(-F.col("size"), F.lit(window)).alias("room"), "query"), "seeds")
+            out.append(drawn.select(F.col("seed").alias("row"), F.col("seed").alias("grp"), F.lit(float("-inf")).alias("rank")))
+            seeds = drawn if opened is None else opened.unionByName(drawn)
+            seeds = seeds.filter("room > 0")
+            n_seeds, n_drawn = seeds.count(), drawn.count()
+            marks = _marked(marks, drawn.select(F.col("seed").alias("row")))
+            known = sc.broadcast(marks)
+            blocks = seeds.repartition(max(sc.defaultParallelism, -(-n_seeds // 8192)), "seed")
+            wish = stored(spark, found(blocks, files, known, shared, mean, depth), "found")
+            won = stored(spark, _won(wish, seeds), "won")
+            n_won = won.count()
+            if n_won < max(1, n_drawn):
+                more *= 2  # few neighbours are left: more seeds at once
+            out.append(won.select("row", F.col("seed").alias("grp"), (-F.col("score")).alias("rank")))
+            marks = _marked(marks, won)
+            took = won.groupBy("seed").agg(F.sum("size").alias("took"))
+            answered = wish.select("seed").distinct()  # a seed without candidates won't find any later
+            opened = stored(spark, seeds.join(answered, "seed").join(took, "seed", "left").select(
+                "seed", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room"), "query").filter("room > 0"), "open")
+            nth += 1
+    known = sc.broadcast(marks)
+
+    def rest(batches):
+        got = [b for b in batches if b.num_rows]
+        if not got:
+            return
+        part = pa.Table.from_batches(got)
+        terms, tf, n_terms = _columns(part)
+        weight = _weights(shared.value[terms], tf, np.repeat(_norms(n_terms, mean), n_terms))
+        size = part.column("size").to_numpy()
+        order = np.array(order_of(size, terms, weight, np.concatenate([[0], np.cumsum(n_terms)]), shared.value, window, query_terms))
+        # Groups of 16 windows, so that no task lays out all.
+        grp = -1 - (np.cumsum(size[order]) - size[order]) // (16 * window)
+        yield pa.RecordBatch.from_arrays([pa.array(part.column("row").to_numpy()[order]), pa.array(grp),
+                                          pa.array(np.arange(len(order), dtype=np.float64))], names=["row", "grp", "rank"])
+
+    last = _unused(rows.select("row", "size", "terms", "tf"), known).repartition(1).sortWithinPartitions("row")
+    out.append(stored(spark, last.mapInArrow(rest, "row long, grp long, rank double"), "rest"))
+    every = out[0]
+    for frame in out[1:]:
+        every = every.unionByName(frame)
+    return every
+
+
+def placed(spark: SparkSession, rows: DataFrame, members: DataFrame) -> DataFrame:
+    """doc_id, ids, size, grp, rank and row of every row; places go by files of 65,536 rows, so no ids are shuffled."""
+    base = scratch_path(spark, "llm-places")
+
+    def keep(key, part):
+        order = np.argsort(part.column("row").to_numpy())
+        out, path = io.BytesIO(), f"{base}/{key[0].as_py()}.npz"
+        np.savez(out, **{c: part.column(c).to_numpy()[order] for c in ("row", "grp", "rank")})
+        put(path, out.getvalue())
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64())})
+
+    chunk = F.shiftright("row", 16).alias("chunk")
+    members.select(chunk, "row", "grp", "rank").groupBy("chunk").applyInArrow(keep, "chunk long").count()
+
+    def run(batches):
+        last, known = None, None
+        for batch in batches:
+            row = batch.column(3).to_numpy()
+            grp, rank = np.zeros(len(row), np.int64), np.zeros(len(row))
+            for c in np.unique(row >> 16).tolist():
+                if c != last:
+                    with _get(f"{base}/{c}.npz") as f:
+                        last, known = c, {k: f[k] for k in ("row", "grp", "rank")}
+                mine = row >> 16 == c
+                at = np.searchsorted(known["row"], row[mine])
+                grp[mine], rank[mine] = known["grp"][at], known["rank"][at]
+            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(grp), pa.array(rank), batch.column(3)],
+                                             names=["doc_id", "ids", "size", "grp", "rank", "row"])
+
+    return rows.select("doc_id", "ids", "size", "row").mapInArrow(
+        run, "doc_id long, ids binary, size long, grp long, rank double, row long")
+
+
+def parts_of(size: np.ndarray, grp: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(document, start, length): every group's whole windows, then what the groups have beyond."""
+    at = np.flatnonzero(np.concatenate([[True], grp[1:] != grp[:-1]]))
+    total = np.add.reduceat(size, at)
+    nth = np.cumsum(np.concatenate([[0], grp[1:] != grp[:-1]]))
+    ends = np.cumsum(size)
+    ends -= (np.cumsum(total) - total)[nth]
+    main = np.clip((total - total % window)[nth] - (ends - size), 0, size)
+    doc = np.arange(len(size))
+    doc, start, length = np.concatenate([doc, doc]), np.concatenate([0 * main, main]), np.concatenate([main, size - main])
+    return doc[length > 0], start[length > 0], length[length > 0]
+
+
 def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, window: int = 2048,
          bits: int = 18, query_terms: int = 16, shard_tokens: int = 2_500_000, shard_rows: int = 4096,
-         with_ids: bool = False) -> DataFrame:
+         with_ids: bool = False, index_rows: int = 32768, index_terms: int = 5_000_000, depth: int = 1) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (u32 if asked for)."""
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     tokenizer = tokenizer or default_path()
-    rows = stored(spark, encoded(docs, tokenizer, end_id, bits), "encoded", compression="zstd")
+    width = np.dtype(encoder(tokenizer).dtype).itemsize
+    rows = encoded(docs, tokenizer, end_id, bits).withColumn("row", F.monotonically_increasing_id()) \
+        .withColumn("size", (F.length("ids") / width).cast("long")).withColumn("n_terms", (F.length("terms") / 4).cast("long"))
+    rows = stored(spark, rows, "encoded", compression="zstd")
     df = document_frequencies(rows, bits)
-    lengths = rows.agg(F.count(F.lit(1)), F.sum(F.length("terms")) / 4).first()
+    lengths = rows.agg(F.count(F.lit(1)), F.sum("n_terms")).first()
     mean = max(1.0, float(lengths[1] or 0) / max(1, lengths[0]))
     idf = np.log(1 + (lengths[0] - df + 0.5) / (df + 0.5)).astype(np.float32)
     shared = spark.sparkContext.broadcast(idf)  # 2 ** bits numbers
+    members = members_of(spark, rows, shared, mean, bits, window, query_terms, shard_tokens, shard_rows, index_rows,
+                         index_terms, depth)
 
     def one(part: pa.Table, shard: int) -> pa.RecordBatch:
         kind = encoder(tokenizer).dtype
-        raw, idf = part.column("ids").to_pylist(), shared.value
-        size = np.array([len(x) // np.dtype(kind).itemsize for x in raw], np.int64)
-        own = part.column("terms").to_pylist()
-        n_terms = np.array([len(x) // 4 for x in own], np.int64)
-        terms = np.frombuffer(b"".join(own), np.uint32)
-        tf = np.frombuffer(b"".join(part.column("tf").to_pylist()), np.uint32)
-        # The length norm is by distinct terms, as is the mean.
-        norm = np.repeat(K1 * (1 - B + B * n_terms / mean), n_terms)
-        weight = (idf[terms] * tf * (K1 + 1) / (tf + norm)).astype(np.float32)
-        order = order_of(size, terms, weight, np.concatenate([[0], np.cumsum(n_terms)]), idf, window, query_terms)
-        doc, start, length, seq, offset = pieces_of(size, order, window)
+        raw = part.column("ids").to_pylist()
+        doc, begin, length = parts_of(part.column("size").to_numpy(), part.column("grp").to_numpy(), window)
+        nth, start, length, seq, offset = pieces_of(length, np.arange(len(doc)), window)
+        doc, start = doc[nth], start + begin[nth]
         ids = [np.frombuffer(raw[d], kind)[s:s + n].astype("<u4").tobytes() for d, s, n in zip(doc, start, length)]
         return pa.RecordBatch.from_arrays(
             [part.column("doc_id").combine_chunks().take(pa.array(doc)), pa.array(start), pa.array(length),
-             pa.array([zlib.crc32(x) for x in ids], pa.int64()), pa.array(size[doc]), pa.array(seq + (shard << 28)),
-             pa.array(offset), pa.array(ids if with_ids else [None] * len(ids), pa.binary())], schema=_OUT)
+             pa.array([zlib.crc32(x) for x in ids], pa.int64()), part.column("size").combine_chunks().take(pa.array(doc)),
+             pa.array(seq + (shard << 28)), pa.array(offset), pa.array(ids if with_ids else [None] * len(ids), pa.binary())],
+            schema=_OUT)
 
     def run(batches):
         shard, held, n_ids, n_rows = TaskContext.get().partitionId() << 12, [], 0, 0
-        width = np.dtype(encoder(tokenizer).dtype).itemsize
         for batch in batches:
             for part in T.slices(batch, "ids", width * shard_tokens // 8):
                 held.append(part)
                 n_rows += part.num_rows
                 n_ids += part.column(1).nbytes // width
                 if n_ids >= shard_tokens or n_rows >= shard_rows:
-                    yield one(pa.Table.from_batches(held), shard)
-                    shard, held, n_ids, n_rows = shard + 1, [], 0, 0
+                    lot = pa.Table.from_batches(held)
+                    grp = lot.column("grp").to_numpy()
+                    whole = int(np.argmax(grp == grp[-1]))  # the last group may go on
+                    if whole:
+                        yield one(lot.slice(0, whole), shard)
+                        shard += 1
+                        lot = lot.slice(whole)
+                    held, n_ids, n_rows = lot.to_batches(), lot.column("ids").nbytes // width, lot.num_rows
         if n_rows:
             yield one(pa.Table.from_batches(held), shard)
 
-    return rows.mapInArrow(run, OUT)
+    laid = placed(spark, rows, members).repartition("grp").sortWithinPartitions("grp", "rank", "row")
+    return laid.mapInArrow(run, OUT)
 
 
 def digest(result: DataFrame) -> DataFrame:
