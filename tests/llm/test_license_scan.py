@@ -92,3 +92,47 @@ def test_no_python_on_the_main_path(spark):
     files = spark.createDataFrame(ROWS, "file_id long, path string, text string").repartition(2)
     plan = L.licences(spark, files)._jdf.queryExecution().toString()
     assert "ArrowEval" not in plan and "InArrow" not in plan and "BatchEvalPython" not in plan
+
+
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version %d of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY."""
+APACHE = """Copyright 2019 The Authors
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0"""
+MIT = """Copyright (c) 2021 Somebody
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:"""
+
+
+def test_wrapped_headers_and_whole_texts(spark):
+    def marked(text, mark):
+        return "\n".join(f"{mark} {x}".rstrip() for x in text.split("\n"))
+    texts = dict(L.TEXTS)
+    bsd = {n: [t for m, t in L.HEADERS if m == n and "Redistribution and use" in t][0] for n in ("BSD-2-Clause", "BSD-3-Clause")}
+    code = "\nimport os\n" + "print(os.sep)\n" * 200
+    want = {1: "GPL-3.0", 2: "GPL-2.0", 3: "Apache-2.0", 4: "MIT", 5: "GPL-3.0", 6: "Apache-2.0", 7: "BSD-2-Clause", 8: "BSD-3-Clause",
+            9: "MPL-2.0", 10: "LGPL-3.0", 11: "MIT", 12: "GPL-2.0", 13: None, 14: "Apache-2.0", 15: "BSD-3-Clause"}
+    rows = [(1, "a.py", "#!/bin/python\n" + marked(GPL % 3, "#") + code), (2, "b.c", "/*\n" + marked(GPL % 2, " *") + "\n */" + code),
+            (3, "c.js", marked(APACHE, "//") + code), (4, "d.c", "/* " + MIT + " */" + code),
+            (5, "g/COPYING", texts["GPL-3.0"]), (6, "h/LICENSE", texts["Apache-2.0"]), (7, "i/LICENSE.txt", "Copyright 2001 X\n\n" + bsd["BSD-2-Clause"]),
+            (8, "j/LICENSE", bsd["BSD-3-Clause"]), (9, "k/LICENSE", texts["MPL-2.0"]), (10, "l/COPYING", texts["LGPL-3.0"]),
+            (11, "README", "A tool.\n\nUse it.\n\n" + MIT + "\n\nBye."), (12, "g2/COPYING", texts["GPL-2.0"]),
+            (13, "none.py", "# The licence of the king was long, and none may copy it.\n" + code), (14, "h/src/x.py", "pass"),
+            (15, "m.sh", "#!/bin/sh\n" + marked("Copyright 2020\n\n" + bsd["BSD-3-Clause"], "#") + code)]
+    got = {r[0]: r[2:] for r in run(spark, rows)}
+    assert {i: g[0] for i, g in got.items()} == want
+    assert got[14][2:] == ("folder", "h") and all(got[i][2] == "header" for i in want if i not in (13, 14))

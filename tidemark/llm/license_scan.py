@@ -1,10 +1,15 @@
 """License scan with DataFrame functions only: TF-IDF cosine to templates, then inheritance by folder.
 
 1. Segments: every line of a text that speaks of a licence, and the
-   whole text of a licence file (by its name).  Equal segments are
-   folded first, so a header that a third of all files carry is one row.
+   whole text of a licence file (by its name), for the one-line
+   statements; for the standard headers and licence texts, which run
+   over many lines, the leading comment block, every paragraph that
+   speaks of a licence, all from the first such paragraph to the last,
+   and again a licence file as a whole.  Equal segments are folded
+   first, so a header that a third of all files carry is one row.
 2. Term frequencies of segments and templates become sparse TF-IDF rows
-   (document frequencies over the segments of all files); a join on the
+   (document frequencies over the segments of all files, for
+   statements and for texts apart); a join on the
    term gives the cosine to every template, and the best one over a
    threshold is the segment's licence.
 3. A file's own licence is its best segment's.  A file without one takes
@@ -25,11 +30,15 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import stored
+from .licence_texts import HEADERS, TEXTS
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 TRIGGER = r"(?i)licen[sc]|copyright|copyleft|creative commons|public domain|spdx"
 LICENCE_FILE = r"(?i)^(licen[sc]e|copying|notice|unlicense)([._-][^/]*)?$"
 TERM = r"[a-z0-9]+(?:[.-][a-z0-9]+)*"
+# Lines of a comment, blank ones too; lines without a letter or digit part paragraphs, also within a comment.
+COMMENT = r"^\s*(?:$|#|//|--|;|%|\*|'|\.\.|(?:REM|rem|dnl) )"
+PARAGRAPH = r"\n[^\p{L}\p{N}]*\n"
 THRESHOLD = 0.6
 # Short statements by which files name their licence.
 TEMPLATES = [
@@ -56,14 +65,40 @@ def is_licence_file(path: Column) -> Column:
     return F.coalesce(F.regexp_like(F.regexp_extract(path, r"([^/]*)$", 1), F.lit(LICENCE_FILE)), F.lit(False))
 
 
+def _speaks(text: Column) -> Column:
+    return F.regexp_like(text, F.lit(TRIGGER))
+
+
+def _lead(text: Column) -> Column:
+    """The comment block at the start, after a ``#!`` or ``<?`` line."""
+    text = F.regexp_replace(text, r"^(?:#!|<\?)[^\n]*\n", "")
+    lines = F.split(text, "\n", -1)
+    code = F.array_position(F.transform(lines, lambda line: F.regexp_like(line, F.lit(COMMENT))), False)
+    marked = F.array_join(F.slice(lines, 1, F.when(code > 0, code - 1).otherwise(F.size(lines)).cast("int")), "\n")
+    return F.when(F.regexp_like(text, F.lit(r"^\s*/\*")), F.substring_index(text, "*/", 1)) \
+        .when(F.regexp_like(text, F.lit(r"^\s*<!--")), F.substring_index(text, "-->", 1)) \
+        .when(F.regexp_like(text, F.lit(r'^\s*"""')), F.substring_index(text, '"""', 2)).otherwise(marked)
+
+
+def _notice(text: Column) -> Column:
+    """From the first paragraph that speaks of a licence to the last."""
+    parts = F.split(text, PARAGRAPH, -1)
+    speaks = F.transform(parts, _speaks)
+    first, after = F.array_position(speaks, True), F.array_position(F.reverse(speaks), True)
+    return F.array_join(F.slice(parts, first.cast("int"), (F.size(parts) - after - first + 2).cast("int")), "\n\n")
+
+
 def segments(files: DataFrame) -> DataFrame:
-    """file_id, segment and its key (a digest), of every licence line and of every licence file as a whole."""
-    lines = F.when(F.regexp_like("text", F.lit(TRIGGER)), F.filter(
-        F.split("text", "\n", -1), lambda line: F.regexp_like(line, F.lit(TRIGGER))))
-    none = F.array().cast("array<string>")
-    whole = F.when(is_licence_file(F.col("path")) & F.col("text").isNotNull(), F.array("text"))
-    both = F.concat(F.coalesce(lines, none), F.coalesce(whole, none))
-    return files.select("file_id", F.explode(both).alias("segment")).withColumn("key", F.sha2("segment", 256))
+    """file_id, long, segment and its key (a digest): licence lines and files, and (long) blocks and files."""
+    text, none = F.col("text"), F.array().cast("array<string>")
+    whole = F.coalesce(F.when(is_licence_file(F.col("path")) & text.isNotNull(), F.array(text)), none)
+    lines = F.coalesce(F.when(_speaks(text), F.filter(F.split(text, "\n", -1), _speaks)), none)
+    # A paragraph without any word of a licence may still stand between two that have one.
+    blocks = F.coalesce(F.when(_speaks(text), F.filter(F.concat(
+        F.split(text, PARAGRAPH, -1), F.array(_lead(text), _notice(text))), _speaks)), none)
+    both = F.concat(F.transform(F.concat(lines, whole), lambda x: F.struct(F.lit(False).alias("long"), x.alias("segment"))),
+                    F.transform(F.array_distinct(F.concat(blocks, whole)), lambda x: F.struct(F.lit(True).alias("long"), x.alias("segment"))))
+    return files.select("file_id", F.inline(both)).withColumn("key", F.sha2("segment", 256))
 
 
 def _terms(text: Column) -> Column:
@@ -99,15 +134,22 @@ def segment_licences(spark: SparkSession, found: DataFrame, templates: list[tupl
 
 
 def licences(spark: SparkSession, files: DataFrame, templates: list[tuple[str, str]] | None = None,
-             threshold: float = THRESHOLD) -> DataFrame:
+             threshold: float = THRESHOLD, texts: list[tuple[str, str]] | None = None) -> DataFrame:
     """file_id, path, licence, cosine, via ('header' or 'folder'), folder of every file (file_id, path, text).
 
-    ``templates`` is a short list of (licence, statement).
+    ``templates`` is a short list of (licence, statement), one each; ``texts`` a bounded one of (licence, header or text).
     """
     rows = files.select(files["file_id"], files["path"].cast("string").alias("path"), files["text"].cast("string").alias("text"))
     found = stored(spark, segments(rows), "licence-lines")  # the texts are read once
-    named = segment_licences(spark, found, templates or TEMPLATES, threshold)
-    own = found.filter("file_id is not null").select("file_id", "key").join(named, "key").groupBy("file_id").agg(F.min("best").alias("own"))
+    named = segment_licences(spark, found.filter("not long"), templates or TEMPLATES, threshold).withColumn("long", F.lit(False))
+    # A licence has several texts: each is a template of its own.
+    texts = [(f"{name}\t{i}", text) for i, (name, text) in enumerate(HEADERS + TEXTS if texts is None else texts)]
+    if texts:
+        near = segment_licences(spark, found.filter("long"), texts, threshold)
+        licence = F.substring_index("best.licence", "\t", 1).alias("licence")
+        named = named.unionByName(near.select("key", F.struct("best.least", licence).alias("best"), F.lit(True).alias("long")))
+    named = stored(spark, named, "licence-names")  # small, and used by several branches
+    own = found.filter("file_id is not null").select("file_id", "long", "key").join(named, ["key", "long"]).groupBy("file_id").agg(F.min("best").alias("own"))
     places = rows.select("file_id", "path").join(own, "file_id", "left").withColumn("folder", folder_of(F.col("path")))
     licensed = places.filter(is_licence_file(F.col("path")) & F.col("own").isNotNull()) \
         .groupBy("folder").agg(F.min("own").alias("given")).withColumnRenamed("folder", "above")
