@@ -4,12 +4,11 @@ import sys
 import pytest
 
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
-sys.path.insert(0, ROOT)
+sys.path[:0] = [ROOT, os.path.dirname(os.path.abspath(__file__))]
 
 from tidemark.session import build_session  # noqa: E402
 
-SMALL = "/root/testdata/sf0.001"
-MEDIUM = "/root/testdata/sf0.01"
+from helpers import SMALL  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -19,6 +18,11 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(scope="session")
+def small():
+    return SMALL
+
+
 @pytest.fixture(scope="session")
 def duck():
     import duckdb

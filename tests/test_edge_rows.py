@@ -159,7 +159,7 @@ def test_op_code_and_topic(spark):
 
 
 def test_merge_latest_equals_full_latest(spark):
-    from conftest import SMALL
+    from helpers import SMALL
     from tidemark.plans import cdc_queries
 
     log = cdc_queries.dim_log(spark, SMALL)
@@ -174,7 +174,7 @@ def test_merge_latest_equals_full_latest(spark):
 
 
 def test_keyset_page_equals_offset_page(spark):
-    from conftest import SMALL
+    from helpers import SMALL
     from tidemark.operators import sales
     from tidemark.plans import sales_queries
 

@@ -3,8 +3,7 @@
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL
-from helpers import digest, rows_of
+from helpers import SMALL, digest, rows_of
 from tidemark.plans import registry
 
 QUERIES = registry.all_queries()

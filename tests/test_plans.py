@@ -7,7 +7,7 @@ from contextlib import redirect_stdout
 import pytest
 
 import __spark_entry__ as E
-from conftest import SMALL
+from helpers import SMALL
 from tidemark.plans import dau_queries, sales_queries, stream_queries
 
 BATCH = sorted(k for k in E.queries() if k not in stream_queries.QUERIES)

@@ -4,7 +4,7 @@ import unicodedata
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from helpers import SMALL
 from tidemark.functions.schemas import MOVIE
 from tidemark.operators import search
 from tidemark.sources.tables import read_table

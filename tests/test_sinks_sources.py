@@ -6,7 +6,7 @@ from contextlib import redirect_stdout
 
 from pyspark.sql import functions as F
 
-from conftest import SMALL
+from helpers import SMALL
 from tidemark import sinks
 from tidemark.operators import serving
 from tidemark.plans import dau_queries

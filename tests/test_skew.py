@@ -6,7 +6,7 @@ import json
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import MEDIUM
+from helpers import MEDIUM
 from tidemark import sinks
 from tidemark.operators import cdc, dau, logs
 from tidemark.sources.adapters import raw_log_from
