@@ -113,3 +113,20 @@ def secrets(rows):
         n = [sum(s[1] == i for s in spans) for i in range(3)]
         out.append((d, *n, sha(",".join(f"{SECRETS[i][0]}:{s}:{e}" for s, i, e in sorted(spans)))))
     return out
+
+
+def runs(words, min_length=6, min_exponent=4):
+    """(start, length, period) of all periodic runs, by start and period."""
+    n, out = len(words), []
+    for q in range(1, n // min_exponent + 1):
+        i = 0
+        while i + q < n:
+            s = i
+            while i + q < n and words[i] == words[i + q]:
+                i += 1
+            e = i + q
+            if i > s and e - s >= max(min_length, min_exponent * q) and \
+                    not any(all(words[x] == words[x + r] for x in range(s, e - r)) for r in range(1, q)):
+                out.append((s, e - s, q))
+            i = max(i, s + 1)
+    return sorted(out, key=lambda r: (r[0], r[2]))

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from . import decontam, license_scan, packing, quality_classifier, quality_rules, secret_scan, simhash, substring_dedup, token_store, url_filter
+from . import (bpe, decontam, hard_negatives, license_scan, packing, periodic, quality_classifier, quality_rules, secret_scan, simhash,
+               substring_dedup, token_store, url_filter)
 from .common import read_table, scratch_path
 
 URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
@@ -58,6 +59,19 @@ def op10_quality_classifier(spark, sf_dir):
     return quality_classifier.score(spark, docs, model)
 
 
+def op11_periodic_runs(spark, sf_dir):
+    docs = periodic.with_planted_tails(read_table(spark, sf_dir, "documents"))
+    return periodic.digest(periodic.periodic_runs(docs))
+
+
+def op12_hard_negatives(spark, sf_dir):
+    return hard_negatives.mine(spark, hard_negatives.contract_rows(read_table(spark, sf_dir, "embeddings")))
+
+
+def op13_bpe(spark, sf_dir):
+    return bpe.digest(bpe.decode(bpe.encode(read_table(spark, sf_dir, "documents"))))
+
+
 QUERIES = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_secret_scan": op2_secret_scan,
@@ -69,6 +83,9 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_url_filter": op9_url_filter,
     "op10_quality_classifier": op10_quality_classifier,
+    "op11_periodic_runs": op11_periodic_runs,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_bpe": op13_bpe,
 }
 
 ORACLE = {
@@ -158,6 +175,20 @@ SELECT p.page_id, p.host, p.path, own.rule,
   coalesce(own.v, CASE WHEN bad.x IS NOT NULL THEN 'block' ELSE 'allow' END) AS verdict
 FROM p LEFT JOIN own ON p.page_id = own.page_id AND p.url = own.url
 LEFT JOIN bad ON bad.x = p.host || CASE WHEN starts_with(tail, '/') THEN tail ELSE '/' || tail END
+""",
+    "op12_hard_negatives": r"""
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, r.vec_id AS id, a.label = r.label AS same, CAST(list_inner_product(a.v, r.v) AS BIGINT) AS score
+      FROM e a JOIN e r ON a.vec_id % 50 = 0 AND r.vec_id <> a.vec_id),
+pos AS (SELECT * FROM (SELECT anchor_id, id, score, row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) AS nth
+                       FROM s WHERE same) WHERE nth <= 5),
+neg AS (SELECT p.anchor_id, p.id AS positive_id, s.id AS negative_id, p.score AS positive_score, s.score AS negative_score,
+               row_number() OVER (PARTITION BY p.anchor_id, p.id ORDER BY s.score DESC, s.id) AS nth
+        FROM pos p JOIN s ON s.anchor_id = p.anchor_id AND NOT s.same AND 50 * p.score <= 100 * s.score AND 100 * s.score <= 95 * p.score)
+SELECT anchor_id, positive_id, CAST(nth AS INTEGER) AS rank, negative_id, positive_score, negative_score FROM neg WHERE nth <= 3
 """,
 }
 ORACLE["op5_license_scan"] = ORACLE["op5_license_scan"].replace(
