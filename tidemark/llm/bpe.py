@@ -30,6 +30,7 @@ from __future__ import annotations
 import heapq
 import json
 import re
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -165,7 +166,7 @@ class PairIndexCodec(Encoder):
         refused += [f"added token {a['content']!r}" for a in spec.get("added_tokens", []) if a["single_word"] or a["lstrip"] or a["rstrip"]]
         if model.get("type") != "BPE" or refused:
             raise ValueError(f"not a plain BPE file: {refused or model.get('type')}")
-        self.merges = Merges(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
+        self.path = path
         added = sorted(((a["content"], a["id"], a["normalized"]) for a in spec.get("added_tokens", [])), key=lambda a: -len(a[0]))
         self.added_id = {text: i for text, i, _ in added}
         self.raw, self.normal = (self._either([t for t, _, norm in added if norm is kind]) for kind in (False, True))
@@ -174,6 +175,13 @@ class PairIndexCodec(Encoder):
         self.strings = pa.array([s or "" for s in strings])
         self.known = np.array([s is not None for s in strings])
 
+    @cached_property
+    def merges(self) -> Merges:
+        """The merge rules; a worker that only decodes doesn't hold them."""
+        with open(self.path, encoding="utf-8") as f:
+            model = json.load(f)["model"]
+        return Merges(model["vocab"], model["merges"], model.get("end_of_word_suffix") or "")
+
     @staticmethod
     def _either(texts: list[str]):
         return re.compile("(" + "|".join(map(re.escape, texts)) + ")") if texts else None
@@ -226,7 +234,7 @@ class PairIndexCodec(Encoder):
         return pa.array([self.tok.decoder.decode(x) for x in strings.to_pylist()], pa.string())
 
 
-def encode(docs: DataFrame, tokenizer: str | None = None, slice_bytes: int = 4 << 20) -> DataFrame:
+def encode(docs: DataFrame, tokenizer: str | None = None, slice_bytes: int = 2 << 20) -> DataFrame:
     """doc_id and ids (u32, little endian) of every row."""
     tokenizer = tokenizer or default_path()
 
@@ -242,7 +250,7 @@ def encode(docs: DataFrame, tokenizer: str | None = None, slice_bytes: int = 4 <
     return documents_of(docs).mapInArrow(run, "doc_id long, ids binary")
 
 
-def decode(rows: DataFrame, tokenizer: str | None = None, slice_bytes: int = 4 << 20) -> DataFrame:
+def decode(rows: DataFrame, tokenizer: str | None = None, slice_bytes: int = 2 << 20) -> DataFrame:
     """doc_id, ids and text of every row of ``encode``'s result."""
     tokenizer = tokenizer or default_path()
 
