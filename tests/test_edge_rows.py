@@ -2,6 +2,7 @@
 
 import json
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc, dau, logs
@@ -95,18 +96,23 @@ def test_cdc_edges(spark):
     parsed = cdc.parse(_cdc(spark, docs))
     assert [r.seq for r in cdc.quarantine(parsed).collect()] == [10]
     dims, facts = cdc.split(cdc.valid(parsed))
-    routed = cdc.route_facts(facts).collect()
+    routed = _texts(cdc.route_facts(facts)).collect()
     assert sorted((r.topic, json.loads(r.value)["id"]) for r in routed) == [
         ("DWD_ORDER_INFO_I", 1), ("DWD_ORDER_INFO_I", 2)]
     assert sorted(r.seq for r in cdc.dim_rows_rejected(dims).collect()) == [5, 6]
     log = cdc.dim_rows(dims)
-    latest = {r.dim_key: r for r in cdc.dim_latest(log).collect()}
+    latest = {r.dim_key: r for r in _texts(cdc.dim_latest(log)).collect()}
     assert set(latest) == {"DIM:USER_INFO:8", "DIM:USER_INFO:9"}
     assert json.loads(latest["DIM:USER_INFO:8"].value)["n"] == "new"
     applied = {r.dim_key for r in cdc.dim_latest(log, deletes="apply").collect()}
     assert applied == {"DIM:USER_INFO:8"}
 
 
+def _texts(rows):
+    """Rows with their variant as text, as at a sink."""
+    return rows.withColumn("value", cdc.as_text())
+
+
 def test_cdc_full_key_and_numeric_pk(spark):
     docs = [{"table": "sku_info", "type": "INSERT", "pkNames": ["a", "b"],
              "data": [{"a": 1, "b": "x"}]}]
@@ -125,16 +131,24 @@ def test_full_keys_stay_different(spark):
     assert sorted(r.dim_key for r in cdc.route_all(parsed, full_key=True).collect()) == sorted(want)
 
 
-def test_dotted_pk_name(spark):
-    docs = [{"table": "sku_info", "type": "INSERT", "pkNames": ["a.b"], "data": [{"a.b": 5}]}]
+@pytest.mark.parametrize("name", ["a.b", "it's", 'a"b', "x]y", ""])
+def test_odd_pk_names(spark, name):
+    docs = [{"table": "sku_info", "type": "INSERT", "pkNames": [name], "data": [{name: 5}]}]
     dims, _ = cdc.split(cdc.valid(cdc.parse(_cdc(spark, docs))))
     assert cdc.dim_rows(dims).first().dim_key == "DIM:SKU_INFO:5"
 
 
+def test_a_pk_name_with_both_quotes_cannot_be_looked_up(spark):
+    docs = [{"table": "sku_info", "type": "INSERT", "pkNames": ["a'b\"c"], "data": [{"a'b\"c": 5}]}]
+    parsed = cdc.parse(_cdc(spark, docs))
+    assert cdc.route_all(cdc.valid(parsed)).count() == 0
+    assert [r.fault for r in cdc.rejects(parsed).collect()] == ["pk"]
+
+
 def test_payload_keeps_every_digit(spark):
     text = '{"table": "t", "type": "INSERT", "pkNames": null, "data": [{"m": 12345678901234567.89, "n": 98765432109876543210, "q": 0.1}]}'
     raw = spark.createDataFrame([(1, text)], "seq long, value string")
-    value = cdc.route_facts(cdc.valid(cdc.parse(raw))).first().value
+    value = _texts(cdc.route_facts(cdc.valid(cdc.parse(raw)))).first().value
     assert value == '{"m":12345678901234567.89,"n":98765432109876543210,"q":0.1}'
 
 
@@ -169,7 +183,7 @@ def test_merge_latest_equals_full_latest(spark):
     merged = cdc.merge_latest(snap, later)
     full = cdc.dim_latest(log)
     cols = ["dim_table", "pk", "seq", "type", "value"]
-    assert merged.select(*cols).exceptAll(full.select(*cols)).count() == 0
+    assert _texts(merged).select(*cols).exceptAll(_texts(full).select(*cols)).count() == 0
     assert merged.count() == full.count()
 
 
@@ -198,14 +212,14 @@ def test_route_all_equals_separate_arms(spark):
         {"table": "sku_info", "type": "ALTER", "pkNames": ["id"], "data": [{"id": 10}]},
     ]
     parsed = cdc.valid(cdc.parse(_cdc(spark, docs)))
-    routed = cdc.route_all(parsed)
+    routed = _texts(cdc.route_all(parsed))
     dims, facts = cdc.split(parsed)
     cols = ["seq", "dim_table", "pk", "dim_key", "type", "pos", "value"]
     assert sorted(map(tuple, cdc.dim_log_of(routed).select(*cols).collect())) == \
-        sorted(map(tuple, cdc.dim_rows(dims).select(*cols).collect()))
+        sorted(map(tuple, _texts(cdc.dim_rows(dims)).select(*cols).collect()))
     fcols = ["seq", "topic", "pos", "value"]
     assert sorted(map(tuple, cdc.facts_of(routed).select(*fcols).collect())) == \
-        sorted(map(tuple, cdc.route_facts(facts).select(*fcols).collect()))
+        sorted(map(tuple, _texts(cdc.route_facts(facts)).select(*fcols).collect()))
     assert {r.route for r in routed.collect()} == {"DWD_ORDER_INFO_I", "DWD_ORDER_INFO_U", "DIM_USER_INFO",
                                                     "DIM_SKU_INFO"}
     keys = {(r.route, r.msg_key) for r in routed.collect()}

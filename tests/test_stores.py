@@ -1,4 +1,4 @@
-"""Versioned stores: dimension images, first-seen days, add-if-absent against a stored table."""
+"""Stores: dimension images, first-seen days, add-if-absent against a stored table."""
 
 import os
 
@@ -7,19 +7,32 @@ from pyspark.sql import functions as F
 
 from tidemark import sinks
 from tidemark.operators import cdc, sales
-from tidemark.sinks import changelog, dim_store, versions
+from tidemark.sinks import changelog, dim_store
 from tidemark.streaming import jobs
 
 LOG = "dim_table string, pk string, dim_key string, type string, seq long, pos long, value string"
 
 
+def _variants(df):
+    return df.withColumn("value", F.parse_json("value"))
+
+
 def _log(spark, rows):
-    return spark.createDataFrame([("sku_info", pk, f"DIM:SKU_INFO:{pk}", kind, seq, 0, value)
-                                  for pk, kind, seq, value in rows], LOG)
+    return _variants(spark.createDataFrame([("sku_info", pk, f"DIM:SKU_INFO:{pk}", kind, seq, 0, f'"{value}"')
+                                            for pk, kind, seq, value in rows], LOG))
 
 
 def _images(spark, store, **kw):
-    return {r.pk: (r.type, r.seq, r.value) for r in dim_store.read_images(spark, store, **kw).collect()}
+    images = dim_store.read_images(spark, store, **kw).withColumn("value", F.col("value").cast("string"))
+    return {r.pk: (r.type, r.seq, r.value) for r in images.collect()}
+
+
+def _files(store):
+    found = {}
+    for at, _, names in os.walk(f"{store}/images"):
+        if "bucket=" in at:
+            found[int(at.rsplit("=", 1)[1])] = {n for n in names if n.endswith(".parquet")}
+    return found
 
 
 def test_compaction_in_parts_equals_the_latest_images(spark, tmp_path):
@@ -27,28 +40,39 @@ def test_compaction_in_parts_equals_the_latest_images(spark, tmp_path):
     first = [("1", "INSERT", 10, "a"), ("2", "INSERT", 20, "b"), ("3", "DELETE", 40, "c")]
     later = [("1", "UPDATE", 11, "a2"), ("3", "UPDATE", 30, "old"), ("4", "INSERT", 50, "d"), ("4", "INSERT", 50, "d")]
     changelog(_log(spark, first), log)
-    one = dim_store.compact(spark, log, store)
-    assert dim_store.compact(spark, log, store) == one  # no new file, no new version
+    assert dim_store.compact(spark, log, store)
+    files = _files(store)
+    assert dim_store.compact(spark, log, store) == [] and _files(store) == files  # no new file, nothing rewritten
     changelog(_log(spark, later), log)
-    assert dim_store.compact(spark, log, store) != one
+    touched = dim_store.compact(spark, log, store)
+    after = _files(store)
+    # Only touched buckets have new files.
+    assert {b for b in after if after[b] != files.get(b)} == set(touched) and set(files) - set(touched)
     got = _images(spark, store)
     assert got == {"1": ("UPDATE", 11, "a2"), "2": ("INSERT", 20, "b"), "3": ("DELETE", 40, "c"), "4": ("INSERT", 50, "d")}
-    whole = cdc.dim_latest(_log(spark, first + later)).collect()
+    whole = cdc.dim_latest(_log(spark, first + later)).withColumn("value", F.col("value").cast("string")).collect()
     assert got == {r.pk: (r.type, r.seq, r.value) for r in whole}
     assert set(_images(spark, store, deletes="apply")) == {"1", "2", "4"}
 
 
-def test_an_unfinished_version_is_not_read(spark, tmp_path):
+def test_a_failed_merge_is_made_up_for(spark, tmp_path, monkeypatch):
     log, store = f"{tmp_path}/log", f"{tmp_path}/store"
     changelog(_log(spark, [("1", "INSERT", 1, "a")]), log)
-    one = dim_store.compact(spark, log, store)
-    os.makedirs(f"{store}/v0000000002/files")  # a run that failed half way
-    assert versions.latest(spark, store, "images/") == one
-    changelog(_log(spark, [("1", "UPDATE", 2, "b")]), log)
-    assert dim_store.compact(spark, log, store).endswith("v0000000003")
-    assert _images(spark, store) == {"1": ("UPDATE", 2, "b")}
     with pytest.raises(FileNotFoundError):
-        dim_store.read_images(spark, f"{tmp_path}/none")
+        dim_store.read_images(spark, store)
+
+    def fail(*a):
+        raise OSError("lost")
+    for value, seq in (("a", 1), ("b", 2)):
+        changelog(_log(spark, [("1", "UPDATE", seq, value), (f"n{seq}", "INSERT", seq, "n")]), log)
+        with monkeypatch.context() as m:  # the stream has taken the files, but nothing was merged
+            m.setattr(dim_store, "overwrite_partitions", fail)
+            with pytest.raises(OSError):
+                dim_store.compact(spark, log, store)
+        if seq == 1:
+            assert dim_store.compact(spark, log, store)
+    assert dim_store.compact(spark, log, store)
+    assert _images(spark, store) == {"1": ("UPDATE", 2, "b"), "n1": ("INSERT", 1, "n"), "n2": ("INSERT", 2, "n")}
 
 
 def test_compact_job_over_the_routers_folder(spark, tmp_path):
@@ -85,6 +109,12 @@ def test_first_seen_in_any_order_of_days(spark, tmp_path):
     sinks.first_seen_table(_dau(spark, ("a", "2024-01-05", 1), ("b", "2024-01-03", 1)), path)
     got = {tuple(r) for r in sinks.read_first_seen(spark, path).collect()}
     assert got == {("a", "2024-01-01"), ("b", "2024-01-03"), ("c", "2024-01-02")}
+    # The last device leaves a day, another day is not touched.
+    kept = set(os.listdir(f"{path}/first_dt=2024-01-01"))
+    sinks.first_seen_table(_dau(spark, ("b", "2023-12-30", 1)), path)
+    got = {tuple(r) for r in sinks.read_first_seen(spark, path).collect()}
+    assert got == {("a", "2024-01-01"), ("b", "2023-12-30"), ("c", "2024-01-02")}
+    assert set(os.listdir(f"{path}/first_dt=2024-01-01")) == kept
 
 
 def test_add_absent_against_a_stored_table(spark, tmp_path):
@@ -100,10 +130,13 @@ def test_add_absent_against_a_stored_table(spark, tmp_path):
 def test_a_line_without_order_or_image_keeps_its_row(spark):
     lines = spark.createDataFrame([('{"order_id":1,"line_no":1,"sku_id":7,"price":2.5}',),
                                    ('{"order_id":2,"line_no":1,"sku_id":8,"price":1.0}',)], "value string")
+    lines = _variants(lines)
     orders = spark.createDataFrame([(1, 0, '{"id":1,"user_id":5,"day":"2024-01-01"}'),
                                     (1, 1, '{"id":1,"user_id":6,"day":"2024-01-02"}')], "seq long, pos long, value string")
+    orders = _variants(orders)
     images = spark.createDataFrame([("user_info", "6", '{"id":6,"name":"u"}'),
                                     ("sku_info", "7", '{"id":7,"name":"s","brand":"b"}')],
                                    "dim_table string, pk string, value string")
+    images = _variants(images)
     got = sorted(tuple(r) for r in sales.enriched(lines, orders, images).collect())
     assert got == [(1, 1, 2.5, 6, "2024-01-02", "u", 7, "s", "b"), (2, 1, 1.0, None, None, None, 8, None, None)]

@@ -8,7 +8,11 @@ table become messages on ``DWD_<TABLE>_<I|U|D>`` (``route_facts``).
 ``route_all`` does both in one pass (one explode, every row tagged with
 its route), which is what the streaming router uses.
 
-All steps are narrow except ``dim_latest``, a partial + final ``max``
+A data row stays a VARIANT from the parse to the edge: keys and fields are
+read from it by path, Parquet stores it as it is, and it becomes text only
+where a message is sent (``as_text``).  Numbers keep every digit.
+
+All steps are narrow except ``dim_latest``, a partial + final ``max_by``
 aggregate per ``(dim_table, pk)``: a key with many images collapses map
 side before the shuffle.
 """
@@ -32,7 +36,7 @@ FACT_TOPIC_PREFIX = "DWD_"
 DIM_KEY_PREFIX = "DIM:"
 
 def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
-    """Envelope JSON -> ``table, type, pkNames, data`` (data rows stay JSON text)."""
+    """Envelope JSON -> ``table, type, pkNames, data`` (data rows are variants)."""
     passthrough = [c for c in raw.columns if c != value_col]
     one = parse_once(raw, value_col, CDC_ENVELOPE)
     return one.select(
@@ -40,7 +44,7 @@ def parse(raw: DataFrame, value_col: str = "value") -> DataFrame:
         F.col("doc.table").alias("table"),
         F.col("doc.type").alias("type"),
         F.col("doc.pkNames").alias("pkNames"),
-        F.transform("doc.data", lambda v: F.to_json(v)).alias("data"),
+        F.col("doc.data").alias("data"),
         corrupt_text().alias(CORRUPT),
     )
 
@@ -67,13 +71,15 @@ def rejects(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES) -> DataFrame:
              .when(~is_dim & op_code(F.col("type")).isNull(), "type")
              .when(is_dim & (F.col("pkNames").isNull() | (F.size("pkNames") == 0)), "pk_names")
              .when(F.col("data").isNull() | (F.size("data") == 0), "data"))
-    text = F.coalesce(F.col(CORRUPT), F.to_json(F.struct("table", "type", "pkNames", "data")))
-    none = F.array(F.lit(None).cast("string"))
-    rows = parsed.select(*keep, "table", "pkNames", whole.alias("fault"), is_dim.alias("_dim"),
-                         F.explode(F.when(whole.isNotNull(), F.array(text))
-                                   .when(is_dim, F.col("data")).otherwise(none)).alias("value"))
-    fault = F.coalesce("fault", F.when(F.col("_dim") & first_pk().isNull(), "pk"))
-    return rows.withColumn("fault", fault).where(F.col("fault").isNotNull()).select(*keep, "table", "fault", "value")
+    # Envelopes at fault go as one text; rows of dimension envelopes are looked into, facts are not.
+    text = F.when(whole.isNotNull(), F.coalesce(F.col(CORRUPT), F.to_json(F.struct("table", "type", "pkNames", "data"))))
+    rows = parsed.where(whole.isNotNull() | is_dim).select(
+        *keep, "table", "pkNames", whole.alias("fault"), text.alias("_text"),
+        F.explode_outer(F.when(whole.isNull(), F.col("data"))).alias("value"))
+    keyed = _with_pk(rows, first_pk())
+    return keyed.withColumn("fault", F.coalesce("fault", F.when(F.col("pk").isNull(), "pk"))) \
+                .where(F.col("fault").isNotNull()) \
+                .select(*keep, "table", "fault", F.coalesce("_text", as_text("value")).alias("value"))
 
 
 def is_dimension(table: Column, dims: Sequence[str] = DIM_TABLES) -> Column:
@@ -100,7 +106,7 @@ def fact_topic(table: Column, op: Column) -> Column:
 
 
 def route_facts(facts: DataFrame) -> DataFrame:
-    """One message per data row: ``topic`` + ``value`` (row JSON) + ``pos``.
+    """One message per data row: ``topic`` + ``value`` (the row, a variant) + ``pos``.
 
     Rows with an unknown type or a null table are dropped, as are
     envelopes without data.  Other columns (e.g. ``seq``) pass through.
@@ -113,9 +119,30 @@ def route_facts(facts: DataFrame) -> DataFrame:
     return routed.select(*keep, "topic", F.col("pos").cast("bigint").alias("pos"), "value")
 
 
+def as_text(value: str | Column = "value") -> Column:
+    """JSON text of a data row, for a message or a file that has to be text."""
+    return F.to_json(value)
+
+
+def field(name: str, type_: str, value: str | Column = "value") -> Column:
+    """Typed field of a data row; null where it is absent or of another type."""
+    return F.try_variant_get(value, f"$.{name}", type_)
+
+
+def _key_path(name: Column) -> Column:
+    """Path of a top-level field: quoted, so dots in a name are no path; null for a name with both kinds of quotes."""
+    single, double = name.contains("'"), name.contains('"')
+    return (F.when(~single, F.concat(F.lit("$['"), name, F.lit("']")))
+            .when(~double, F.concat(F.lit('$["'), name, F.lit('"]'))))
+
+
+def _key_part(name: Column) -> Column:
+    return F.try_variant_get("value", _key_path(name), "string")
+
+
 def first_pk() -> Column:
-    """Value of the first pk column; its name is quoted, so dots in it are no path."""
-    return F.expr("get_json_object(value, concat('$[\\'', try_element_at(pkNames, 1), '\\']'))")
+    """Value of the first pk column as text."""
+    return _key_part(F.try_element_at("pkNames", F.lit(1)))
 
 
 def full_pk() -> Column:
@@ -123,11 +150,20 @@ def full_pk() -> Column:
 
     ``\\`` and ``:`` inside a value are escaped, so different keys stay different.
     """
-    parts = F.expr("transform(pkNames, n -> regexp_replace("
-                   "get_json_object(value, concat('$[\\'', n, '\\']')), '([\\\\\\\\:])', '\\\\\\\\$1'))")
+    parts = F.transform("pkNames", lambda n: F.regexp_replace(_key_part(n), r"([\\:])", r"\\$1"))
     return F.when(~F.exists(parts, lambda p: p.isNull()), F.array_join(parts, ":"))
 
 
+def _with_pk(rows: DataFrame, pk: Column) -> DataFrame:
+    """``rows`` with their key as ``pk``, looked up once.
+
+    The key comes out of a one-row generator, so that filters and columns on
+    it read its result; Catalyst would put the lookup into each of them.
+    """
+    rest = [c for c in rows.columns if c != "value"]
+    return rows.select(*rest, F.inline(F.array(F.struct("value", pk.alias("pk")))))
+
+
 def dim_rows(dims: DataFrame, full_key: bool = False,
              observation: Observation | None = None) -> DataFrame:
     """Dimension changelog: ``dim_table, pk, dim_key, type, pos, value`` (+ passthrough).
@@ -145,9 +181,8 @@ def dim_rows(dims: DataFrame, full_key: bool = False,
         dims.where(F.col("pkNames").isNotNull() & (F.size("pkNames") > 0))
     exploded = rows.select(*keep, F.col("table").alias("dim_table"), "type", "pkNames",
                            F.posexplode("data").alias("pos", "value"))
-    pk = full_pk() if full_key else first_pk()
-    out = exploded.select(*keep, "dim_table", pk.alias("pk"), "type", "pkNames",
-                          F.col("pos").cast("bigint").alias("pos"), "value")
+    out = _with_pk(exploded, full_pk() if full_key else first_pk())
+    out = out.select(*keep, "dim_table", "pk", "type", "pkNames", F.col("pos").cast("bigint").alias("pos"), "value")
     if observation is not None:
         no_names = F.col("pkNames").isNull()
         empty = F.size("pkNames") == 0
@@ -182,8 +217,8 @@ def route_all(parsed: DataFrame, dims: Sequence[str] = DIM_TABLES, full_key: boo
     rows = parsed.where(usable).select(
         *keep, "table", "type", "pkNames", is_dim.alias("_dim"), op.alias("_op"),
         F.posexplode("data").alias("pos", "value"))
-    rows = rows.withColumn("_pk", full_pk() if full_key else first_pk()).withColumn("pk", F.when(F.col("_dim"), F.col("_pk"))) \
-               .where(~F.col("_dim") | F.col("pk").isNotNull())
+    rows = _with_pk(rows, full_pk() if full_key else first_pk()).withColumnRenamed("pk", "_pk")
+    rows = rows.where(~F.col("_dim") | F.col("_pk").isNotNull()).withColumn("pk", F.when(F.col("_dim"), F.col("_pk")))
     route = F.when(F.col("_dim"), F.concat(F.lit(DIM_TOPIC_PREFIX), F.upper("table"))) \
              .otherwise(fact_topic(F.col("table"), F.col("_op")))
     dim_key = F.when(F.col("_dim"), F.concat(F.lit(DIM_KEY_PREFIX), F.upper("table"), F.lit(":"), F.col("pk")))
@@ -224,10 +259,10 @@ def dim_rows_rejected(dims: DataFrame) -> DataFrame:
 
 
 def dim_latest(dim_log: DataFrame, order: Sequence[str] = ("seq", "pos"),
-               deletes: str = "keep") -> DataFrame:
+               deletes: str = "keep", keep: Sequence[str] = ()) -> DataFrame:
     """Latest image per ``(dim_table, pk)``: last write wins by ``order``.
 
-    ``deletes="keep"`` stores a DELETE's old image like any write (the
+    ``keep`` names columns that the key determines.  ``deletes="keep"`` stores a DELETE's old image like any write (the
     source system's behaviour); ``deletes="apply"`` removes such keys.
     """
     missing = [c for c in order if c not in dim_log.columns]
@@ -235,9 +270,11 @@ def dim_latest(dim_log: DataFrame, order: Sequence[str] = ("seq", "pos"),
         raise ValueError(f"dim_latest orders images by {list(order)}; missing {missing}: "
                          "carry the log position (e.g. seq) through parse")
     payload = [c for c in ("dim_key", "type", "value") if c in dim_log.columns]
-    last = F.max(F.struct(*order, *payload)).alias("_last")
-    latest = dim_log.groupBy("dim_table", "pk").agg(last) \
-                    .select("dim_table", "pk", *[F.col(f"_last.{c}").alias(c) for c in (*order, *payload)])
+    # A position names one data row, so only copies of it can tie; rows kept as text are ordered by it too.
+    tie = [c for c in payload if c != "value" or dict(dim_log.dtypes)["value"] == "string"]
+    last = F.max_by(F.struct(*order, *payload), F.struct(*order, *tie)).alias("_last")
+    latest = dim_log.groupBy("dim_table", "pk", *keep).agg(last) \
+                    .select("dim_table", "pk", *keep, *[F.col(f"_last.{c}").alias(c) for c in (*order, *payload)])
     if deletes == "apply":
         latest = latest.where(F.col("type") != F.lit(OP_DELETE))
     elif deletes != "keep":

@@ -85,14 +85,6 @@ def first_seen(dau: DataFrame) -> DataFrame:
     return dau.groupBy("mid").agg(F.date_format(first, "yyyy-MM-dd").alias("first_dt"))
 
 
-def merge_first_seen(stored: DataFrame | None, dau: DataFrame) -> DataFrame:
-    """Stored first days brought up to date by further DAU rows, in whatever order days arrive."""
-    days = dau.select("mid", "dt")
-    if stored is not None:
-        days = stored.select("mid", F.col("first_dt").alias("dt")).unionByName(days)
-    return first_seen(days)
-
-
 def detail(facts: DataFrame) -> DataFrame:
     """DAU detail rows in the fixed column order, tie-break columns dropped."""
     return facts.select(*FACT_COLUMNS)

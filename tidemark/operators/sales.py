@@ -19,6 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
+from . import cdc
+
 # Fixed values of the facet and band definitions.
 GENDER_FEMALE, GENDER_MALE = "F", "M"
 AGE_BANDS = (("under 20", 20), ("20 to 30", 30), ("30 and over", None))
@@ -68,31 +70,39 @@ def wide(lineitem: DataFrame, orders: DataFrame, customer: DataFrame, part: Data
     )
 
 
+def order_fields(orders: DataFrame, *keep: str) -> DataFrame:
+    """``order_id, user_id, dt`` of order messages (+ ``keep``)."""
+    return orders.select(*keep, cdc.field("id", "bigint").alias("order_id"), cdc.field("user_id", "bigint").alias("user_id"),
+                         cdc.field("day", "string").alias("dt"))
+
+
+def line_fields(lines: DataFrame, *keep: str) -> DataFrame:
+    """``order_id, line_no, sku_id, price`` of order-line messages (+ ``keep``)."""
+    return lines.select(*keep, cdc.field("order_id", "bigint").alias("order_id"), cdc.field("line_no", "bigint").alias("line_no"),
+                        cdc.field("sku_id", "bigint").alias("sku_id"), cdc.field("price", "double").alias("price"))
+
+
 def enriched(lines: DataFrame, orders: DataFrame, images: DataFrame) -> DataFrame:
     """Order lines of the fact feed with order, user and goods fields, one row per line message.
 
-    ``lines`` and ``orders`` are fact messages (row JSON in ``value``; orders
+    ``lines`` and ``orders`` are fact messages (a variant row in ``value``; orders
     with ``seq`` and ``pos``), ``images`` the latest dimension images.  A line
     keeps its row, with nulls, where its order or an image is missing.  Orders
     are cut to their last message and joined with their user first, so that
     lines are shuffled twice only: by order and by goods.
     """
-    def image(table: str, fields: str) -> DataFrame:
+    def image(table: str, fields: dict[str, str]) -> DataFrame:
         row = images.where(F.col("dim_table") == table)
-        return row.select(F.col("pk").cast("bigint").alias("_pk"), F.from_json("value", fields).alias("_i"))
-
-    o = orders.select("seq", "pos", F.from_json("value", "id bigint, user_id bigint, day string").alias("o"))
-    o = (o.select("seq", "pos", F.col("o.id").alias("order_id"), "o.user_id", F.col("o.day").alias("dt"))
-          .where(F.col("order_id").isNotNull()).groupBy("order_id")
-          .agg(F.max(F.struct("seq", "pos", "user_id", "dt")).alias("_o"))
-          .select("order_id", "_o.user_id", "_o.dt"))
-    users = image("user_info", "name string").select("_pk", F.col("_i.name").alias("user_name"))
-    goods = image("sku_info", "name string, brand string") \
-        .select("_pk", F.col("_i.name").alias("sku_name"), F.col("_i.brand").alias("sku_brand"))
-    li = lines.select(F.from_json("value", "order_id bigint, line_no bigint, sku_id bigint, price double").alias("l")) \
-              .select("l.*")
+        return row.select(F.col("pk").try_cast("bigint").alias("_pk"),
+                          *[cdc.field(name, "string").alias(alias) for name, alias in fields.items()])
+
+    o = (order_fields(orders, "seq", "pos").where(F.col("order_id").isNotNull()).groupBy("order_id")
+         .agg(F.max(F.struct("seq", "pos", "user_id", "dt")).alias("_o"))
+         .select("order_id", "_o.user_id", "_o.dt"))
+    users = image("user_info", {"name": "user_name"})
+    goods = image("sku_info", {"name": "sku_name", "brand": "sku_brand"})
     o = o.join(users, o.user_id == users["_pk"], "left").drop("_pk")
-    j = li.join(o, "order_id", "left").join(goods, F.col("sku_id") == goods["_pk"], "left")
+    j = line_fields(lines).join(o, "order_id", "left").join(goods, F.col("sku_id") == goods["_pk"], "left")
     return j.select("order_id", "line_no", "price", "user_id", "dt", "user_name", "sku_id", "sku_name", "sku_brand")
 
 

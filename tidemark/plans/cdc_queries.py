@@ -29,12 +29,9 @@ def dim_log(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_cdc_route_facts(spark, sf_dir):
     msgs = fact_messages(spark, sf_dir)
-    # One parse per message for the four fields read.
-    row = F.from_json("value", "id bigint, order_id bigint, line_no bigint, total double, price double")
-    m = msgs.select("topic", "pos", row.alias("r"))
-    return m.select("topic", "pos", F.col("r.line_no").alias("line_no"),
-                    F.coalesce("r.id", "r.order_id").alias("record_id"),
-                    F.coalesce("r.total", "r.price").alias("amount"))
+    return msgs.select("topic", "pos", cdc.field("line_no", "bigint").alias("line_no"),
+                       F.coalesce(cdc.field("id", "bigint"), cdc.field("order_id", "bigint")).alias("record_id"),
+                       F.coalesce(cdc.field("total", "double"), cdc.field("price", "double")).alias("amount"))
 
 
 def q_cdc_route_counts(spark, sf_dir):
@@ -57,8 +54,7 @@ def q_dim_latest_rows(spark, sf_dir):
 def _image_fields(latest: DataFrame) -> DataFrame:
     return latest.select(
         "dim_key", "dim_table", "pk", F.col("type").alias("latest_type"), "seq",
-        F.get_json_object("value", "$.name").alias("name"),
-        F.get_json_object("value", "$.balance").try_cast("double").alias("balance"),
+        cdc.field("name", "string").alias("name"), cdc.field("balance", "double").alias("balance"),
     )
 
 
@@ -86,7 +82,7 @@ def q_snapshot_envelopes(spark, sf_dir):
     env = cdc.snapshot_envelopes(dimension_tables(spark, sf_dir))
     rows = cdc.dim_rows(cdc.valid(cdc.parse(env)))
     return rows.select("dim_table", "type", "dim_key",
-                       F.get_json_object("value", "$.name").alias("name"))
+                       cdc.field("name", "string").alias("name"))
 
 
 def q_dim_compact(spark, sf_dir):
@@ -98,7 +94,7 @@ def q_dim_compact(spark, sf_dir):
     for part in (log.where(~late), log.where(late)):
         changelog(part, f"{base}/log")
         dim_store.compact(spark, f"{base}/log", f"{base}/store")
-    dim_store.compact(spark, f"{base}/log", f"{base}/store")  # nothing new: the version stays
+    dim_store.compact(spark, f"{base}/log", f"{base}/store")  # nothing new: no bucket is touched
     return _image_fields(dim_store.read_images(spark, f"{base}/store"))
 
 
@@ -120,8 +116,8 @@ def q_cdc_payload_exact(spark, sf_dir):
     text = F.concat(F.lit('{"table":"order_info","type":"INSERT","pkNames":["id"],"data":[{"id":'), key,
                     F.lit(',"total":9'), F.lpad(key, 17, "0"), F.lit(".89}]}"))
     msgs = cdc.facts_of(cdc.route_all(cdc.valid(cdc.parse(orders.select(text.alias("value"))))))
-    return msgs.select(F.get_json_object("value", "$.id").cast("bigint").alias("record_id"),
-                       F.regexp_extract("value", '"total":([^,}]+)', 1).alias("total"))
+    return msgs.select(cdc.field("id", "bigint").alias("record_id"),
+                       F.regexp_extract(cdc.as_text(), '"total":([^,}]+)', 1).alias("total"))
 
 
 def q_dim_full_key(spark, sf_dir):

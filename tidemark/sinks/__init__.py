@@ -13,9 +13,9 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from ..functions.schemas import DAU_INFO, FIRST_SEEN
-from ..operators.dau import dedup, incremental, merge_first_seen
+from ..operators import cdc
+from ..operators.dau import dedup, first_seen, incremental
 from ..session import scratch_path
-from . import versions
 
 
 def apply_trigger(writer, trigger: str | None):
@@ -55,23 +55,45 @@ def dau_table(df: DataFrame, path: str, checkpoint: str | None = None,
     return None
 
 
+def exists(spark, path: str) -> bool:
+    """Whether there is a file or folder at ``path``, in whatever store."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
+
+
+def overwrite_partitions(df: DataFrame, path: str, column: str) -> None:
+    """Replace the partitions that ``df`` has rows of; all others keep their files.
+
+    ``df`` may read the table at ``path``: the new files are complete before the old ones go.
+    """
+    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+
+
+def staged_days(facts: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> tuple[DataFrame, list[str]]:
+    """A batch's first row per device-day, written beside the tables by day, and its days.
+
+    The batch is computed once: its days (one entry per calendar day) come from that listing.
+    """
+    spark = facts.sparkSession
+    staged = scratch_path(spark, "dau-batch")
+    dedup(facts, order=order).select(*DAU_INFO.fieldNames()).write.mode("overwrite").partitionBy("dt").parquet(staged)
+    batch = read_dau_table(spark, staged).select(*DAU_INFO.fieldNames())
+    return batch, [r.dt for r in batch.select("dt").distinct().collect()]
+
+
 def upsert_days(df: DataFrame, path: str) -> None:
     """Merge a batch into the stored days it touches: one row per ``(dt, mid)``, the earliest.
 
-    Only the batch's days are read (their list is at most one entry per
-    calendar day) and rewritten.  The merged days are written beside the
-    table first and then swapped in by a dynamic partition overwrite, so a
-    run that fails leaves the stored days, and a repeated run changes nothing.
+    The batch is computed once; only its days are read and rewritten, by a
+    dynamic partition overwrite, so a run that fails leaves the stored days
+    and a repeated run changes nothing.
     """
-    spark = df.sparkSession
-    days = [r.dt for r in df.select("dt").where("dt is not null").distinct().collect()]
-    merged = df.select(*DAU_INFO.fieldNames())
-    if (stored := _stored_days(spark, path, days)) is not None:
-        merged = stored.unionByName(merged)
-    staged = scratch_path(spark, "dau-upsert")
-    dedup(merged, order=("ts",)).write.mode("overwrite").parquet(staged)
-    (spark.read.schema(DAU_INFO).parquet(staged).write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic").partitionBy("dt").parquet(path))
+    batch, days = staged_days(df.select(*DAU_INFO.fieldNames()), order=("ts",))
+    if not days:
+        return
+    if (stored := _stored_days(df.sparkSession, path, days)) is not None:
+        batch = dedup(stored.unionByName(batch), order=("ts",))
+    overwrite_partitions(batch, path, "dt")
 
 
 def add_absent(facts: DataFrame, path: str) -> DataFrame:
@@ -81,37 +103,49 @@ def add_absent(facts: DataFrame, path: str) -> DataFrame:
     the table, by day, so that its days are known from that listing and the
     stored side reads only the partitions of those days.
     """
-    spark = facts.sparkSession
-    staged = scratch_path(spark, "dau-batch")
-    first = dedup(facts).select(*DAU_INFO.fieldNames())
-    first.write.mode("overwrite").partitionBy("dt").parquet(staged)
-    batch = read_dau_table(spark, staged).select(*DAU_INFO.fieldNames())
-    days = [r.dt for r in batch.select("dt").distinct().collect()]  # one entry per calendar day
-    stored = _stored_days(spark, path, days)
+    batch, days = staged_days(facts)
+    stored = _stored_days(facts.sparkSession, path, days)
     return batch if stored is None else incremental(batch, stored, days=days)
 
 
 def first_seen_table(dau: DataFrame, path: str) -> None:
-    """Bring the stored first day of each device up to date: a new version, partitioned by ``first_dt``."""
+    """Bring the stored first day of each device up to date; partitioned by ``first_dt``.
+
+    Only devices whose first day is new or earlier than the stored one
+    change, so only the partitions they enter or leave are rewritten (their
+    list is at most one entry per calendar day).  A repeated run changes nothing.
+    """
     spark = dau.sparkSession
-    last = versions.latest(spark, path)
-    stored = None if last is None else spark.read.schema(FIRST_SEEN).parquet(last)
-    versions.write_next(merge_first_seen(stored, dau), path, partition_by="first_dt")
+    fresh = first_seen(dau)
+    if not exists(spark, path):
+        fresh.write.partitionBy("first_dt").parquet(path)
+        return
+    stored = read_first_seen(spark, path)
+    old = stored.select("mid", F.col("first_dt").alias("old_dt"))
+    changed = fresh.join(old, "mid", "left").where(F.col("old_dt").isNull() | (F.col("first_dt") < F.col("old_dt")))
+    staged = scratch_path(spark, "first-seen-changes")
+    changed.write.mode("overwrite").parquet(staged)
+    changed = spark.read.schema("mid string, first_dt string, old_dt string").parquet(staged)
+    days = changed.select(F.explode(F.array("first_dt", "old_dt")).alias("dt")).where("dt is not null").distinct().collect()
+    if not days:
+        return
+    kept = stored.where(F.col("first_dt").isin([r.dt for r in days])).join(changed.select("mid"), "mid", "left_anti")
+    # A row without device in each of these partitions, so that one which all its devices leave is overwritten too.
+    marks = spark.createDataFrame([(None, r.dt) for r in days], FIRST_SEEN)
+    merged = kept.select("mid", "first_dt").unionByName(changed.select("mid", "first_dt")).unionByName(marks)
+    overwrite_partitions(merged, path, "first_dt")
 
 
 def read_first_seen(spark, path: str) -> DataFrame:
     """``(mid, first_dt)``; a filter on ``first_dt`` reads the partitions of those days only."""
-    last = versions.latest(spark, path)
-    if last is None:
-        raise FileNotFoundError(f"no complete version in {path}")
-    return spark.read.schema(FIRST_SEEN).parquet(last)
+    if not exists(spark, path):
+        raise FileNotFoundError(f"no first days in {path}")
+    return spark.read.schema(FIRST_SEEN).parquet(path).where(F.col("mid").isNotNull())
 
 
 def _stored_days(spark, path: str, days: list[str]) -> DataFrame | None:
     """Stored rows of ``days``, or None where there is no table yet."""
-    jvm = spark.sparkContext._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    if not place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place):
+    if not exists(spark, path):
         return None
     return read_dau_table(spark, path).where(F.col("dt").isin(days)).select(*DAU_INFO.fieldNames())
 
@@ -128,13 +162,14 @@ def topic_fanout(df: DataFrame, fmt: str = "parquet", path: str | None = None,
                  bootstrap: str | None = None, key_col: str | None = None,
                  checkpoint: str | None = None, trigger: str | None = None,
                  query_name: str | None = None):
-    """Write ``(topic, value)`` rows to their topics.
+    """Write ``(topic, value)`` rows to their topics, a variant ``value`` as JSON text.
 
     ``fmt="kafka"`` sends each row to the topic named in its ``topic``
     column (keyed by ``key_col`` when given, so one key stays ordered in
     one partition); the file form writes one folder per topic.
     """
-    cols = [F.col("topic"), F.col("value").cast("string").alias("value")]
+    text = cdc.as_text() if dict(df.dtypes)["value"] == "variant" else F.col("value").cast("string")
+    cols = [F.col("topic"), text.alias("value")]
     if key_col:
         cols.append(F.col(key_col).cast("string").alias("key"))
     out = df.select(*cols)

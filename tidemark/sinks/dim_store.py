@@ -1,56 +1,86 @@
-"""Maintained dimension store: the latest image of every key, kept current from the changelog.
+"""Maintained dimension store: the latest image of every key, in partitions by key.
 
-A version holds ``images`` (one row per ``(dim_table, pk)``) and ``files``
-(the changelog files merged so far).  ``compact`` reads only files that no
-earlier version has merged; merging a file twice would change nothing, as
-the image with the greatest position wins.  Deleted keys stay as images of
-type DELETE, so that an older image arriving late cannot bring them back.
+``compact`` runs a file stream over the changelog.  Its checkpoint is the
+memory of what has been taken; its sink, ``arrivals``, holds the new images
+by run and bucket (a hash of the key).  ``images`` holds one row per
+``(dim_table, pk)`` by bucket, each bucket with the run it is merged up to.
+A merge reads and rewrites only the buckets that newer arrivals touch, by
+dynamic partition overwrite; all others keep their files.
+
+A run that fails is made up for by the next: arrivals newer than their
+bucket are merged whenever they came, and merging one twice changes
+nothing, as the image with the greatest position wins.  Deleted keys stay
+as images of type DELETE, so that an older image arriving late cannot
+bring them back.  One writer at a time; ``arrivals`` of merged runs may be
+expired like any log.
 """
 
 from __future__ import annotations
 
-import re
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators import cdc
-from . import versions
+from ..sources.streams import file_stream
+from . import exists, overwrite_partitions
+
+BUCKETS = 32
+
+
+def _images(spark: SparkSession, store: str) -> DataFrame | None:
+    path = f"{store}/images"
+    if not exists(spark, path):
+        return None
+    return spark.read.parquet(path).withColumn("bucket", F.col("bucket").cast("int"))
+
 
-_COMPLETE = "images/"
+def _take(spark: SparkSession, log_path: str, store: str, pick: Callable[[DataFrame], DataFrame], run: int, buckets: int) -> DataFrame:
+    """Run the stream over the changelog's new files; all arrivals so far."""
+    log = pick(file_stream(spark, log_path, spark.read.parquet(log_path).schema))
+    bucket = F.pmod(F.xxhash64("dim_table", "pk"), F.lit(buckets)).cast("int")
+    fresh = log.withColumn("bucket", bucket).withColumn("run", F.lit(run).cast("long"))
+    query = (fresh.writeStream.format("parquet").outputMode("append").partitionBy("run", "bucket")
+             .option("checkpointLocation", f"{store}/checkpoint").trigger(availableNow=True).start(f"{store}/arrivals"))
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise RuntimeError(str(query.exception()))
+    return spark.read.schema(fresh.schema).parquet(f"{store}/arrivals")
 
 
 def compact(spark: SparkSession, log_path: str, store: str, order: Sequence[str] = ("seq", "pos"),
-            pick: Callable[[DataFrame], DataFrame] = lambda log: log) -> str | None:
-    """Merge the changelog's new files into a new version; returns the current version's folder.
+            pick: Callable[[DataFrame], DataFrame] = lambda log: log, buckets: int = BUCKETS) -> list[int]:
+    """Merge the changelog's new files into the store; returns the buckets rewritten.
 
     ``pick`` selects the changelog rows where the folder holds others too
-    (``cdc.dim_log_of`` for the one-pass router's output).  The list of
-    files is the one Spark's own scan holds on the driver; names of files
-    that have left the folder leave the list as well.
+    (``cdc.dim_log_of`` for the one-pass router's output).  ``buckets`` is
+    fixed by the store's first run.
     """
-    log = spark.read.parquet(log_path)
-    # The scan names a file of a store without host "file:/...", the list "file:///...".
-    listed = [re.sub(r"^([^:/]+):///", r"\1:/", f) for f in log.inputFiles()]
-    last = versions.latest(spark, store, _COMPLETE)
-    merged = set() if last is None else {r.file for r in spark.read.parquet(f"{last}/files").collect()}
-    new = [f for f in listed if f not in merged]
-    if not new:
-        return last
-    fresh = pick(log.where(F.col("_metadata.file_path").isin(new)))
-    stored = None if last is None else spark.read.parquet(f"{last}/images")
-    images = cdc.merge_latest(stored, fresh, order)
-    folder = versions.following(spark, store, _COMPLETE)
-    spark.createDataFrame([(f,) for f in listed], "file string").coalesce(1).write.parquet(f"{folder}/files")
-    images.write.parquet(f"{folder}/images")
-    return folder
+    stored = _images(spark, store)
+    # One entry per bucket: how far it is merged.
+    upto = {} if stored is None else {r.bucket: r.run for r in stored.groupBy("bucket").agg(F.max("merged_run").alias("run")).collect()}
+    run = max(upto.values(), default=0) + 1
+    new = _take(spark, log_path, store, pick, run, buckets)
+    if upto:  # on partition columns alone: folders that are merged are not listed for reading
+        known = F.create_map(*[F.lit(x) for pair in upto.items() for x in pair])
+        new = new.where(F.col("run") > F.coalesce(known[F.col("bucket")], F.lit(0)))
+    touched = sorted(r.bucket for r in new.select("bucket").distinct().collect())
+    if not touched:
+        return []
+    columns = ["dim_table", "pk", *order, "dim_key", "type", "value", "bucket"]
+    changes = new.select(*columns)
+    if stored is not None:
+        changes = stored.where(F.col("bucket").isin(touched)).select(*columns).unionByName(changes)
+    latest = cdc.dim_latest(changes, order, keep=("bucket",)).withColumn("merged_run", F.lit(run).cast("long"))
+    overwrite_partitions(latest, f"{store}/images", "bucket")
+    return touched
 
 
 def read_images(spark: SparkSession, store: str, deletes: str = "keep") -> DataFrame:
     """The latest images; ``deletes="apply"`` leaves deleted keys out."""
-    last = versions.latest(spark, store, _COMPLETE)
-    if last is None:
-        raise FileNotFoundError(f"no complete version in {store}")
-    images = spark.read.parquet(f"{last}/images")
+    images = _images(spark, store)
+    if images is None:
+        raise FileNotFoundError(f"no images in {store}")
+    images = images.drop("bucket", "merged_run")
     return images.where(F.col("type") != cdc.OP_DELETE) if deletes == "apply" else images

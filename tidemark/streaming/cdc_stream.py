@@ -47,12 +47,9 @@ def start_single(raw: DataFrame, out_path: str | None, checkpoint: str,
     """Start the one-pass router; returns its streaming query."""
     routed = cdc.route_all(cdc.valid(cdc.parse(raw)))
     if fmt == "kafka":
-        msgs = routed.select(F.col("route").alias("topic"), "value", F.col("msg_key").alias("key"))
-        w = (msgs.writeStream.format("kafka").option("kafka.bootstrap.servers", bootstrap)
-                 .option("checkpointLocation", checkpoint))
-        if query_name:
-            w = w.queryName(query_name)
-        return sinks.apply_trigger(w, trigger).start()
+        msgs = routed.withColumnRenamed("route", "topic")
+        return sinks.topic_fanout(msgs, fmt, bootstrap=bootstrap, key_col="msg_key", checkpoint=checkpoint,
+                                  trigger=trigger, query_name=query_name)
     w = (routed.writeStream.format(fmt).outputMode("append").partitionBy("route")
                .option("checkpointLocation", checkpoint))
     if query_name:

@@ -97,7 +97,7 @@ def snapshot_job(spark: SparkSession, args) -> None:
     publish_snapshot(tables, args.topic, args.out, args.bootstrap)
 
 
-def compact_job(spark: SparkSession, args) -> str | None:
+def compact_job(spark: SparkSession, args) -> list[int]:
     """Merge the changelog files written since the last run into the dimension store."""
     def pick(log: DataFrame) -> DataFrame:
         return cdc.dim_log_of(log) if "route" in log.columns else log
@@ -138,7 +138,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--jdbc-url")
     p.add_argument("--partition-column", default="id", help="snapshot: numeric key that splits each table's scan")
     p.add_argument("--num-partitions", type=int, default=8, help="snapshot: parallel range scans of a table")
-    p.add_argument("--store", help="compact, first-seen: folder of the versioned store")
+    p.add_argument("--store", help="compact, first-seen: folder of the store")
     p.add_argument("--day", help="first-seen: merge this day only")
     p.add_argument("--user")
     p.add_argument("--password")
