@@ -82,6 +82,17 @@ def line_fields(lines: DataFrame, *keep: str) -> DataFrame:
                         cdc.field("sku_id", "bigint").alias("sku_id"), cdc.field("price", "double").alias("price"))
 
 
+def image_fields(images: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(``_user, user_name``), (``_sku, sku_name, sku_brand``) of the latest dimension images."""
+    def image(table: str, key: str, fields: dict[str, str]) -> DataFrame:
+        row = images.where(F.col("dim_table") == table)
+        return row.select(F.col("pk").try_cast("bigint").alias(key),
+                          *[cdc.field(name, "string").alias(alias) for name, alias in fields.items()])
+
+    return (image("user_info", "_user", {"name": "user_name"}),
+            image("sku_info", "_sku", {"name": "sku_name", "brand": "sku_brand"}))
+
+
 def enriched(lines: DataFrame, orders: DataFrame, images: DataFrame) -> DataFrame:
     """Order lines of the fact feed with order, user and goods fields, one row per line message.
 
@@ -91,18 +102,12 @@ def enriched(lines: DataFrame, orders: DataFrame, images: DataFrame) -> DataFram
     are cut to their last message and joined with their user first, so that
     lines are shuffled twice only: by order and by goods.
     """
-    def image(table: str, fields: dict[str, str]) -> DataFrame:
-        row = images.where(F.col("dim_table") == table)
-        return row.select(F.col("pk").try_cast("bigint").alias("_pk"),
-                          *[cdc.field(name, "string").alias(alias) for name, alias in fields.items()])
-
     o = (order_fields(orders, "seq", "pos").where(F.col("order_id").isNotNull()).groupBy("order_id")
          .agg(F.max(F.struct("seq", "pos", "user_id", "dt")).alias("_o"))
          .select("order_id", "_o.user_id", "_o.dt"))
-    users = image("user_info", {"name": "user_name"})
-    goods = image("sku_info", {"name": "sku_name", "brand": "sku_brand"})
-    o = o.join(users, o.user_id == users["_pk"], "left").drop("_pk")
-    j = line_fields(lines).join(o, "order_id", "left").join(goods, F.col("sku_id") == goods["_pk"], "left")
+    users, goods = image_fields(images)
+    o = o.join(users, F.col("user_id") == F.col("_user"), "left").drop("_user")
+    j = line_fields(lines).join(o, "order_id", "left").join(goods, F.col("sku_id") == F.col("_sku"), "left")
     return j.select("order_id", "line_no", "price", "user_id", "dt", "user_name", "sku_id", "sku_name", "sku_brand")
 
 

@@ -11,6 +11,8 @@ SELECT dt, mid, 'stored' AS outcome FROM dau
 UNION ALL
 SELECT strftime(make_timestamp(CAST('4' || CAST(ts AS VARCHAR) AS BIGINT) * 1000), '%Y-%m-%d'), mid, 'future'
 FROM log WHERE event_id % 50 = 7""",
+    "sale_enriched_stream": CDC_SQL["sale_enriched"],
+    "dau_hourly_stream": "WITH " + LOG + "\nSELECT dt, hr, count(*) AS cnt FROM dau GROUP BY dt, hr",
     "dau_stream": "WITH " + LOG + "\nSELECT dt, mid FROM dau",
     "cdc_stream": CDC_SQL["cdc_route_counts"],
     "dim_stream_latest": CDC_SQL["dim_latest_counts"],

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 from .. import sinks
 from ..operators import cdc
 from ..session import ensure_utc, scratch_path
+from ..sinks import dim_store
 from ..sources.adapters import cdc_raw, raw_log, raw_log_from
 from ..sources.streams import file_stream, table_stream
-from ..streaming import cdc_stream, dau_stream
+from ..streaming import cdc_stream, dau_stream, sale_stream
 
 
 # Streaming queries of the last run, for progress reporting (bench).
@@ -98,7 +99,76 @@ def q_dau_stream_disorder(spark, sf_dir):
     return stored.unionByName(rejected)
 
 
+# Fixed parameters of the enrichment stream: when its parts of the log were written.
+SALE_START, SALE_STEP_MINUTES, SALE_PARTS = "2024-03-01 00:00:00", 20, 4
+
+
+def q_sale_enriched_stream(spark, sf_dir):
+    """Order lines enriched as they come, in four parts with a restart; every order comes a part after its lines.
+
+    Lines whose order never comes go out when later messages have moved the watermark.
+    """
+    ensure_utc(spark)
+    base = scratch_path(spark, "sale_stream")
+    routed = cdc.route_all(cdc.valid(cdc.parse(cdc_raw(spark, sf_dir))))
+    routed.write.partitionBy("route").parquet(f"{base}/routed")
+    routed = cdc_stream.read_routed(spark, f"{base}/routed")
+    dim_store.compact(spark, f"{base}/routed", f"{base}/store", pick=cdc.dim_log_of)
+    images = dim_store.read_images(spark, f"{base}/store")
+
+    def messages(kind: str, order_key: str, lag: int):
+        """The messages of one kind with their part and the time it was written."""
+        part = cdc.field(order_key, "bigint") % SALE_PARTS + lag
+        rows = routed.where(F.col("route").startswith(f"DWD_{kind}_")).select("value", part.alias("part"))
+        minutes = F.make_dt_interval(mins=(F.col("part") * SALE_STEP_MINUTES).cast("int"))
+        return rows.withColumn("at", F.lit(SALE_START).cast("timestamp") + minutes)
+
+    # Messages of a day later, twice: the watermark that the first ones move holds from the next batch on.
+    # They are never closed themselves, so they don't go out.
+    closing = spark.range(2).select(F.parse_json(F.lit('{"id":-1,"order_id":-2}')).alias("value"), (F.col("id") + SALE_PARTS + 1).alias("part"),
+                                    (F.lit(SALE_START).cast("timestamp") + F.expr("INTERVAL 1 DAY")).alias("at"))
+    kinds = {"lines": messages("ORDER_DETAIL", "order_id", 0), "orders": messages("ORDER_INFO", "id", 1)}
+    for name, rows in kinds.items():
+        rows.unionByName(closing).write.partitionBy("part").parquet(f"{base}/all/{name}")
+    queries = []
+    for part in range(SALE_PARTS + 3):
+        for name in kinds:
+            rows = spark.read.parquet(f"{base}/all/{name}").where(F.col("part").cast("int") == part).select("value", "at")
+            rows.coalesce(1).write.mode("append").parquet(f"{base}/source/{name}")
+        if part in (2, SALE_PARTS + 2):  # a restart from the checkpoint between them
+            streams = [file_stream(spark, f"{base}/source/{name}", rows.schema, max_files_per_trigger=1) for name in kinds]
+            queries = [sale_stream.start(*streams, images, f"{base}/out", f"{base}/ck", query_name=None)]
+            sinks.await_all(queries)
+    LAST_RUN["sale_enriched_stream"] = queries
+    return spark.read.parquet(f"{base}/out")
+
+
+def q_dau_hourly_stream(spark, sf_dir):
+    """Devices per day and hour from a stream whose parts arrive out of order, with a restart."""
+    ensure_utc(spark)
+    base = scratch_path(spark, "dau_hourly")
+    raw = raw_log(spark, sf_dir).select("value")
+    ts = F.get_json_object("value", "$.ts").cast("bigint")
+    # Session starts long after the last day, twice: the watermark that the first moves holds from the next batch on.
+    # Their own day stays open, so it doesn't go out.
+    closing = raw.agg(F.max(ts).alias("ts")).select(F.to_json(F.struct(
+        (F.col("ts") + 86_400_000 * 90).alias("ts"), F.struct(F.lit("0").alias("mid")).alias("common"),
+        F.struct(F.lit("").alias("last_page_id")).alias("page"))).alias("value"))
+    parts = [raw.where(F.floor(F.hour(F.timestamp_millis(ts)) / 6) == part) for part in (3, 0, 2, 1)] + [closing] * 2
+    queries = []
+    for i, rows in enumerate(parts):
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/source")
+        if i in (1, 5):
+            stream = file_stream(spark, f"{base}/source", rows.schema, max_files_per_trigger=1)
+            queries = [dau_stream.start_hourly(stream, f"{base}/table", f"{base}/ck", query_name=None)]
+            sinks.await_all(queries)
+    LAST_RUN["dau_hourly_stream"] = queries
+    return spark.read.schema("hr string, cnt long, dt string").parquet(f"{base}/table").select("dt", "hr", "cnt")
+
+
 QUERIES = {
+    "sale_enriched_stream": q_sale_enriched_stream,
+    "dau_hourly_stream": q_dau_hourly_stream,
     "dau_stream_disorder": q_dau_stream_disorder,
     "dau_stream": q_dau_stream,
     "cdc_stream": q_cdc_stream,

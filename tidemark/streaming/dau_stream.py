@@ -107,6 +107,32 @@ def dau_facts_stream(raw: DataFrame, delay: str = DEFAULT_DELAY, clock: Column |
     return out.observe("dau_out", F.count(F.lit(1)).alias("rows"))
 
 
+def hourly_stream(raw: DataFrame, delay: str = DEFAULT_DELAY, clock: Column | None = None) -> DataFrame:
+    """Raw page-log stream -> ``dt, hr, cnt``: devices by the hour of their first session start of the day.
+
+    Two stateful steps: the earliest start of each ``(event day, mid)``,
+    whatever the order of arrival, then the count per day and hour.  Both
+    are aggregates over the day window, so a hot device leaves each task as
+    one row.  A day goes out, in at most 24 rows, when the watermark has
+    passed it; its state is freed then.
+    """
+    log = logs.prepared(raw)
+    if clock is not None:
+        log = log.where(outside(clock, delay).isNull())
+        delay = f"{delay} {FUTURE_TOLERANCE} 1 day"
+    starts = logs.session_starts(log).select(F.timestamp_millis("ts").alias("ets"), F.col("common.mid").alias("mid"))
+    starts = starts.where(F.col("mid").isNotNull()).withWatermark("ets", delay)
+    first = starts.groupBy(F.window("ets", "1 day").alias("day"), "mid").agg(F.min("ets").alias("first_ets"))
+    hours = first.groupBy("day", F.date_format("first_ets", "HH").alias("hr")).agg(F.count(F.lit(1)).alias("cnt"))
+    return hours.select(F.date_format("day.start", "yyyy-MM-dd").alias("dt"), "hr", "cnt")
+
+
+def start_hourly(raw: DataFrame, path: str, checkpoint: str, delay: str = DEFAULT_DELAY, clock: Column | None = None,
+                 trigger: str | None = None, query_name: str | None = "dau_hourly"):
+    """Start the hourly counts into a table partitioned by ``dt``; returns the query."""
+    return sinks.dau_table(hourly_stream(raw, delay, clock), path, checkpoint, trigger=trigger, query_name=query_name)
+
+
 def start(raw: DataFrame, table_path: str, checkpoint: str, delay: str = DEFAULT_DELAY,
           trigger: str | None = None, query_name: str | None = "dau",
           spread_to: int | None = None, sink_partitions: int | None = None, clock: Column | None = None):
