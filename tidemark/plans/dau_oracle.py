@@ -7,7 +7,7 @@ computed from ``events`` directly.
 
 from __future__ import annotations
 
-from .dau_queries import CUT_NEW, CUT_STORED, REPORT_DAY
+from .dau_queries import ACTIVE_RANGES, CUT_NEW, CUT_STORED, REPORT_DAY
 
 LOG = """
 log AS (
@@ -69,6 +69,17 @@ FROM events WHERE event_id % 97 = 0 OR event_id % 89 = 0 OR event_id % 83 = 0"""
 SELECT mid, uid, ar, ch, vc, dt, hr, ts FROM fresh f
 WHERE NOT EXISTS (SELECT 1 FROM stored s WHERE s.dt = f.dt AND s.mid = f.mid)"""),
     "dau_first_seen": _with("SELECT mid, min(dt) AS first_dt FROM dau GROUP BY mid"),
+    "active_over_days": _with(", seen AS (SELECT mid, min(dt) AS first_dt FROM dau GROUP BY mid)\n" + "\nUNION ALL\n".join(f"""
+SELECT '{a}' AS first_day, '{b}' AS last_day, count(DISTINCT mid) AS active, count(DISTINCT mid) FILTER (WHERE first_dt < '{a}') AS returning,
+       count(DISTINCT mid) FILTER (WHERE first_dt >= '{a}') AS new FROM dau JOIN seen USING (mid) WHERE dt BETWEEN '{a}' AND '{b}'"""
+                                                            for a, b in ACTIVE_RANGES)),
+    "dashboard_load": _with("SELECT 'dau' AS name, count(*) AS n FROM dau UNION ALL SELECT 'first_seen', count(DISTINCT mid) FROM dau"),
+    "realtime_hour_response": _with(f"""
+, per_hour AS (
+  SELECT dt, hr, count(*) AS cnt FROM dau
+  WHERE dt IN ('{REPORT_DAY}', '{YD}') AND hr IS NOT NULL GROUP BY dt, hr
+)
+SELECT '{{"today":' || {_hour_json(REPORT_DAY)} || ',"yesterday":' || {_hour_json(YD)} || '}}' AS body FROM per_hour"""),
     "dau_total": _with("SELECT dt, count(*) AS dau FROM dau GROUP BY dt"),
     "dau_hour_count": _with(f"""
 SELECT hr, count(*) AS cnt FROM dau WHERE dt = '{REPORT_DAY}' AND hr IS NOT NULL

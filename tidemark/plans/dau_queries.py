@@ -6,6 +6,8 @@ Each query is ``(spark, sf_dir) -> DataFrame`` and reads the whole
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -13,6 +15,7 @@ from .. import sinks
 from ..operators import dau as dau_ops
 from ..operators import logs, serving
 from ..session import scratch_path
+from ..sinks import device_bitmaps
 from ..sources.adapters import raw_log
 from ..sources.tables import table_path
 
@@ -64,13 +67,18 @@ def stored_tables(spark: SparkSession, sf_dir: str) -> str:
                  .select("path", "modificationTime", "length").collect()
     state = (spark.sparkContext.applicationId, sf_dir, tuple(sorted(tuple(f) for f in files)))
     if state not in _STORED:
-        base = scratch_path(spark, "dashboard")
-        sinks.dau_table(dau_table(spark, sf_dir), f"{base}/dau")
-        sinks.first_seen_table(sinks.read_dau_table(spark, f"{base}/dau"), f"{base}/first_seen")
-        _STORED[state] = base
+        _STORED[state] = load_dashboard(spark, sf_dir)
     return _STORED[state]
 
 
+def load_dashboard(spark: SparkSession, sf_dir: str) -> str:
+    """Load the dashboard's tables from the whole log into a new folder."""
+    base = scratch_path(spark, "dashboard")
+    sinks.dau_table(dau_table(spark, sf_dir), f"{base}/dau")
+    sinks.first_seen_table(sinks.read_dau_table(spark, f"{base}/dau"), f"{base}/first_seen")
+    return base
+
+
 def stored_dau(spark: SparkSession, sf_dir: str) -> DataFrame:
     return serving.dau_scan(spark, f"{stored_tables(spark, sf_dir)}/dau")
 
@@ -132,9 +140,9 @@ def q_dau_incremental(spark, sf_dir):
     facts = dau_facts(spark, sf_dir)
     ets = F.timestamp_millis("ts")
     before = dau_ops.dedup(facts.where(ets < F.to_timestamp(F.lit(CUT_STORED))))
-    sinks.dau_table(dau_ops.detail(before), f"{path}/dau")
+    sinks.append_bucketed(dau_ops.detail(before), f"{path}/dau")
     new_load = facts.where(ets >= F.to_timestamp(F.lit(CUT_NEW)))
-    return dau_ops.detail(sinks.add_absent(new_load, f"{path}/dau"))
+    return dau_ops.detail(sinks.add_absent_bucketed(new_load, f"{path}/dau"))
 
 
 def q_dau_first_seen(spark, sf_dir):
@@ -170,7 +178,37 @@ def q_kpi_compare(spark, sf_dir):
     return serving.kpi_compare(stored_dau(spark, sf_dir), REPORT_DAY, stored_first_seen(spark, sf_dir))
 
 
+# Ranges of days asked of the device bitmaps.
+ACTIVE_RANGES = (("2024-01-01", "2024-01-07"), ("2024-01-10", "2024-01-16"), ("2024-01-15", "2024-01-15"))
+
+
+def q_active_over_days(spark, sf_dir):
+    """Active, returning and new devices of ranges of days, from bitmaps merged in two loads, one of them twice."""
+    path = scratch_path(spark, "device_bitmaps")
+    dau = dau_view(spark, sf_dir, ())
+    later, earlier = dau.where(F.col("dt") >= "2024-01-08"), dau.where(F.col("dt") <= "2024-01-12")
+    for load in (later, earlier, later):
+        device_bitmaps.merge(load, path)
+    return reduce(DataFrame.unionByName, [device_bitmaps.active_over_days(spark, path, *days) for days in ACTIVE_RANGES])
+
+
+def q_realtime_hour_response(spark, sf_dir):
+    """The endpoint's whole answer as one document."""
+    return serving.realtime_hour_response(stored_dau(spark, sf_dir), REPORT_DAY)
+
+
+def q_dashboard_load(spark, sf_dir):
+    """The load of the dashboard's stored tables, which the dashboard queries read: rows per table."""
+    base = load_dashboard(spark, sf_dir)
+    counts = [t.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("name"), "n")
+              for name, t in (("dau", serving.dau_scan(spark, f"{base}/dau")), ("first_seen", sinks.read_first_seen(spark, f"{base}/first_seen")))]
+    return counts[0].unionByName(counts[1])
+
+
 QUERIES = {
+    "active_over_days": q_active_over_days,
+    "realtime_hour_response": q_realtime_hour_response,
+    "dashboard_load": q_dashboard_load,
     "quarantine_log": q_quarantine_log,
     "dau_upsert": q_dau_upsert,
     "log_parse_dt_hr": q_log_parse_dt_hr,

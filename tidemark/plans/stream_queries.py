@@ -16,7 +16,7 @@ from ..session import ensure_utc, scratch_path
 from ..sinks import dim_store
 from ..sources.adapters import cdc_raw, raw_log, raw_log_from
 from ..sources.streams import file_stream, table_stream
-from ..streaming import cdc_stream, dau_stream, sale_stream
+from ..streaming import cdc_stream, dau_stream, progress, sale_stream
 
 
 # Streaming queries of the last run, for progress reporting (bench).
@@ -166,7 +166,53 @@ def q_dau_hourly_stream(spark, sf_dir):
     return spark.read.schema("hr string, cnt long, dt string").parquet(f"{base}/table").select("dt", "hr", "cnt")
 
 
+def q_dau_late_merge(spark, sf_dir):
+    """Device-days stored by the stream and those its late messages add afterwards.
+
+    A quarter of the log arrives weeks after the rest: what is older than the
+    stream takes goes to the rejects, and from there into its days, in two runs.
+    """
+    ensure_utc(spark)
+    base = scratch_path(spark, "dau_late")
+    raw = raw_log(spark, sf_dir)
+    ts = F.timestamp_millis(F.get_json_object("value", "$.ts").cast("bigint"))
+    for part, arrived in ((0, "2024-01-31 12:00:00"), (1, "2024-02-25 00:00:00"), (2, "2024-03-05 00:00:00")):
+        rows = raw.where(F.floor(F.hour(ts) / 8) == part).select("value", F.lit(arrived).cast("timestamp").alias("arrived"))
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/source")
+        stream = file_stream(spark, f"{base}/source", rows.schema, max_files_per_trigger=1)
+        clock = F.col("arrived")
+        sinks.await_all([dau_stream.start(stream, f"{base}/table", f"{base}/ck", clock=clock, query_name=None),
+                         dau_stream.start_rejects(stream, f"{base}/rejects", f"{base}/ck_rejects", clock, query_name=None)])
+        if part:
+            rejected = file_stream(spark, f"{base}/rejects", dau_stream.REJECTS)
+            late = dau_stream.start_late_merge(rejected, f"{base}/table", f"{base}/late", f"{base}/ck_late", query_name=None)
+            sinks.await_all([late])
+            LAST_RUN["dau_late_merge"] = [late]
+    return dau_stream.read_with_late(spark, f"{base}/table", f"{base}/late").select("dt", "mid")
+
+
+# Lateness that the state query runs with.
+STATE_DELAY_DAYS = 3
+
+
+def q_dau_state_days(spark, sf_dir):
+    """Days and devices that the dedup still holds in state when the log has come in order."""
+    ensure_utc(spark)
+    base = scratch_path(spark, "dau_state")
+    raw = raw_log(spark, sf_dir).select("value")
+    day = F.dayofmonth(F.timestamp_millis(F.get_json_object("value", "$.ts").cast("bigint")))
+    for part in range(4):  # ten days each; the last days come twice, as the watermark holds from the next batch on
+        rows = raw.where(day > 20) if part == 3 else raw.where(F.least(F.floor((day - 1) / 10), F.lit(2)) == part)
+        rows.coalesce(1).write.mode("append").parquet(f"{base}/source")
+        stream = file_stream(spark, f"{base}/source", rows.schema, max_files_per_trigger=1)
+        sinks.await_all([q := dau_stream.start(stream, f"{base}/table", f"{base}/ck", delay=f"{STATE_DELAY_DAYS} days", query_name=None)])
+    LAST_RUN["dau_state_days"] = [q]
+    return progress.state_days(spark, f"{base}/ck")
+
+
 QUERIES = {
+    "dau_late_merge": q_dau_late_merge,
+    "dau_state_days": q_dau_state_days,
     "sale_enriched_stream": q_sale_enriched_stream,
     "dau_hourly_stream": q_dau_hourly_stream,
     "dau_stream_disorder": q_dau_stream_disorder,

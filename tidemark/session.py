@@ -33,6 +33,8 @@ BASE_CONF = {
     # disk instead of the JVM heap; snapshots go to the checkpoint folder.
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    # Stream-stream joins keep both sides in one RocksDB instance per partition instead of four.
+    "spark.sql.streaming.join.stateFormatVersion": "3",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.execution.arrow.pyspark.enabled": "true",

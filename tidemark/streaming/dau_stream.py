@@ -9,7 +9,10 @@ dropped once the watermark passes it, and rows of such a day arriving
 later are dropped as late instead of being counted twice (Spark filters
 late rows against the previous batch's watermark).  With a ``clock``, rows
 too far ahead of it or too old are taken out before the watermark and go
-to the rejects (``start_rejects``), so that none is lost silently.  Before
+to the rejects (``start_rejects``), so that none is lost silently.  The
+clock is the record's own arrival time: the main query and the rejects
+query run their batches apart and must judge a message alike.  Late
+messages join their day afterwards (``start_late_merge``).  Before
 the state shuffle, a map-side pre-dedup keeps one row per key and Arrow
 batch, so a hot device cannot flood one state task.
 """
@@ -18,6 +21,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..operators import dau as dau_ops
 from ..operators import logs
@@ -30,6 +34,10 @@ DEFAULT_DELAY = "40 days"
 BATCH_INTERVAL = "5 seconds"
 
 
+# What the rejects folder holds.
+REJECTS = T.StructType([T.StructField("fault", T.StringType()), T.StructField("ts", T.LongType()),
+                        T.StructField("mid", T.StringType()), T.StructField("value", T.StringType())])
+
 # How far ahead of the clock an event time may lie (device clocks drift).
 FUTURE_TOLERANCE = "1 day"
 
@@ -78,6 +86,36 @@ def start_rejects(raw: DataFrame, path: str, checkpoint: str, clock: Column | No
     return sinks.changelog(rejects(raw, clock, delay), path, checkpoint, trigger=trigger, query_name=query_name)
 
 
+def late_rows(rejected: DataFrame, stored: DataFrame) -> DataFrame:
+    """Device-days of a stream of rejects that came too late and that ``stored`` (``dt, mid``) lacks.
+
+    The dedup has no watermark: a late message may be of any day.  Its state
+    grows with late device-days only.
+    """
+    facts = dau_ops.to_fact(logs.session_starts(logs.prepared(rejected.where(F.col("fault") == "late").select("value"))), keep=())
+    keyed = facts.where(F.col("mid").isNotNull() & F.col("dt").isNotNull())
+    absent = predup_in_batches(keyed).join(stored.select("dt", "mid"), ["dt", "mid"], "left_anti")
+    return dau_ops.detail(absent.dropDuplicates(["dt", "mid"]))
+
+
+def start_late_merge(rejected: DataFrame, table_path: str, late_path: str, checkpoint: str, trigger: str | None = None,
+                     query_name: str | None = "dau_late"):
+    """Add late device-days beside the streamed table; every reject is taken once (by the checkpoint).
+
+    The streamed table belongs to its own query, so late days have a table of
+    their own; ``read_with_late`` gives both as one.
+    """
+    stored = sinks.read_dau_table(rejected.sparkSession, table_path, columns=("mid", "dt"))
+    return sinks.dau_table(late_rows(rejected, stored), late_path, checkpoint, trigger=trigger, query_name=query_name)
+
+
+def read_with_late(spark, table_path: str, late_path: str) -> DataFrame:
+    """The streamed table and the late device-days that it still lacks."""
+    stored = sinks.read_dau_table(spark, table_path)
+    late = sinks.read_dau_table(spark, late_path)
+    return stored.unionByName(late.join(stored.select("dt", "mid"), ["dt", "mid"], "left_anti").select(*stored.columns))
+
+
 def dedup_stream(facts: DataFrame, delay: str = DEFAULT_DELAY, map_side: bool = True) -> DataFrame:
     """Keep the first arriving row per ``(event day, mid)`` across micro-batches."""
     keyed = facts.where(F.col("mid").isNotNull() & F.col("dt").isNotNull())
@@ -138,9 +176,10 @@ def start(raw: DataFrame, table_path: str, checkpoint: str, delay: str = DEFAULT
           spread_to: int | None = None, sink_partitions: int | None = None, clock: Column | None = None):
     """Start the DAU stream into the dt-partitioned table; returns the query.
 
-    ``clock`` is what event times are held against (``outside``): the current
-    time for a live source, a fixed time or None for a replay of history.
-    Without it a row behind the watermark is dropped by Spark.
+    ``clock`` is what event times are held against (``outside``): the time a
+    record arrived (a column of ``raw``) for a live source, a fixed time or
+    None for a replay of history.  Partitions read over a day behind the
+    others may still lose rows to the watermark.  Without it a row behind the watermark is dropped by Spark.
 
     ``spread_to`` round-robins each micro-batch over that many tasks before
     the JSON parse.  Only for sources with too few splits (a replay of one

@@ -4,6 +4,7 @@
         --table <dau table folder> --checkpoint <checkpoint folder>
     python -m tidemark.streaming.jobs cdc --bootstrap host:9092 --topic ODS_BASE_DB_C \
         --facts kafka --checkpoint <folder>
+    python -m tidemark.streaming.jobs late --table <dau table folder> --checkpoint <folder>
     python -m tidemark.streaming.jobs snapshot --jdbc-url jdbc:... --bootstrap host:9092
     python -m tidemark.streaming.jobs compact --dim-log <changelog or routed folder> --store <folder>
     python -m tidemark.streaming.jobs first-seen --table <dau table folder> --store <folder> [--day 2024-01-15]
@@ -36,7 +37,7 @@ DIM_SOURCE_TABLES = cdc.DIM_TABLES
 
 
 def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
-    """``value`` (+ ``seq``, the log position).
+    """``value`` and ``seq``, the log position, or else ``arrived``, when the record was written.
 
     On Kafka the position is ``(timestamp, partition, offset)``: a key that moved to
     another partition keeps its order by time, and offsets order what one instant wrote.
@@ -44,7 +45,8 @@ def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
     if args.source == "file":
         df = file_stream(spark, args.source_path, FILE_RECORD, fmt="json",
                          max_files_per_trigger=args.max_files)
-        return df.select("seq", "value") if with_seq else df.select("value")
+        return df.select("seq", "value") if with_seq else \
+            df.select("value", F.col("_metadata.file_modification_time").alias("arrived"))
     offsets = None
     if args.offsets:
         offsets = {int(p): int(o) for p, o in (kv.split(":") for kv in args.offsets.split(","))}
@@ -52,12 +54,12 @@ def _source(spark: SparkSession, args, with_seq: bool = False) -> DataFrame:
                     args.min_partitions)
     if with_seq:
         return df.select(F.struct("timestamp", "partition", "offset").alias("seq"), "value")
-    return df.select("value")
+    return df.select("value", F.col("timestamp").alias("arrived"))
 
 
 def dau_job(spark: SparkSession, args):
     raw = _source(spark, args)
-    clock = None if args.replay else F.current_timestamp()
+    clock = None if args.replay else F.col("arrived")
     main = dau_stream.start(raw, args.table, args.checkpoint, delay=args.delay, clock=clock,
                             trigger=args.trigger, sink_partitions=args.sink_partitions)
     rejects = dau_stream.start_rejects(raw, args.rejects or f"{args.table.rstrip('/')}_rejects",
@@ -65,6 +67,12 @@ def dau_job(spark: SparkSession, args):
     return [main, rejects]
 
 
+def late_job(spark: SparkSession, args):
+    """Stream the late messages among the rejects into the table beside the streamed one."""
+    rejected = file_stream(spark, args.rejects or f"{args.table.rstrip('/')}_rejects", dau_stream.REJECTS)
+    return dau_stream.start_late_merge(rejected, args.table, f"{args.table.rstrip('/')}_late", args.checkpoint, trigger=args.trigger)
+
+
 def cdc_job(spark: SparkSession, args):
     """One-pass router by default; ``--two-queries`` runs the arms separately."""
     raw = _source(spark, args, with_seq=True)
@@ -109,12 +117,13 @@ def first_seen_job(spark: SparkSession, args) -> None:
     sinks.first_seen_table(serving.dau_scan(spark, args.table, args.day), args.store)
 
 
+STREAM_JOBS = {"dau": dau_job, "cdc": cdc_job, "late": late_job}
 BATCH_JOBS = {"snapshot": snapshot_job, "compact": compact_job, "first-seen": first_seen_job}
 
 
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="tidemark.streaming.jobs")
-    p.add_argument("job", choices=("dau", "cdc", *BATCH_JOBS))
+    p.add_argument("job", choices=(*STREAM_JOBS, *BATCH_JOBS))
     p.add_argument("--bootstrap")
     p.add_argument("--topic")
     p.add_argument("--group")
@@ -150,6 +159,7 @@ def parser() -> argparse.ArgumentParser:
 REQUIRED = {
     "dau": ("table", "checkpoint"),
     "cdc": ("checkpoint",),
+    "late": ("table", "checkpoint"),
     "snapshot": ("jdbc_url", "topic"),
     "compact": ("dim_log", "store"),
     "first-seen": ("table", "store"),
@@ -160,10 +170,11 @@ def main(argv: list[str] | None = None) -> None:
     p = parser()
     args = p.parse_args(argv)
     missing = [f"--{a.replace('_', '-')}" for a in REQUIRED[args.job] if getattr(args, a) is None]
-    stream = args.job not in BATCH_JOBS
-    if stream and args.source == "kafka":
+    stream = args.job in STREAM_JOBS
+    reads = stream and args.job != "late"
+    if reads and args.source == "kafka":
         missing += [f"--{a}" for a in ("bootstrap", "topic") if getattr(args, a) is None]
-    if stream and args.source == "file" and args.source_path is None:
+    if reads and args.source == "file" and args.source_path is None:
         missing.append("--source-path")
     if args.job == "snapshot" and not args.out and args.bootstrap is None:
         missing.append("--bootstrap (or --out)")
@@ -176,7 +187,7 @@ def main(argv: list[str] | None = None) -> None:
     if not stream:
         BATCH_JOBS[args.job](spark, args)
         return
-    qs = dau_job(spark, args) if args.job == "dau" else cdc_job(spark, args)
+    qs = STREAM_JOBS[args.job](spark, args)
     sinks.await_all(qs if isinstance(qs, list) else [qs])
 
 

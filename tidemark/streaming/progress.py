@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 
@@ -30,9 +32,7 @@ def batch_offsets(query: StreamingQuery) -> list[dict]:
 def dropped_late_rows(query: StreamingQuery) -> int:
     """Rows dropped by the watermark over the recent batches.
 
-    Reported by aggregation and join state operators; the streaming dedup
-    operator of some Spark versions reports 0 even when it drops rows, so
-    compare sink counts there.
+    Reported by all stateful operators, the dedup included.
     """
     total = 0
     for p in query.recentProgress:
@@ -49,6 +49,15 @@ def state_rows(query: StreamingQuery) -> int:
     return sum(_get(op, "numRowsTotal") or 0 for op in _get(last, "stateOperators") or [])
 
 
+def state_days(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Device-days that the dedup's state holds now: ``dt, devices`` (Spark's state data source).
+
+    Reads the state of the last committed batch, so it shows what eviction has freed.
+    """
+    held = spark.read.format("statestore").load(checkpoint)
+    return held.groupBy(F.date_format("key.day_ts", "yyyy-MM-dd").alias("dt")).agg(F.count(F.lit(1)).alias("devices"))
+
+
 def observed(query: StreamingQuery) -> list[dict]:
     """Named metrics of each recent micro-batch (``DataFrame.observe`` in a stream)."""
     out = []
