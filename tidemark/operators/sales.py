@@ -19,7 +19,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from . import cdc
+from ..session import scratch_path
+from . import cdc, serving
 
 # Fixed values of the facet and band definitions.
 GENDER_FEMALE, GENDER_MALE = "F", "M"
@@ -141,15 +142,17 @@ def detail_page_after(rows: DataFrame, after: tuple | None, length: int) -> Data
     ``after`` is the last row of the previous page (all columns, in order),
     or None for the first page.  Deep pages cost the same as the first:
     no offset rows are sorted and skipped, each task keeps ``length`` rows.
-    Rows with nulls in the ordering columns need the offset form.
+    Nulls come first in every column, as in the offset form.
     """
     order = [F.col(c).asc_nulls_first() for c in rows.columns]
     if after is not None:
         bound = F.struct(*[F.lit(v).cast(t) for v, (_, t) in zip(after, rows.dtypes)])
-        first_col, first_type = rows.dtypes[0]
-        # Implied by the tuple comparison, and pushable to the scan (row-group skipping).
-        lead = F.col(first_col) >= F.lit(after[0]).cast(first_type)
-        rows = rows.where(lead & (F.struct(*rows.columns) > bound))
+        beyond = F.struct(*rows.columns) > bound
+        if after[0] is not None:
+            first_col, first_type = rows.dtypes[0]
+            # Implied by the tuple comparison, and pushable to the scan (row-group skipping).
+            beyond = (F.col(first_col) >= F.lit(after[0]).cast(first_type)) & beyond
+        rows = rows.where(beyond)
     return rows.orderBy(*order).limit(length)
 
 
@@ -184,6 +187,31 @@ def facet_age(rows: DataFrame) -> DataFrame:
     return _with_share(counts)
 
 
+def answer(rows: DataFrame, start: int, length: int) -> DataFrame:
+    """The dashboard's whole answer for ``filtered`` rows: ``section, body``, each body one JSON document.
+
+    ``total`` is the number of hits, ``gender`` and ``age`` the facets with
+    their shares, ``detail`` the page.  The rows are computed once, into
+    the shared scratch folder; total and both facets come from one pass with
+    grouping sets, the page from another over the stored rows.  Every body
+    is bounded: at most three facet values, ``length`` rows.
+    """
+    spark = rows.sparkSession
+    path = scratch_path(spark, "sale-answer")
+    rows.write.mode("overwrite").parquet(path)
+    rows = spark.read.schema(rows.schema).parquet(path)
+    banded = rows.withColumn("_band", age_band(F.col("user_age")))
+    counts = banded.groupingSets([[], ["user_gender"], ["_band"]], "user_gender", "_band") \
+                   .agg(F.grouping_id().alias("_set"), F.count(F.lit(1)).alias("value"))
+    total = F.max(F.when(F.col("_set") == 3, F.col("value"))).over(Window.partitionBy())  # at most six rows
+    section = F.when(F.col("_set") == 3, "total").when(F.col("_set") == 1, "gender").otherwise("age")
+    stats = counts.select(section.alias("section"), F.coalesce("user_gender", "_band").alias("name"), "value",
+                          percent_text(F.when(F.col("_set") != 3, F.col("value") * 100 / total)).alias("share"))
+    facets = stats.groupBy("section").agg(F.to_json(F.array_sort(F.collect_list(F.struct("name", "value", "share")))).alias("body"))
+    page = serving.json_list(detail_page(rows, start, length), tuple(rows.columns))
+    return facets.unionByName(page.select(F.lit("detail").alias("section"), "body"))
+
+
 def percent_text(share_pct: Column, digits: int = 2) -> Column:
     """Display form ``12.34%`` of a share."""
     return F.concat(F.format_number(share_pct, digits), F.lit("%"))

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from .sales_queries import KEYWORD, PAGE_LENGTH, PAGE_START, SALE_DAY
+from .sales_queries import DEEP_PAGES, KEYWORD, PAGE_LENGTH, PAGE_START, SALE_DAY
 
 WIDE = """
 wide AS (
@@ -42,6 +42,38 @@ SQL = {
                            f"LIMIT {PAGE_LENGTH} OFFSET {PAGE_START}"),
     "sale_keyword_page": _w(f"SELECT {ALL_COLS} FROM wide WHERE {DAY} AND {KW} ORDER BY {ORDER} "
                             f"LIMIT {PAGE_LENGTH}"),
+    "sale_page_after": _w(f"SELECT {ALL_COLS} FROM wide WHERE {DAY} ORDER BY {ORDER} "
+                          f"LIMIT {PAGE_LENGTH} OFFSET {PAGE_START + PAGE_LENGTH}"),
+    "sale_page_at": _w(f""", w AS (SELECT * REPLACE (CASE WHEN order_id % 50 <> 0 THEN order_id END AS order_id) FROM wide),
+placed AS (SELECT *, row_number() OVER (ORDER BY {ORDER}) - 1 AS nth, count(*) OVER () AS total FROM w),
+pages AS (SELECT page, least(CAST(floor(share * (SELECT max(total) FROM placed)) AS BIGINT),
+                             (SELECT max(total) FROM placed) - {PAGE_LENGTH // 2}) AS start
+          FROM (VALUES {', '.join(f'({i}, CAST({s} AS DOUBLE))' for i, s in enumerate(DEEP_PAGES))}) AS p(page, share))
+SELECT {ALL_COLS}, page FROM placed JOIN pages ON nth >= start AND nth < start + {PAGE_LENGTH}"""),
+    "sale_answer": _w(f""", d AS (SELECT *, CASE WHEN user_age < 20 THEN 'under 20' WHEN user_age < 30 THEN '20 to 30' ELSE '30 and over' END AS band
+  FROM wide WHERE {DAY}),
+t AS (SELECT count(*) AS total FROM d),
+f AS (SELECT 'gender' AS section, user_gender AS name, count(*) AS value FROM d GROUP BY user_gender
+      UNION ALL SELECT 'age', band, count(*) FROM d GROUP BY band),
+page AS (SELECT * FROM d ORDER BY {ORDER} LIMIT {PAGE_LENGTH} OFFSET {PAGE_START})
+SELECT 'total' AS section, '[{{"value":' || total || '}}]' AS body FROM t
+UNION ALL
+SELECT section, '[' || string_agg('{{"name":"' || name || '","value":' || value || ',"share":"' || printf('%.2f', value * 100 / total) || '%"}}',
+                                  ',' ORDER BY name) || ']' FROM f, t GROUP BY section
+UNION ALL
+SELECT 'detail', '[' || string_agg('{{"order_id":' || order_id || ',"line_no":' || line_no || ',"user_id":' || user_id || ',"sku_id":' || sku_id
+  || ',"user_gender":"' || user_gender || '","user_age":' || user_age || ',"user_level":' || user_level || ',"sku_price":' || sku_price
+  || ',"sku_name":"' || sku_name || '","sku_tm_id":"' || sku_tm_id || '","province":"' || province || '","dt":"' || dt || '"}}', ',' ORDER BY {ORDER}) || ']'
+FROM page"""),
+    "sale_rollup": """
+WITH l AS (SELECT CASE WHEN l_orderkey % 5 = 0 AND l_partkey > 1 THEN l_partkey - 1 ELSE l_partkey END AS sku, l_orderkey,
+  CAST(l_extendedprice AS DECIMAL(18,2)) + CASE WHEN l_orderkey % 5 = 0 THEN 1 ELSE 0 END AS amount
+  FROM lineitem WHERE l_orderkey % 7 <> 0),
+j AS (SELECT n_name AS province, p_name AS name, amount FROM l JOIN orders ON l_orderkey = o_orderkey
+  JOIN customer ON o_custkey = c_custkey JOIN nation ON c_nationkey = n_nationkey JOIN part ON sku = p_partkey)
+SELECT 'province' AS grouping, province AS value, count(*) AS n, CAST(sum(amount) AS DOUBLE) AS amount FROM j GROUP BY province
+UNION ALL
+SELECT 'name', name, count(*), CAST(sum(amount) AS DOUBLE) FROM j GROUP BY name""",
     "sale_detail_total": _w(f"SELECT count(*) AS total FROM wide WHERE {DAY} AND {KW}"),
     "sale_facet_gender": _share("user_gender"),
     "sale_facet_age": _share("CASE WHEN user_age < 20 THEN 'under 20' WHEN user_age < 30 THEN '20 to 30' "

@@ -21,6 +21,7 @@ HITS = (f"FROM documents WHERE {_match('text', DOC_QUERY)} AND lang = '{DOC_LANG
 
 SQL = {
     "search_find": f"SELECT doc_id, lang, n_chars {HITS}",
+    "search_indexed": f"SELECT doc_id, lang, n_chars {HITS}",
     "search_highlight": f"SELECT doc_id, {_highlight('text', DOC_QUERY)} AS highlight {HITS}",
     "search_grouped": f"""
 WITH g AS (

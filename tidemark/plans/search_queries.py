@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from ..functions import jsonfn
 from ..functions.schemas import MOVIE
-from ..operators import search
+from ..operators import search, search_index
+from ..session import scratch_path
 from ..sources.tables import read_table
 
 # Fixed query parameters of the test fixtures.
@@ -23,6 +24,14 @@ def q_search_find(spark, sf_dir):
                        size=PAGE_SIZE).select("doc_id", "lang", "n_chars")
 
 
+def q_search_indexed(spark, sf_dir):
+    """The answer of ``search_find`` from a stored index."""
+    path = scratch_path(spark, "search_index")
+    search_index.build(read_table(spark, sf_dir, "documents"), path, "text", "lang", "n_chars", "doc_id")
+    page = search_index.find(spark, path, DOC_QUERY, DOC_LANG, size=PAGE_SIZE)
+    return page.select("doc_id", F.col("term").alias("lang"), F.col("sort_value").alias("n_chars"))
+
+
 def q_search_highlight(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
     return search.find(docs, "text", DOC_QUERY, "lang", DOC_LANG, "n_chars", "doc_id",
@@ -73,6 +82,7 @@ def q_nested_search(spark, sf_dir):
 
 QUERIES = {
     "search_find": q_search_find,
+    "search_indexed": q_search_indexed,
     "search_highlight": q_search_highlight,
     "search_grouped": q_search_grouped,
     "nested_json_roundtrip": q_nested_json_roundtrip,
