@@ -19,9 +19,12 @@ from ..sources.streams import file_stream, table_stream
 from ..streaming import cdc_stream, dau_stream, progress, sale_stream
 
 
-# Streaming queries of the last run, for progress reporting (bench).
+# Streaming queries of each registered query's last run, for progress reporting (bench).
 LAST_RUN: dict[str, list] = {}
 
+# Size of the change stream's files, and how many a micro-batch takes.
+CDC_FILE_RECORDS, CDC_FILES_PER_BATCH = 40_000, 8
+
 
 def run_dau_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int | None = None) -> str:
     ensure_utc(spark)
@@ -30,7 +33,7 @@ def run_dau_stream(spark: SparkSession, sf_dir: str, max_files_per_trigger: int
     # Unnamed: two registered runs may overlap in one session.
     q = dau_stream.start(raw, f"{base}/table", f"{base}/checkpoint", query_name=None)
     sinks.await_all([q])
-    LAST_RUN["dau"] = [q]
+    LAST_RUN["dau_stream"] = [q]
     return f"{base}/table"
 
 
@@ -39,12 +42,13 @@ def run_cdc_stream(spark: SparkSession, sf_dir: str) -> str:
     one-pass router; returns the routed output folder."""
     ensure_utc(spark)
     base = scratch_path(spark, "cdc_stream")
-    cdc_raw(spark, sf_dir).write.parquet(f"{base}/source")
+    # Files of a bounded number of messages, as a topic hands them out over time.
+    cdc_raw(spark, sf_dir).write.option("maxRecordsPerFile", CDC_FILE_RECORDS).parquet(f"{base}/source")
     schema = spark.read.parquet(f"{base}/source").schema
-    raw = file_stream(spark, f"{base}/source", schema)
+    raw = file_stream(spark, f"{base}/source", schema, max_files_per_trigger=CDC_FILES_PER_BATCH)
     q = cdc_stream.start_single(raw, f"{base}/routed", f"{base}/checkpoint", query_name=None)
     sinks.await_all([q])
-    LAST_RUN["cdc"] = [q]
+    LAST_RUN["cdc_stream"] = LAST_RUN["dim_stream_latest"] = [q]
     return f"{base}/routed"
 
 
@@ -93,6 +97,7 @@ def q_dau_stream_disorder(spark, sf_dir):
             queries = [dau_stream.start(stream, f"{base}/table", f"{base}/ck", clock=clock, query_name=None),
                        dau_stream.start_rejects(stream, f"{base}/rejects", f"{base}/ck_rejects", clock, query_name=None)]
             sinks.await_all(queries)
+    LAST_RUN["dau_stream_disorder"] = queries
     stored = sinks.read_dau_table(spark, f"{base}/table", columns=("mid", "dt")).select("dt", "mid", F.lit("stored").alias("outcome"))
     rejected = spark.read.parquet(f"{base}/rejects").select(
         F.date_format(F.timestamp_millis("ts"), "yyyy-MM-dd").alias("dt"), "mid", F.col("fault").alias("outcome"))

@@ -64,6 +64,16 @@ def ensure_utc(spark: SparkSession) -> None:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
 
+def ensure_disk_state(spark: SparkSession) -> None:
+    """State of data-sized streams in RocksDB; Spark's default keeps all of it in the JVM heap.
+
+    A stream that has a checkpoint goes on with the store it was started with.
+    """
+    for key in ("spark.sql.streaming.stateStore.providerClass", "spark.sql.streaming.join.stateFormatVersion"):
+        if spark.conf.get(key, None) != BASE_CONF[key]:
+            spark.conf.set(key, BASE_CONF[key])
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder, setting a local one only when unset.
 

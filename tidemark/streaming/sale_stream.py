@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from .. import sinks
 from ..operators import sales
+from ..session import ensure_disk_state
 
 COLUMNS = ("order_id", "line_no", "price", "user_id", "dt", "user_name", "sku_id", "sku_name", "sku_brand")
 
@@ -51,4 +52,5 @@ def enriched_stream(lines: DataFrame, orders: DataFrame, images: DataFrame, dela
 def start(lines: DataFrame, orders: DataFrame, images: DataFrame, path: str, checkpoint: str, trigger: str | None = None,
           query_name: str | None = "sale_enriched", **bounds):
     """Start the enrichment into a folder of Parquet files; returns its streaming query."""
+    ensure_disk_state(lines.sparkSession)
     return sinks.changelog(enriched_stream(lines, orders, images, **bounds), path, checkpoint, trigger=trigger, query_name=query_name)
