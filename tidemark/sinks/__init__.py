@@ -67,8 +67,9 @@ def overwrite_partitions(df: DataFrame, path: str, column: str) -> None:
     """Replace the partitions that ``df`` has rows of; all others keep their files.
 
     ``df`` may read the table at ``path``: the new files are complete before the old ones go.
+    Rows are dealt by partition, a large one to several tasks, so that few files are written.
     """
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    (df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
 
 
 def staged_days(facts: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> tuple[DataFrame, list[str]]:
@@ -78,7 +79,8 @@ def staged_days(facts: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -
     """
     spark = facts.sparkSession
     staged = scratch_path(spark, "dau-batch")
-    dedup(facts, order=order).select(*DAU_INFO.fieldNames()).write.mode("overwrite").partitionBy("dt").parquet(staged)
+    first = dedup(facts, order=order).select(*DAU_INFO.fieldNames()).hint("rebalance", "dt")
+    first.write.mode("overwrite").partitionBy("dt").parquet(staged)
     batch = read_dau_table(spark, staged).select(*DAU_INFO.fieldNames())
     return batch, [r.dt for r in batch.select("dt").distinct().collect()]
 

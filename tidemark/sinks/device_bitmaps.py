@@ -49,7 +49,7 @@ def merge(dau: DataFrame, path: str) -> None:
     pieces = numbered.groupBy("dt", F.bitmap_bucket_number("id").alias("piece")) \
                      .agg(F.bitmap_construct_agg(F.bitmap_bit_position("id")).alias("bits"))
     staged = scratch_path(spark, "day-bitmaps")
-    pieces.select("piece", "bits", "dt").write.mode("overwrite").partitionBy("dt").parquet(staged)
+    pieces.select("piece", "bits", "dt").hint("rebalance", "dt").write.mode("overwrite").partitionBy("dt").parquet(staged)
     fresh = spark.read.schema(PIECES).parquet(staged)
     days = [r.dt for r in fresh.select("dt").distinct().collect()]  # one entry per calendar day
     if not days:
