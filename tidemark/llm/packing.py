@@ -2,18 +2,22 @@
 
 1. Every text is encoded once and stored with its distinct terms (hashed
    words) and their frequencies.
-2. Document frequencies and the mean length are counted over all rows;
-   the table has ``2 ** bits`` entries whatever the input.
-3. An inverted index of all rows is written in files of a bounded size.
+2. Document frequencies and the mean length in words are counted over all
+   rows; the table has ``2 ** bits`` entries whatever the input.
+3. An inverted index of all rows is written in files of a bounded size,
+   with every posting's BM25 weight and every term's greatest one.
 4. Rounds: so many unused documents become seeds as there are windows to
    fill.  Every block of seeds asks every index file with each seed's
    ``query_terms`` weightiest terms, and the answers are merged per seed,
-   so that any unused document of the table is a candidate.  A document
-   goes to the seed that scores it highest, and seeds with room left ask
-   again in the next round, without what is used by then.
-5. When what is left fits in one shard, one task finishes it: the best
-   unused neighbours follow a seed until its window is full, and the
-   document that crosses the window's end seeds the next one.
+   so that any unused document of the table is a candidate.  A file whose
+   greatest weights can't reach a seed's present list is passed over; the
+   others are scored for many seeds at once.  A document goes to the seed
+   that scores it highest, and seeds with room left ask again in the next
+   round, without what is used by then.  Used documents are bits in files,
+   a file per 65,536 rows, which the tasks read.
+5. After a round, when what is left fits in one shard, one task finishes
+   it: the best unused neighbours follow a seed until its window is full,
+   and the document that crosses the window's end seeds the next one.
 
 BM25 scores count in steps of a sixteenth of an octave, and within a step
 the order differs from seed to seed; otherwise all seeds amid near copies
@@ -46,7 +50,7 @@ from .encode import default_path, encoder
 from .token_store import put
 
 K1, B = 1.2, 0.75
-_STORED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("terms", pa.binary()), ("tf", pa.binary())])
+_STORED = pa.schema([("doc_id", pa.int64()), ("ids", pa.binary()), ("terms", pa.binary()), ("tf", pa.binary()), ("words", pa.int64())])
 _COLUMNS = ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")
 _OUT = pa.schema([*((c, pa.int64()) for c in _COLUMNS), ("ids", pa.binary())])
 OUT = ", ".join(f"{c} long" for c in _COLUMNS) + ", ids binary"
@@ -68,7 +72,7 @@ def _terms(col, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, bits: int) -> DataFrame:
-    """doc_id, ids, terms and tf of every row."""
+    """doc_id, ids, terms, tf and number of words of every row."""
     def run(batches):
         enc = encoder(tokenizer)
         for batch in batches:
@@ -80,10 +84,11 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int, bits: int) -> DataFram
                 size = ids.itemsize
                 yield pa.RecordBatch.from_arrays(
                     [part.column(0), pa.array([raw[0][a * size:b * size] + end for a, b in zip(off[:-1], off[1:])], pa.binary()),
-                     *(pa.array([r[4 * a:4 * b] for a, b in zip(at[:-1], at[1:])], pa.binary()) for r in raw[1:])],
+                     *(pa.array([r[4 * a:4 * b] for a, b in zip(at[:-1], at[1:])], pa.binary()) for r in raw[1:]),
+                     pa.array(np.add.reduceat(np.append(tf, 0), at[:-1]) * (at[1:] > at[:-1]), pa.int64())],
                     schema=_STORED)
 
-    return documents_of(docs).mapInArrow(run, "doc_id long, ids binary, terms binary, tf binary")
+    return documents_of(docs).mapInArrow(run, "doc_id long, ids binary, terms binary, tf binary, words long")
 
 
 def document_frequencies(rows: DataFrame, bits: int) -> np.ndarray:
@@ -183,9 +188,9 @@ def _get(path: str):
     return np.load(re.sub(r"^file:(//)?", "", path))
 
 
-def _norms(n_terms: np.ndarray, mean: float) -> np.ndarray:
-    """BM25 length norm of every row; it is by distinct terms, as is the mean."""
-    return (K1 * (1 - B + B * n_terms / mean)).astype(np.float32)
+def _norms(words: np.ndarray, mean: float) -> np.ndarray:
+    """BM25 length norm of every row, by its number of words."""
+    return (K1 * (1 - B + B * words / mean)).astype(np.float32)
 
 
 def _weights(idf: np.ndarray, tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
@@ -193,11 +198,12 @@ def _weights(idf: np.ndarray, tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
     return idf * tf * np.float32(K1 + 1) / (tf + norm)
 
 
-def _columns(part: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """terms, tf and number of distinct terms of the rows."""
+def _columns(part: pa.Table, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Terms and BM25 weights of the rows, and each row's number of distinct terms."""
     own = part.column("terms").to_pylist()
-    return (np.frombuffer(b"".join(own), np.uint32), np.frombuffer(b"".join(part.column("tf").to_pylist()), np.uint32),
-            np.array([len(x) // 4 for x in own], np.int64))
+    terms, n_terms = np.frombuffer(b"".join(own), np.uint32), np.array([len(x) // 4 for x in own], np.int64)
+    tf = np.frombuffer(b"".join(part.column("tf").to_pylist()), np.uint32)
+    return terms, _weights(idf[terms], tf, np.repeat(_norms(part.column("words").to_numpy(), mean), n_terms)), n_terms
 
 
 def indexed(spark: SparkSession, rows: DataFrame, n_terms: int, shared, mean: float, bits: int, query_terms: int,
@@ -206,22 +212,25 @@ def indexed(spark: SparkSession, rows: DataFrame, n_terms: int, shared, mean: fl
     base = scratch_path(spark, "llm-bm25")
 
     def one(part: pa.Table, path: str) -> pa.RecordBatch:
-        terms, tf, n_terms = _columns(part)
-        weight = _weights(shared.value[terms], tf, np.repeat(_norms(n_terms, mean), n_terms))
+        terms, weight, n_terms = _columns(part, shared.value, mean)
         at = np.concatenate([[0], np.cumsum(n_terms)])
         query = np.full((len(n_terms), query_terms), _NONE, np.uint32)
         for i, (a, b) in enumerate(zip(at[:-1].tolist(), at[1:].tolist())):
             top = np.argpartition(-weight[a:b], query_terms)[:query_terms] if b - a > query_terms else np.arange(b - a)
             query[i, :len(top)] = terms[a:b][np.sort(top)]
-        del weight
         doc = np.repeat(np.arange(len(n_terms), dtype=np.uint32), n_terms)
         by_term = np.argsort(terms, kind="stable")
+        first = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=1 << bits))])
+        # Weights in 65,535 steps of the file's greatest one.
+        unit = max(float(weight.max(initial=0)), 1e-30) / 65535
+        code = np.ceil(weight[by_term] / unit).clip(1, 65535).astype(np.uint16)
+        top = np.zeros(1 << bits, np.uint16)
+        some = first[:-1] < first[1:]
+        top[some] = np.maximum.reduceat(code, first[:-1][some])
         out = io.BytesIO()
         size = part.column("size").to_numpy()
-        np.savez(out, first=np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=1 << bits))]).astype(np.uint32),
-                 doc=doc[by_term].astype(np.uint16 if len(n_terms) <= 1 << 16 else np.uint32),
-                 tf=tf[by_term].astype(np.min_scalar_type(int(tf.max()))), n_terms=n_terms, size=size,
-                 row=part.column("row").to_numpy())
+        np.savez(out, first=first.astype(np.uint32), top=top, unit=unit, weight=code,
+                 doc=doc[by_term].astype(np.uint16 if len(n_terms) <= 1 << 16 else np.uint32), size=size, row=part.column("row").to_numpy())
         put(path, out.getvalue())
         return pa.RecordBatch.from_arrays(
             [part.column("row").combine_chunks(), pa.array(size), pa.array([q.tobytes() for q in query], pa.binary()),
@@ -244,7 +253,7 @@ def indexed(spark: SparkSession, rows: DataFrame, n_terms: int, shared, mean: fl
                 yield one(cut, f"{base}/{name}-{nth}.npz")
                 nth += 1
 
-    some = rows.filter("n_terms > 0").select("row", "size", "terms", "tf").coalesce(max(spark.sparkContext.defaultParallelism, -(-n_terms // index_terms)))
+    some = rows.filter("n_terms > 0").select("row", "size", "terms", "tf", "words").coalesce(max(spark.sparkContext.defaultParallelism, -(-n_terms // index_terms)))
     return stored(spark, some.mapInArrow(run, _HEADS), "heads")
 
 
@@ -252,108 +261,156 @@ def _cut(part: pa.Table, n: int) -> list[pa.Table]:
     return [part.slice(i, n) for i in range(0, part.num_rows, n)]
 
 
-def _used(marks: dict[int, bytes], rows: np.ndarray) -> np.ndarray:
-    out, chunk = np.zeros(len(rows), bool), rows >> 16
+CHUNK_BITS = 16
+
+
+def _bits(marks: list[str], chunk: int) -> np.ndarray:
+    """Which rows of a chunk are used, from the latest folder that has the chunk."""
+    for folder in reversed(marks):
+        try:
+            with _get(f"{folder}/{chunk}.npz") as f:
+                return np.unpackbits(f["bits"]).astype(bool)
+        except FileNotFoundError:
+            continue
+    return np.zeros(1 << CHUNK_BITS, bool)
+
+
+def _used(marks: list[str], rows: np.ndarray) -> np.ndarray:
+    out, chunk = np.zeros(len(rows), bool), rows >> CHUNK_BITS
     for c in np.unique(chunk).tolist():
-        if c in marks:
-            bits = np.zeros(1 << 16, bool)
-            known = np.unpackbits(np.frombuffer(marks[c], np.uint8))
-            bits[:len(known)] = known
-            mine = chunk == c
-            out[mine] = bits[rows[mine] & 0xFFFF]
+        mine = chunk == c
+        out[mine] = _bits(marks, c)[rows[mine] & ((1 << CHUNK_BITS) - 1)]
     return out
 
 
-def _marked(marks: dict[int, bytes], rows: DataFrame) -> dict[int, bytes]:
-    """``marks`` (a bit per row, by 65,536 rows) with ``rows`` added."""
-    def bits(key, part):
-        at = part.column("row").to_numpy() & 0xFFFF
-        out = np.zeros(int(at.max()) + 1, np.uint8)
-        out[at] = 1
-        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64()), "bits": pa.array([np.packbits(out).tobytes()], pa.binary())})
+def _marked(spark: SparkSession, marks: list[str], rows: DataFrame) -> list[str]:
+    """``marks`` with a folder in which ``rows`` are used as well: a file for every chunk of rows that gains some."""
+    folder = scratch_path(spark, "llm-used")
 
-    out = dict(marks)
-    chunk = F.shiftright("row", 16).alias("chunk")
-    for chunk, new in rows.select(chunk, "row").groupBy("chunk").applyInArrow(bits, "chunk long, bits binary").collect():
-        a, b = np.frombuffer(out.get(chunk, b""), np.uint8), np.frombuffer(bytes(new), np.uint8)
-        both = np.zeros(max(len(a), len(b)), np.uint8)
-        both[:len(a)] |= a
-        both[:len(b)] |= b
-        out[chunk] = both.tobytes()
-    return out
+    def bits(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
+        used = _bits(marks, key[0].as_py())
+        used[part.column("row").to_numpy() & ((1 << CHUNK_BITS) - 1)] = True
+        out = io.BytesIO()
+        np.savez(out, bits=np.packbits(used))
+        put(f"{folder}/{key[0].as_py()}.npz", out.getvalue())
+        return pa.table({"chunk": pa.array([key[0].as_py()], pa.int64())})
 
+    chunk = F.shiftright("row", CHUNK_BITS).alias("chunk")
+    rows.select(chunk, "row").groupBy("chunk").applyInArrow(bits, "chunk long").count()
+    return [*marks, folder]
+
+
+def _unused(frame: DataFrame, marks: list[str]) -> DataFrame:
+    """Rows of ``frame`` (its first column is the row number) that are not used yet."""
+    if not marks:
+        return frame
 
-def _unused(frame: DataFrame, marks) -> DataFrame:
     def run(batches):
         for batch in batches:
-            yield batch.filter(pa.array(~_used(marks.value, batch.column(0).to_numpy())))
+            yield batch.filter(pa.array(~_used(marks, batch.column(0).to_numpy())))
 
     return frame.mapInArrow(run, frame.schema)
 
 
-def _mixed(seed: int, rows: np.ndarray) -> np.ndarray:
-    return T.mix(rows.astype(np.uint64) ^ T.mix(np.array([seed], np.uint64)))
-
-
-def found(seeds: DataFrame, files: list[str], marks, shared, mean: float, depth: int, block: int = 8192) -> DataFrame:
-    """Best unused documents of the whole index for every (seed, room, query), ``depth`` times what its room holds."""
-    def best(seed, room, score, row, size):
-        order = np.lexsort((_mixed(seed, row), -score))
-        ends = np.cumsum(size[order])
-        order = order[:int(np.searchsorted(ends, depth * room)) + 1]
-        return score[order], row[order], size[order]
-
-    def one(part: pa.Table) -> pa.Table:
-        seeds, rooms = part.column("seed").to_numpy(), part.column("room").to_numpy()
-        asks = [q[q != _NONE] for q in (np.frombuffer(x, np.uint32) for x in part.column("query").to_pylist())]
-        lists: list = [None] * len(seeds)
-        least = np.zeros(len(seeds))  # under it, a full list takes no more
+def _mixed(seeds: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return T.mix(rows.astype(np.uint64) ^ T.mix(seeds.astype(np.uint64)))
+
+
+class _Shelf:
+    """An index file's unused documents and their postings."""
+
+    def __init__(self, path: str, marks: list[str]):
+        with _get(path) as kept:
+            first, doc, weight, row, size, self.top, self.unit = (kept[k] for k in ("first", "doc", "weight", "row", "size", "top", "unit"))
+        free = ~_used(marks, row)
+        if not free.all():
+            keep = free[doc]
+            first = np.concatenate([[0], np.cumsum(keep)])[first]
+            doc, weight = (np.cumsum(free) - 1)[doc[keep]], weight[keep]
+        # One more term, which no document has.
+        self.first = np.append(first, first[-1]).astype(np.int64)
+        self.top = np.append(self.top, 0)
+        self.doc, self.weight, self.row, self.size = doc, weight, row[free], size[free]
+
+    def above(self, asks: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(seed, document, score) of all scores beyond the seeds' ``least``; ``asks`` has a row of terms per seed."""
+        n = len(self.row)
+        lo = self.first[asks].ravel()
+        size = self.first[asks + 1].ravel() - lo
+        ends = np.cumsum(size)
+        at = np.repeat(lo - (ends - size), size) + np.arange(int(ends[-1]))
+        base = np.repeat(np.arange(len(asks)) * n, size.reshape(asks.shape).sum(axis=1))
+        score = np.bincount(base + self.doc[at], self.weight[at], minlength=len(asks) * n)
+        hit = np.flatnonzero((score.reshape(len(asks), n) > (least / self.unit)[:, None]).ravel())
+        return hit // n, hit % n, score[hit] * self.unit
+
+
+def _best(seed, score, row, size, want: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Every seed's best documents until they hold ``want[seed]`` tokens; within a step the order is the seed's own."""
+    order = np.lexsort((_mixed(seed, row), -score, seed))
+    seed, score, row, size = (x[order] for x in (seed, score, row, size))
+    total = np.cumsum(size)
+    starts = np.flatnonzero(np.append(True, seed[1:] != seed[:-1])) if len(seed) else np.zeros(0, np.int64)
+    before = total - size - np.repeat(total[starts] - size[starts], np.diff(np.append(starts, len(seed))))
+    keep = before < want[seed]
+    return seed[keep], score[keep], row[keep], size[keep]
+
+
+def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_term: int, block: int = 8192, cells: int = 1 << 20) -> DataFrame:
+    """Best unused documents of the whole index for every (seed, room, query), ``depth`` times what its room holds.
+
+    ``block`` seeds go through the files together; ``cells`` scores are held at once.
+    """
+    def one(part: pa.Table) -> pa.RecordBatch:
+        names, want = part.column("seed").to_numpy(), depth * part.column("room").to_numpy()
+        asks = np.frombuffer(b"".join(part.column("query").to_pylist()), np.uint32).reshape(len(names), -1).astype(np.int64)
+        asks[asks == int(_NONE)] = no_term
+        least = np.zeros(len(names))  # under it, a full list takes no more
+        have = tuple(np.zeros(0, t) for t in (np.int64, np.float64, np.int64, np.int64))
         for path in files:
-            with _get(path) as kept:
-                first, doc, tf, row, size, n_terms = (kept[k] for k in ("first", "doc", "tf", "row", "size", "n_terms"))
-            free = ~_used(marks.value, row)
-            if not free.any():
+            shelf = _Shelf(path, marks)
+            if not len(shelf.row):
+                continue
+            # The greatest weights of a seed's terms bound its scores here.
+            bound = shelf.top[asks].sum(axis=1, dtype=np.int64) * shelf.unit
+            some, fresh = np.flatnonzero(bound > least), []
+            step = max(1, cells // len(shelf.row))
+            for at in range(0, len(some), step):
+                own = some[at:at + step]
+                i, d, score = shelf.above(asks[own], least[own])
+                cuts = np.searchsorted(i, np.arange(len(own) + 1))
+                many = np.flatnonzero(np.diff(cuts) > 256)
+                if len(many):  # the best 64, if they hold what is wanted, and all of their step
+                    keep = np.ones(len(i), bool)
+                    for k in many.tolist():
+                        mine = slice(cuts[k], cuts[k + 1])
+                        edge = np.partition(score[mine], -64)[-64]
+                        if shelf.size[d[mine]][score[mine] >= edge].sum() >= want[own[k]]:
+                            keep[mine] = score[mine] >= edge * (1 - 1 / 16)
+                    i, d, score = i[keep], d[keep], score[keep]
+                score = np.exp2(np.floor(np.log2(score) * 16) / 16)
+                near = score >= least[own[i]]
+                fresh.append((own[i[near]], score[near], shelf.row[d[near]], shelf.size[d[near]]))
+            if not fresh:
                 continue
-            norm = _norms(n_terms, mean)
-            norm[~free] = np.inf
-            for i, ask in enumerate(asks):
-                lo, hi = first[ask].astype(np.int64), first[ask + 1].astype(np.int64)
-                spans = [slice(a, b) for a, b in zip(lo.tolist(), hi.tolist()) if a < b]
-                if not spans:
-                    continue
-                at = np.concatenate([doc[x] for x in spans])
-                f = np.concatenate([tf[x] for x in spans])
-                score = np.bincount(at, _weights(np.repeat(shared.value[ask], hi - lo), f, norm[at]), minlength=len(row))
-                got = np.flatnonzero(score > least[i])
-                if not len(got):
-                    continue
-                if len(got) > 64:  # the best 64, if they fill the room as often as asked for
-                    edge = np.partition(score[got], -64)[-64]
-                    if size[got[score[got] >= edge]].sum() >= depth * rooms[i]:
-                        got = got[score[got] >= edge * (1 - 1 / 16)]  # all of its step
-                mine = np.exp2(np.floor(np.log2(score[got]) * 16) / 16)
-                near = mine >= least[i]
-                got, mine = got[near], mine[near]
-                new = (mine, row[got], size[got])
-                if lists[i] is not None:
-                    new = tuple(np.concatenate(x) for x in zip(lists[i], new))
-                lists[i] = best(int(seeds[i]), int(rooms[i]), *new)
-                if lists[i][2].sum() >= depth * rooms[i]:
-                    least[i] = lists[i][0][-1] * (1 - 1e-9)
-        some = [i for i, x in enumerate(lists) if x is not None]
-        score, row, size = (np.concatenate([lists[i][k] for i in some]) if some else np.zeros(0) for k in range(3))
-        seed = np.repeat(seeds[some], [len(lists[i][0]) for i in some]) if some else np.zeros(0)
-        return pa.RecordBatch.from_arrays([pa.array(x.astype(t)) for x, t in zip(
-            (seed, row, size, score), (np.int64, np.int64, np.int64, np.float64))], names=["seed", "row", "size", "score"])
+            have = _best(*(np.concatenate(x) for x in zip(have, *fresh)), want)
+            held = np.bincount(have[0], have[3], minlength=len(names))
+            last = np.full(len(names), np.inf)
+            np.minimum.at(last, have[0], have[1])
+            least = np.where(held >= want, last * (1 - 1e-9), 0)
+        seed, score, row, size = have
+        return pa.RecordBatch.from_arrays([pa.array(names[seed].astype(np.int64)), pa.array(row), pa.array(size), pa.array(score)],
+                                          names=["seed", "row", "size", "score"])
 
     def run(batches):
         held, n = [], 0
         for batch in batches:
-            held.append(batch)
-            n += batch.num_rows
-            if n >= block:
-                yield one(pa.Table.from_batches(held))
-                held, n = [], 0
+            for at in range(0, batch.num_rows, block):
+                held.append(batch.slice(at, block))
+                n += held[-1].num_rows
+                if n >= block:
+                    yield one(pa.Table.from_batches(held))
+                    held, n = [], 0
         if n:
             yield one(pa.Table.from_batches(held))
 
@@ -373,55 +430,51 @@ def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits:
                shard_tokens: int, shard_rows: int, index_rows: int, index_terms: int, depth: int) -> DataFrame:
     """(row, grp, rank) of every row: the group of documents it is packed with, and its place there."""
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t"), F.sum("n_terms").alias("terms")).first()
-    marks, out, sc = {}, [], spark.sparkContext
-    if totals.n > shard_rows or (totals.t or 0) > shard_tokens:
-        heads = indexed(spark, rows, totals.terms, shared, mean, bits, query_terms, index_rows, index_terms)
-        files = sorted(r.file for r in heads.select("file").distinct().collect())
-        bare = rows.filter("n_terms = 0").select("row", F.col("row").alias("grp"), F.lit(0.0).alias("rank"))
-        marks = _marked(marks, bare)
-        out.append(bare)
-        opened, more, nth = None, 1.0, 0
-        while True:
-            known = sc.broadcast(marks)
-            left = _unused(heads.select("row", "size", "query"), known)
-            n, tokens, part = left.agg(F.count(F.lit(1)), F.sum("size"), F.sum(F.least("size", F.lit(window)))).first()
-            if n <= shard_rows and (tokens or 0) <= shard_tokens or n <= 1:
-                break
-            room = opened.agg(F.sum("room")).first()[0] or 0 if opened is not None else 0
-            # A full group goes half a document beyond its room.
-            share = min(1.0, more * max(0, part - room) / (window + part / n / 2) / n)
-            drawn = left.filter(F.pmod(F.xxhash64("row", F.lit(nth)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
-            if not room and drawn.isEmpty():
-                drawn = left.orderBy("row").limit(1)
-            drawn = stored(spark, drawn.select(F.col("row").alias("seed"), F.pmod(-F.col("size"), F.lit(window)).alias("room"), "query"), "seeds")
-            out.append(drawn.select(F.col("seed").alias("row"), F.col("seed").alias("grp"), F.lit(float("-inf")).alias("rank")))
-            seeds = drawn if opened is None else opened.unionByName(drawn)
-            seeds = seeds.filter("room > 0")
-            n_seeds, n_drawn = seeds.count(), drawn.count()
-            marks = _marked(marks, drawn.select(F.col("seed").alias("row")))
-            known = sc.broadcast(marks)
-            blocks = seeds.repartition(max(sc.defaultParallelism, -(-n_seeds // 8192)), "seed")
-            wish = stored(spark, found(blocks, files, known, shared, mean, depth), "found")
-            won = stored(spark, _won(wish, seeds), "won")
-            n_won = won.count()
-            if n_won < max(1, n_drawn):
-                more *= 2  # few neighbours are left: more seeds at once
-            out.append(won.select("row", F.col("seed").alias("grp"), (-F.col("score")).alias("rank")))
-            marks = _marked(marks, won)
-            took = won.groupBy("seed").agg(F.sum("size").alias("took"))
-            answered = wish.select("seed").distinct()  # a seed without candidates won't find any later
-            opened = stored(spark, seeds.join(answered, "seed").join(took, "seed", "left").select(
-                "seed", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room"), "query").filter("room > 0"), "open")
-            nth += 1
-    known = sc.broadcast(marks)
+    marks, out, sc = [], [], spark.sparkContext
+    heads = indexed(spark, rows, totals.terms or 0, shared, mean, bits, query_terms, index_rows, index_terms)
+    files = sorted(r.file for r in heads.select("file").distinct().collect())  # one small entry per file
+    bare = rows.filter("n_terms = 0").select("row", F.col("row").alias("grp"), F.lit(0.0).alias("rank"))
+    if totals.n:
+        marks = _marked(spark, marks, bare)
+    out.append(bare)
+    opened, more, nth = None, 1.0, 0
+    while True:
+        left = _unused(heads.select("row", "size", "query"), marks)
+        n, tokens, part = left.agg(F.count(F.lit(1)), F.sum("size"), F.sum(F.least("size", F.lit(window)))).first()
+        if n <= 1 or nth and n <= shard_rows and (tokens or 0) <= shard_tokens:  # one round at least, at any size
+            break
+        room = opened.agg(F.sum("room")).first()[0] or 0 if opened is not None else 0
+        # A full group goes half a document beyond its room.
+        share = min(1.0, more * max(0, part - room) / (window + part / n / 2) / n)
+        drawn = left.filter(F.pmod(F.xxhash64("row", F.lit(nth)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+        if not room and drawn.isEmpty():
+            drawn = left.orderBy("row").limit(1)
+        drawn = stored(spark, drawn.select(F.col("row").alias("seed"), F.pmod(-F.col("size"), F.lit(window)).alias("room"), "query"), "seeds")
+        out.append(drawn.select(F.col("seed").alias("row"), F.col("seed").alias("grp"), F.lit(float("-inf")).alias("rank")))
+        seeds = drawn if opened is None else opened.unionByName(drawn)
+        seeds = seeds.filter("room > 0")
+        n_seeds, n_drawn = seeds.count(), drawn.count()
+        marks = _marked(spark, marks, drawn.select(F.col("seed").alias("row")))
+        blocks = seeds.repartition(max(sc.defaultParallelism, -(-n_seeds // 8192)), "seed")
+        wish = stored(spark, found(blocks, files, marks, depth, 1 << bits), "found")
+        won = stored(spark, _won(wish, seeds), "won")
+        n_won = won.count()
+        if n_won < max(1, n_drawn):
+            more *= 2  # few neighbours are left: more seeds at once
+        out.append(won.select("row", F.col("seed").alias("grp"), (-F.col("score")).alias("rank")))
+        marks = _marked(spark, marks, won)
+        took = won.groupBy("seed").agg(F.sum("size").alias("took"))
+        answered = wish.select("seed").distinct()  # a seed without candidates won't find any later
+        opened = stored(spark, seeds.join(answered, "seed").join(took, "seed", "left").select(
+            "seed", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room"), "query").filter("room > 0"), "open")
+        nth += 1
 
     def rest(batches):
         got = [b for b in batches if b.num_rows]
         if not got:
             return
         part = pa.Table.from_batches(got)
-        terms, tf, n_terms = _columns(part)
-        weight = _weights(shared.value[terms], tf, np.repeat(_norms(n_terms, mean), n_terms))
+        terms, weight, n_terms = _columns(part, shared.value, mean)
         size = part.column("size").to_numpy()
         order = np.array(order_of(size, terms, weight, np.concatenate([[0], np.cumsum(n_terms)]), shared.value, window, query_terms))
         # Groups of 16 windows, so that no task lays out all.
@@ -429,7 +482,7 @@ def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits:
         yield pa.RecordBatch.from_arrays([pa.array(part.column("row").to_numpy()[order]), pa.array(grp),
                                           pa.array(np.arange(len(order), dtype=np.float64))], names=["row", "grp", "rank"])
 
-    last = _unused(rows.select("row", "size", "terms", "tf"), known).repartition(1).sortWithinPartitions("row")
+    last = _unused(rows.select("row", "size", "terms", "tf", "words"), marks).repartition(1).sortWithinPartitions("row")
     out.append(stored(spark, last.mapInArrow(rest, "row long, grp long, rank double"), "rest"))
     every = out[0]
     for frame in out[1:]:
@@ -495,7 +548,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end
         .withColumn("size", (F.length("ids") / width).cast("long")).withColumn("n_terms", (F.length("terms") / 4).cast("long"))
     rows = stored(spark, rows, "encoded", compression="zstd")
     df = document_frequencies(rows, bits)
-    lengths = rows.agg(F.count(F.lit(1)), F.sum("n_terms")).first()
+    lengths = rows.agg(F.count(F.lit(1)), F.sum("words")).first()
     mean = max(1.0, float(lengths[1] or 0) / max(1, lengths[0]))
     idf = np.log(1 + (lengths[0] - df + 0.5) / (df + 0.5)).astype(np.float32)
     shared = spark.sparkContext.broadcast(idf)  # 2 ** bits numbers
