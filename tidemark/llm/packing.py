@@ -356,7 +356,7 @@ def _best(seed, score, row, size, want: np.ndarray) -> tuple[np.ndarray, ...]:
     return seed[keep], score[keep], row[keep], size[keep]
 
 
-def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_term: int, block: int = 8192, cells: int = 1 << 20) -> DataFrame:
+def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_term: int, block: int = 32768, cells: int = 1 << 18) -> DataFrame:
     """Best unused documents of the whole index for every (seed, room, query), ``depth`` times what its room holds.
 
     ``block`` seeds go through the files together; ``cells`` scores are held at once.
@@ -455,7 +455,7 @@ def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits:
         seeds = seeds.filter("room > 0")
         n_seeds, n_drawn = seeds.count(), drawn.count()
         marks = _marked(spark, marks, drawn.select(F.col("seed").alias("row")))
-        blocks = seeds.repartition(max(sc.defaultParallelism, -(-n_seeds // 8192)), "seed")
+        blocks = seeds.repartition(max(sc.defaultParallelism, -(-n_seeds // 32768)), "seed")
         wish = stored(spark, found(blocks, files, marks, depth, 1 << bits), "found")
         won = stored(spark, _won(wish, seeds), "won")
         n_won = won.count()
