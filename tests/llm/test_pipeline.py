@@ -4,7 +4,8 @@ from collections import defaultdict
 import brute
 import numpy as np
 import corpus_pipeline as P
-from tidemark.llm import quality_classifier, secret_scan
+from pyspark.sql import functions as F
+from tidemark.llm import decontam, quality_classifier, quality_rules, secret_scan, simhash
 from tidemark.sources.tables import read_table
 from tokenizers import Tokenizer
 from tidemark.llm.encode import default_path
@@ -56,6 +57,40 @@ def test_no_rows_and_nulls(spark):
             frame.collect()
 
 
+def test_rows_not_ids_are_judged(spark):
+    words = " ".join(f"w{i}" for i in range(60))
+    other = " ".join(f"v{i}" for i in range(60))
+    rows = [(1, words), (5, words), (5, other), (None, other), (None, "solo text of its own"), (None, "solo text of its own"), (7, None), (None, None)]
+    frame = spark.createDataFrame([(d, t, i, 0, "a") for i, (d, t) in enumerate(rows)],
+                                  "doc_id long, text string, row_number int, stays int, component_id string")
+    kept = simhash.one_of_each(spark, frame)
+    assert kept.columns == frame.columns
+    assert sorted(r.row_number for r in kept.collect()) in ([0, 2, 4, 6], [0, 2, 5, 6])
+    bench = spark.createDataFrame([(1, other)], "item_id long, text string")
+    rows = [(1, words), (1, other), (None, other), (None, words), (2, None)]
+    frame = spark.createDataFrame([(d, t, i, 0) for i, (d, t) in enumerate(rows)], "doc_id long, text string, goes int, n_hit int")
+    kept = decontam.clean(spark, frame, bench)
+    assert kept.columns == frame.columns and sorted(r.goes for r in kept.collect()) == [0, 3, 4]
+
+
+def test_clashing_columns_in_every_stage(spark):
+    docs = read_table(spark, "/root/testdata/sf0.001", "documents")
+    names = ["steps", "gaps", "__steps", "row_number", "fp", "seg", "rank", "score", "label", "grp", "terms", "one"]
+    frame = docs.select("*", *[F.lit(i).alias(n) for i, n in enumerate(names)])
+    for name, stage in P.STAGES[:-1]:
+        frame = stage(spark, frame, "/root/testdata/sf0.001")
+        assert frame.columns == [*docs.columns, *names], name
+    assert {tuple(r) for r in frame.select(*names).distinct().collect()} == {tuple(range(len(names)))}
+    assert P.STAGES[-1][1](spark, frame, "/root/testdata/sf0.001").count() > 0
+
+
+def test_the_training_bound_holds_for_repeated_ids(spark):
+    docs = spark.createDataFrame([(1, f"text {i}") for i in range(500)] + [(2, "other")], "doc_id long, text string")
+    labels = spark.createDataFrame([(1, 1), (1, 1), (2, 0)], "doc_id long, quality int")
+    assert np.isfinite(quality_classifier.fit(spark, docs, labels, max_train_rows=10).weights).all()
+    assert quality_rules.fit(docs, labels, max_train_rows=10) is not None
+
+
 def test_run(spark):
     assert P.run(spark, "/root/testdata/sf0.001").count() > 0
     assert [n for n, _ in P.STAGES] == ["quality", "near_dedup", "decontaminate", "secrets", "pack"]

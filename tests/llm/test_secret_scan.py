@@ -73,3 +73,14 @@ def test_no_python_on_the_main_path(spark, model):
 
 def test_training_needs_both_labels(spark):
     assert S.train(spark.createDataFrame([("abc", 0), (None, 1), ("x", None)], "token string, label int")) is None
+
+
+def test_spans_beyond_a_base_span_are_kept(spark):
+    """A random string of which a pattern covers the end only."""
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    model = S.train(S.labelled_by_rules(docs))
+    text = "see Zx9Qw7Lk2Vb8Nm4Tr6Yp1Hg3Jd5Fs0" + "0123456789abcdef01234567" + " here"
+    one = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    spans = S.digest(S.scan(one, model)).first().spans.split(",")
+    assert "hex:33:58" in spans or "hex:34:58" in spans
+    assert any(s.startswith("markov:4:") for s in spans)

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from ..session import scratch_path
 from ..sources.tables import read_table
 
-__all__ = ["documents_of", "group_of", "pieces", "read_table", "scratch_path", "share_of", "stored", "string_array",
+__all__ = ["documents_of", "group_of", "pieces", "free_name", "numbered", "read_table", "scratch_path", "share_of", "stored", "string_array",
            "by_bucket", "single_thread"]
 
 
@@ -50,6 +50,20 @@ def stored(spark: SparkSession, df: DataFrame, name: str, **options) -> DataFram
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free_name(columns: list[str], name: str) -> str:
+    """``name``, longer by underscores until no column has it (Spark tells columns apart without case)."""
+    taken = {c.lower() for c in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+def numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` stored with a number for each row, and the number's column: rows are told apart whatever their doc_id."""
+    name = free_name(docs.columns, "row_number")
+    return stored(spark, docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+
+
 def string_array(data: np.ndarray, off: np.ndarray) -> pa.Array:
     """Arrow strings from UTF-8 bytes and row offsets (under 2 GB)."""
     return pa.Array.from_buffers(pa.string(), len(off) - 1,

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import documents_of, stored
+from .common import documents_of, numbered, stored
 
 BLOCK_WORDS = 1_000_000
 _PARTS = ("ids", "known", "words", "terms", "first", "at")
@@ -274,9 +274,11 @@ def is_contaminated(share: int = 20):
 
 
 def clean(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
-    """The rows of ``docs`` whose doc_id has no contaminated row; rows without doc_id stay."""
-    gone = contamination(spark, docs, benchmark, **options).filter(is_contaminated()).select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    """The rows of ``docs`` that are not contaminated, each judged by itself whatever its doc_id."""
+    rows, row = numbered(spark, docs)
+    found = contamination(spark, rows.select(F.col(row).alias("doc_id"), "text"), benchmark, **options)
+    gone = found.filter(is_contaminated()).select(F.col("doc_id").alias("goes"))
+    return rows.join(gone, rows[row] == gone["goes"], "left_anti").select(*docs.columns)
 
 
 def digest(result: DataFrame) -> DataFrame:

@@ -133,7 +133,9 @@ def fit(spark: SparkSession, docs: DataFrame, labels: DataFrame, label: str = "q
     """Train on a bounded sample of labelled rows, in one task."""
     # At most about max_train_rows small rows: their size is bounded by that parameter.
     chosen = F.broadcast(labelled_sample(labels, label, max_train_rows))
-    sample = documents_of(docs).join(chosen, "doc_id").select(F.lit(0).alias("one"), "rank", "doc_id", "text", "label")
+    # A doc_id that rows or labels repeat counts once, so the bound holds for the texts too.
+    sample = documents_of(docs).join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.struct("rank", "label", "text")).alias("s")) \
+        .select(F.lit(0).alias("one"), "s.rank", "doc_id", "s.text", "s.label")
 
     def one(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
         part = part.set_column(3, "text", part.column("text").fill_null("")) \

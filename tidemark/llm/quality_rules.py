@@ -204,9 +204,10 @@ def statistics(docs: DataFrame) -> DataFrame:
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", max_train_rows: int = 12_000) -> Trees:
     """Grow the trees on the statistics of a bounded sample of labelled rows (numbers only reach the driver)."""
     chosen = F.broadcast(labelled_sample(labels, label, max_train_rows))  # bounded by max_train_rows
-    sample = documents_of(docs).join(chosen, "doc_id")
-    stats = statistics(sample.select("doc_id", "text")).join(chosen, "doc_id")
-    rows = sorted({tuple(r) for r in stats.select("rank", "label", *_COUNTS).collect()})
+    # A doc_id that rows or labels repeat counts once, so the bound holds for what is collected too.
+    sample = documents_of(docs).join(chosen, "doc_id").groupBy("doc_id").agg(F.min(F.struct("rank", "label", "text")).alias("s"))
+    stats = statistics(sample.select("doc_id", "s.text")).join(chosen.groupBy("doc_id").agg(F.min(F.struct("rank", "label")).alias("l")), "doc_id")
+    rows = sorted({tuple(r) for r in stats.select("l.rank", "l.label", *_COUNTS).collect()})
     data = np.array(rows, np.float64).reshape(-1, 2 + len(_COUNTS))
     return boost(ratios(list(data[:, 2:].T)), data[:, 1], list(FEATURES.values()))
 

@@ -28,7 +28,7 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import documents_of, share_of
+from .common import documents_of, free_name, share_of
 
 # The contract's patterns, with the letters of the first in either case.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -158,7 +158,8 @@ def scan(docs: DataFrame, model: list[float] | None, min_ratio: float = 12.0) ->
     rows = rows.select("doc_id", *[_shifted(F.col(k)).alias(k) for k in KINDS])
     base = F.concat(*[_of_kind(k, i) for i, k in enumerate(KINDS[:3])])
     rows = rows.select("doc_id", F.array_sort(base).alias("base"), "markov")
-    apart = F.filter("markov", lambda m: ~F.exists("base", lambda b: (b["start"] < m["end"]) & (m["start"] < b["end"])))
+    # A span inside a base one adds nothing; one that goes beyond it does.
+    apart = F.filter("markov", lambda m: ~F.exists("base", lambda b: (b["start"] <= m["start"]) & (m["end"] <= b["end"])))
     findings = F.when(F.size("markov") > 0, F.array_sort(F.concat("base", _of_kind(apart, 3)))).otherwise(F.col("base"))
     return rows.select("doc_id", findings.alias("findings"))
 
@@ -168,18 +169,18 @@ def masked(docs: DataFrame, model: list[float] | None, min_ratio: float = 12.0)
 
     Where there is a column ``n_chars`` it is counted anew.
     """
-    out = docs
+    out, own, gaps = docs, free_name(docs.columns, "steps"), free_name(docs.columns, "gaps")
     for kind in KINDS:
         # One projection per pattern: the matches are found once.
         steps = _matches(F.col("text"), kind)
         if kind == "markov":
             steps = _with_model(steps, model, min_ratio)
-        clean = F.when(F.col("__steps").isNull(), F.col("text")).otherwise(F.concat(
-            F.array_join(F.zip_with(F.slice(F.col("__gaps"), 1, F.size("__steps")), F.col("__steps"), lambda g, s: F.concat(
-                g, F.when(s["keep"], F.lit(MASK)).otherwise(s["text"]))), ""), F.element_at("__gaps", -1)))
-        out = out.withColumns({"__steps": steps, "__gaps": F.when(F.regexp_like("text", F.lit(_LONG[kind])),
+        clean = F.when(F.col(own).isNull(), F.col("text")).otherwise(F.concat(
+            F.array_join(F.zip_with(F.slice(F.col(gaps), 1, F.size(own)), F.col(own), lambda g, s: F.concat(
+                g, F.when(s["keep"], F.lit(MASK)).otherwise(s["text"]))), ""), F.element_at(gaps, -1)))
+        out = out.withColumns({own: steps, gaps: F.when(F.regexp_like("text", F.lit(_LONG[kind])),
                                                                    F.split("text", _LONG[kind], -1))}) \
-            .withColumn("text", clean).drop("__steps", "__gaps")
+            .withColumn("text", clean).drop(own, gaps)
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(
             F.length("text").cast(docs.schema["n_chars"].dataType)))

@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import documents_of, pieces, stored
+from .common import documents_of, numbered, pieces, stored
 from .components import components
 
 SEED = 42
@@ -187,10 +187,17 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, shingle: int = 3, max_bits: int = 3) -> DataFrame:
-    """The rows of ``docs`` whose doc_id is its group's smallest; rows without doc_id stay."""
-    groups = near_duplicates(spark, docs, shingle, max_bits)
-    gone = groups.filter("doc_id != component_id").select("doc_id").distinct()
-    return docs.join(gone, docs["doc_id"] == gone["doc_id"], "left_anti")
+    """One row of each group: the one with the smallest doc_id, of equal ones the first; rows without doc_id come last.
+
+    Rows are told apart by a number of their own, so that repeated and missing doc_ids lose no group.
+    """
+    rows, row = numbered(spark, docs)
+    groups = near_duplicates(spark, rows.select(F.col(row).alias("doc_id"), "text"), shingle, max_bits)
+    ids = rows.select(F.col(row).alias("doc_id"), rows["doc_id"].cast("long").alias("id"))
+    first = groups.join(ids, "doc_id").groupBy("component_id") \
+        .agg(F.min(F.struct(F.col("id").isNull(), "id", F.col("doc_id").alias("row"))).alias("first"))
+    stay = first.select(F.col("first.row").alias("stays"))
+    return rows.join(stay, rows[row] == stay["stays"], "left_semi").select(*docs.columns)
 
 
 def digest(result: DataFrame) -> DataFrame:
