@@ -1,13 +1,20 @@
 """Training corpus pipeline: five stages over ``documents``, each on what the one before kept.
 
 1. quality: rows that the quality classifier scores under 0.5 go;
-2. near_dedup: of each SimHash group the smallest doc_id stays (shingles
-   of 3 words, at most 3 bits apart, as in the operator's contract);
+2. near_dedup: of each SimHash group one row stays, the one with the
+   smallest doc_id (shingles of 3 words, at most 3 bits apart, as in the
+   operator's contract);
 3. decontaminate: rows that the contract calls contaminated go;
 4. secrets: findings are masked in the text;
 5. pack: the rest is packed into sequences of 2048 tokens.
 
-Rows without doc_id can't be told apart by stages 2 and 3 and stay.
+Defined results: every stage judges rows, whatever their doc_id.  Rows that
+repeat one, or have none, are told apart by a number of their own; of
+equal doc_ids in a group the first row stays, and rows without one come
+last.  A null text counts as empty: it is scored, is a group with the
+other empty texts, is never contaminated and packs as its end id.  Repeated
+rows are copies and one stays.  No rows give no rows.  Extra columns, also
+such as have the operators' own names, pass through all stages but the last.
 """
 
 from __future__ import annotations
