@@ -165,7 +165,7 @@ def test_keyset_pages_with_nulls(spark):
 
 def test_answer_scans_the_lines_once(spark):
     got = {r.section: r.body for r in sales_queries.q_sale_answer(spark, SMALL).collect()}
-    assert set(got) <= {"total", "gender", "age", "detail"} and "detail" in got
+    assert got == {"total": '[{"value":0}]', "gender": "[]", "age": "[]", "detail": "[]"}  # no hits that day in the small table
     plan = _plan(sales_queries.q_sale_answer(spark, SMALL))
     assert "lineitem" not in plan  # computed once, into the scratch folder, which both passes read
 

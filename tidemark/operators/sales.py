@@ -208,6 +208,10 @@ def answer(rows: DataFrame, start: int, length: int) -> DataFrame:
     stats = counts.select(section.alias("section"), F.coalesce("user_gender", "_band").alias("name"), "value",
                           percent_text(F.when(F.col("_set") != 3, F.col("value") * 100 / total)).alias("share"))
     facets = stats.groupBy("section").agg(F.to_json(F.array_sort(F.collect_list(F.struct("name", "value", "share")))).alias("body"))
+    # Grouping sets give no row at all for no hits; the sections are there all the same.
+    names = spark.range(3).select(F.element_at(F.array(*[F.lit(s) for s in ("total", "gender", "age")]), F.col("id").cast("int") + 1).alias("section"))
+    none = F.when(F.col("section") == "total", F.lit('[{"value":0}]')).otherwise("[]")
+    facets = names.join(F.broadcast(facets), "section", "left").select("section", F.coalesce("body", none).alias("body"))
     page = serving.json_list(detail_page(rows, start, length), tuple(rows.columns))
     return facets.unionByName(page.select(F.lit("detail").alias("section"), "body"))
 

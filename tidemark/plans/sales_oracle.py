@@ -58,12 +58,13 @@ f AS (SELECT 'gender' AS section, user_gender AS name, count(*) AS value FROM d
 page AS (SELECT * FROM d ORDER BY {ORDER} LIMIT {PAGE_LENGTH} OFFSET {PAGE_START})
 SELECT 'total' AS section, '[{{"value":' || total || '}}]' AS body FROM t
 UNION ALL
-SELECT section, '[' || string_agg('{{"name":"' || name || '","value":' || value || ',"share":"' || printf('%.2f', value * 100 / total) || '%"}}',
-                                  ',' ORDER BY name) || ']' FROM f, t GROUP BY section
+SELECT s.section, '[' || coalesce(string_agg('{{"name":"' || name || '","value":' || value || ',"share":"' || printf('%.2f', value * 100 / total) || '%"}}',
+                                  ',' ORDER BY name), '') || ']'
+FROM (VALUES ('gender'), ('age')) AS s(section) LEFT JOIN f ON f.section = s.section CROSS JOIN t GROUP BY s.section
 UNION ALL
-SELECT 'detail', '[' || string_agg('{{"order_id":' || order_id || ',"line_no":' || line_no || ',"user_id":' || user_id || ',"sku_id":' || sku_id
+SELECT 'detail', '[' || coalesce(string_agg('{{"order_id":' || order_id || ',"line_no":' || line_no || ',"user_id":' || user_id || ',"sku_id":' || sku_id
   || ',"user_gender":"' || user_gender || '","user_age":' || user_age || ',"user_level":' || user_level || ',"sku_price":' || sku_price
-  || ',"sku_name":"' || sku_name || '","sku_tm_id":"' || sku_tm_id || '","province":"' || province || '","dt":"' || dt || '"}}', ',' ORDER BY {ORDER}) || ']'
+  || ',"sku_name":"' || sku_name || '","sku_tm_id":"' || sku_tm_id || '","province":"' || province || '","dt":"' || dt || '"}}', ',' ORDER BY {ORDER}), '') || ']'
 FROM page"""),
     "sale_rollup": """
 WITH l AS (SELECT CASE WHEN l_orderkey % 5 = 0 AND l_partkey > 1 THEN l_partkey - 1 ELSE l_partkey END AS sku, l_orderkey,
