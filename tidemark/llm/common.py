@@ -59,8 +59,19 @@ def free_name(columns: list[str], name: str) -> str:
 
 
 def numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
-    """``docs`` stored with a number for each row, and the number's column: rows are told apart whatever their doc_id."""
+    """``docs`` with a number for each row, and the number's column: rows are told apart whatever their doc_id.
+
+    A table read from files is numbered by file and place in it, the same in
+    every scan (31 bits of a hash of the file's name, salted until no two
+    files share them); any other frame is stored with its numbers.
+    """
     name = free_name(docs.columns, "row_number")
+    if "_metadata" not in docs.columns and docs._jdf.queryExecution().analyzed().getClass().getSimpleName() == "LogicalRelation":
+        path = F.col("_metadata.file_path")
+        for salt in range(16):
+            code = F.xxhash64(path, F.lit(salt)).bitwiseAND(0x7FFFFFFF)
+            if len(set(docs.agg(F.countDistinct(path), F.countDistinct(code)).first())) == 1:
+                return docs.withColumn(name, F.shiftleft(code, 32) + F.col("_metadata.row_index")), name
     return stored(spark, docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
