@@ -1,7 +1,10 @@
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
 from tidemark.llm import substring_dedup as S
+from tidemark.llm.common import group_of, numbered
 from tidemark.sources.tables import read_table
 
 
@@ -41,5 +44,35 @@ def test_spans_are_maximal(spark):
     assert row.kept_text == "x y z"
 
 
+def test_equal_first_hashes_are_told_apart():
+    known, checks = np.array([1, 5, 5, 5, 9], np.uint64), np.array([0, 2, 4, 6, 1], np.uint64)
+    asked = np.array([5, 5, 5, 1, 9, 7, 10], np.uint64), np.array([6, 2, 3, 0, 2, 1, 1], np.uint64)
+    assert S._place(*asked, known, checks).tolist() == [3, 1, -1, 0, -1, -1, -1]
+    none = np.zeros(0, np.uint64)
+    assert S._place(*asked, none, none).tolist() == [-1] * 7 and S._place(none, none, known, checks).tolist() == []
+
+
+def test_runs_inside_a_group_are_found_from_seeds():
+    """Only runs around anchors that two documents hold are compared."""
+    part = pa.table({"doc_id": [1, 2, 2, None], "text": [" ".join("abcdefghijklmnop"), "x " + " ".join("abcdefghijklmnop"),
+                                                         " ".join("qrstuvwxyzABCDE"), " ".join("qrstuvwxyzABCDE")]})
+    seeds = S._held_twice(*S._anchors(part, 13, 8))
+    keys, checks, ids = S._near(part, 13, 8, seeds)
+    assert len(seeds) and sorted(ids.tolist()).count(1) == 4 and len(keys) == len(checks) == len(ids) < 12
+    assert len(S._first(keys, checks, ids)[0]) < len(keys)
+
+
+def test_rows_without_id_and_repeated_ids_spread(spark):
+    """A third of the rows without doc_id and a third with one and the same: no group holds them all."""
+    text = " ".join(f"w{i}" for i in range(30))
+    rows = [(None, f"{i} {text}") for i in range(100)] + [(7, f"{text} {i}") for i in range(100)]
+    rows += [(100 + i, text) for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    assert _run(spark, rows, group_bytes=1000) == sorted(brute.substring(rows), key=str)
+    numbers, row = numbered(spark, docs)
+    share = numbers.groupBy("doc_id", group_of(row, 20).alias("grp")).count().filter("doc_id is null or doc_id = 7")
+    assert max(r["count"] for r in share.collect()) < 30
+
+
 def test_no_rows(spark):
     assert _run(spark, []) == []

@@ -2,20 +2,26 @@
 
 1. *Seed.*  Every ``window``-word run selects one anchor, the smallest
    hash of its ``seed_words``-grams (winnowing), so equal runs select
-   equal anchors.  Documents lie in groups of a bounded size; each group
+   equal anchors.  Rows lie in groups of a bounded size; each group
    sends its distinct anchors once, which pre-aggregates a passage that
    a third of all rows share to one entry per group.  Anchors that meet
    another group come back.
 2. *Extend.*  Around a shared anchor the match is extended both ways to
-   each whole run that selected it; the group sends the hash of that run
-   with its smallest doc_id, and gets back those that start in a
-   smaller document elsewhere.
+   each whole run that selected it; the group sends the hashes of that
+   run with its smallest doc_id, and gets back those that start in a
+   smaller document elsewhere.  Inside a group the seeds are the anchors
+   that two of its documents hold, and the runs around them are compared
+   where they lie.  So each repeat is found from a seed, at any size.
 3. *Keep maximal repeats.*  Overlapping repeated runs merge to maximal
    spans, which are at least ``window`` words long.
 
+Runs are equal when two independent 64-bit hashes of their words are.
+Anchors only choose what is compared, so one hash is enough for them.
 Hashes are dealt to buckets by their leading bits; the number of groups
-and buckets follows the input, so that one task's share is bounded.  No
-pair of documents is ever emitted.
+and buckets follows the input, so that one task's share is bounded.
+Rows are dealt to groups by their own number, so that rows without
+doc_id, and rows that repeat one, spread like all others.  No pair of
+documents is ever emitted.
 
 Defined results: a null or blank text has no words and an empty kept
 text; a text shorter than the window is kept; a row without doc_id is
@@ -32,12 +38,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import by_bucket, documents_of, group_of, pieces, string_array
+from .common import by_bucket, group_of, numbered, pieces, string_array
 
 OUT = ("doc_id long, n_words long, n_removed long, kept_text string, "
        "spans array<struct<start:bigint,length:bigint>>")
-_SENT = pa.schema([("bucket", pa.int32()), ("grp", pa.int64()), ("keys", pa.binary()), ("firsts", pa.binary())])
-_BACK = pa.schema([("grp", pa.int64()), ("keys", pa.binary())])
+SENT = "bucket int, grp long, keys binary, checks binary, firsts binary"
+BACK = "grp long, keys binary, checks binary"
+_SENT = pa.schema([("bucket", pa.int32()), ("grp", pa.int64()), ("keys", pa.binary()), ("checks", pa.binary()),
+                   ("firsts", pa.binary())])
+_BACK = pa.schema([("grp", pa.int64()), ("keys", pa.binary()), ("checks", pa.binary())])
+_CHECK = np.uint64(0xA0761D6478BD642F)  # makes the second hash of a word from the first
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("length", pa.int64())]))
 _OUT = pa.schema([("doc_id", pa.int64()), ("n_words", pa.int64()), ("n_removed", pa.int64()),
                   ("kept_text", pa.string()), ("spans", _SPANS)])
@@ -49,8 +59,13 @@ def _ids(part: pa.Table) -> tuple[np.ndarray, np.ndarray]:
     return col.fill_null(0).to_numpy(), col.is_valid().to_numpy()
 
 
+def _hashes(h: np.ndarray, window: int, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the runs that start at words ``at``."""
+    return T.rolling(h, window)[at], T.rolling(T.mix(h ^ _CHECK), window)[at]
+
+
 def _runs(part: pa.Table, window: int, seed: int):
-    """Hash, anchor and doc_id of every ``window``-word run of rows that have a doc_id."""
+    """Both hashes, anchor and doc_id of every ``window``-word run of rows that have a doc_id."""
     data, off = T.utf8(part.column("text"))
     starts, ends, words = T.word_bounds(data, off, T.BLANK_SPLIT)
     rows, h = T.row_of(words), T.span_hashes(data, starts, ends)
@@ -62,44 +77,86 @@ def _runs(part: pa.Table, window: int, seed: int):
     anchor = grams[:n].copy()
     for j in range(1, window - seed + 1):
         np.minimum(anchor, grams[j:j + n], out=anchor)
-    return T.rolling(h, window)[at], anchor[at], ids[rows[at]]
+    return *_hashes(h, window, at), anchor[at], ids[rows[at]]
+
+
+def _near(part: pa.Table, window: int, seed: int, seeds: np.ndarray):
+    """Both hashes and doc_id of the runs whose anchor is in the ascending ``seeds``."""
+    got = []
+    for s in T.slices(part, "text"):
+        key, check, anchor, ids = _runs(s, window, seed)
+        near = _among(anchor, seeds)
+        got.append((key[near], check[near], ids[near]))
+    return _joined_up(got, (np.uint64, np.uint64, np.int64))
+
 
+def _anchors(part: pa.Table, window: int, seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """Anchor and doc_id of the group's runs; neighbours with the same of both count once."""
+    got = []
+    for s in T.slices(part, "text"):
+        _, _, anchor, ids = _runs(s, window, seed)
+        new = np.ones(len(ids), bool)
+        new[1:] = (anchor[1:] != anchor[:-1]) | (ids[1:] != ids[:-1])
+        got.append((anchor[new], ids[new]))
+    return _joined_up(got, (np.uint64, np.int64))
 
-def _gathered(part: pa.Table, window: int, seed: int):
-    got = [_runs(s, window, seed) for s in T.slices(part, "text")]
-    return [np.concatenate(x) for x in zip(*got)] if got else [np.zeros(0, np.uint64)] * 2 + [np.zeros(0, np.int64)]
 
+def _joined_up(got: list[tuple], kinds: tuple) -> list[np.ndarray]:
+    return [np.concatenate(x) for x in zip(*got)] if got else [np.zeros(0, k) for k in kinds]
 
-def _keys(tbl: pa.Table) -> np.ndarray:
-    rows = [np.frombuffer(x, np.uint64) for x in tbl.column("keys").to_pylist()]
-    return np.concatenate(rows) if rows else np.zeros(0, np.uint64)
 
+def _held_twice(anchor: np.ndarray, ids: np.ndarray) -> np.ndarray:
+    """Ascending anchors that two documents hold."""
+    order = np.lexsort((ids, anchor))
+    anchor, ids = anchor[order], ids[order]
+    return np.unique(anchor[1:][(anchor[1:] == anchor[:-1]) & (ids[1:] != ids[:-1])])
 
-def _first(keys: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct keys and the smallest id of each."""
-    order = np.lexsort((ids, keys))
-    keys, ids = keys[order], ids[order]
+
+def _column(tbl: pa.Table, name: str, kind=np.uint64) -> np.ndarray:
+    rows = [np.frombuffer(x, kind) for x in tbl.column(name).to_pylist()]
+    return np.concatenate(rows) if rows else np.zeros(0, kind)
+
+
+def _first(keys: np.ndarray, checks: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct runs (ascending pairs of hashes) and the smallest id of each."""
+    order = np.lexsort((ids, checks, keys))
+    keys, checks, ids = keys[order], checks[order], ids[order]
     new = np.ones(len(keys), bool)
-    new[1:] = keys[1:] != keys[:-1]
-    return keys[new], ids[new]
+    new[1:] = (keys[1:] != keys[:-1]) | (checks[1:] != checks[:-1])
+    return keys[new], checks[new], ids[new]
 
 
-def _found(keys: np.ndarray, among: np.ndarray) -> np.ndarray:
-    """Which keys are in the ascending array ``among``."""
-    if not len(among):
+def _among(keys: np.ndarray, known: np.ndarray) -> np.ndarray:
+    """Which keys are in the ascending array ``known``."""
+    if not len(known):
         return np.zeros(len(keys), bool)
-    return among[np.minimum(np.searchsorted(among, keys), len(among) - 1)] == keys
+    return known[np.minimum(np.searchsorted(known, keys), len(known) - 1)] == keys
+
+
+def _place(keys: np.ndarray, checks: np.ndarray, known: np.ndarray, known_checks: np.ndarray) -> np.ndarray:
+    """Place of each run among the ascending pairs of hashes, -1 for none."""
+    at, out = np.searchsorted(known, keys), np.full(len(keys), -1)
+    todo = np.flatnonzero(at < len(known))
+    while len(todo):
+        todo = todo[known[at[todo]] == keys[todo]]
+        hit = known_checks[at[todo]] == checks[todo]
+        out[todo[hit]] = at[todo[hit]]
+        todo = todo[~hit]  # the same first hash and another second one: look at the next
+        at[todo] += 1
+        todo = todo[at[todo] < len(known)]
+    return out
 
 
-def _sent(keys, firsts, grp: int, buckets: int) -> pa.Table:
+def _sent(grp: int, buckets: int, keys, checks=None, firsts=None) -> pa.Table:
     cuts = by_bucket(keys, buckets)
-    return pa.table([[b for b, _, _ in cuts], [grp] * len(cuts), [keys[s:e].tobytes() for _, s, e in cuts],
-                     [b"" if firsts is None else firsts[s:e].tobytes() for _, s, e in cuts]], schema=_SENT)
+    rest = [[b"" if x is None else x[s:e].tobytes() for _, s, e in cuts] for x in (checks, firsts)]
+    return pa.table([[b for b, _, _ in cuts], [grp] * len(cuts), [keys[s:e].tobytes() for _, s, e in cuts], *rest],
+                    schema=_SENT)
 
 
-def _back(parts: list[tuple[int, np.ndarray]]) -> pa.Table:
-    parts = [(g, k) for g, k in parts if len(k)]
-    return pa.table([[g for g, _ in parts], [k.tobytes() for _, k in parts]], schema=_BACK)
+def _back(parts: list[tuple]) -> pa.Table:
+    parts = [p for p in parts if len(p[1])]
+    return pa.table([[p[0] for p in parts], *([p[i].tobytes() for p in parts] for i in (1, 2))], schema=_BACK)
 
 
 def repeats_removed(docs: DataFrame, window: int = 13, seed_words: int = 8,
@@ -112,57 +169,63 @@ def repeats_removed(docs: DataFrame, window: int = 13, seed_words: int = 8,
     if not 0 < seed_words <= window:
         raise ValueError("seed_words must lie between 1 and window")
     n = pieces(docs, group_bytes)
-    grouped = documents_of(docs).select(group_of("doc_id", n).alias("grp"), "doc_id", "text")
+    rows, row = numbered(docs.sparkSession, docs)
+    grouped = rows.select(group_of(row, n).alias("grp"), rows["doc_id"].cast("long").alias("doc_id"),
+                          rows["text"].cast("string").alias("text"))
 
     def anchors(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
-        return _sent(np.unique(_gathered(part, window, seed_words)[1]), None, key[0].as_py(), n)
+        return _sent(key[0].as_py(), n, np.unique(_anchors(part, window, seed_words)[0]))
 
     def shared(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
-        keys = np.sort(_keys(part))
+        keys = np.sort(_column(part, "keys"))
         twice = np.unique(keys[1:][keys[1:] == keys[:-1]])
         rows = zip(part.column("grp").to_pylist(), part.column("keys").to_pylist())
-        return _back([(g, k[_found(k, twice)]) for g, k in ((g, np.frombuffer(x, np.uint64)) for g, x in rows)])
+        sent = ((g, np.frombuffer(x, np.uint64)) for g, x in rows)
+        return _back([(g, k[_among(k, twice)], k[:0]) for g, k in sent])
 
     def extended(key: tuple[pa.Scalar, ...], part: pa.Table, seeds: pa.Table) -> pa.Table:
-        runs, anchor, ids = _gathered(part, window, seed_words)
-        near = _found(anchor, np.sort(_keys(seeds)))
-        return _sent(*_first(runs[near], ids[near]), key[0].as_py(), n)
+        return _sent(key[0].as_py(), n, *_first(*_near(part, window, seed_words, np.sort(_column(seeds, "keys")))))
 
     def earlier(key: tuple[pa.Scalar, ...], part: pa.Table) -> pa.Table:
-        rows = [(g, np.frombuffer(k, np.uint64), np.frombuffer(f, np.int64)) for g, k, f in
-                zip(*(part.column(c).to_pylist() for c in ("grp", "keys", "firsts")))]
-        keys, least = _first(np.concatenate([k for _, k, _ in rows]), np.concatenate([f for _, _, f in rows]))
-        return _back([(g, k[least[np.searchsorted(keys, k)] < f]) for g, k, f in rows])
+        sent = [_column(part, c, k) for c, k in (("keys", np.uint64), ("checks", np.uint64), ("firsts", np.int64))]
+        keys, checks, least = _first(*sent)
+        out, at = [], 0
+        for g, size in zip(part.column("grp").to_pylist(), map(len, part.column("keys").to_pylist())):
+            k, c, f = (x[at:at + size // 8] for x in sent)
+            less = least[_place(k, c, keys, checks)] < f
+            out.append((g, k[less], c[less]))
+            at += size // 8
+        return _back(out)
 
     def kept(key: tuple[pa.Scalar, ...], part: pa.Table, hits: pa.Table) -> pa.Table:
-        again = np.sort(_keys(hits))
         if part.num_rows == 0:
             return _OUT.empty_table()
-        runs, _, ids = _gathered(part, window, seed_words)
-        keys, least = _first(runs, ids)
-        return pa.concat_tables([_cut(s, window, again, keys, least) for s in T.slices(part, "text")])
+        again = _column(hits, "keys"), _column(hits, "checks")
+        order = np.lexsort(again[::-1])
+        seeds = _held_twice(*_anchors(part, window, seed_words))
+        here = _first(*_near(part, window, seed_words, seeds))
+        return pa.concat_tables([_cut(s, window, [x[order] for x in again], here) for s in T.slices(part, "text")])
 
-    def _cut(part: pa.Table, window: int, again, keys, least) -> pa.Table:
+    def _cut(part: pa.Table, window: int, again, here) -> pa.Table:
         data, off = T.utf8(part.column("text"))
         starts, ends, words = T.word_bounds(data, off, T.BLANK_SPLIT)
         rows = T.row_of(words)
         at = T.row_windows(rows, window)
         ids, valid = _ids(part)
         at = at[valid[rows[at]]]
-        runs = T.rolling(T.span_hashes(data, starts, ends), window)[at]
-        hit = _found(runs, again)
-        if len(keys):
-            hit |= least[np.searchsorted(keys, runs)] < ids[rows[at]]
+        runs = _hashes(T.span_hashes(data, starts, ends), window, at)
+        hit = _place(*runs, *again) >= 0
+        if len(here[0]):
+            own = _place(*runs, *here[:2])
+            hit |= (own >= 0) & (here[2][own] < ids[rows[at]])
         gone = T.covered(len(starts), at[hit], window)
         text, offsets = _joined(data, off, starts, ends, rows, gone)
         return pa.table([part.column("doc_id"), np.diff(words), _per_row(gone, words),
                          string_array(text, offsets), _spans(gone, rows, words)], schema=_OUT)
 
-    seeds = grouped.groupBy("grp").applyInArrow(anchors, "bucket int, grp long, keys binary, firsts binary") \
-        .groupBy("bucket").applyInArrow(shared, "grp long, keys binary")
-    hits = grouped.groupBy("grp").cogroup(seeds.groupBy("grp")) \
-        .applyInArrow(extended, "bucket int, grp long, keys binary, firsts binary") \
-        .groupBy("bucket").applyInArrow(earlier, "grp long, keys binary")
+    seeds = grouped.groupBy("grp").applyInArrow(anchors, SENT).groupBy("bucket").applyInArrow(shared, BACK)
+    hits = grouped.groupBy("grp").cogroup(seeds.groupBy("grp")).applyInArrow(extended, SENT) \
+        .groupBy("bucket").applyInArrow(earlier, BACK)
     return grouped.groupBy("grp").cogroup(hits.groupBy("grp")).applyInArrow(kept, OUT)
 
 
