@@ -115,6 +115,33 @@ def secrets(rows):
     return out
 
 
+RUN = re.compile("[A-Za-z0-9+/_=-]+")
+CHARS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
+
+
+def ratio(token, model):
+    codes = [CHARS.find(c) + 1 for c in token]
+    total = 0.0
+    for a, b in zip(codes, codes[1:]):
+        total += model[a * (len(CHARS) + 1) + b]
+    return total
+
+
+def secret_spans(text, model, min_ratio=12.0):
+    """All spans of a text: the base ones, and random-looking runs that no base one holds."""
+    spans = []
+    for i, (kind, p) in enumerate(SECRETS):
+        spans += [(m.start(), i, m.end()) for m in p.finditer(text)
+                  if (len(m[2]) >= 6 if i == 0 else len(m[0]) >= (20 if i == 1 else 24))]
+    held = list(spans)
+    for m in RUN.finditer(text):
+        if len(m[0]) >= 16 and ratio(m[0], model) >= min_ratio and \
+                not any(s <= m.start() and m.end() <= e for s, _, e in held):
+            spans.append((m.start(), 3, m.end()))
+    names = ("assign", "access", "hex", "markov")
+    return ",".join(f"{names[i]}:{s}:{e}" for s, i, e in sorted(spans))
+
+
 def runs(words, min_length=6, min_exponent=4):
     """(start, length, period) of all periodic runs, by start and period."""
     n, out = len(words), []

@@ -1,5 +1,8 @@
 import hashlib
 import random
+import re
+import string
+import uuid
 
 import brute
 import pytest
@@ -16,7 +19,7 @@ def frame(spark, rows):
 @pytest.fixture(scope="module")
 def model(spark):
     docs = read_table(spark, "/root/testdata/sf0.01", "documents")
-    return S.train(S.labelled_by_rules(docs))
+    return S.train(S.labelled_samples(docs))
 
 
 def base(spark, rows, model=None):
@@ -75,12 +78,76 @@ def test_training_needs_both_labels(spark):
     assert S.train(spark.createDataFrame([("abc", 0), (None, 1), ("x", None)], "token string, label int")) is None
 
 
-def test_spans_beyond_a_base_span_are_kept(spark):
+def test_spans_beyond_a_base_span_are_kept(spark, model):
     """A random string of which a pattern covers the end only."""
-    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
-    model = S.train(S.labelled_by_rules(docs))
     text = "see Zx9Qw7Lk2Vb8Nm4Tr6Yp1Hg3Jd5Fs0" + "0123456789abcdef01234567" + " here"
     one = spark.createDataFrame([(1, text)], "doc_id long, text string")
     spans = S.digest(S.scan(one, model)).first().spans.split(",")
     assert "hex:33:58" in spans or "hex:34:58" in spans
     assert any(s.startswith("markov:4:") for s in spans)
+
+
+def planted(rnd):
+    """A random string that no pattern finds: base62, base64, its URL form, or a UUID."""
+    kind = rnd.randrange(4)
+    if kind == 3:
+        return str(uuid.UUID(int=rnd.getrandbits(128)))
+    letters = string.ascii_letters + string.digits + ("", "+/", "-_")[kind]
+    return "".join(rnd.choice(letters) for _ in range(rnd.randrange(24, 60)))
+
+
+def test_model_spans_match_brute_force(spark, model):
+    rnd = random.Random(11)
+    parts = ["token=", " ", "'", "abc", "Zx9Qw7Lk2Vb8", "AKIA", "0123456789abcdef", "é", "\n", "_of_the_", "-", "/", "\U0001f600", "."]
+    rows = ODD + [(100 + i, "".join(rnd.choice(parts) for _ in range(rnd.randrange(40)))) for i in range(200)]
+    rows += [(400 + i, f"é {planted(rnd)} {planted(rnd)}.") for i in range(40)]
+    want = sorted((str(d), brute.secret_spans(t or "", model)) for d, t in rows)
+    got = S.digest(S.scan(frame(spark, rows), model)).select("doc_id", "spans").collect()
+    assert sorted((str(r.doc_id), r.spans) for r in got) == want
+    assert sum("markov" in s for _, s in want) > 60
+
+
+def test_random_strings_outside_the_patterns_are_found_and_masked(spark, model):
+    rnd = random.Random(12)
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents").select("doc_id", "text").limit(400).collect()
+    secrets = {d.doc_id: planted(rnd) for d in docs}
+    rows = [(d.doc_id, f"{d.text or ''} {secrets[d.doc_id]} end") for d in docs]
+    found = {r.doc_id: {f.text for f in r.findings if f.kind == 3} for r in S.scan(frame(spark, rows), model).collect()}
+    hit = [d for d, t in secrets.items() if t in found[d]]
+    assert len(hit) >= 0.98 * len(secrets)
+    clean = {r.doc_id: r.text for r in S.masked(frame(spark, rows), model).collect()}
+    assert all(secrets[d] not in clean[d] for d in hit)
+    # What the scan adds besides the planted strings: next to nothing.
+    assert sum(len(found[d] - {t}) for d, t in secrets.items()) <= 2
+
+
+def test_identifiers_are_ordinary(spark, model):
+    """Names that the training never saw, of words of the texts."""
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents").select("text").limit(300).collect()
+    words = sorted({w for d in docs for w in re.findall("[a-z]{4,}", d.text or "")})
+    rnd = random.Random(13)
+    names = []
+    for _ in range(500):
+        w = [rnd.choice(words) for _ in range(3)]
+        names.append(rnd.choice(["_".join(w), "-".join(w), "/".join(w), w[0] + w[1].title() + w[2].title(), "_".join(w).upper()]))
+    got = S.scan(frame(spark, [(i, n) for i, n in enumerate(names)]), model).collect()
+    assert sum(bool(r.findings) for r in got) <= 5
+
+
+def test_samples_are_bounded_and_repeat(spark):
+    docs = read_table(spark, "/root/testdata/sf0.01", "documents")
+    two = [sorted(map(tuple, S.random_strings(spark, 50).collect())) for _ in range(2)]
+    assert two[0] == two[1] and len(two[0]) == 50 and all(20 <= len(t) <= 64 for t, in two[0])
+    none = S.labelled_samples(docs.limit(0), n_random=5)
+    assert none.count() == 5 and S.train(none) is None
+    few = S.ordinary_strings(docs, 50).count()
+    assert 0 < few < S.ordinary_strings(docs, 10 ** 9).count() / 4
+
+
+def test_masked_agrees_with_scan(spark, model):
+    """A row changes exactly where the scan finds something."""
+    rows = [(i, t) for i, (_, t) in enumerate(ODD)] + [(50, "nothing to see here"), (51, "id Zx9Qw7Lk2Vb8Nm4Tr6Yp1Hg3Jd5Fs0 x")]
+    found = {r.doc_id for r in S.scan(frame(spark, rows), model).filter("size(findings) > 0").collect()}
+    texts = dict(rows)
+    changed = {r.doc_id for r in S.masked(frame(spark, rows), model).collect() if r.text != texts[r.doc_id]}
+    assert found == changed and 51 in found and 50 not in found

@@ -16,7 +16,7 @@ def op1_substring_dedup(spark, sf_dir):
 
 def op2_secret_scan(spark, sf_dir):
     docs = read_table(spark, sf_dir, "documents")
-    model = secret_scan.train(secret_scan.labelled_by_rules(docs))
+    model = secret_scan.train(secret_scan.labelled_samples(docs))
     return secret_scan.digest(secret_scan.scan(docs, model))
 
 

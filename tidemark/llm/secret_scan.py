@@ -5,9 +5,10 @@ patterns.  The model adds findings: every run of token characters is
 scored by the log-likelihood ratio of two first-order character chains,
 one of random strings and one of ordinary identifiers, and is a finding
 when the ratio reaches a threshold.  Chains are trained from labelled
-samples (``token``, ``label``); ``labelled_by_rules`` draws them from a
-bounded number of documents, where the base findings' values count as
-random and the other words as identifiers.  A model is one number per
+samples (``token``, ``label``).  ``labelled_samples`` makes a table of
+them that owes nothing to the patterns: random strings of the usual
+alphabets and lengths, and the words of a bounded number of documents,
+alone and put together as identifiers are.  A model is one number per
 pair of characters.
 
 Positions come from the text between matches (``split``) and the matches
@@ -16,8 +17,8 @@ No stage but the training's counts shuffles.
 
 Defined results: a null text is empty and has no finding; rows are
 scanned each, also repeated ones or such without doc_id; without samples
-of either label the model adds nothing; no rows give no rows; extra
-columns are ignored by ``scan`` and kept by ``masked``.
+of either label the model adds nothing (documents without words give no
+ordinary ones); no rows give no rows; extra columns are ignored by ``scan`` and kept by ``masked``.
 """
 
 from __future__ import annotations
@@ -25,7 +26,7 @@ from __future__ import annotations
 import json
 import math
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents_of, free_name, share_of
@@ -98,22 +99,47 @@ def _pairs(token: Column) -> Column:
         lambda a, b: a * SIZE + b)), 1)
 
 
-def labelled_by_rules(docs: DataFrame, max_docs: int = 20_000) -> DataFrame:
-    """(token, label): values of base findings (1) and other words (0) of about ``max_docs`` documents at most."""
+def random_strings(spark: SparkSession, n: int) -> DataFrame:
+    """``n`` random strings (token), the same in every run: base62, base64, its URL form, hex and UUIDs.
+
+    20 to 64 characters each, but for the UUIDs, all taken from hashes of the row's number.
+    """
+    rows = spark.range(n).select("id", F.sha2(F.concat(F.lit("random "), F.col("id").cast("string")), 512).alias("hex"))
+    base64 = F.base64(F.unhex("hex"))
+    size = F.pmod(F.xxhash64("id"), F.lit(45)).cast("int") + 20
+
+    def cut(text: Column) -> Column:
+        return F.substring(text, F.lit(1), size)
+
+    uuid = F.regexp_replace(F.substring("hex", 1, 32), "^(.{8})(.{4})(.{4})(.{4})(.{12})$", "$1-$2-$3-$4-$5")
+    kinds = [cut(F.translate(base64, "+/=", "")), cut(base64), cut(F.translate(base64, "+/=", "-_")), cut(F.col("hex")), uuid]
+    return rows.select(F.element_at(F.array(*kinds), (F.pmod("id", F.lit(len(kinds))) + 1).cast("int")).alias("token"))
+
+
+def ordinary_strings(docs: DataFrame, max_docs: int) -> DataFrame:
+    """token: the words of about ``max_docs`` documents at most, outside the base findings, and neighbours put together.
+
+    A word and the next one make ``a_b``, ``a-b``, ``a/b``, ``aB`` and ``A_B``, as in names and paths.
+    """
     share = min(1.0, max_docs / max(1, docs.count()))
     rows = documents_of(docs)
     if share < 1:
         rows = rows.filter(share_of(F.xxhash64("doc_id", "text"), share))
-    rows = rows.select(F.coalesce("text", F.lit("")).alias("text"))
-    value = F.filter(F.regexp_extract_all("text", F.lit(ASSIGN), F.lit(1)), lambda v: F.length(v) >= 6)
-    random = F.concat(value, *[F.regexp_extract_all("text", F.lit(_LONG[k]), F.lit(0)) for k in ("access", "hex")])
-    rest = F.col("text")
+    rest = F.coalesce("text", F.lit(""))
     for kind in KINDS[:3]:
         rest = F.regexp_replace(rest, F.lit(_LONG[kind]), F.lit(" "))
-    words = F.regexp_extract_all(rest, F.lit(WORD), F.lit(0))
-    both = F.concat(F.transform(random, lambda t: F.struct(t.alias("token"), F.lit(1).alias("label"))),
-                    F.transform(words, lambda t: F.struct(t.alias("token"), F.lit(0).alias("label"))))
-    return rows.select(F.explode(both).alias("s")).select("s.token", "s.label")
+    rows = rows.select(F.regexp_extract_all(rest, F.lit(WORD), F.lit(0)).alias("words"))
+    nexts = F.slice("words", F.lit(2), F.greatest(F.size("words") - 1, F.lit(0)))
+    pairs = F.zip_with(F.slice("words", F.lit(1), F.size(nexts)), nexts, lambda a, b: F.array(
+        F.concat_ws("_", a, b), F.concat_ws("-", a, b), F.concat_ws("/", a, b), F.concat(a, F.initcap(b)),
+        F.upper(F.concat_ws("_", a, b))))
+    return rows.select(F.explode(F.concat("words", F.flatten(pairs))).alias("token"))
+
+
+def labelled_samples(docs: DataFrame, max_docs: int = 1_000, n_random: int = 20_000) -> DataFrame:
+    """(token, label): ``n_random`` random strings (1), and ordinary ones (0) from about ``max_docs`` of ``docs`` at most."""
+    random = random_strings(docs.sparkSession, n_random).withColumn("label", F.lit(1))
+    return random.unionByName(ordinary_strings(docs, max_docs).withColumn("label", F.lit(0)))
 
 
 def train(samples: DataFrame, smoothing: float = 0.5) -> list[float] | None:
