@@ -40,7 +40,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return secret_scan.masked(docs, secret_scan.train(secret_scan.labelled_by_rules(docs)))
+    return secret_scan.masked(docs, secret_scan.train(secret_scan.labelled_samples(docs)))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
