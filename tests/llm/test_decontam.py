@@ -1,6 +1,7 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from tidemark.llm import decontam as D
 from tidemark.sources.tables import read_table
@@ -39,6 +40,23 @@ def test_whole_table(spark, small):
     assert any(r[5] for r in got) and not all(r[5] for r in got)
 
 
+def test_blocks_hold_every_window_once(spark):
+    items = [(i, " ".join(f"w{i}x{j}" for j in range(n))) for i, n in enumerate([1, 3, 12, 13, 14, 40, 0, 25])] + [(None, "a b"), (99, None)]
+    bench = spark.createDataFrame(items, "item_id long, text string").repartition(3)
+    for block_words in (20, 1000):
+        got = []
+        for path in D.write_blocks(spark, bench, 13, block_words):
+            h, windows = D._block(path)
+            for size, first, item in windows:
+                got += [(int(i), tuple(h[a:a + size].tolist())) for a, i in zip(first, item)]
+        want = []
+        for i, t in items:
+            w = D.words(pa.array([t or ""]))[0].tolist() if i is not None else []
+            k = min(13, len(w))
+            want += [(i, tuple(w[a:a + k])) for a in range(len(w) - k + 1) if k]
+        assert sorted(got) == sorted(want)
+
+
 def test_proximity(spark):
     docs = spark.createDataFrame([(1, "a x x b c"), (2, "a x x x x x b c"), (3, "c b a"), (4, "a b"), (5, "a | b | c")],
                                  "doc_id long, text string")

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import io
 import math
 import os
+import re
 
 import numpy as np
 import pyarrow as pa
@@ -14,7 +16,7 @@ from ..session import scratch_path
 from ..sources.tables import read_table
 
 __all__ = ["documents_of", "group_of", "pieces", "free_name", "numbered", "read_table", "scratch_path", "share_of", "stored", "string_array",
-           "by_bucket", "single_thread"]
+           "arrays_of", "by_bucket", "single_thread"]
 
 
 def documents_of(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -75,6 +77,17 @@ def numbered(spark: SparkSession, docs: DataFrame) -> tuple[DataFrame, str]:
     return stored(spark, docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
 
 
+def arrays_of(path: str):
+    """Arrays of an ``npz`` file in a shared folder."""
+    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) and not path.startswith("file:"):
+        from pyarrow import fs
+
+        store, path = fs.FileSystem.from_uri(path)
+        with store.open_input_file(path) as f:
+            return np.load(io.BytesIO(f.read()))
+    return np.load(re.sub(r"^file:(//)?", "", path))
+
+
 def string_array(data: np.ndarray, off: np.ndarray) -> pa.Array:
     """Arrow strings from UTF-8 bytes and row offsets (under 2 GB)."""
     return pa.Array.from_buffers(pa.string(), len(off) - 1,

@@ -11,8 +11,9 @@ spread over all segments.
 its rarest term there, and the lists of its other terms, shifted by
 their offsets, are intersected from the next rarest on.
 ``proximity_hits`` asks for all terms of a phrase near its rarest one.
-Phrases come in blocks of at most ``BLOCK_WORDS`` words, which bounds
-what a task is sent at once.
+Phrases come in files of about ``BLOCK_WORDS`` words, which tasks write
+and tasks read, one at a time: the benchmark never passes the driver, and
+the index is read once for all of them.
 
 Defined results: a null text has no words, an item without words no
 window, an item without item_id is left out; rows of documents are
@@ -22,7 +23,8 @@ hits nothing; no documents give no rows; extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import io
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +33,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import documents_of, numbered, stored
+from .common import arrays_of, documents_of, numbered, pieces, scratch_path, stored
+from .token_store import put
 
 BLOCK_WORDS = 1_000_000
 _PARTS = ("ids", "known", "words", "terms", "first", "at")
@@ -102,13 +105,14 @@ class Segment:
         at = self.at[np.repeat(self.first[lead] - total[:-1], size) + np.arange(total[-1])].astype(np.int64)
         return order, np.repeat(np.arange(len(t)), size), at
 
-    def phrases(self, grid: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """(phrase, first word) of every occurrence of the phrases, one per row of term hashes."""
-        t = self.term(grid)
-        own = np.flatnonzero((t >= 0).all(axis=1))
-        t, length = t[own], grid.shape[1]
+    def phrases(self, t: np.ndarray, starts: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
+        """(phrase, first word) of every occurrence of the phrases of ``length`` words that begin at
+        ``starts`` among words whose terms have the numbers ``t`` here."""
+        unknown = np.concatenate([[0], np.cumsum(t < 0)])
+        own = np.flatnonzero(unknown[starts + length] == unknown[starts])
         if not len(own):
             return own, own
+        t = t[starts[own][:, None] + np.arange(length)]
         order, p, at = self._rarest(t)
         at = at - order[p, 0]
         for k in range(1, length):
@@ -134,50 +138,78 @@ class Segment:
         return at
 
 
-def _blocks(items: DataFrame, most_words: int) -> Iterator[list[tuple[int, np.ndarray]]]:
-    """Items as (item_id, word hashes), in blocks of a bounded number of words."""
-    block, n = [], 0
-    for r in items.filter("item_id is not null and text is not null").toLocalIterator():
-        h, _ = words(pa.array([r.text]))
-        block.append((r.item_id, h))
-        n += len(h)
-        if n >= most_words:
-            yield block
-            block, n = [], 0
-    if block:
-        yield block
-
-
-def windows_of(block: list[tuple[int, np.ndarray]], window: int) -> list[tuple[np.ndarray, np.ndarray]]:
-    """Per length: the windows (rows of term hashes) and the items they come from."""
-    by: dict[int, tuple[list, list]] = {}
-    for item, h in block:
-        size = min(window, len(h))
-        if size:
-            rows, ids = by.setdefault(size, ([], []))
-            for i in range(len(h) - size + 1):
-                rows.append(h[i:i + size])
-                ids.append(item)
-    return [(np.array(rows, np.uint64), np.array(ids, np.int64)) for rows, ids in by.values()]
-
-
-def phrase_spans(index: DataFrame, grids: list[tuple[np.ndarray, np.ndarray]]) -> DataFrame:
-    """seg, row, spans (merged, in words of the row) and items of every row with an occurrence.
+def windows_of(off: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """First word, number of words and item of every window; item i has the words ``off[i]`` to ``off[i + 1]``."""
+    n = np.diff(off)
+    size = np.minimum(n, window)
+    windows = np.where(n > 0, n - size + 1, 0)
+    item = np.repeat(np.arange(len(n)), windows)
+    nth = np.arange(len(item)) - np.repeat(np.cumsum(windows) - windows, windows)
+    return off[:-1][item] + nth, size[item], item
+
+
+def write_blocks(spark: SparkSession, items: DataFrame, window: int, block_words: int) -> list[str]:
+    """Write the windows of ``items`` (item_id, text) in files of about ``block_words`` words; returns their paths.
 
-    ``grids`` are phrases by length, as from ``windows_of``.
+    One item is never divided; a task's last file may be small.
     """
-    shared = index.sparkSession.sparkContext.broadcast(grids)
+    items = items.filter("item_id is not null and text is not null")
+    folder = scratch_path(spark, "phrases")
+
+    def write(batches):
+        nth = TaskContext.get().partitionId() << 32
+        held, n = [], 0
+
+        def block() -> pa.RecordBatch:
+            at = np.concatenate([[0], np.cumsum(np.concatenate([np.diff(off) for _, off, _ in held]))])
+            start, size, item = windows_of(at, window)
+            content = io.BytesIO()
+            np.savez(content, words=np.concatenate([h for h, _, _ in held]), start=start, size=size,
+                     item=np.concatenate([ids for _, _, ids in held])[item])
+            path = f"{folder}/block-{nth:016x}.npz"
+            put(path, content.getvalue())
+            return pa.RecordBatch.from_arrays([pa.array([path])], names=["path"])
+
+        for batch in batches:
+            for part in T.slices(batch, "text", 4 * block_words):
+                held.append((*words(part.column(1)), part.column(0).to_numpy(zero_copy_only=False)))
+                n += len(held[-1][0])
+                if n >= block_words:
+                    yield block()
+                    held, n, nth = [], 0, nth + 1
+        if n:
+            yield block()
+
+    few = items.coalesce(pieces(items, 6 * block_words))
+    return sorted(r.path for r in few.mapInArrow(write, "path string").collect())  # a path per ``block_words`` words
 
+
+@lru_cache(maxsize=1)
+def _block(path: str) -> tuple[np.ndarray, list[tuple[int, np.ndarray, np.ndarray]]]:
+    """A file's words, and its windows (number of words, first words, items) by their number of words."""
+    with arrays_of(path) as kept:
+        h, start, size, item = (kept[k] for k in ("words", "start", "size", "item"))
+    return h, [(int(n), start[size == n], item[size == n]) for n in np.unique(size)]
+
+
+def phrase_spans(index: DataFrame, blocks: list[str]) -> DataFrame:
+    """seg, row, spans (merged, in words of the row) and items of every row with an occurrence.
+
+    ``blocks`` are files of phrases, as from ``write_blocks``.
+    """
     def find(batches):
         for batch in batches:
             for raw in batch.to_pylist():
                 seg = Segment(raw)
                 starts, lengths, items = [], [], []
-                for grid, ids in shared.value:
-                    p, at = seg.phrases(grid)
-                    starts.append(at)
-                    lengths.append(np.full(len(at), grid.shape[1]))
-                    items.append(ids[p])
+                for path in blocks:
+                    h, windows = _block(path)
+                    t = seg.term(h)
+                    for length, first, item in windows:
+                        p, at = seg.phrases(t, first, length)
+                        starts.append(at)
+                        lengths.append(np.full(len(at), length))
+                        items.append(item[p])
                 starts, lengths, items = (np.concatenate(x) if x else np.zeros(0, np.int64)
                                           for x in (starts, lengths, items))
                 yield _rows_of(seg, raw["seg"], starts, lengths, items)
@@ -249,22 +281,12 @@ def contamination(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, wi
     index = build_index(spark, docs, segment_bytes)
     items = benchmark.select(benchmark["item_id"].cast("long").alias("item_id"),
                              benchmark["text"].cast("string").alias("text"))
-    found = [phrase_spans(index, windows_of(b, window)) for b in _blocks(items, block_words)]
+    hits = phrase_spans(index, write_blocks(spark, items, window, block_words))
     rows = index_rows(index)
-    if not found:
-        hits = spark.createDataFrame([], "seg long, row long, spans array<struct<start:bigint,length:bigint>>, items array<long>")
-    else:
-        hits = found[0]
-        for more in found[1:]:
-            hits = hits.unionByName(more)
-        if len(found) > 1:  # one row per document and block
-            hits = hits.groupBy("seg", "row").agg(F.flatten(F.collect_list("spans")).alias("spans"),
-                                                  F.flatten(F.collect_list("items")).alias("items"))
-    n_hit = F.when(F.col("spans").isNull(), 0).otherwise(F.size(F.array_distinct(F.flatten(F.transform(
-        "spans", lambda s: F.sequence(s["start"], s["start"] + s["length"] - 1))))))
+    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda n, s: n + s["length"])
     return rows.join(hits, ["seg", "row"], "left").select(
-        "doc_id", "n_words", n_hit.cast("long").alias("n_hit"),
-        F.coalesce(F.array_distinct("items"), F.array().cast("array<long>")).alias("items"),
+        "doc_id", "n_words", F.coalesce(n_hit, F.lit(0).cast("long")).alias("n_hit"),
+        F.coalesce("items", F.array().cast("array<long>")).alias("items"),
         F.coalesce("spans", F.array().cast("array<struct<start:bigint,length:bigint>>")).alias("spans"))
 
 

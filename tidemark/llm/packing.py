@@ -35,7 +35,6 @@ rows; extra columns are ignored.
 from __future__ import annotations
 
 import io
-import re
 import zlib
 
 import numpy as np
@@ -45,7 +44,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import textops as T
-from .common import documents_of, scratch_path, stored
+from .common import arrays_of, documents_of, scratch_path, stored
 from .encode import default_path, encoder
 from .token_store import put
 
@@ -177,17 +176,6 @@ _FOUND = "seed long, row long, size long, score double"
 _NONE = np.uint32(0xFFFFFFFF)
 
 
-def _get(path: str):
-    """Arrays of an index file."""
-    if re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", path) and not path.startswith("file:"):
-        from pyarrow import fs
-
-        store, path = fs.FileSystem.from_uri(path)
-        with store.open_input_file(path) as f:
-            return np.load(io.BytesIO(f.read()))
-    return np.load(re.sub(r"^file:(//)?", "", path))
-
-
 def _norms(words: np.ndarray, mean: float) -> np.ndarray:
     """BM25 length norm of every row, by its number of words."""
     return (K1 * (1 - B + B * words / mean)).astype(np.float32)
@@ -268,7 +256,7 @@ def _bits(marks: list[str], chunk: int) -> np.ndarray:
     """Which rows of a chunk are used, from the latest folder that has the chunk."""
     for folder in reversed(marks):
         try:
-            with _get(f"{folder}/{chunk}.npz") as f:
+            with arrays_of(f"{folder}/{chunk}.npz") as f:
                 return np.unpackbits(f["bits"]).astype(bool)
         except FileNotFoundError:
             continue
@@ -320,7 +308,7 @@ class _Shelf:
     """An index file's unused documents and their postings."""
 
     def __init__(self, path: str, marks: list[str]):
-        with _get(path) as kept:
+        with arrays_of(path) as kept:
             first, doc, weight, row, size, self.top, self.unit = (kept[k] for k in ("first", "doc", "weight", "row", "size", "top", "unit"))
         free = ~_used(marks, row)
         if not free.all():
@@ -511,7 +499,7 @@ def placed(spark: SparkSession, rows: DataFrame, members: DataFrame) -> DataFram
             grp, rank = np.zeros(len(row), np.int64), np.zeros(len(row))
             for c in np.unique(row >> 16).tolist():
                 if c != last:
-                    with _get(f"{base}/{c}.npz") as f:
+                    with arrays_of(f"{base}/{c}.npz") as f:
                         last, known = c, {k: f[k] for k in ("row", "grp", "rank")}
                 mine = row >> 16 == c
                 at = np.searchsorted(known["row"], row[mine])
