@@ -41,8 +41,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import scratch_path, stored
-from .packing import _get
+from .common import arrays_of, scratch_path, stored
 from .token_store import put
 
 OUT = "anchor_id long, positive_id long, rank int, negative_id long, positive_score long, negative_score long"
@@ -138,7 +137,7 @@ def _load(paths: list[str]) -> dict[str, np.ndarray]:
     """All rows of some files, by label, id and row."""
     got = []
     for path in paths:
-        with _get(path) as f:
+        with arrays_of(path) as f:
             got.append({c: f[c] for c in ("vector", "id", "label", "row")})
     width = max(g["vector"].shape[1] for g in got)
     for g in got:
@@ -193,7 +192,7 @@ def _positives(a: dict, files: list[str], k: int, chunk: int) -> tuple:
     """(anchor's place, score, id, row) of every anchor's best rows of its label in ``files``."""
     found = []
     for path in files:
-        with _get(path) as f:
+        with arrays_of(path) as f:
             r = {c: f[c] for c in ("vector", "id", "label", "row")}
         for label in np.intersect1d(a["label"], r["label"]).tolist():
             al, ar = (np.searchsorted(a["label"], label, side=s) for s in ("left", "right"))
@@ -211,7 +210,7 @@ def _candidates(a: dict, files: list[str], low: np.ndarray, high: np.ndarray, k:
     """(anchor's place, window, score, id, row): every window's first rows of other labels in ``files``."""
     found, need = [], low.copy()
     for path in files:
-        with _get(path) as f:
+        with arrays_of(path) as f:
             r = {c: f[c] for c in ("vector", "id", "label", "row")}
         order = np.lexsort((r["row"], r["id"]))
         r = {c: x[order] for c, x in r.items()}
@@ -312,7 +311,7 @@ def mine(spark: SparkSession, rows: DataFrame, positives: int = 5, negatives: in
                 if block not in known:
                     continue
                 a = _load(blocks[block])
-                with _get(f"{base}/positives-{block}.npz") as f:
+                with arrays_of(f"{base}/positives-{block}.npz") as f:
                     at, best = f["at"], f["score"]
                 nth = np.arange(len(at)) - np.searchsorted(at, at)
                 # Bounds that nothing meets where an anchor has fewer positives.
