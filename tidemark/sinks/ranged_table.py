@@ -2,7 +2,8 @@
 
 Rows are dealt to ranges by all columns (``repartitionByRange``), one
 partition folder per range; a small table holds how many rows each range
-has.  A page by position adds up the counts and reads only the ranges that
+has.  The number of ranges grows with the rows, so that a range stays a
+bounded piece for the task that writes it and the pages that read it.  A page by position adds up the counts and reads only the ranges that
 the page touches, so a deep page costs what the first one does.
 """
 
@@ -11,14 +12,23 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+
 
 def order_of(columns: list[str]) -> list[Column]:
     return [F.col(c).asc_nulls_first() for c in columns]
 
 
-def write(df: DataFrame, path: str, ranges: int) -> None:
-    """Write ``df`` in ``ranges`` ranges of about equal size, ordered by all its columns."""
+def write(df: DataFrame, path: str, ranges: int, range_rows: int = 1 << 20) -> None:
+    """Write ``df`` in ``ranges`` ranges of about equal size, or more where they would be over ``range_rows``, ordered by all its columns.
+
+    ``df`` is computed once, into the shared scratch folder: the count and the ranges' bounds come from there.
+    """
     spark = df.sparkSession
+    staged = scratch_path(spark, "ranged-rows")
+    df.write.mode("overwrite").parquet(staged)
+    df = spark.read.schema(df.schema).parquet(staged)
+    ranges = max(ranges, -(-df.count() // range_rows))
     dealt = df.repartitionByRange(ranges, *order_of(df.columns)).withColumn("_range", F.spark_partition_id())
     dealt.write.mode("overwrite").partitionBy("_range").parquet(f"{path}/rows")
     rows = spark.read.schema(dealt.schema).parquet(f"{path}/rows")
