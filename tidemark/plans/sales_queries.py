@@ -113,11 +113,15 @@ def line_changes(spark, sf_dir) -> dict[str, DataFrame]:
         .join(_t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey"), F.col("o_custkey") == F.col("c_custkey")) \
         .join(_t(spark, sf_dir, "nation").select("n_nationkey", "n_name"), F.col("c_nationkey") == F.col("n_nationkey"))
     goods = _t(spark, sf_dir, "part").select(F.col("p_partkey").alias("sku"), F.col("p_name").alias("name"))
+    # Every batch is of these lines: they meet their places once, into the scratch folder.
+    placed = li.join(places, F.col("l_orderkey") == F.col("o_orderkey")).select(*li.columns, F.col("n_name").alias("province"))
+    path = scratch_path(spark, "placed_lines")
+    placed.write.mode("overwrite").parquet(path)
+    li = spark.read.schema(placed.schema).parquet(path)
 
     def batch(rows, seq: int, kind: str, sku=F.col("l_partkey"), price=F.col("l_extendedprice")):
-        own = rows.select("row_key", "l_orderkey", sku.alias("sku"), price.cast("decimal(18,2)").alias("amount"))
-        own = own.join(places, F.col("l_orderkey") == F.col("o_orderkey")).join(goods, "sku")
-        return own.select("row_key", F.lit(seq).alias("seq"), F.lit(kind).alias("type"), F.col("n_name").alias("province"), "name", "amount")
+        own = rows.select("row_key", "province", sku.alias("sku"), price.cast("decimal(18,2)").alias("amount")).join(goods, "sku")
+        return own.select("row_key", F.lit(seq).alias("seq"), F.lit(kind).alias("type"), "province", "name", "amount")
 
     moved = F.when(F.col("l_partkey") > 1, F.col("l_partkey") - 1).otherwise(F.col("l_partkey"))
     return {

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import hashlib
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -63,13 +63,16 @@ def exists(spark, path: str) -> bool:
     return place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(place)
 
 
-def overwrite_partitions(df: DataFrame, path: str, column: str) -> None:
+def overwrite_partitions(df: DataFrame, path: str, column: str, *order: Column) -> None:
     """Replace the partitions that ``df`` has rows of; all others keep their files.
 
     ``df`` may read the table at ``path``: the new files are complete before the old ones go.
-    Rows are dealt by partition, a large one to several tasks, so that few files are written.
+    Rows are dealt by partition, a large one to several tasks, so that few files are written, each in ``order`` if given.
     """
-    (df.hint("rebalance", column).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
+    dealt = df.hint("rebalance", column)
+    if order:
+        dealt = dealt.sortWithinPartitions(column, *order)
+    (dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(column).parquet(path))
 
 
 def staged_days(facts: DataFrame, order: tuple[str, ...] = ("ts", "event_id")) -> tuple[DataFrame, list[str]]:

@@ -88,9 +88,8 @@ def merge(changes: DataFrame, path: str, groupings: Sequence[str], buckets: int
                  .agg(F.sum("n").alias("n"), F.sum("amount").cast(AMOUNT).alias("amount")).where("n <> 0")
     sums = sums.select(F.lit(SUM).alias("kind"), F.lit(None).cast(key_type).alias("row_key"), F.lit(None).cast("long").alias("seq"),
                        *[F.lit(None).cast("string").alias(c) for c in ("type", *groupings)], "grouping", "value", "n", "amount", "bucket")
-    # Sums first within a bucket's file, so that readers of sums skip the row groups of images.
-    whole = rows.unionByName(sums).repartition("bucket").sortWithinPartitions("bucket", F.desc("kind"))
-    overwrite_partitions(whole, path, "bucket")
+    # Sums first within a file, so that readers of sums skip the row groups of images.
+    overwrite_partitions(rows.unionByName(sums), path, "bucket", F.desc("kind"))
     return touched
 
 
