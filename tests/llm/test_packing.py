@@ -1,8 +1,10 @@
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -91,3 +93,66 @@ def test_groups_are_whole_windows_and_rests():
     doc, start, length = packing.parts_of(size, grp, 8)
     assert list(zip(doc.tolist(), start.tolist(), length.tolist())) == [
         (0, 0, 5), (1, 0, 3), (3, 0, 16), (1, 3, 3), (2, 0, 3), (3, 16, 4), (4, 0, 1)]
+
+
+class _Frame:
+    """Runs what ``found`` maps over one batch, in this process."""
+
+    def __init__(self, batch):
+        self.batch = batch
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, run, schema):
+        return list(run([self.batch]))
+
+
+def _near_copies(path, n, seeds):
+    """An index file of ``n`` documents that all share 16 terms, and ``seeds`` that ask for those."""
+    rng = np.random.default_rng(5)
+    weight = rng.integers(60_000, 65_536, 16 * n).astype(np.uint16)
+    top = weight.reshape(16, n).max(axis=1)
+    np.savez(path, first=(np.arange(17) * n).astype(np.uint32), top=top, unit=1e-4, weight=weight,
+             doc=np.tile(np.arange(n, dtype=np.uint16), 16), size=np.full(n, 100), row=np.arange(n))
+    nothing = pa.array([[]] * seeds, pa.list_(packing._LIST))
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(seeds) + n), pa.array(np.full(seeds, 250)), pa.array([np.arange(16, dtype=np.uint32).tobytes()] * seeds, pa.binary()),
+         pa.array([False] * seeds), nothing], names=["seed", "room", "query", "whole", "list"])
+
+
+def test_near_copies_are_not_held_all_at_once(tmp_path):
+    path = str(tmp_path / "0.npz")
+    batch = _near_copies(path, 4000, 1500)
+    tracemalloc.start()
+    try:
+        got = packing.found(_Frame(batch), [path], [], 1, 16)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert sum(b.num_rows for b in got) >= 1500
+    assert peak < 100 << 20  # 6,000,000 findings of 32 bytes
+
+
+def test_a_list_that_fills_the_room_is_not_searched_again(tmp_path, monkeypatch):
+    path = str(tmp_path / "0.npz")
+    batch = _near_copies(path, 300, 40)
+    used = np.zeros(1 << packing.CHUNK_BITS, bool)
+    monkeypatch.setattr(packing, "_bits", lambda marks, chunk: used)
+    first, = packing.found(_Frame(batch), [path], [], 4, 16)
+    # The reference: all 300 by their steps; a prefix fills four rooms.
+    lists = first.column("list").to_pylist()
+    assert all(len(x) == 10 for x in lists) and first.column("n_now").to_pylist() == [3] * 40
+    again = first.select(["seed", "room", "query", "whole", "list"])
+    used[[x["row"] for x in lists[0][:5]]] = True
+    second, = packing.found(_Frame(again), [], [], 4, 16)  # no file to ask
+    left = [[x["row"] for x in y if not used[x["row"]]] for y in lists]
+    for had, now, n in zip(left, second.column("list").to_pylist(), second.column("n_now").to_pylist()):
+        if len(had) >= 3:
+            assert [x["row"] for x in now] == had and n == 3
+    assert second.column("n_now").to_pylist()[0] == 3
+    # A list that is used up asks the index.
+    used[[x["row"] for x in lists[0]]] = True
+    third, = packing.found(_Frame(again), [path], [], 4, 16)
+    assert third.column("n_now").to_pylist()[0] == 3
+    assert not {x["row"] for x in third.column("list").to_pylist()[0]} & {x["row"] for x in lists[0]}

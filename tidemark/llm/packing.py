@@ -12,9 +12,11 @@
    so that any unused document of the table is a candidate.  A file whose
    greatest weights can't reach a seed's present list is passed over; the
    others are scored for many seeds at once.  A document goes to the seed
-   that scores it highest, and seeds with room left ask again in the next
-   round, without what is used by then.  Used documents are bits in files,
-   a file per 65,536 rows, which the tasks read.
+   that scores it highest, and seeds with room left go on in the next
+   round, without what is used by then.  Their lists are ``spare`` times
+   as long as their room, and only a seed whose list no longer fills its
+   room asks again.  Used documents are bits in files, a file per 65,536
+   rows, which the tasks read.
 5. After a round, when what is left fits in one shard, one task finishes
    it: the best unused neighbours follow a seed until its window is full,
    and the document that crosses the window's end seeds the next one.
@@ -172,7 +174,7 @@ def pieces_of(size: np.ndarray, order: list[int], window: int) -> tuple[np.ndarr
 
 
 _HEADS = "row long, size long, query binary, file string"
-_FOUND = "seed long, row long, size long, score double"
+_SEEDS = "seed long, room long, query binary, whole boolean, list array<struct<row: long, size: long, score: double>>"
 _NONE = np.uint32(0xFFFFFFFF)
 
 
@@ -207,7 +209,8 @@ def indexed(spark: SparkSession, rows: DataFrame, n_terms: int, shared, mean: fl
             top = np.argpartition(-weight[a:b], query_terms)[:query_terms] if b - a > query_terms else np.arange(b - a)
             query[i, :len(top)] = terms[a:b][np.sort(top)]
         doc = np.repeat(np.arange(len(n_terms), dtype=np.uint32), n_terms)
-        by_term = np.argsort(terms, kind="stable")
+        # Order by term, then place: sorting both as one number takes half the time of a stable argsort.
+        by_term = np.sort(terms.astype(np.int64) << 32 | np.arange(len(terms))) & 0xFFFFFFFF
         first = np.concatenate([[0], np.cumsum(np.bincount(terms, minlength=1 << bits))])
         # Weights in 65,535 steps of the file's greatest one.
         unit = max(float(weight.max(initial=0)), 1e-30) / 65535
@@ -305,31 +308,41 @@ def _mixed(seeds: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 class _Shelf:
-    """An index file's unused documents and their postings."""
+    """An index file's unused documents and their postings.
 
-    def __init__(self, path: str, marks: list[str]):
+    For few seeds the postings of used documents stay, and their scores are passed over.
+    """
+
+    def __init__(self, path: str, marks: list[str], few: bool = False):
         with arrays_of(path) as kept:
             first, doc, weight, row, size, self.top, self.unit = (kept[k] for k in ("first", "doc", "weight", "row", "size", "top", "unit"))
-        free = ~_used(marks, row)
-        if not free.all():
-            keep = free[doc]
-            first = np.concatenate([[0], np.cumsum(keep)])[first]
-            doc, weight = (np.cumsum(free) - 1)[doc[keep]], weight[keep]
+        self.free = ~_used(marks, row)
+        self.n_free = int(self.free.sum())
+        if self.n_free < len(row) and not few:
+            free, keep = self.free, self.free[doc]
+            place = np.concatenate([[0], np.cumsum(keep, dtype=np.uint32)])
+            first = place[first]
+            doc, weight = (np.cumsum(free) - 1).astype(doc.dtype)[doc[keep]], weight[keep]
+            row, size, self.free = row[free], size[free], np.ones(self.n_free, bool)
         # One more term, which no document has.
         self.first = np.append(first, first[-1]).astype(np.int64)
         self.top = np.append(self.top, 0)
-        self.doc, self.weight, self.row, self.size = doc, weight, row[free], size[free]
+        self.doc, self.weight, self.row, self.size = doc, weight, row, size
+
+    def postings(self, asks: np.ndarray) -> np.ndarray:
+        """Number of postings that each row of ``asks`` reads."""
+        return (self.first[asks + 1] - self.first[asks]).sum(axis=1)
 
     def above(self, asks: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(seed, document, score) of all scores beyond the seeds' ``least``; ``asks`` has a row of terms per seed."""
         n = len(self.row)
-        lo = self.first[asks].ravel()
-        size = self.first[asks + 1].ravel() - lo
-        ends = np.cumsum(size)
-        at = np.repeat(lo - (ends - size), size) + np.arange(int(ends[-1]))
-        base = np.repeat(np.arange(len(asks)) * n, size.reshape(asks.shape).sum(axis=1))
-        score = np.bincount(base + self.doc[at], self.weight[at], minlength=len(asks) * n)
+        spans = [slice(a, b) for a, b in zip(self.first[asks].ravel().tolist(), self.first[asks + 1].ravel().tolist())]
+        at = np.concatenate([self.doc[s] for s in spans]).astype(np.intp)
+        at += np.repeat(np.arange(len(asks)) * n, self.postings(asks))
+        score = np.bincount(at, np.concatenate([self.weight[s] for s in spans]), minlength=len(asks) * n)
         hit = np.flatnonzero((score.reshape(len(asks), n) > (least / self.unit)[:, None]).ravel())
+        if self.n_free < n:
+            hit = hit[self.free[hit % n]]
         return hit // n, hit % n, score[hit] * self.unit
 
 
@@ -344,27 +357,42 @@ def _best(seed, score, row, size, want: np.ndarray) -> tuple[np.ndarray, ...]:
     return seed[keep], score[keep], row[keep], size[keep]
 
 
-def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_term: int, block: int = 32768, cells: int = 1 << 18) -> DataFrame:
-    """Best unused documents of the whole index for every (seed, room, query), ``depth`` times what its room holds.
+_LIST = pa.struct([("row", pa.int64()), ("size", pa.int64()), ("score", pa.float64())])
+
+
+def _within(names: np.ndarray, sizes: np.ndarray, room: np.ndarray) -> np.ndarray:
+    """How many of a seed's listed documents (``names`` ascending) its room holds, the last in part."""
+    total, held = np.cumsum(sizes), np.bincount(names, sizes, minlength=len(room))
+    before = total - sizes - (np.cumsum(held) - held)[names]
+    return np.bincount(names[before < room[names]], minlength=len(room))
+
 
-    ``block`` seeds go through the files together; ``cells`` scores are held at once.
+def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_term: int, block: int = 32768, cells: int = 1 << 18) -> DataFrame:
+    """The seeds with their lists: the best unused documents of the whole index, ``depth`` times what the room holds.
+
+    The first ``n_now`` of a list fill the room.  What is unused of a list
+    goes before all that is not in it, so a seed asks again only when that
+    doesn't fill its room and the list isn't ``whole`` (all that shares a
+    term with the seed).  ``block`` seeds go through the files together;
+    ``cells`` scores, twice as many postings and about as many findings
+    beyond the lists are held at once.
     """
-    def one(part: pa.Table) -> pa.RecordBatch:
-        names, want = part.column("seed").to_numpy(), depth * part.column("room").to_numpy()
-        asks = np.frombuffer(b"".join(part.column("query").to_pylist()), np.uint32).reshape(len(names), -1).astype(np.int64)
-        asks[asks == int(_NONE)] = no_term
-        least = np.zeros(len(names))  # under it, a full list takes no more
+    def search(asks: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, ...]:
+        least = np.zeros(len(asks))  # under it, a full list takes no more
         have = tuple(np.zeros(0, t) for t in (np.int64, np.float64, np.int64, np.int64))
-        for path in files:
-            shelf = _Shelf(path, marks)
-            if not len(shelf.row):
+        for path in files if len(asks) else []:
+            shelf = _Shelf(path, marks, few=len(asks) <= 2048)
+            if not shelf.n_free:
                 continue
             # The greatest weights of a seed's terms bound its scores here.
             bound = shelf.top[asks].sum(axis=1, dtype=np.int64) * shelf.unit
-            some, fresh = np.flatnonzero(bound > least), []
-            step = max(1, cells // len(shelf.row))
-            for at in range(0, len(some), step):
-                own = some[at:at + step]
+            some, fresh, n_fresh, most = np.flatnonzero(bound > least), [have], 0, cells
+            read = np.cumsum(shelf.postings(asks[some]))
+            step, at = max(1, cells // len(shelf.row)), 0
+            while at < len(some):
+                end = int(np.searchsorted(read, (read[at - 1] if at else 0) + 2 * cells, side="right"))
+                own = some[at:max(at + 1, min(at + step, end))]
+                at += len(own)
                 i, d, score = shelf.above(asks[own], least[own])
                 cuts = np.searchsorted(i, np.arange(len(own) + 1))
                 many = np.flatnonzero(np.diff(cuts) > 256)
@@ -379,16 +407,44 @@ def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_t
                 score = np.exp2(np.floor(np.log2(score) * 16) / 16)
                 near = score >= least[own[i]]
                 fresh.append((own[i[near]], score[near], shelf.row[d[near]], shelf.size[d[near]]))
-            if not fresh:
+                n_fresh += len(fresh[-1][0])
+                if n_fresh > most:  # near copies find one another by the thousand
+                    fresh = [_best(*map(np.concatenate, zip(*fresh)), want)]
+                    most = n_fresh = len(fresh[0][0])
+                    most += cells + n_fresh
+            if not n_fresh:
                 continue
-            have = _best(*(np.concatenate(x) for x in zip(have, *fresh)), want)
-            held = np.bincount(have[0], have[3], minlength=len(names))
-            last = np.full(len(names), np.inf)
+            have = _best(*map(np.concatenate, zip(*fresh)), want)
+            held = np.bincount(have[0], have[3], minlength=len(asks))
+            last = np.full(len(asks), np.inf)
             np.minimum.at(last, have[0], have[1])
             least = np.where(held >= want, last * (1 - 1e-9), 0)
-        seed, score, row, size = have
-        return pa.RecordBatch.from_arrays([pa.array(names[seed].astype(np.int64)), pa.array(row), pa.array(size), pa.array(score)],
-                                          names=["seed", "row", "size", "score"])
+        return have
+
+    def one(part: pa.Table) -> pa.RecordBatch:
+        part = part.combine_chunks()
+        room, whole, lists = part.column("room").to_numpy(), part.column("whole").to_numpy().copy(), part.column("list").combine_chunks()
+        names, listed = lists.value_parent_indices().to_numpy(), lists.flatten()
+        row, size, score = (listed.field(i).to_numpy() for i in range(3))
+        free = ~_used(marks, row)
+        names, row, size, score = names[free], row[free], size[free], score[free]
+        asking = ~whole & (np.bincount(names, size, minlength=len(room)) < room)
+        who = np.flatnonzero(asking)
+        asks = np.frombuffer(b"".join(part.column("query").filter(pa.array(asking)).to_pylist()), np.uint32)
+        asks = asks.reshape(len(who), len(asks) // max(1, len(who))).astype(np.int64)
+        asks[asks == int(_NONE)] = no_term
+        got = search(asks, depth * room[who])
+        whole[who] = np.bincount(got[0], got[3], minlength=len(who)) < depth * room[who]
+        old = ~asking[names]
+        names, score, row, size = (np.concatenate(x) for x in zip((names[old], score[old], row[old], size[old]), (who[got[0]], *got[1:])))
+        order = np.argsort(names, kind="stable")
+        names, score, row, size = names[order], score[order], row[order], size[order]
+        lists = pa.ListArray.from_arrays(
+            pa.array(np.searchsorted(names, np.arange(len(room) + 1)).astype(np.int32)),
+            pa.StructArray.from_arrays([pa.array(x, f.type) for x, f in zip((row, size, score), _LIST)], fields=list(_LIST)))
+        return pa.RecordBatch.from_arrays(
+            [*(part.column(c).combine_chunks() for c in ("seed", "room", "query")), pa.array(whole), lists, pa.array(_within(names, size, room), pa.int64())],
+            names=["seed", "room", "query", "whole", "list", "n_now"])
 
     def run(batches):
         held, n = [], 0
@@ -402,20 +458,21 @@ def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_t
         if n:
             yield one(pa.Table.from_batches(held))
 
-    return seeds.select("seed", "room", "query").mapInArrow(run, _FOUND)
+    return seeds.select("seed", "room", "query", "whole", "list").mapInArrow(run, f"{_SEEDS}, n_now long")
 
 
-def _won(wish: DataFrame, rooms: DataFrame) -> DataFrame:
+def _won(asked: DataFrame) -> DataFrame:
     """(row, seed, score, size): what a seed's room holds of its list, each document for the seed that scores it highest."""
     order = Window.partitionBy("seed").orderBy(F.desc("score"), F.xxhash64("seed", "row"))
+    wish = asked.filter("n_now > 0").select("seed", "room", F.inline(F.slice("list", F.lit(1), F.col("n_now").cast("int"))))
     before = F.coalesce(F.sum("size").over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    asked = wish.join(rooms.select("seed", "room"), "seed").withColumn("before", before).filter("before < room")
-    return asked.groupBy("row").agg(F.max(F.struct("score", F.xxhash64("seed", "row").alias("by"), "seed", "size")).alias("b")) \
+    return wish.withColumn("before", before).filter("before < room") \
+        .groupBy("row").agg(F.max(F.struct("score", F.xxhash64("seed", "row").alias("by"), "seed", "size")).alias("b")) \
         .select("row", "b.seed", "b.score", "b.size")
 
 
 def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits: int, window: int, query_terms: int,
-               shard_tokens: int, shard_rows: int, index_rows: int, index_terms: int, depth: int) -> DataFrame:
+               shard_tokens: int, shard_rows: int, index_rows: int, index_terms: int, depth: int, spare: int) -> DataFrame:
     """(row, grp, rank) of every row: the group of documents it is packed with, and its place there."""
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t"), F.sum("n_terms").alias("terms")).first()
     marks, out, sc = [], [], spark.sparkContext
@@ -427,34 +484,35 @@ def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits:
     out.append(bare)
     opened, more, nth = None, 1.0, 0
     while True:
-        left = _unused(heads.select("row", "size", "query"), marks)
+        left = _unused(heads.select("row", "size"), marks)
         n, tokens, part = left.agg(F.count(F.lit(1)), F.sum("size"), F.sum(F.least("size", F.lit(window)))).first()
         if n <= 1 or nth and n <= shard_rows and (tokens or 0) <= shard_tokens:  # one round at least, at any size
             break
         room = opened.agg(F.sum("room")).first()[0] or 0 if opened is not None else 0
         # A full group goes half a document beyond its room.
         share = min(1.0, more * max(0, part - room) / (window + part / n / 2) / n)
-        drawn = left.filter(F.pmod(F.xxhash64("row", F.lit(nth)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40))))
+        mine = F.pmod(F.xxhash64("row", F.lit(nth)), F.lit(1 << 40)) < F.lit(int(share * (1 << 40)))
+        drawn = _unused(heads.select("row", "size", "query").filter(mine), marks)
         if not room and drawn.isEmpty():
-            drawn = left.orderBy("row").limit(1)
+            drawn = _unused(heads.select("row", "size", "query"), marks).orderBy("row").limit(1)
         drawn = stored(spark, drawn.select(F.col("row").alias("seed"), F.pmod(-F.col("size"), F.lit(window)).alias("room"), "query"), "seeds")
         out.append(drawn.select(F.col("seed").alias("row"), F.col("seed").alias("grp"), F.lit(float("-inf")).alias("rank")))
-        seeds = drawn if opened is None else opened.unionByName(drawn)
-        seeds = seeds.filter("room > 0")
+        fresh = drawn.select("seed", "room", "query", F.lit(False).alias("whole"), F.expr("cast(array() as array<struct<row: long, size: long, score: double>>)").alias("list"))
+        seeds = (fresh if opened is None else opened.unionByName(fresh)).filter("room > 0")
         n_seeds, n_drawn = seeds.count(), drawn.count()
         marks = _marked(spark, marks, drawn.select(F.col("seed").alias("row")))
         blocks = seeds.repartition(max(sc.defaultParallelism, -(-n_seeds // 32768)), "seed")
-        wish = stored(spark, found(blocks, files, marks, depth, 1 << bits), "found")
-        won = stored(spark, _won(wish, seeds), "won")
+        asked = stored(spark, found(blocks, files, marks, depth * spare, 1 << bits), "found")
+        won = stored(spark, _won(asked), "won")
         n_won = won.count()
         if n_won < max(1, n_drawn):
             more *= 2  # few neighbours are left: more seeds at once
         out.append(won.select("row", F.col("seed").alias("grp"), (-F.col("score")).alias("rank")))
         marks = _marked(spark, marks, won)
         took = won.groupBy("seed").agg(F.sum("size").alias("took"))
-        answered = wish.select("seed").distinct()  # a seed without candidates won't find any later
-        opened = stored(spark, seeds.join(answered, "seed").join(took, "seed", "left").select(
-            "seed", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room"), "query").filter("room > 0"), "open")
+        # A seed without candidates won't find any later.
+        opened = stored(spark, asked.filter("n_now > 0").join(took, "seed", "left").select(
+            "seed", (F.col("room") - F.coalesce("took", F.lit(0))).alias("room"), "query", "whole", "list").filter("room > 0"), "open")
         nth += 1
 
     def rest(batches):
@@ -526,7 +584,7 @@ def parts_of(size: np.ndarray, grp: np.ndarray, window: int) -> tuple[np.ndarray
 
 def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end_id: int = 1, window: int = 2048,
          bits: int = 18, query_terms: int = 16, shard_tokens: int = 2_500_000, shard_rows: int = 4096,
-         with_ids: bool = False, index_rows: int = 32768, index_terms: int = 5_000_000, depth: int = 1) -> DataFrame:
+         with_ids: bool = False, index_rows: int = 32768, index_terms: int = 5_000_000, depth: int = 1, spare: int = 2) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, ids (u32 if asked for)."""
     if window & (window - 1):
         raise ValueError("window must be a power of two")
@@ -541,7 +599,7 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end
     idf = np.log(1 + (lengths[0] - df + 0.5) / (df + 0.5)).astype(np.float32)
     shared = spark.sparkContext.broadcast(idf)  # 2 ** bits numbers
     members = members_of(spark, rows, shared, mean, bits, window, query_terms, shard_tokens, shard_rows, index_rows,
-                         index_terms, depth)
+                         index_terms, depth, spare)
 
     def one(part: pa.Table, shard: int) -> pa.RecordBatch:
         kind = encoder(tokenizer).dtype
