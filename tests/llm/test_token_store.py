@@ -2,6 +2,7 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -69,3 +70,19 @@ def test_odd_rows(spark):
 
 def test_no_rows(spark):
     assert run(spark, spark.createDataFrame([], "doc_id long, text string")) == []
+
+
+def test_plain_words_are_encoded_without_the_pattern():
+    from tidemark.llm.encode import Encoder, default_path
+
+    enc = Encoder(default_path())
+    seen = []
+    usual = enc._encode
+    enc._encode = lambda texts, tok=None: (seen.append((tok is enc.plain, " ".join(texts))), usual(texts, tok))[1]
+    texts = ["Thonly eaenat it's THE don't xyz", "École élan naïve Ünder zzz", "a1b2 c", "日本 mixedÀ x", None, "", "qu'on " * 700, " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(676))]
+    ids, off = enc.rows(pa.array(texts))
+    for t, a, b in zip(texts, off[:-1], off[1:]):
+        assert ids[a:b].tolist() == enc.tok.encode(t or "", add_special_tokens=False).ids
+    plain = " ".join(t for is_plain, t in seen if is_plain).split()
+    assert "thonly" in plain and "zzz" in plain and len(plain) > 676
+    assert all(w.isascii() and w.isalpha() for w in plain)

@@ -11,6 +11,7 @@ tokenizer file encodes row by row.
 from __future__ import annotations
 
 import json
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -34,7 +35,7 @@ _LATIN1_LETTER[[0x97, 0xB7]] = False
 _LETTER = np.zeros(256, bool)
 _LETTER[0x61:0x7B] = True
 _LETTER[0xC3] = True  # first byte of the Latin-1 letters
-_JOINED = 2000  # pieces that are encoded as one text
+_JOINED = 200  # pieces that are encoded as one text
 
 _OPEN: dict = {}
 
@@ -57,7 +58,7 @@ class Encoder:
 
     def __init__(self, path: str, most_pieces: int = 1_500_000):
         single_thread()
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tok = Tokenizer.from_file(path)
         with open(path, encoding="utf-8") as f:
@@ -66,6 +67,11 @@ class Encoder:
         norms = [n.get("type") for n in (spec.get("normalizer") or {}).get("normalizers", [])]
         self.piecewise = (bool(steps) and steps[0].get("pattern", {}).get("Regex") == WORD_PATTERN
                           and norms == ["NFC", "Replace", "Lowercase"])
+        # Words of a-z alone: no normalizer and no pattern changes them, so the same model gets them by their blanks.
+        self.plain = None
+        if self.piecewise and [(s.get("type"), s.get("add_prefix_space")) for s in steps[1:]] == [("ByteLevel", False)]:
+            self.plain = Tokenizer.from_file(path)
+            self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
         self.added = [a["content"] for a in spec.get("added_tokens", [])]
         # Ids that end a word: a word of letters has one, its last.
         self.ends = np.zeros(self.tok.get_vocab_size(), bool)
@@ -95,14 +101,14 @@ class Encoder:
         self.ids[at:self.n_ids] = ids
         return at
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        got = [e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)]
+    def _encode(self, texts: list[str], tok=None) -> tuple[np.ndarray, np.ndarray]:
+        got = [e.ids for e in (tok or self.tok).encode_batch_fast(texts, add_special_tokens=False)]
         n = np.fromiter(map(len, got), np.int64, len(got))
-        return np.fromiter((i for x in got for i in x), self.dtype, int(n.sum())), n
+        return np.fromiter(chain.from_iterable(got), self.dtype, int(n.sum())), n
 
-    def _encode_words(self, words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode_words(self, words: list[str], tok=None) -> tuple[np.ndarray, np.ndarray]:
         """As ``_encode`` for words of letters only, many to a text."""
-        ids, _ = self._encode([" ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)])
+        ids, _ = self._encode([" ".join(words[i:i + _JOINED]) for i in range(0, len(words), _JOINED)], tok)
         last = np.flatnonzero(self.ends[ids])
         if len(last) != len(words):  # another kind of vocabulary
             return self._encode(words)
@@ -145,13 +151,24 @@ class Encoder:
             step[starts[p]] += 1
             step[ends[p]] -= 1
             low = np.where(np.cumsum(step[:-1], dtype=np.int8) > 0, data, low)
-        keys, first, inv = np.unique(T.span_hashes(low, starts, ends), return_index=True, return_inverse=True)
+        keys, first, inv = self._distinct(T.span_hashes(low, starts, ends))
         at, n = self._lookup(keys, low, starts[first], ends[first])
         size = n[inv]
         total = np.concatenate([[0], np.cumsum(size)])
         ids = self.ids[np.repeat(at[inv] - total[:-1], size) + np.arange(total[-1])]
         return ids, total[words]
 
+    @staticmethod
+    def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Distinct keys (ascending), a place of each, and the number of every key among them."""
+        order = np.argsort(keys)
+        keys = keys[order]
+        new = np.ones(len(keys), bool)
+        new[1:] = keys[1:] != keys[:-1]
+        inv = np.empty(len(keys), np.int64)
+        inv[order] = np.cumsum(new) - 1
+        return keys[new], order[new], inv
+
     def _lookup(self, keys, data, starts, ends) -> tuple[np.ndarray, np.ndarray]:
         """Place and number of each piece's ids in ``self.ids``; new pieces are encoded and added."""
         if sum(len(t[0]) for t in self.tables) > self.most_pieces:
@@ -167,12 +184,19 @@ class Encoder:
         if len(new):
             plain = _LETTER[data]
             plain[1:] |= (data[:-1] == 0xC3) & _LATIN1_LETTER[data[1:]]
-            other = np.concatenate([[0], np.cumsum(~plain)])
-            letters = other[ends[new]] == other[starts[new]]
-            new = np.concatenate([new[letters], new[~letters]])
-            raw, n_words = data.tobytes(), int(letters.sum())
+            first, last = starts[new], ends[new]
+
+            def only(of):
+                other = np.concatenate([[0], np.cumsum(~of, dtype=np.int32)])
+                return other[last] == other[first]
+
+            letters = only(plain)
+            ascii_letters = letters & only(data < 0x80) if self.plain else np.zeros(len(new), bool)
+            kinds = ascii_letters, letters & ~ascii_letters, ~letters
+            new = np.concatenate([new[k] for k in kinds])
+            raw, n_ascii, n_words = data.tobytes(), int(ascii_letters.sum()), int(letters.sum())
             text = [raw[s:e].decode() for s, e in zip(starts[new].tolist(), ends[new].tolist())]
-            parts = self._encode_words(text[:n_words]), self._encode(text[n_words:])
+            parts = self._encode_words(text[:n_ascii], self.plain), self._encode_words(text[n_ascii:n_words]), self._encode(text[n_words:])
             ids, size = (np.concatenate(x) for x in zip(*parts))
             at[new], n[new] = self._keep(ids) + np.cumsum(size) - size, size
             most, latest = self.tables
