@@ -18,6 +18,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True)
+def released(request):
+    """What a test caches goes with it; later tests look for frames that are still held."""
+    session = request.getfixturevalue("spark") if "spark" in request.fixturenames else None
+    yield
+    if session is not None:
+        session.catalog.clearCache()
+
+
 @pytest.fixture(scope="session")
 def small():
     return SMALL
