@@ -78,3 +78,15 @@ def test_unknown_symbols_and_ids():
 
 def test_empty_table(spark):
     assert bpe.digest(bpe.decode(bpe.encode(_docs(spark, [])))).count() == 0
+
+
+def test_plain_words_are_merged_here():
+    """Words of a-z skip normalizer and pattern in the shared encoder; this one still merges them itself."""
+    codec = bpe.PairIndexCodec(public_tokenizers.path("word_bpe_49k.json"))
+    seen, merged = [], codec.merges.merged
+    codec.merges.merged = lambda words: (seen.extend(words), merged(words))[1]
+    texts = ["Plain zyx words", None, "it's Élan a1 <|endoftext|> qqqzzz", " ".join(f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(676))]
+    ids, off = codec.rows(pa.array(texts))
+    for t, a, b in zip(texts, off[:-1], off[1:]):
+        assert ids[a:b].tolist() == codec.tok.encode(t or "", add_special_tokens=False).ids
+    assert {"plain", "zyx", "words", "waa", "wzz", "qqqzzz"} <= set(seen)

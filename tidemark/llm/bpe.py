@@ -186,24 +186,24 @@ class PairIndexCodec(Encoder):
     def _either(texts: list[str]):
         return re.compile("(" + "|".join(map(re.escape, texts)) + ")") if texts else None
 
-    def _parts(self, text: str):
-        """Words of a text in their vocabulary's spelling, and added tokens as ids."""
+    def _parts(self, text: str, tok):
+        """Words of a text in their vocabulary's spelling (as ``tok`` cuts it), and added tokens as ids."""
         for i, raw in enumerate(self.raw.split(text) if self.raw else [text]):
             if i % 2:
                 yield self.added_id[raw]
                 continue
-            plain = self.tok.normalizer.normalize_str(raw) if self.tok.normalizer else raw
+            plain = tok.normalizer.normalize_str(raw) if tok.normalizer else raw
             for k, part in enumerate(self.normal.split(plain) if self.normal else [plain]):
                 if k % 2:
                     yield self.added_id[part]
-                elif part and self.tok.pre_tokenizer:
-                    yield from (w for w, _ in self.tok.pre_tokenizer.pre_tokenize_str(part))
+                elif part and tok.pre_tokenizer:
+                    yield from (w for w, _ in tok.pre_tokenizer.pre_tokenize_str(part))
                 elif part:
                     yield part
 
-    def _encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def _encode(self, texts: list[str], tok=None) -> tuple[np.ndarray, np.ndarray]:
         words: dict[str, int] = {}
-        parts = [[words.setdefault(p, len(words)) if isinstance(p, str) else -1 - p for p in self._parts(t)] for t in texts]
+        parts = [[words.setdefault(p, len(words)) if isinstance(p, str) else -1 - p for p in self._parts(t, tok or self.tok)] for t in texts]
         ids, size = self.merges.merged(list(words))
         n_words = np.fromiter(map(len, parts), np.int64, len(parts))
         seq = np.fromiter((p for x in parts for p in x), np.int64, int(n_words.sum()))
