@@ -156,3 +156,74 @@ def test_a_list_that_fills_the_room_is_not_searched_again(tmp_path, monkeypatch)
     third, = packing.found(_Frame(again), [path], [], 4, 16)
     assert third.column("n_now").to_pylist()[0] == 3
     assert not {x["row"] for x in third.column("list").to_pylist()[0]} & {x["row"] for x in lists[0]}
+
+
+def _random_index(folder, rng, files, n, terms):
+    """Index files of random documents, few terms of which are common, and their dense weights by row."""
+    weights, paths = [], []
+    for f in range(files):
+        own = np.zeros((terms + 1, n), np.uint16)
+        for t in range(terms):
+            docs = rng.random(n) < (0.6 if t < 6 else 0.004)
+            own[t, docs] = rng.integers(1, 200 if t < 6 else 60_000, int(docs.sum()))
+        name, doc = np.nonzero(own[:terms])
+        first = np.searchsorted(name, np.arange(terms + 1))
+        paths.append(str(folder / f"{f}.npz"))
+        np.savez(paths[-1], first=first.astype(np.uint32), top=own[:terms].max(axis=1), unit=1e-4, weight=own[name, doc],
+                 doc=doc.astype(np.uint16), size=rng.integers(50, 400, n), row=np.arange(n) + f * n)
+        weights.append(own)
+    return paths, np.concatenate(weights, axis=1).astype(np.int64)
+
+
+def _asking(rng, seeds, terms):
+    """Seeds that ask for rare terms only, for rare and common ones, or for common ones."""
+    asks = np.full((seeds, 16), packing._NONE, np.uint32)
+    for i in range(seeds):
+        some = [rng.choice(np.arange(6, terms), 5, replace=False), rng.choice(6, 4, replace=False)]
+        own = np.concatenate([some[:1], some, some[1:]][i % 3])
+        asks[i, :len(own)] = np.sort(own)
+    return asks, pa.RecordBatch.from_arrays(
+        [pa.array(np.arange(seeds) + 10 ** 6), pa.array(rng.integers(300, 1500, seeds)), pa.array([a.tobytes() for a in asks], pa.binary()),
+         pa.array([False] * seeds), pa.array([[]] * seeds, pa.list_(packing._LIST))], names=["seed", "room", "query", "whole", "list"])
+
+
+@pytest.mark.parametrize("share", [0.0, 0.3, 0.95])
+def test_search_equals_scores_of_all_documents(tmp_path, monkeypatch, share):
+    rng = np.random.default_rng(int(share * 100))
+    files, n, terms = 4, 2000, 300
+    paths, weights = _random_index(tmp_path, rng, files, n, terms)
+    used = rng.random(1 << packing.CHUNK_BITS) < share
+    monkeypatch.setattr(packing, "_bits", lambda marks, chunk: used)
+    asks, batch = _asking(rng, 300, terms)
+    out, = packing.found(_Frame(batch), paths, [], 2, terms, cells=1 << 13)
+    sizes = np.concatenate([np.load(p)["size"] for p in paths])
+    for i, (got, whole) in enumerate(zip(out.column("list").to_pylist(), out.column("whole").to_pylist())):
+        own = asks[i][asks[i] != packing._NONE].astype(int)
+        score = np.where(used[:files * n], 0, weights[own].sum(axis=0)) * 1e-4
+        some = np.flatnonzero(score > 0)
+        steps = np.exp2(np.floor(np.log2(score[some]) * 16) / 16)
+        want = packing._best(np.zeros(len(some), np.int64) + i, steps, some, sizes[some], 2 * batch.column("room").to_numpy())
+        assert [(x["row"], x["size"]) for x in got] == list(zip(want[2].tolist(), want[3].tolist()))
+        assert np.allclose([x["score"] for x in got], want[1])
+        assert whole == (sizes[some].sum() < 2 * batch.column("room")[i].as_py())
+
+
+def test_seeds_with_few_postings_hold_no_score_of_every_document(tmp_path, monkeypatch):
+    rng = np.random.default_rng(9)
+    paths, _ = _random_index(tmp_path, rng, 3, 4000, 300)
+    _, batch = _asking(rng, 300, 300)
+    held, count = [], np.bincount
+    monkeypatch.setattr(packing.np, "bincount", lambda x, *a, minlength=0, **k: (held.append(minlength), count(x, *a, minlength=minlength, **k))[1])
+    packing.found(_Frame(batch), paths, [], 1, 300)
+    assert sum(held) < 0.8 * 300 * 3 * 4000  # a third reads rare terms only
+
+
+def test_terms_are_stored_by_their_steps(spark):
+    rows = [(1, "b a c a"), (2, None), (3, ""), (4, "a"), (5, "z y x a b c d e f g")]
+    got = packing.encoded(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), encode.default_path(), 1, 18).toArrow()
+    terms, at = packing._term_ids(got.column("terms"))
+    own = [terms[a:b].tolist() for a, b in zip(at[:-1], at[1:])]
+    assert [len(x) for x in own] == [3, 0, 0, 1, 10] and all(x == sorted(set(x)) for x in own)
+    assert set(own[3]) < set(own[0]) < set(own[4]) and got.column("words").to_pylist() == [4, 0, 0, 1, 10]
+    step = np.frombuffer(b"".join(got.column("terms").to_pylist()), np.uint32)
+    assert step[0] == own[0][0] and (step[1:3] == np.diff(own[0])).all()

@@ -1,7 +1,7 @@
 """Lexical retrieval packing: neighbours of a seed document fill its window.
 
 1. Every text is encoded once and stored with its distinct terms (hashed
-   words) and their frequencies.
+   words, ascending, by their steps) and their frequencies.
 2. Document frequencies and the mean length in words are counted over all
    rows; the table has ``2 ** bits`` entries whatever the input.
 3. An inverted index of all rows is written in files of a bounded size,
@@ -11,12 +11,14 @@
    ``query_terms`` weightiest terms, and the answers are merged per seed,
    so that any unused document of the table is a candidate.  A file whose
    greatest weights can't reach a seed's present list is passed over; the
-   others are scored for many seeds at once.  A document goes to the seed
-   that scores it highest, and seeds with room left go on in the next
-   round, without what is used by then.  Their lists are ``spare`` times
-   as long as their room, and only a seed whose list no longer fills its
-   room asks again.  Used documents are bits in files, a file per 65,536
-   rows, which the tasks read.
+   others are scored for many seeds at once.  Most seeds read few postings,
+   which are sorted; for the rest, terms too common to lift a document to
+   the list by themselves are added last, for the documents they can lift.
+   A document goes to the seed that scores it highest, and seeds with room
+   left go on in the next round, without what is used by then.  Their lists
+   are ``spare`` times as long as their room, and only a seed whose list no
+   longer fills its room asks again.  Used documents are bits in files, a
+   file per 65,536 rows, which the tasks read.
 5. After a round, when what is left fits in one shard, one task finishes
    it: the best unused neighbours follow a seed until its window is full,
    and the document that crosses the window's end seeds the next one.
@@ -58,7 +60,7 @@ OUT = ", ".join(f"{c} long" for c in _COLUMNS) + ", ids binary"
 
 
 def _terms(col, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct terms of every row (ascending), their frequencies, and the rows' offsets."""
+    """Distinct terms of every row (ascending, each but the first as its step from the one before), their frequencies, and the rows' offsets."""
     data, off = T.utf8(col)
     data = T.LOWER[data]
     starts, ends, words = T.word_bounds(data, off, T.ALNUM_SPLIT)
@@ -68,8 +70,24 @@ def _terms(col, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
     key = key[at]
-    return (key & ((1 << bits) - 1)).astype(np.uint32), np.diff(np.append(at, len(new))).astype(np.uint32), \
-        np.searchsorted(key >> bits, np.arange(len(off)))
+    rows, terms = np.searchsorted(key >> bits, np.arange(len(off))), (key & ((1 << bits) - 1)).astype(np.uint32)
+    step, first = np.diff(terms, prepend=np.uint32(0)), rows[:-1][rows[:-1] < rows[1:]]
+    step[first] = terms[first]
+    return step, np.diff(np.append(at, len(new))).astype(np.uint32), rows
+
+
+def _numbers(col) -> tuple[np.ndarray, np.ndarray]:
+    """All 32-bit numbers of a binary column, and the rows' offsets in them."""
+    data, off = T.utf8(col)
+    return np.frombuffer(data, np.uint32), off // 4
+
+
+def _term_ids(col) -> tuple[np.ndarray, np.ndarray]:
+    """Terms of all rows from their steps, and the rows' offsets."""
+    step, at = _numbers(col)
+    total = np.cumsum(step, dtype=np.uint32)  # wraps around, as does the difference
+    first = at[:-1][at[:-1] < at[1:]]
+    return total - np.repeat(total[first] - step[first], np.diff(np.append(first, len(step)))), at
 
 
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, bits: int) -> DataFrame:
@@ -97,8 +115,8 @@ def document_frequencies(rows: DataFrame, bits: int) -> np.ndarray:
     def count(batches):
         total = np.zeros(1 << bits, np.int64)
         for batch in batches:
-            for x in batch.column(0).to_pylist():
-                total[np.frombuffer(x, np.uint32)] += 1
+            for part in T.slices(batch, "terms"):
+                total += np.bincount(_term_ids(part.column(0))[0], minlength=1 << bits)
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
@@ -190,9 +208,8 @@ def _weights(idf: np.ndarray, tf: np.ndarray, norm: np.ndarray) -> np.ndarray:
 
 def _columns(part: pa.Table, idf: np.ndarray, mean: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Terms and BM25 weights of the rows, and each row's number of distinct terms."""
-    own = part.column("terms").to_pylist()
-    terms, n_terms = np.frombuffer(b"".join(own), np.uint32), np.array([len(x) // 4 for x in own], np.int64)
-    tf = np.frombuffer(b"".join(part.column("tf").to_pylist()), np.uint32)
+    terms, at = _term_ids(part.column("terms"))
+    tf, n_terms = _numbers(part.column("tf"))[0], np.diff(at)
     return terms, _weights(idf[terms], tf, np.repeat(_norms(part.column("words").to_numpy(), mean), n_terms)), n_terms
 
 
@@ -253,6 +270,7 @@ def _cut(part: pa.Table, n: int) -> list[pa.Table]:
 
 
 CHUNK_BITS = 16
+COMMON = 256  # terms of an index file of which a seed's score can be added up last
 
 
 def _bits(marks: list[str], chunk: int) -> np.ndarray:
@@ -308,42 +326,96 @@ def _mixed(seeds: np.ndarray, rows: np.ndarray) -> np.ndarray:
 
 
 class _Shelf:
-    """An index file's unused documents and their postings.
+    """An index file's documents and their postings.
 
-    For few seeds the postings of used documents stay, and their scores are passed over.
+    The postings of used documents stay until ``trim``; their scores are passed over.
     """
 
-    def __init__(self, path: str, marks: list[str], few: bool = False):
+    def __init__(self, path: str, marks: list[str]):
         with arrays_of(path) as kept:
-            first, doc, weight, row, size, self.top, self.unit = (kept[k] for k in ("first", "doc", "weight", "row", "size", "top", "unit"))
-        self.free = ~_used(marks, row)
+            first, self.doc, self.weight, self.row, self.size, top, self.unit = (
+                kept[k] for k in ("first", "doc", "weight", "row", "size", "top", "unit"))
+        self.free = ~_used(marks, self.row)
         self.n_free = int(self.free.sum())
-        if self.n_free < len(row) and not few:
-            free, keep = self.free, self.free[doc]
-            place = np.concatenate([[0], np.cumsum(keep, dtype=np.uint32)])
-            first = place[first]
-            doc, weight = (np.cumsum(free) - 1).astype(doc.dtype)[doc[keep]], weight[keep]
-            row, size, self.free = row[free], size[free], np.ones(self.n_free, bool)
         # One more term, which no document has.
         self.first = np.append(first, first[-1]).astype(np.int64)
-        self.top = np.append(self.top, 0)
-        self.doc, self.weight, self.row, self.size = doc, weight, row, size
+        self.top = np.append(top, 0)
+
+    def trim(self) -> None:
+        """Leave out the used documents and their postings."""
+        free, keep = self.free, self.free[self.doc]
+        self.first = np.concatenate([[0], np.cumsum(keep, dtype=np.int64)])[self.first]
+        self.doc, self.weight = (np.cumsum(free) - 1).astype(self.doc.dtype)[self.doc[keep]], self.weight[keep]
+        self.row, self.size, self.free = self.row[free], self.size[free], np.ones(self.n_free, bool)
 
     def postings(self, asks: np.ndarray) -> np.ndarray:
         """Number of postings that each row of ``asks`` reads."""
         return (self.first[asks + 1] - self.first[asks]).sum(axis=1)
 
-    def above(self, asks: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(seed, document, score) of all scores beyond the seeds' ``least``; ``asks`` has a row of terms per seed."""
-        n = len(self.row)
-        spans = [slice(a, b) for a, b in zip(self.first[asks].ravel().tolist(), self.first[asks + 1].ravel().tolist())]
-        at = np.concatenate([self.doc[s] for s in spans]).astype(np.intp)
-        at += np.repeat(np.arange(len(asks)) * n, self.postings(asks))
-        score = np.bincount(at, np.concatenate([self.weight[s] for s in spans]), minlength=len(asks) * n)
-        hit = np.flatnonzero((score.reshape(len(asks), n) > (least / self.unit)[:, None]).ravel())
-        if self.n_free < n:
-            hit = hit[self.free[hit % n]]
-        return hit // n, hit % n, score[hit] * self.unit
+    def without_common(self, asks: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(terms to read, terms left out, greatest sum of those) per seed.
+
+        Left out are a seed's commonest terms as long as a document with all
+        of them, and no other, would not come beyond ``least``.  They are
+        places among the ``COMMON`` commonest terms of the file, ``COMMON`` for none.
+        """
+        size = np.diff(self.first)
+        names = np.flatnonzero(size * 16 >= len(self.row))
+        self.common = names[np.argsort(-size[names], kind="stable")[:COMMON]]
+        place = np.full(len(size), COMMON)
+        place[self.common] = np.arange(len(self.common))
+        asks = np.take_along_axis(asks, np.argsort(-size[asks], axis=1, kind="stable"), axis=1)
+        total = np.cumsum(self.top[asks], axis=1, dtype=np.int64)
+        out = (place[asks] < COMMON) & (total <= (least / self.unit)[:, None])
+        return np.where(out, len(size) - 1, asks), np.where(out, place[asks], COMMON), np.where(out, total, 0).max(axis=1)
+
+    def common_weights(self) -> np.ndarray:
+        """Weights of all documents for the terms that ``without_common`` may leave out, and a row of none."""
+        table = np.zeros((COMMON + 1, len(self.row)), np.uint16)
+        for k, (a, b) in enumerate(zip(self.first[self.common].tolist(), self.first[self.common + 1].tolist())):
+            table[k, self.doc[a:b]] = self.weight[a:b]
+        return table
+
+    def above(self, asks: np.ndarray, least: np.ndarray, left: np.ndarray, rest: np.ndarray, table: np.ndarray | None,
+              few: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(seed, document, score) of all scores beyond the seeds' ``least``; ``asks`` has a row of terms per seed.
+
+        Of ``few`` postings the places are sorted; otherwise scores of all
+        documents are held.  Terms ``left`` out are added where their
+        greatest sum, ``rest``, can lift the score beyond ``least``.
+        """
+        n, over, pruned = len(self.row), least / self.unit, rest.any()
+        edge = over - rest - (rest > 0) / 2
+        if few:
+            first = self.first[asks].ravel()
+            size = self.first[asks + 1].ravel() - first
+            at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            doc, cell = self.doc[at], np.repeat(np.arange(len(asks)) * n, size.reshape(asks.shape).sum(axis=1))
+            if self.n_free < n:
+                free = self.free[doc]
+                at, doc, cell = at[free], doc[free], cell[free]
+            key = np.sort((cell + doc) << 16 | self.weight[at])
+            cell = key >> 16
+            starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[:len(cell)])
+            score, cell = np.add.reduceat(key & 0xFFFF, starts) if len(key) else key, cell[starts]
+            hit = score > edge[cell // n]
+            cell, score = cell[hit], score[hit]
+        else:
+            spans = [slice(a, b) for a, b in zip(self.first[asks].ravel().tolist(), self.first[asks + 1].ravel().tolist())]
+            at = np.concatenate([self.doc[s] for s in spans]).astype(np.intp)
+            at += np.repeat(np.arange(len(asks)) * n, self.postings(asks))
+            score = np.bincount(at, np.concatenate([self.weight[s] for s in spans]), minlength=len(asks) * n)
+            cell = np.flatnonzero((score.reshape(len(asks), n) > edge[:, None]).ravel())
+            if self.n_free < n:
+                cell = cell[self.free[cell % n]]
+            score = score[cell]
+        seed, doc = cell // n, cell % n
+        if pruned:
+            for k in range(int((left < COMMON).sum(axis=1).max())):  # those left out come first
+                score = score + table[left[seed, k], doc]
+            hit = score > over[seed]
+            seed, doc, score = seed[hit], doc[hit], score[hit]
+        return seed, doc, score * self.unit
 
 
 def _best(seed, score, row, size, want: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -381,24 +453,37 @@ def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_t
         least = np.zeros(len(asks))  # under it, a full list takes no more
         have = tuple(np.zeros(0, t) for t in (np.int64, np.float64, np.int64, np.int64))
         for path in files if len(asks) else []:
-            shelf = _Shelf(path, marks, few=len(asks) <= 2048)
+            shelf = _Shelf(path, marks)
             if not shelf.n_free:
                 continue
             # The greatest weights of a seed's terms bound its scores here.
             bound = shelf.top[asks].sum(axis=1, dtype=np.int64) * shelf.unit
             some, fresh, n_fresh, most = np.flatnonzero(bound > least), [have], 0, cells
-            read = np.cumsum(shelf.postings(asks[some]))
-            step, at = max(1, cells // len(shelf.row)), 0
+            n_rows, kept, rest, table = len(shelf.row), asks[some], np.zeros(len(some), np.int64), None
+            left, read = np.full(kept.shape, COMMON), shelf.postings(kept)
+            many = np.flatnonzero((read * 16 >= n_rows) & (least[some] > 0))
+            if len(many):
+                kept[many], left[many], rest[many] = shelf.without_common(kept[many], least[some[many]])
+                read = shelf.postings(kept)
+            if read.sum() * (n_rows - shelf.n_free) > 4 * len(shelf.doc) * n_rows:
+                shelf.trim()
+                read = shelf.postings(kept)
+            if rest.any():
+                table = shelf.common_weights()
+            # Most seeds read far fewer postings than there are documents; they go first.
+            order = np.argsort(read, kind="stable")
+            n_few, read, at = int((read * 12 < n_rows).sum()), np.cumsum(read[order]), 0
             while at < len(some):
-                end = int(np.searchsorted(read, (read[at - 1] if at else 0) + 2 * cells, side="right"))
-                own = some[at:max(at + 1, min(at + step, end))]
-                at += len(own)
-                i, d, score = shelf.above(asks[own], least[own])
+                few = at < n_few
+                end = int(np.searchsorted(read, (read[at - 1] if at else 0) + (cells // 2 if few else 2 * cells), side="right"))
+                now = order[at:max(at + 1, min(end, n_few) if few else min(end, at + cells // len(shelf.row)))]
+                at, own = at + len(now), some[now]
+                i, d, score = shelf.above(kept[now], least[own], left[now], rest[now], table, few)
                 cuts = np.searchsorted(i, np.arange(len(own) + 1))
-                many = np.flatnonzero(np.diff(cuts) > 256)
-                if len(many):  # the best 64, if they hold what is wanted, and all of their step
+                long = np.flatnonzero(np.diff(cuts) > 256)
+                if len(long):  # the best 64, if they hold what is wanted, and all of their step
                     keep = np.ones(len(i), bool)
-                    for k in many.tolist():
+                    for k in long.tolist():
                         mine = slice(cuts[k], cuts[k + 1])
                         edge = np.partition(score[mine], -64)[-64]
                         if shelf.size[d[mine]][score[mine] >= edge].sum() >= want[own[k]]:
