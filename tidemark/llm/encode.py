@@ -70,8 +70,8 @@ class Encoder:
         # Words of a-z alone: no normalizer and no pattern changes them, so the same model gets them by their blanks.
         self.plain = None
         if self.piecewise and [(s.get("type"), s.get("add_prefix_space")) for s in steps[1:]] == [("ByteLevel", False)]:
-            self.plain = Tokenizer.from_file(path)
-            self.plain.normalizer, self.plain.pre_tokenizer = None, pre_tokenizers.WhitespaceSplit()
+            self.plain = Tokenizer(self.tok.model)
+            self.plain.pre_tokenizer = pre_tokenizers.WhitespaceSplit()
         self.added = [a["content"] for a in spec.get("added_tokens", [])]
         # Ids that end a word: a word of letters has one, its last.
         self.ends = np.zeros(self.tok.get_vocab_size(), bool)
@@ -139,7 +139,8 @@ class Encoder:
         if not len(data):
             return np.zeros(0, self.dtype), np.zeros(len(off), np.int64)
         left = _ALNUM[data]
-        left[1:] |= (data[:-1] == 0xC3) & _LATIN1_LETTER[data[1:]]
+        latin1 = np.flatnonzero(data[:-1] == 0xC3) + 1
+        left[latin1] |= _LATIN1_LETTER[data[latin1]]
         cut = np.zeros(len(data), bool)
         cut[1:] = left[:-1] & _SIGN[data[1:]]
         starts, ends, words = T.word_bounds(data, off, T.BLANK_SPLIT, cut)
@@ -182,20 +183,23 @@ class Encoder:
                 at[new[hit]], n[new[hit]] = place[i[hit]], size[i[hit]]
                 new = new[~hit]
         if len(new):
-            plain = _LETTER[data]
-            plain[1:] |= (data[:-1] == 0xC3) & _LATIN1_LETTER[data[1:]]
-            first, last = starts[new], ends[new]
+            first, size = starts[new], ends[new] - starts[new]
+            last = np.cumsum(size)
+            own = data[np.repeat(first - (last - size), size) + np.arange(last[-1])]  # bytes of the new pieces
+            plain = _LETTER[own]
+            latin1 = np.flatnonzero(own[:-1] == 0xC3) + 1
+            plain[latin1] |= _LATIN1_LETTER[own[latin1]]
 
             def only(of):
-                other = np.concatenate([[0], np.cumsum(~of, dtype=np.int32)])
-                return other[last] == other[first]
+                return np.logical_and.reduceat(of, last - size)
 
             letters = only(plain)
-            ascii_letters = letters & only(data < 0x80) if self.plain else np.zeros(len(new), bool)
+            ascii_letters = letters & only(own < 0x80) if self.plain else np.zeros(len(new), bool)
             kinds = ascii_letters, letters & ~ascii_letters, ~letters
-            new = np.concatenate([new[k] for k in kinds])
-            raw, n_ascii, n_words = data.tobytes(), int(ascii_letters.sum()), int(letters.sum())
-            text = [raw[s:e].decode() for s, e in zip(starts[new].tolist(), ends[new].tolist())]
+            order = np.concatenate([np.flatnonzero(k) for k in kinds])
+            new, last, size = new[order], last[order], size[order]
+            raw, n_ascii, n_words = own.tobytes(), int(ascii_letters.sum()), int(letters.sum())
+            text = [raw[s:e].decode() for s, e in zip((last - size).tolist(), last.tolist())]
             parts = self._encode_words(text[:n_ascii], self.plain), self._encode_words(text[n_ascii:n_words]), self._encode(text[n_words:])
             ids, size = (np.concatenate(x) for x in zip(*parts))
             at[new], n[new] = self._keep(ids) + np.cumsum(size) - size, size

@@ -674,7 +674,8 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end
     if window & (window - 1):
         raise ValueError("window must be a power of two")
     tokenizer = tokenizer or default_path()
-    width = np.dtype(encoder(tokenizer).dtype).itemsize
+    kind = np.dtype(encoder(tokenizer).dtype)
+    width = kind.itemsize
     rows = encoded(docs, tokenizer, end_id, bits).withColumn("row", F.monotonically_increasing_id()) \
         .withColumn("size", (F.length("ids") / width).cast("long")).withColumn("n_terms", (F.length("terms") / 4).cast("long"))
     rows = stored(spark, rows, "encoded", compression="zstd")
@@ -687,7 +688,6 @@ def pack(spark: SparkSession, docs: DataFrame, tokenizer: str | None = None, end
                          index_terms, depth, spare)
 
     def one(part: pa.Table, shard: int) -> pa.RecordBatch:
-        kind = encoder(tokenizer).dtype
         raw = part.column("ids").to_pylist()
         doc, begin, length = parts_of(part.column("size").to_numpy(), part.column("grp").to_numpy(), window)
         nth, start, length, seq, offset = pieces_of(length, np.arange(len(doc)), window)
