@@ -227,3 +227,37 @@ def test_terms_are_stored_by_their_steps(spark):
     assert set(own[3]) < set(own[0]) < set(own[4]) and got.column("words").to_pylist() == [4, 0, 0, 1, 10]
     step = np.frombuffer(b"".join(got.column("terms").to_pylist()), np.uint32)
     assert step[0] == own[0][0] and (step[1:3] == np.diff(own[0])).all()
+
+
+def test_words_of_known_pieces_are_not_hashed_again(monkeypatch):
+    rnd = random.Random(3)
+    texts = [" ".join(rnd.choice(["Don't", "a1b2", "(Élan)", "x,y", "日本,語", "plain", "w-w", "É1"]) for _ in range(300)) for _ in range(20)] + [None, "", "<|endoftext|> a b a"]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], names=["doc_id", "text"])
+    monkeypatch.setattr(packing, "documents_of", lambda docs: docs)
+    run = lambda b: pa.Table.from_batches(packing.encoded(_Frame(b), encode.default_path(), 1, 18))
+    batch, special = batch.slice(0, len(texts) - 1), batch
+    for part in (special, batch):
+        got = run(part)
+        own = packing._words(*packing.T.utf8(part.column(1)), 18)
+        want = packing._terms(*own, 18)
+        assert got.column("words").to_pylist() == np.diff(own[1]).tolist()
+        for name, all_of in (("terms", want[0]), ("tf", want[1])):
+            assert b"".join(got.column(name).to_pylist()) == all_of.tobytes()
+    hashed, usual = [], packing.T.span_hashes
+    monkeypatch.setattr(packing.T, "span_hashes", lambda data, *a: (hashed.append(len(data)), usual(data, *a))[1])
+    run(batch)
+    assert sum(hashed) <= sum(len((t or "").encode()) for t in texts)  # once, for the lookup
+
+
+def test_numbers_of_keys_that_meet_in_a_place():
+    table = encode._Numbers(4)
+    keys = np.array([1, 2, 3, (1 << 64) - 1, (1 << 64) - 2], np.uint64)  # the last ones go round the end
+    assert table.add(keys).tolist() == [0, 1, 2, 3, 4] and table.find(keys[::-1]).tolist() == [4, 3, 2, 1, 0]
+    more = np.arange(10, 5000, dtype=np.uint64)
+    assert (table.find(more) == -1).all()
+    table.add(more)
+    assert (table.find(more) == np.arange(5, 4995)).all() and table.find(keys).tolist() == [0, 1, 2, 3, 4]
+    lists = encode._Lists(np.uint16)
+    lists.add(np.arange(6), np.array([1, 0, 2, 3]))
+    got, at = lists.spread(np.array([3, 0, 1, 2] * 20_000))
+    assert got.tolist() == [3, 4, 5, 0, 1, 2] * 20_000 and at[:5].tolist() == [0, 3, 4, 4, 6]

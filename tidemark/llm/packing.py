@@ -40,6 +40,7 @@ from __future__ import annotations
 
 import io
 import zlib
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -59,18 +60,32 @@ _OUT = pa.schema([*((c, pa.int64()) for c in _COLUMNS), ("ids", pa.binary())])
 OUT = ", ".join(f"{c} long" for c in _COLUMNS) + ", ids binary"
 
 
-def _terms(col, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Distinct terms of every row (ascending, each but the first as its step from the one before), their frequencies, and the rows' offsets."""
-    data, off = T.utf8(col)
-    data = T.LOWER[data]
+def _words(data: np.ndarray, off: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """Hashed words between the offsets ``off``, in their order, and the offsets in them."""
+    data = T.mapped(data, T.LOWER)
     starts, ends, words = T.word_bounds(data, off, T.ALNUM_SPLIT)
-    term = (T.span_hashes(data, starts, ends) >> np.uint64(64 - bits)).astype(np.int64)
-    key = np.sort((T.row_of(words) << bits) | term)
+    return (T.span_hashes(data, starts, ends) >> np.uint64(64 - bits)).astype(np.uint32), words
+
+
+def _words_of_pieces(bits: int):
+    """What the encoder notes of a piece: its words.  Its pieces are never cut inside a word."""
+    def of(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        term, at = _words(data, np.append(starts, ends[-1:]), bits)
+        return term, np.diff(at)
+
+    return of
+
+
+def _terms(term: np.ndarray, words: np.ndarray, bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct terms of every row (ascending, each but the first as its step from the one before), their frequencies, and the rows' offsets."""
+    n = len(words) - 1
+    key = np.repeat(np.arange(n) << bits, np.diff(words)) | term
+    key = np.sort(key.astype(np.uint32) if n << bits <= 1 << 32 else key)
     new = np.ones(len(key), bool)
     new[1:] = key[1:] != key[:-1]
     at = np.flatnonzero(new)
-    key = key[at]
-    rows, terms = np.searchsorted(key >> bits, np.arange(len(off))), (key & ((1 << bits) - 1)).astype(np.uint32)
+    key = key[at].astype(np.int64)
+    rows, terms = np.searchsorted(key, np.arange(n + 1) << bits), (key & ((1 << bits) - 1)).astype(np.uint32)
     step, first = np.diff(terms, prepend=np.uint32(0)), rows[:-1][rows[:-1] < rows[1:]]
     step[first] = terms[first]
     return step, np.diff(np.append(at, len(new))).astype(np.uint32), rows
@@ -93,12 +108,12 @@ def _term_ids(col) -> tuple[np.ndarray, np.ndarray]:
 def encoded(docs: DataFrame, tokenizer: str, end_id: int, bits: int) -> DataFrame:
     """doc_id, ids, terms, tf and number of words of every row."""
     def run(batches):
-        enc = encoder(tokenizer)
+        enc = encoder(tokenizer, _words_of_pieces(bits), ("words", bits))
         for batch in batches:
             for part in T.slices(batch, "text"):
-                ids, off = enc.rows(part.column(1))
+                ids, off, noted = enc.noted_rows(part.column(1))
                 end = np.array([end_id], enc.dtype).tobytes()
-                terms, tf, at = _terms(part.column(1), bits)
+                terms, tf, at = _terms(*(noted or _words(*T.utf8(part.column(1)), bits)), bits)
                 raw = (ids.tobytes(), terms.tobytes(), tf.tobytes())
                 size = ids.itemsize
                 yield pa.RecordBatch.from_arrays(
@@ -120,7 +135,9 @@ def document_frequencies(rows: DataFrame, bits: int) -> np.ndarray:
         some = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(total[some])], names=["term", "n"])
 
-    got = rows.select("terms").mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    # A task gives up to 2 ** bits rows, whatever it reads: few tasks, but no more than eight files to each.
+    tasks = max(rows.sparkSession.sparkContext.defaultParallelism, -(-len(rows.inputFiles()) // 8))
+    got = rows.select("terms").coalesce(tasks).mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(1 << bits, np.int64)
     out[got.column("term").to_numpy()] = got.column("n").to_numpy()
     return out
@@ -337,6 +354,7 @@ class _Shelf:
                 kept[k] for k in ("first", "doc", "weight", "row", "size", "top", "unit"))
         self.free = ~_used(marks, self.row)
         self.n_free = int(self.free.sum())
+        self.both = None  # a posting's document and weight in one number, for what is sorted
         # One more term, which no document has.
         self.first = np.append(first, first[-1]).astype(np.int64)
         self.top = np.append(top, 0)
@@ -346,7 +364,7 @@ class _Shelf:
         free, keep = self.free, self.free[self.doc]
         self.first = np.concatenate([[0], np.cumsum(keep, dtype=np.int64)])[self.first]
         self.doc, self.weight = (np.cumsum(free) - 1).astype(self.doc.dtype)[self.doc[keep]], self.weight[keep]
-        self.row, self.size, self.free = self.row[free], self.size[free], np.ones(self.n_free, bool)
+        self.row, self.size, self.free, self.both = self.row[free], self.size[free], np.ones(self.n_free, bool), None
 
     def postings(self, asks: np.ndarray) -> np.ndarray:
         """Number of postings that each row of ``asks`` reads."""
@@ -387,19 +405,23 @@ class _Shelf:
         n, over, pruned = len(self.row), least / self.unit, rest.any()
         edge = over - rest - (rest > 0) / 2
         if few:
+            if self.both is None:
+                self.both = self.doc.astype(np.uint32 if n <= 1 << 16 else np.uint64) << 16 | self.weight
             first = self.first[asks].ravel()
             size = self.first[asks + 1].ravel() - first
-            at = np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
-            doc, cell = self.doc[at], np.repeat(np.arange(len(asks)) * n, size.reshape(asks.shape).sum(axis=1))
-            if self.n_free < n:
-                free = self.free[doc]
-                at, doc, cell = at[free], doc[free], cell[free]
-            key = np.sort((cell + doc) << 16 | self.weight[at])
+            at = np.repeat(first - (np.cumsum(size) - size), size)
+            at += np.arange(len(at))
+            key = np.repeat(np.arange(len(asks)) * n << 16, size.reshape(asks.shape).sum(axis=1))
+            key += self.both[at].astype(np.int64)
+            key.sort()
             cell = key >> 16
             starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[:len(cell)])
             score, cell = np.add.reduceat(key & 0xFFFF, starts) if len(key) else key, cell[starts]
             hit = score > edge[cell // n]
             cell, score = cell[hit], score[hit]
+            if self.n_free < n:
+                free = self.free[cell % n]
+                cell, score = cell[free], score[free]
         else:
             spans = [slice(a, b) for a, b in zip(self.first[asks].ravel().tolist(), self.first[asks + 1].ravel().tolist())]
             at = np.concatenate([self.doc[s] for s in spans]).astype(np.intp)
@@ -613,7 +635,8 @@ def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits:
         yield pa.RecordBatch.from_arrays([pa.array(part.column("row").to_numpy()[order]), pa.array(grp),
                                           pa.array(np.arange(len(order), dtype=np.float64))], names=["row", "grp", "rank"])
 
-    last = _unused(rows.select("row", "size", "terms", "tf", "words"), marks).repartition(1).sortWithinPartitions("row")
+    # What is left is at most one shard, so its row numbers are few.
+    last = rows.select("row", "size", "terms", "tf", "words").join(F.broadcast(_unused(heads.select("row"), marks)), "row", "left_semi").repartition(1).sortWithinPartitions("row")
     out.append(stored(spark, last.mapInArrow(rest, "row long, grp long, rank double"), "rest"))
     every = out[0]
     for frame in out[1:]:
@@ -635,10 +658,12 @@ def placed(spark: SparkSession, rows: DataFrame, members: DataFrame) -> DataFram
     chunk = F.shiftright("row", 16).alias("chunk")
     members.select(chunk, "row", "grp", "rank").groupBy("chunk").applyInArrow(keep, "chunk long").count()
 
-    def run(batches):
+    # Only the row numbers go through Python.
+    @F.arrow_udf("struct<grp: long, rank: double>")
+    def place(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
         last, known = None, None
-        for batch in batches:
-            row = batch.column(3).to_numpy()
+        for batch in rows:
+            row = batch.to_numpy(zero_copy_only=False)
             grp, rank = np.zeros(len(row), np.int64), np.zeros(len(row))
             for c in np.unique(row >> 16).tolist():
                 if c != last:
@@ -647,11 +672,10 @@ def placed(spark: SparkSession, rows: DataFrame, members: DataFrame) -> DataFram
                 mine = row >> 16 == c
                 at = np.searchsorted(known["row"], row[mine])
                 grp[mine], rank[mine] = known["grp"][at], known["rank"][at]
-            yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in range(3)), pa.array(grp), pa.array(rank), batch.column(3)],
-                                             names=["doc_id", "ids", "size", "grp", "rank", "row"])
+            yield pa.StructArray.from_arrays([pa.array(grp), pa.array(rank)], names=["grp", "rank"])
 
-    return rows.select("doc_id", "ids", "size", "row").mapInArrow(
-        run, "doc_id long, ids binary, size long, grp long, rank double, row long")
+    return rows.select("doc_id", "ids", "size", "row", place("row").alias("place")).select(
+        "doc_id", "ids", "size", "place.grp", "place.rank", "row")
 
 
 def parts_of(size: np.ndarray, grp: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
