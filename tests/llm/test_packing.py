@@ -261,3 +261,9 @@ def test_numbers_of_keys_that_meet_in_a_place():
     lists.add(np.arange(6), np.array([1, 0, 2, 3]))
     got, at = lists.spread(np.array([3, 0, 1, 2] * 20_000))
     assert got.tolist() == [3, 4, 5, 0, 1, 2] * 20_000 and at[:5].tolist() == [0, 3, 4, 4, 6]
+
+
+def test_small_index_files_are_asked_first(spark):
+    heads = spark.createDataFrame([(i, f) for f, n in (("a", 30), ("b", 2), ("c", 9), ("d", 9)) for i in range(n)], "row long, file string")
+    assert packing.files_of(heads) == ["b", "c", "d", "a"]
+    assert packing.files_of(heads.limit(0)) == []

@@ -282,6 +282,11 @@ def indexed(spark: SparkSession, rows: DataFrame, n_terms: int, shared, mean: fl
     return stored(spark, some.mapInArrow(run, _HEADS), "heads")
 
 
+def files_of(heads: DataFrame) -> list[str]:
+    """Index files (one small entry each), those of few documents first: they fill the seeds' lists, which bound the work in the others."""
+    return [file for _, file in sorted((r["count"], r.file) for r in heads.groupBy("file").count().collect())]
+
+
 def _cut(part: pa.Table, n: int) -> list[pa.Table]:
     return [part.slice(i, n) for i in range(0, part.num_rows, n)]
 
@@ -584,7 +589,7 @@ def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits:
     totals = rows.agg(F.count(F.lit(1)).alias("n"), F.sum("size").alias("t"), F.sum("n_terms").alias("terms")).first()
     marks, out, sc = [], [], spark.sparkContext
     heads = indexed(spark, rows, totals.terms or 0, shared, mean, bits, query_terms, index_rows, index_terms)
-    files = sorted(r.file for r in heads.select("file").distinct().collect())  # one small entry per file
+    files = files_of(heads)
     bare = rows.filter("n_terms = 0").select("row", F.col("row").alias("grp"), F.lit(0.0).alias("rank"))
     if totals.n:
         marks = _marked(spark, marks, bare)
