@@ -267,3 +267,25 @@ def test_small_index_files_are_asked_first(spark):
     heads = spark.createDataFrame([(i, f) for f, n in (("a", 30), ("b", 2), ("c", 9), ("d", 9)) for i in range(n)], "row long, file string")
     assert packing.files_of(heads) == ["b", "c", "d", "a"]
     assert packing.files_of(heads.limit(0)) == []
+
+
+def test_an_index_file_is_read_once_for_many_seeds(tmp_path, monkeypatch):
+    rng = np.random.default_rng(3)
+    paths, _ = _random_index(tmp_path, rng, 2, 100, 40)
+    _, batch = _asking(rng, 400, 40)
+    opened, usual = [], packing._Shelf.__init__
+    monkeypatch.setattr(packing._Shelf, "__init__", lambda self, path, marks: (opened.append(path), usual(self, path, marks))[1])
+    many = pa.Table.from_batches([batch] * 100).combine_chunks().to_batches()[0]
+    assert sum(b.num_rows for b in packing.found(_Frame(many), paths, [], 1, 40)) == 40_000
+    assert len(opened) == 2
+
+
+def test_only_postings_that_come_far_enough_are_sorted(tmp_path, monkeypatch):
+    rng = np.random.default_rng(4)
+    paths, _ = _random_index(tmp_path, rng, 6, 3000, 300)
+    _, batch = _asking(rng, 300, 300)
+    read, ordered, usual_read, usual = [], [], packing._Shelf._read, packing._Shelf._added
+    monkeypatch.setattr(packing._Shelf, "_read", lambda self, asks: (got := usual_read(self, asks), read.append(len(got[0])))[0])
+    monkeypatch.setattr(packing._Shelf, "_added", lambda self, seed, both: (ordered.append(len(both)), usual(self, seed, both))[1])
+    packing.found(_Frame(batch), paths, [], 1, 300)
+    assert 0 < sum(ordered) < 0.5 * sum(read)

@@ -11,9 +11,10 @@
    ``query_terms`` weightiest terms, and the answers are merged per seed,
    so that any unused document of the table is a candidate.  A file whose
    greatest weights can't reach a seed's present list is passed over; the
-   others are scored for many seeds at once.  Most seeds read few postings,
-   which are sorted; for the rest, terms too common to lift a document to
-   the list by themselves are added last, for the documents they can lift.
+   others are scored for many seeds at once.  Once a seed's list is full,
+   terms too common to lift a document to it by themselves are added last,
+   for the documents they can lift; the postings of its other terms are
+   added up in few places first, and exactly for what comes far enough.
    A document goes to the seed that scores it highest, and seeds with room
    left go on in the next round, without what is used by then.  Their lists
    are ``spare`` times as long as their room, and only a seed whose list no
@@ -40,7 +41,6 @@ from __future__ import annotations
 
 import io
 import zlib
-from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -292,7 +292,9 @@ def _cut(part: pa.Table, n: int) -> list[pa.Table]:
 
 
 CHUNK_BITS = 16
-COMMON = 256  # terms of an index file of which a seed's score can be added up last
+BLOCK = 65536  # seeds that go through the index files together: each file is read once for them
+COMMON = 512  # terms of an index file of which a seed's score can be added up last
+LEFT_OUT = 0.75  # how much of what a list asks for the terms left out may come to
 
 
 def _bits(marks: list[str], chunk: int) -> np.ndarray:
@@ -375,22 +377,21 @@ class _Shelf:
         """Number of postings that each row of ``asks`` reads."""
         return (self.first[asks + 1] - self.first[asks]).sum(axis=1)
 
-    def without_common(self, asks: np.ndarray, least: np.ndarray) -> tuple[np.ndarray, ...]:
-        """(terms to read, terms left out, greatest sum of those) per seed.
+    def without_common(self, asks: np.ndarray, over: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(terms to read, terms left out, greatest sum of those) per seed, whose terms come in a falling order of frequency.
 
         Left out are a seed's commonest terms as long as a document with all
-        of them, and no other, would not come beyond ``least``.  They are
+        of them, and no other, would stay well under ``over``.  They are
         places among the ``COMMON`` commonest terms of the file, ``COMMON`` for none.
         """
         size = np.diff(self.first)
-        names = np.flatnonzero(size * 16 >= len(self.row))
-        self.common = names[np.argsort(-size[names], kind="stable")[:COMMON]]
-        place = np.full(len(size), COMMON)
+        names = np.argpartition(-size, COMMON)[:COMMON] if len(size) > COMMON else np.arange(len(size))
+        self.common = names[size[names] * 256 >= len(self.row)]  # a rare term is read in less time than it is looked up
+        place = np.full(len(size), COMMON, np.int16)
         place[self.common] = np.arange(len(self.common))
-        asks = np.take_along_axis(asks, np.argsort(-size[asks], axis=1, kind="stable"), axis=1)
-        total = np.cumsum(self.top[asks], axis=1, dtype=np.int64)
-        out = (place[asks] < COMMON) & (total <= (least / self.unit)[:, None])
-        return np.where(out, len(size) - 1, asks), np.where(out, place[asks], COMMON), np.where(out, total, 0).max(axis=1)
+        total, place = np.cumsum(self.top[asks], axis=1, dtype=np.int32), place[asks]
+        out = (place < COMMON) & (total <= (over * LEFT_OUT)[:, None])
+        return np.where(out, len(size) - 1, asks), np.where(out, place, COMMON), np.where(out, total, 0).max(axis=1)
 
     def common_weights(self) -> np.ndarray:
         """Weights of all documents for the terms that ``without_common`` may leave out, and a row of none."""
@@ -399,50 +400,82 @@ class _Shelf:
             table[k, self.doc[a:b]] = self.weight[a:b]
         return table
 
-    def above(self, asks: np.ndarray, least: np.ndarray, left: np.ndarray, rest: np.ndarray, table: np.ndarray | None,
-              few: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(seed, document, score) of all scores beyond the seeds' ``least``; ``asks`` has a row of terms per seed.
-
-        Of ``few`` postings the places are sorted; otherwise scores of all
-        documents are held.  Terms ``left`` out are added where their
-        greatest sum, ``rest``, can lift the score beyond ``least``.
+    def _read(self, asks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Document and weight, as one number, of every posting that the rows of ``asks`` read, and how many each reads."""
+        if self.both is None:
+            self.both = self.doc.astype(np.uint32 if len(self.row) <= 1 << 16 else np.uint64) << 16 | self.weight
+        first = self.first[asks].ravel()
+        size = self.first[asks + 1].ravel() - first
+        at = np.repeat(first - (np.cumsum(size) - size), size)
+        at += np.arange(len(at))
+        return self.both[at], size.reshape(asks.shape).sum(axis=1)
+
+    def _added(self, seed: np.ndarray, both: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Pairs of seed and document, ascending, as numbers of cells, and the sum of each."""
+        key = (seed.astype(np.int64) * len(self.row) << 16) + both.astype(np.int64)
+        key.sort()
+        cell = key >> 16
+        starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[:len(cell)])
+        return cell[starts], np.add.reduceat(key & 0xFFFF, starts) if len(key) else key
+
+    def all_scores(self, asks: np.ndarray, few: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(seed, document, score) of all scores; ``asks`` has a row of terms per seed.
+
+        Of ``few`` postings the places are sorted; otherwise scores of all documents are held.
         """
-        n, over, pruned = len(self.row), least / self.unit, rest.any()
-        edge = over - rest - (rest > 0) / 2
+        n = len(self.row)
         if few:
-            if self.both is None:
-                self.both = self.doc.astype(np.uint32 if n <= 1 << 16 else np.uint64) << 16 | self.weight
-            first = self.first[asks].ravel()
-            size = self.first[asks + 1].ravel() - first
-            at = np.repeat(first - (np.cumsum(size) - size), size)
-            at += np.arange(len(at))
-            key = np.repeat(np.arange(len(asks)) * n << 16, size.reshape(asks.shape).sum(axis=1))
-            key += self.both[at].astype(np.int64)
-            key.sort()
-            cell = key >> 16
-            starts = np.flatnonzero(np.append(True, cell[1:] != cell[:-1])[:len(cell)])
-            score, cell = np.add.reduceat(key & 0xFFFF, starts) if len(key) else key, cell[starts]
-            hit = score > edge[cell // n]
-            cell, score = cell[hit], score[hit]
-            if self.n_free < n:
-                free = self.free[cell % n]
-                cell, score = cell[free], score[free]
+            both, size = self._read(asks)
+            cell, score = self._added(np.repeat(np.arange(len(asks)), size), both)
         else:
             spans = [slice(a, b) for a, b in zip(self.first[asks].ravel().tolist(), self.first[asks + 1].ravel().tolist())]
             at = np.concatenate([self.doc[s] for s in spans]).astype(np.intp)
             at += np.repeat(np.arange(len(asks)) * n, self.postings(asks))
             score = np.bincount(at, np.concatenate([self.weight[s] for s in spans]), minlength=len(asks) * n)
-            cell = np.flatnonzero((score.reshape(len(asks), n) > edge[:, None]).ravel())
-            if self.n_free < n:
-                cell = cell[self.free[cell % n]]
+            cell = np.flatnonzero(score)
             score = score[cell]
         seed, doc = cell // n, cell % n
-        if pruned:
-            for k in range(int((left < COMMON).sum(axis=1).max())):  # those left out come first
+        free = self.free[doc]
+        return seed[free], doc[free], score[free] * self.unit
+
+    def scores_beyond(self, asks: np.ndarray, over: np.ndarray, left: np.ndarray, rest: np.ndarray, table: np.ndarray | None,
+                      few: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(seed, document, score) of all scores beyond the seeds' ``over`` (in the file's units).
+
+        Of ``few`` postings, weights are added up for documents whose numbers
+        end alike first; only the postings of those that come far enough
+        together are sorted and added exactly.  Terms ``left`` out are added
+        where their greatest sum, ``rest``, can lift the score beyond ``over``.
+        """
+        n = len(self.row)
+        edge = np.clip(np.floor(over - rest - (rest > 0) / 2), 0, 0xFFFFFFFF).astype(np.uint32)
+        both, size = self._read(asks)
+        # Twice as many places as postings; at most 2,048 documents in each, so that 32 bits hold their sums.
+        width = 1 << np.ceil(np.log2(np.maximum(2 * size, (n >> 11) + 1))).astype(np.int64) if few else np.full(len(size), n)
+        at = np.repeat(np.cumsum(width) - width, size)
+        at += both >> 16 & np.repeat((width - 1).astype(both.dtype), size) if few else both >> 16
+        total = np.zeros(int(width.sum()), np.uint32)
+        np.add.at(total, at, (both & 0xFFFF).astype(np.uint32))
+        if few:
+            some = np.flatnonzero(total[at] > np.repeat(edge, size))
+            cell, score = self._added(np.searchsorted(np.cumsum(size), some, side="right"), both[some])
+        else:
+            cell = np.flatnonzero(total.reshape(len(size), n) > edge[:, None])
+            score = total[cell].astype(np.int64)
+        seed, doc = cell // n, cell % n
+        hit = (score > edge[seed]) & self.free[doc]
+        seed, doc, score = seed[hit], doc[hit], score[hit]
+        if table is not None:
+            tops = np.zeros(COMMON + 1, np.int64)
+            tops[:len(self.common)] = self.top[self.common]
+            tops = tops[left]
+            upto = np.cumsum(tops, axis=1) - tops
+            for k in reversed(np.flatnonzero((left < COMMON).any(axis=0)).tolist()):  # the rarest first: it lifts most
                 score = score + table[left[seed, k], doc]
-            hit = score > over[seed]
-            seed, doc, score = seed[hit], doc[hit], score[hit]
-        return seed, doc, score * self.unit
+                hit = score > (over - upto[:, k])[seed]
+                seed, doc, score = seed[hit], doc[hit], score[hit]
+        hit = score > over[seed]
+        return seed[hit], doc[hit], score[hit] * self.unit
 
 
 def _best(seed, score, row, size, want: np.ndarray) -> tuple[np.ndarray, ...]:
@@ -466,7 +499,7 @@ def _within(names: np.ndarray, sizes: np.ndarray, room: np.ndarray) -> np.ndarra
     return np.bincount(names[before < room[names]], minlength=len(room))
 
 
-def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_term: int, block: int = 32768, cells: int = 1 << 18) -> DataFrame:
+def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_term: int, block: int = BLOCK, cells: int = 1 << 18) -> DataFrame:
     """The seeds with their lists: the best unused documents of the whole index, ``depth`` times what the room holds.
 
     The first ``n_now`` of a list fill the room.  What is unused of a list
@@ -479,33 +512,49 @@ def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_t
     def search(asks: np.ndarray, want: np.ndarray) -> tuple[np.ndarray, ...]:
         least = np.zeros(len(asks))  # under it, a full list takes no more
         have = tuple(np.zeros(0, t) for t in (np.int64, np.float64, np.int64, np.int64))
+        ordered = False
         for path in files if len(asks) else []:
             shelf = _Shelf(path, marks)
             if not shelf.n_free:
                 continue
+            if not ordered:  # files are much alike: one order of the seeds' terms, by frequency, serves for all
+                asks = np.take_along_axis(asks, np.argsort(shelf.first[asks] - shelf.first[asks + 1], axis=1, kind="stable"), axis=1)
+                ordered = True
             # The greatest weights of a seed's terms bound its scores here.
             bound = shelf.top[asks].sum(axis=1, dtype=np.int64) * shelf.unit
-            some, fresh, n_fresh, most = np.flatnonzero(bound > least), [have], 0, cells
-            n_rows, kept, rest, table = len(shelf.row), asks[some], np.zeros(len(some), np.int64), None
-            left, read = np.full(kept.shape, COMMON), shelf.postings(kept)
-            many = np.flatnonzero((read * 16 >= n_rows) & (least[some] > 0))
-            if len(many):
-                kept[many], left[many], rest[many] = shelf.without_common(kept[many], least[some[many]])
-                read = shelf.postings(kept)
-            if read.sum() * (n_rows - shelf.n_free) > 4 * len(shelf.doc) * n_rows:
+            some = np.flatnonzero(bound > least)
+            some = some[np.argsort(least[some] > 0, kind="stable")]
+            n_open, n_rows, kept, table = int((least[some] == 0).sum()), len(shelf.row), asks[some], None
+            left, rest, over = np.full((len(some), 1), COMMON), np.zeros(len(some)), least[some] / shelf.unit
+            if n_open < len(some):
+                out, full = shelf.without_common(kept[n_open:], over[n_open:]), slice(n_open, None)
+                left = np.full(kept.shape, COMMON)
+                kept[full], left[full], rest[full] = out
+            read = shelf.postings(kept)
+            if 2 * read.sum() * (n_rows - shelf.n_free) > len(shelf.doc) * n_rows:
                 shelf.trim()
                 read = shelf.postings(kept)
+                n_rows = len(shelf.row)
             if rest.any():
                 table = shelf.common_weights()
-            # Most seeds read far fewer postings than there are documents; they go first.
-            order = np.argsort(read, kind="stable")
-            n_few, read, at = int((read * 12 < n_rows).sum()), np.cumsum(read[order]), 0
+            # Lists that are not full take all; of their seeds, those that read far fewer postings than there are documents go first.
+            kind = np.where(np.arange(len(some)) >= n_open, 2 + (read * 8 >= n_rows), read * 12 >= n_rows)
+            order = np.lexsort((read, kind))
+            ends, read, at = np.cumsum(np.bincount(kind, minlength=4)), np.cumsum(read[order]), 0
+            fresh, n_fresh, most = [], 0, cells
             while at < len(some):
-                few = at < n_few
-                end = int(np.searchsorted(read, (read[at - 1] if at else 0) + (cells // 2 if few else 2 * cells), side="right"))
-                now = order[at:max(at + 1, min(end, n_few) if few else min(end, at + cells // len(shelf.row)))]
+                k = int(np.searchsorted(ends, at, side="right"))
+                end = int(np.searchsorted(read, (read[at - 1] if at else 0) + (cells // 2, 2 * cells, cells // 4, cells // 4)[k], side="right"))
+                if k % 2:
+                    end = min(end, at + cells // n_rows)
+                now = order[at:max(at + 1, min(end, int(ends[k])))]
                 at, own = at + len(now), some[now]
-                i, d, score = shelf.above(kept[now], least[own], left[now], rest[now], table, few)
+                if k < 2:
+                    i, d, score = shelf.all_scores(kept[now], not k)
+                else:
+                    i, d, score = shelf.scores_beyond(kept[now], over[now], left[now], rest[now], table, k == 2)
+                if not len(i):
+                    continue
                 cuts = np.searchsorted(i, np.arange(len(own) + 1))
                 long = np.flatnonzero(np.diff(cuts) > 256)
                 if len(long):  # the best 64, if they hold what is wanted, and all of their step
@@ -526,11 +575,17 @@ def found(seeds: DataFrame, files: list[str], marks: list[str], depth: int, no_t
                     most += cells + n_fresh
             if not n_fresh:
                 continue
-            have = _best(*map(np.concatenate, zip(*fresh)), want)
-            held = np.bincount(have[0], have[3], minlength=len(asks))
+            # Only the lists that got something are put in order again.
+            got = np.zeros(len(asks), bool)
+            for x in fresh:
+                got[x[0]] = True
+            mine = got[have[0]]
+            changed = _best(*map(np.concatenate, zip(tuple(x[mine] for x in have), *fresh)), want)
+            have = tuple(np.concatenate([x[~mine], y]) for x, y in zip(have, changed))
+            held = np.bincount(changed[0], changed[3], minlength=len(asks))
             last = np.full(len(asks), np.inf)
-            np.minimum.at(last, have[0], have[1])
-            least = np.where(held >= want, last * (1 - 1e-9), 0)
+            np.minimum.at(last, changed[0], changed[1])
+            least = np.where(got, np.where(held >= want, last * (1 - 1e-9), 0), least)
         return have
 
     def one(part: pa.Table) -> pa.RecordBatch:
@@ -613,7 +668,8 @@ def members_of(spark: SparkSession, rows: DataFrame, shared, mean: float, bits:
         seeds = (fresh if opened is None else opened.unionByName(fresh)).filter("room > 0")
         n_seeds, n_drawn = seeds.count(), drawn.count()
         marks = _marked(spark, marks, drawn.select(F.col("seed").alias("row")))
-        blocks = seeds.repartition(max(sc.defaultParallelism, -(-n_seeds // 32768)), "seed")
+        # As many tasks on every core, each with a block at most.
+        blocks = seeds.repartition(sc.defaultParallelism * max(1, -(-n_seeds // (BLOCK * sc.defaultParallelism))), "seed")
         asked = stored(spark, found(blocks, files, marks, depth * spare, 1 << bits), "found")
         won = stored(spark, _won(asked), "won")
         n_won = won.count()
@@ -663,12 +719,10 @@ def placed(spark: SparkSession, rows: DataFrame, members: DataFrame) -> DataFram
     chunk = F.shiftright("row", 16).alias("chunk")
     members.select(chunk, "row", "grp", "rank").groupBy("chunk").applyInArrow(keep, "chunk long").count()
 
-    # Only the row numbers go through Python.
-    @F.arrow_udf("struct<grp: long, rank: double>")
-    def place(rows: Iterator[pa.Array]) -> Iterator[pa.Array]:
+    def run(batches):
         last, known = None, None
-        for batch in rows:
-            row = batch.to_numpy(zero_copy_only=False)
+        for batch in batches:
+            row = batch.column(3).to_numpy()
             grp, rank = np.zeros(len(row), np.int64), np.zeros(len(row))
             for c in np.unique(row >> 16).tolist():
                 if c != last:
@@ -677,10 +731,10 @@ def placed(spark: SparkSession, rows: DataFrame, members: DataFrame) -> DataFram
                 mine = row >> 16 == c
                 at = np.searchsorted(known["row"], row[mine])
                 grp[mine], rank[mine] = known["grp"][at], known["rank"][at]
-            yield pa.StructArray.from_arrays([pa.array(grp), pa.array(rank)], names=["grp", "rank"])
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(grp), pa.array(rank), batch.column(3)],
+                                             names=["doc_id", "ids", "size", "grp", "rank", "row"])
 
-    return rows.select("doc_id", "ids", "size", "row", place("row").alias("place")).select(
-        "doc_id", "ids", "size", "place.grp", "place.rank", "row")
+    return rows.select("doc_id", "ids", "size", "row").mapInArrow(run, "doc_id long, ids binary, size long, grp long, rank double, row long")
 
 
 def parts_of(size: np.ndarray, grp: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
