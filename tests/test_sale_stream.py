@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tidemark import sinks
 from tidemark.operators import sales
+from tidemark.plans import stream_queries
 from tidemark.sources.streams import file_stream
 from tidemark.streaming import sale_stream
 
@@ -68,3 +69,23 @@ def test_a_hot_order_is_spread(spark, tmp_path):
     assert len(got) == 3000 and {r[3] for r in got} == {5}
     state = spark.read.format("statestore").option("joinSide", "left").load(f"{tmp_path}/ck")
     assert state.select("partition_id").distinct().count() > 1
+
+
+def test_parts_are_written_once_and_run_once(spark, small, monkeypatch):
+    runs, usual = [], sinks.await_all
+    monkeypatch.setattr(stream_queries.sinks, "await_all", lambda queries: (usual(queries), runs.extend(len(q.recentProgress) for q in queries))[0])
+    monkeypatch.setattr(stream_queries, "_arrive", lambda *_: pytest.fail("a part is written again"))
+    before = spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled", None)
+    got = stream_queries.q_sale_enriched_stream(spark, small)
+    assert runs == [1] * (stream_queries.SALE_PARTS + 3)
+    assert spark.conf.get("spark.sql.streaming.noDataMicroBatches.enabled", None) == before
+    assert got.count() == spark.read.parquet(f"{small}/lineitem.parquet").count()
+
+
+def test_a_part_is_released_with_its_rows(spark, tmp_path):
+    rows = spark.range(100).select("id", (F.col("id") % 3).alias("part")).repartition(4)
+    dealt = stream_queries._dealt(rows, f"{tmp_path}/dealt")
+    for part in (0, 2, 5):  # there is no part 5
+        stream_queries._released(spark, f"{tmp_path}/dealt", part, f"{tmp_path}/source")
+    got = spark.read.schema(dealt.drop("part").schema).parquet(f"{tmp_path}/source")
+    assert sorted(r.id for r in got.collect()) == [i for i in range(100) if i % 3 != 1]
